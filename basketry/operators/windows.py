@@ -78,7 +78,7 @@ def _starts(placed: DataFrame, sums: Sequence[str]) -> list[tuple]:
     )
     totals = sorted(totals, key=lambda t: t[0])
     rows = list(accumulate((t["n"] for t in totals), initial=0))
-    before = [list(accumulate((t[f"s{i}"] for t in totals), _add, initial=None)) for i in range(len(sums))]
+    before = [[None, *accumulate((t[f"s{i}"] for t in totals), _add)] for i in range(len(sums))]
     return [(t[RANGE], rows[k], *(b[k] for b in before)) for k, t in enumerate(totals)]
 
 

@@ -1,0 +1,119 @@
+"""Global windows: the distributed path gives what a plain window gives, without one-task exchanges."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from basketry.operators.windows import asc, bucket_borders, desc, global_ntile, global_window
+from basketry.scratch import Scratch
+
+
+def frame(spark, n, partitions=4):
+    """Few distinct values (a third of all rows share one), nulls among them, unique key."""
+    i = F.col("id")
+    value = F.when(i % 3 == 0, F.lit(5)).when(i % 17 == 1, None).otherwise((i * 7919) % 23)
+    return spark.range(0, n, 1, partitions).select(
+        i.alias("key"), value.cast("decimal(12,2)").alias("value"), F.lit("x").alias("other")
+    )
+
+
+def plain(df, order):
+    w = Window.orderBy(*[b.order for b in order])
+    return df.select(
+        "key",
+        F.row_number().over(w).cast("long").alias("rank"),
+        F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("running"),
+    )
+
+
+@pytest.fixture(params=[1, 3, 8])
+def partitions(spark, request):
+    kept = {
+        k: spark.conf.get(k)
+        for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    }
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("order", [[desc("value"), asc("key")], [asc("value"), desc("key")]])
+def test_rank_and_running_sum(spark, partitions, order):
+    df = frame(spark, 3000)
+    got = global_window(df, order, Scratch(spark), "rank", {"running": "value"}, small_rows=0)
+    want = plain(df, order)
+    assert got.columns == df.columns + ["rank", "running"]
+    assert sorted(got.select("key", "rank", "running").collect()) == sorted(want.collect())
+
+
+def test_small_path_agrees(spark):
+    df, order = frame(spark, 500), [desc("value"), asc("key")]
+    small = global_window(df, order, Scratch(spark), "rank", {"running": "value"})
+    large = global_window(df, order, Scratch(spark), "rank", {"running": "value"}, small_rows=0)
+    assert small.dtypes == large.dtypes
+    assert sorted(small.collect(), key=str) == sorted(large.collect(), key=str)
+
+
+def test_running_sum_starting_with_nulls(spark):
+    df = spark.createDataFrame([(i, None if i < 4 else Decimal(i)) for i in range(8)], "key long, value decimal(12,2)")
+    got = global_window(df, [asc("key")], Scratch(spark), running={"running": "value"}, small_rows=0)
+    assert [r.running for r in got.sort("key").collect()] == [None] * 4 + [4, 9, 15, 22]
+
+
+@pytest.mark.parametrize("n", [1, 3, 4, 5, 7, 1003])
+def test_ntile(spark, partitions, n):
+    df = frame(spark, n)
+    orders = {"a": [asc("value"), asc("key")], "b": [desc("value"), asc("key")]}
+    got = global_ntile(df, 5, orders, Scratch(spark), small_rows=0)
+    want = global_ntile(df, 5, orders, Scratch(spark))
+    assert got.dtypes == want.dtypes
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    sizes = [r["count"] for r in got.groupBy("a").count().collect()]
+    assert max(sizes) - min(sizes) <= 1 and len(sizes) == min(n, 5)
+
+
+def test_ntile_empty(spark):
+    df = frame(spark, 0)
+    assert global_ntile(df, 5, {"a": [asc("key")]}, Scratch(spark), small_rows=0).count() == 0
+
+
+def test_ntile_by_time(spark):
+    df = spark.range(100).select("id", F.expr("timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0,id * 0.25)").alias("t"))
+    orders = {"a": [desc("t"), asc("id")]}
+    got = global_ntile(df, 7, orders, Scratch(spark), small_rows=0)
+    want = global_ntile(df, 7, orders, Scratch(spark))
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_bucket_borders():
+    assert bucket_borders(10, 5) == [2, 4, 6, 8]
+    assert bucket_borders(7, 5) == [2, 4, 5, 6]
+    assert bucket_borders(3, 5) == [1, 2]
+    assert bucket_borders(1, 5) == []
+
+
+def test_no_single_task_exchange(spark):
+    df, order = frame(spark, 3000), [desc("value"), asc("key")]
+    scratch = Scratch(spark)
+    kept = scratch.keep(df)
+    for result in (
+        global_window(kept, order, scratch, "rank", {"running": "value"}, small_rows=0),
+        global_ntile(kept, 5, {"a": order, "b": [asc("value"), asc("key")]}, scratch, small_rows=0),
+    ):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan
+    assert "Exchange" not in plan, "scores come from comparisons: no shuffle of the whole table"
+
+
+def test_recomputation_does_not_move_rows(spark):
+    """The result is read again after its inputs were computed anew: ranks stay as they were."""
+    df, order = frame(spark, 2000).repartition(5), [desc("value"), asc("key")]
+    got = global_window(df, order, Scratch(spark), "rank", small_rows=0)
+    assert sorted(got.collect(), key=str) == sorted(got.collect(), key=str)
+    assert got.agg(F.countDistinct("rank"), F.max("rank")).first() == (2000, 2000)
