@@ -23,3 +23,19 @@ def stg_orders(orders: DataFrame) -> DataFrame:
 def clean_orders(orders: DataFrame) -> DataFrame:
     """Source-shaped orders after the same filter, for facts built from clean orders only."""
     return orders.where(F.col("total_amount") > 0)
+
+
+# Metadata fields of the event types, with their types.
+EVENT_FIELDS = {"page_url": "string", "device": "string", "product_id": "bigint", "quantity": "int"}
+
+
+def event_metadata(events: DataFrame, fields: dict[str, str] = EVENT_FIELDS) -> DataFrame:
+    """Events with metadata fields as columns; null where an event lacks a field or its type differs."""
+    value = F.parse_json("metadata") if dict(events.dtypes)["metadata"] == "string" else F.col("metadata")
+    return events.withColumn("_value", value).select(
+        "id",
+        "user_id",
+        "event_type",
+        "event_ts",
+        *[F.try_variant_get("_value", f"$.{name}", kind).alias(name) for name, kind in fields.items()],
+    )

@@ -51,6 +51,5 @@ class Scratch:
 
     def close(self) -> None:
         """Delete the folder. Call it once nothing reads the kept tables any more."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

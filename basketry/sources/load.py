@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,13 +38,16 @@ def raw_schema(table: Table) -> T.StructType:
     return table.text_schema.add(CORRUPT, T.StringType())
 
 
-def read_raw_csv(spark: SparkSession, path: str, table: Table, multi_line: bool = True) -> DataFrame:
+def read_raw_csv(
+    spark: SparkSession, path: str, table: Table, multi_line: bool = True, **options: str
+) -> DataFrame:
     """All columns as text. Turn ``multi_line`` off for big files without line breaks inside quotes:
     such files can then be split between tasks."""
     return (
         spark.read.schema(raw_schema(table))
         .options(**csv_options())
         .option("multiLine", str(multi_line).lower())
+        .options(**options)
         .csv(path)
     )
 
@@ -81,7 +84,9 @@ def parsed(text: Column, data_type: T.DataType) -> Column:
     return text.try_cast(data_type)
 
 
-def typed(df: DataFrame, table: Table, tokens: Sequence[str] = NULL_TOKENS) -> DataFrame:
+def typed(
+    df: DataFrame, table: Table, tokens: Sequence[str] = NULL_TOKENS, keep: Sequence[str] = ()
+) -> DataFrame:
     """Cast raw text to the table's types and note in ``_reason`` why a row does not fit.
 
     The reason is null for a good row. Casting is tried per column, not left to the reader: the
@@ -102,31 +107,66 @@ def typed(df: DataFrame, table: Table, tokens: Sequence[str] = NULL_TOKENS) -> D
         bad_columns != "", F.concat(F.lit("bad value: "), bad_columns)
     )
     raw = F.coalesce(CORRUPT, F.to_json(F.struct(*[F.col(c) for c in table.columns])))
-    return text.select(*columns, reason.alias(REASON), F.when(reason.isNotNull(), raw).alias("_raw"))
+    return text.select(*columns, *keep, reason.alias(REASON), F.when(reason.isNotNull(), raw).alias("_raw"))
 
 
-def accepted(rows: DataFrame, table: Table, run_ts: datetime) -> DataFrame:
-    return rows.where(F.col(REASON).isNull()).select(*table.columns, ntz(run_ts).alias("_loaded_at"))
+def accepted(rows: DataFrame, table: Table, run_ts: datetime, keep: Sequence[str] = ()) -> DataFrame:
+    return rows.where(F.col(REASON).isNull()).select(*table.columns, ntz(run_ts).alias("_loaded_at"), *keep)
 
 
-def rejected(rows: DataFrame, table: Table, run_ts: datetime) -> DataFrame:
+def rejected(rows: DataFrame, table: Table, run_ts: datetime, keep: Sequence[str] = ()) -> DataFrame:
     """Rows left out of staging: what they held, why they were left out, and when."""
     return rows.where(F.col(REASON).isNotNull()).select(
         F.lit(table.name).alias("table_name"),
         F.col(REASON).alias("reason"),
         F.col("_raw").alias("raw"),
         ntz(run_ts).alias("_loaded_at"),
+        *keep,
     )
 
 
+def load_typed(
+    spark: SparkSession, path: str, table: Table, tokens: Sequence[str] = NULL_TOKENS, **options
+) -> DataFrame:
+    """All rows of a raw folder, typed, with the reason why a row does not fit."""
+    return typed(read_raw(spark, path, table, **options), table, tokens)
+
+
 def load(
     spark: SparkSession, path: str, table: Table, run_ts: datetime, tokens: Sequence[str] = NULL_TOKENS, **options
 ) -> tuple[DataFrame, DataFrame]:
     """Staging rows and rejects of one raw folder. Together they are all rows of the files."""
-    rows = typed(read_raw(spark, path, table, **options), table, tokens)
+    rows = load_typed(spark, path, table, tokens, **options)
     return accepted(rows, table, run_ts), rejected(rows, table, run_ts)
 
 
+def nothing_loaded(spark: SparkSession, table: Table) -> DataFrame:
+    """Typed rows of a table that exported no file."""
+    schema = T.StructType(list(table.schema)).add(REASON, T.StringType()).add("_raw", T.StringType())
+    return spark.createDataFrame([], schema)
+
+
+def write_loaded(
+    rows: DataFrame,
+    table: Table,
+    run_ts: datetime,
+    write_good: Callable[[DataFrame], None],
+    write_bad: Callable[[DataFrame], None],
+    keep: Sequence[str] = (),
+) -> int:
+    """Write typed rows to staging and to the rejects; returns the number of rejects.
+
+    Rejects are counted while the good rows are written. Only if there are any are the files parsed
+    a second time to write them.
+    """
+    seen = Observation()
+    watched = rows.observe(seen, F.count_if(F.col(REASON).isNotNull()).alias("bad"))
+    write_good(accepted(watched, table, run_ts, keep))
+    bad = seen.get["bad"]
+    write_bad(rejected(rows if bad else rows.limit(0), table, run_ts, keep))
+    return bad
+
+
 def apply_defaults(df: DataFrame, table: Table, run_ts: datetime, fill_nulls: bool = False) -> DataFrame:
     """Add the columns an input lacks: its default, or null without one.
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from basketry.schemas import Table
 
 DAY = "ingest_date"
+REJECT_SCHEMA = "table_name string, reason string, raw string, _loaded_at timestamp_ntz"
 
 
 def staging_path(root: str, table: Table) -> str:
@@ -22,8 +23,17 @@ def append_staging(df: DataFrame, root: str, table: Table, day: date) -> None:
     df.write.mode("overwrite").parquet(f"{staging_path(root, table)}/{DAY}={day.isoformat()}")
 
 
+def rejects_path(root: str, table: Table, day: date) -> str:
+    return f"{root}/rejects/{table.name}/{DAY}={day.isoformat()}"
+
+
 def append_rejects(df: DataFrame, root: str, table: Table, day: date) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/rejects/{table.name}/{DAY}={day.isoformat()}")
+    df.write.mode("overwrite").parquet(rejects_path(root, table, day))
+
+
+def read_rejects(spark: SparkSession, root: str, table: Table, day: date) -> DataFrame:
+    """Rows a day's load left out."""
+    return spark.read.schema(REJECT_SCHEMA).parquet(rejects_path(root, table, day))
 
 
 def staging_schema(table: Table) -> T.StructType:

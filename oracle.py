@@ -192,6 +192,97 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+# The generated tables. Multipliers of the number streams, modulo the prime 2^31 - 1.
+MULTIPLIERS = (48271, 69621, 39373, 742938285, 950706376, 1226874159, 62089911, 1343714438)
+DAY = 86400
+
+
+def draw(n, key: str, stream: int) -> str:
+    return f"((({key}) % 2147483647 + {1 + stream * 101}) * {MULTIPLIERS[stream]} % 2147483647 % ({n}))"
+
+
+def choice(values: str, key: str, stream: int) -> str:
+    listed = values.split()
+    return f"({listed})[CAST({draw(len(listed), key, stream)} AS INT) + 1]"
+
+
+def ago(seconds: str) -> str:
+    return f"({RUN_TS} - to_seconds({seconds}))"
+
+
+VIEWS |= {
+    "gen_users": ((), f"""
+        SELECT c_custkey AS id, 'user_' || c_custkey || '@example.com' AS email,
+            'first_' || c_custkey % 1000 AS first_name, 'last_' || c_custkey AS last_name,
+            {choice('FRA USA DEU ESP GBR ITA CAN AUS', 'c_custkey', 0)} AS country,
+            CASE WHEN {draw(100, 'c_custkey', 1)} >= 70 THEN {choice('freemium premium enterprise', 'c_custkey', 2)}
+                ELSE 'freemium' END AS plan_type,
+            {ago(draw(730 * DAY, 'c_custkey', 3))} AS created_at,
+            CASE WHEN {draw(100, 'c_custkey', 4)} >= 30 THEN {ago(draw(30 * DAY, 'c_custkey', 5))} END AS last_login,
+            {draw(100, 'c_custkey', 6)} < 95 AS is_active
+        FROM customer"""),
+    "gen_products": ((), f"""
+        SELECT p_partkey AS id, CAST({draw(100, 'p_partkey', 0)} + 1 AS INT) AS merchant_id,
+            'product_' || p_partkey AS name, 'description of product ' || p_partkey AS description,
+            {choice('Electronics Fashion Home Books Sports Beauty Toys', 'p_partkey', 1)} AS category,
+            CAST(CAST({draw(49501, 'p_partkey', 2)} + 500 AS DECIMAL(12,2)) * 0.01::DECIMAL(3,2) AS DECIMAL(12,2)) AS price,
+            CAST({draw(1001, 'p_partkey', 3)} AS INT) AS stock_quantity,
+            {ago(draw(365 * DAY, 'p_partkey', 4))} AS created_at, {RUN_TS} AS updated_at
+        FROM part"""),
+    "goods": (("gen_products",), """
+        SELECT id AS product_id, price, row_number() OVER (ORDER BY id) - 1 AS position, COUNT(*) OVER () AS n
+        FROM gen_products"""),
+    "lines": (("goods",), f"""
+        SELECT o_orderkey AS order_id, unnest(range(least({draw(5, 'o_orderkey', 0)} + 1, n))) AS line, n
+        FROM orders, (SELECT COUNT(*) AS n FROM goods)"""),
+    "gen_order_items": (("goods", "lines"), f"""
+        SELECT order_id * 5 + line + 1 AS id, order_id, product_id,
+            CAST({draw(3, 'order_id * 5 + line', 3)} + 1 AS INT) AS quantity, price AS unit_price,
+            CAST(price * CAST({draw(3, 'order_id * 5 + line', 3)} + 1 AS INT) AS DECIMAL(12,2)) AS line_total
+        FROM lines l JOIN goods g ON g.position = ({draw('l.n', 'order_id', 1)}
+            + line * ({draw('greatest(1, (l.n - 1) // 5)', 'order_id', 2)} + 1)) % l.n"""),
+    "buyers": (("gen_users",), """
+        SELECT id AS user_id, country, row_number() OVER (ORDER BY id) - 1 AS position
+        FROM gen_users WHERE is_active"""),
+    "gen_orders": (("buyers", "gen_order_items"), f"""
+        SELECT o_orderkey AS id, user_id, {ago(draw(180 * DAY, 'o_orderkey', 3))} AS created_at,
+            (SELECT CAST(SUM(line_total) AS DECIMAL(12,2)) FROM gen_order_items i WHERE i.order_id = o_orderkey)
+                AS total_amount,
+            CASE WHEN {draw(100, 'o_orderkey', 5)} >= 95 THEN 'cancelled'
+                WHEN {draw(100, 'o_orderkey', 5)} >= 70 THEN 'delivered'
+                WHEN {draw(100, 'o_orderkey', 5)} >= 45 THEN 'shipped'
+                WHEN {draw(100, 'o_orderkey', 5)} >= 5 THEN 'paid' ELSE 'pending' END AS status,
+            country, {choice('stripe paypal credit_card', 'o_orderkey', 6)} AS payment_method
+        FROM orders JOIN buyers
+            ON position = {draw('(SELECT COUNT(*) FROM buyers)', 'o_orderkey', 4)}"""),
+    "visitors": (("gen_users",), """
+        SELECT id AS visitor, row_number() OVER (ORDER BY id) - 1 AS position FROM gen_users
+        QUALIFY position < 500"""),
+    "gen_events": (("visitors",), f"""
+        SELECT event_id AS id, visitor AS user_id, kind AS event_type,
+            {ago(draw(90 * DAY, 'event_id', 7))} AS event_ts,
+            CASE kind WHEN 'page_view' THEN '{{"page_url":"/page/' || {draw(1000, 'event_id', 3)} || '","device":"'
+                    || {choice('mobile desktop tablet', 'event_id', 4)} || '"}}'
+                WHEN 'add_to_cart' THEN '{{"product_id":' || {draw(200, 'event_id', 5)} + 1 || ',"quantity":'
+                    || {draw(3, 'event_id', 6)} + 1 || '}}'
+                ELSE '{{}}' END AS metadata
+        FROM (SELECT event_id, {choice('page_view add_to_cart checkout_start purchase error', 'event_id', 2)} AS kind,
+                CASE WHEN {draw(100, 'event_id', 0)} >= 10
+                    THEN {draw('(SELECT COUNT(*) FROM visitors)', 'event_id', 1)} END AS pick
+            FROM events) LEFT JOIN visitors ON position = pick"""),
+    "gen_crm_contacts": ((), f"""
+        SELECT s_suppkey AS id, 'contact_' || s_suppkey || '@example.com' AS email,
+            'first_' || s_suppkey % 1000 AS first_name, 'last_' || s_suppkey AS last_name,
+            {choice('organic paid_ads referral email_campaign', 's_suppkey', 0)} AS source,
+            'CAMP_' || {draw(9000, 's_suppkey', 1)} + 1000 AS campaign_id,
+            {ago(draw(365 * DAY, 's_suppkey', 2))} AS created_at,
+            {draw(100, 's_suppkey', 3)} < 40 AS converted,
+            CASE WHEN {draw(100, 's_suppkey', 3)} < 40
+                THEN {ago(draw(draw(365 * DAY, 's_suppkey', 2) + ' + 1', 's_suppkey', 4))} END AS converted_at
+        FROM supplier"""),
+}
+
+
 def _with(names, seen: dict[str, str]) -> dict[str, str]:
     for name in names:
         if name not in seen:

@@ -9,10 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle
+from basketry import schemas
+from basketry.functions.columns import stamp
+from basketry.operators import checks
 from basketry.params import Params
-from basketry.plans import core, marts, staging
+from basketry.plans import core, marts, pipeline, staging, verify
 from basketry.scratch import Scratch
+from basketry.sources import generate, load, raw, snapshot
+from basketry.sources import staging as sources_staging
 from basketry.sources.sales_tables import SalesTables
+from basketry.streaming import ingest
 
 PARAMS = Params(as_of=date(2001, 8, 1), run_ts=datetime(2001, 8, 1, 2, 0), start_date=date(1996, 1, 1))
 
@@ -26,8 +32,6 @@ class Shop:
         self.scratch = Scratch(spark)
 
     def stg_orders(self) -> DataFrame:
-        from basketry.functions.columns import stamp
-
         return staging.stg_orders(stamp(self.tables["orders"], self.params.run_ts))
 
     def customer_order_agg(self) -> DataFrame:
@@ -68,6 +72,34 @@ class Shop:
         metrics = self.scratch.keep(self.product_metrics(), "product_metrics")
         return marts.ranked_products(metrics, self.params, self.scratch)
 
+    def loaded(self, name: str) -> tuple[DataFrame, DataFrame]:
+        """Good rows and rejects of a table that went through its raw files."""
+        table = schemas.TABLES[name]
+        path = raw.write_raw(self.tables[name], self.scratch.path("export"), table, DAY_1)
+        return load.load(self.spark, path, table, self.params.run_ts)
+
+    def ids(self, table: str, key: str) -> DataFrame:
+        return self.tables.read(table).select(F.col(key).alias("id"))
+
+    def models(self, root: str | None = None) -> dict[str, DataFrame]:
+        """All models, written to tables."""
+        staged = {**self.tables.as_dict(), "orders": stamp(self.tables["orders"], self.params.run_ts)}
+        root = root or self.scratch.path("warehouse")
+        return pipeline.build_models(self.spark, staged, root, self.params, self.scratch)
+
+    def two_snapshots(self) -> tuple[DataFrame, DataFrame]:
+        """Orders on two days: all still pending, then with their state and without cancelled ones."""
+        orders = self.tables["orders"]
+        return orders.withColumn("status", F.lit("pending")), orders.where("status <> 'cancelled'")
+
+    def two_days(self) -> DataFrame:
+        """Both snapshots in staging, the second loaded twice."""
+        root = self.scratch.path("staging")
+        first, second = self.two_snapshots()
+        for day, df in ((DAY_1, first), (DAY_2, second), (DAY_2, second)):
+            sources_staging.append_staging(stamp(df, self.params.run_ts), root, schemas.ORDERS, day)
+        return sources_staging.read_staging(self.spark, root, schemas.ORDERS)
+
     def mart_product_performance(self) -> DataFrame:
         return marts.mart_product_performance(
             self.fact_orders(), self.dim_products(), self.params, self.scratch
@@ -141,3 +173,505 @@ def abc_class(shop: Shop) -> DataFrame:
     return marts.abc_classes(shop.ranked_products()).select(
         "product_key", "revenue_rank", "cumulative_revenue_pct", "abc_class", "performance_tier"
     )
+
+
+# --- scans, export and load -------------------------------------------------------------------
+
+DAY_1, DAY_2 = date(2001, 7, 31), date(2001, 8, 1)
+ORACLE_TABLES = {
+    "users": "users", "products": "products", "orders": "shop_orders", "order_items": "order_items",
+    "crm_contacts": "crm_contacts", "events": "shop_events",
+}
+
+for _name in ("users", "products", "orders", "order_items", "crm_contacts"):
+    query(
+        "scan_snapshot" if _name == "orders" else f"scan_snapshot_{_name}", oracle.view(ORACLE_TABLES[_name])
+    )(lambda shop, name=_name: shop.tables[name])
+    query(
+        f"load_csv_{_name}",
+        oracle.view(ORACLE_TABLES[_name], f"*, {oracle.RUN_TS} AS _loaded_at"),
+    )(lambda shop, name=_name: shop.loaded(name)[0])
+
+
+@query("scan_events", oracle.view("shop_events", "id, user_id, event_type, event_ts, metadata"))
+def scan_events(shop: Shop) -> DataFrame:
+    return snapshot.scan_events(shop.tables["events"])
+
+
+@query(
+    "export_csv_roundtrip",
+    oracle.view(
+        "shop_orders",
+        """CAST(id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id,
+        strftime(created_at, '%Y-%m-%d %H:%M:%S.%f') AS created_at, CAST(total_amount AS VARCHAR) AS total_amount,
+        status, country, payment_method""",
+    ),
+)
+def export_csv_roundtrip(shop: Shop) -> DataFrame:
+    """The orders' files as they are on disk, after the day was exported twice."""
+    root = shop.scratch.path("export")
+    raw.write_raw(shop.tables["orders"], root, schemas.ORDERS, DAY_1)
+    path = raw.write_raw(shop.tables["orders"], root, schemas.ORDERS, DAY_1)
+    return load.read_raw_csv(shop.spark, path, schemas.ORDERS).drop(load.CORRUPT)
+
+
+@query(
+    "export_json_roundtrip",
+    oracle.view(
+        "shop_events",
+        """CAST(id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id, event_type,
+        strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%f') AS event_ts, replace(metadata, ' ', '') AS metadata""",
+    ),
+)
+def export_json_roundtrip(shop: Shop) -> DataFrame:
+    path = raw.write_raw(shop.tables["events"], shop.scratch.path("export"), schemas.EVENTS, DAY_1)
+    rows = load.read_raw_json(shop.spark, path, schemas.EVENTS).drop(load.CORRUPT)
+    return rows.withColumn("metadata", F.to_json("metadata"))
+
+
+@query(
+    "export_skip_empty",
+    oracle.sql(
+        """SELECT 'all' AS part, COUNT(*) > 0 AS exported FROM shop_orders
+        UNION ALL SELECT 'negative', COUNT(*) > 0 FROM shop_orders WHERE total_amount < 0""",
+        "shop_orders",
+    ),
+)
+def export_skip_empty(shop: Shop) -> DataFrame:
+    """Whether an export wrote a folder; no order has a negative amount."""
+    orders = shop.tables["orders"]
+    parts = {"all": orders, "negative": orders.where("total_amount < 0")}
+    written = [
+        (part, raw.write_raw(df, shop.scratch.path(part), schemas.ORDERS, DAY_1) is not None)
+        for part, df in parts.items()
+    ]
+    return shop.spark.createDataFrame(written, "part string, exported boolean")
+
+
+@query(
+    "load_null_tokens",
+    oracle.view(
+        "users",
+        f"""id, email, CASE WHEN plan_type IS NOT NULL THEN first_name END AS first_name, last_name, country,
+        plan_type, created_at, last_login, is_active, {oracle.RUN_TS} AS _loaded_at""",
+    ),
+)
+def load_null_tokens(shop: Shop) -> DataFrame:
+    """Users written with three spellings of null, and loaded with all three as null tokens."""
+    users = shop.tables["users"]
+    text = users.select([F.col(c).cast("string").alias(c) for c in users.columns]).withColumns(
+        {
+            "first_name": F.when(F.col("plan_type").isNull(), "null").otherwise(F.col("first_name")),
+            "plan_type": F.coalesce("plan_type", F.lit("NULL")),
+            "last_login": F.coalesce("last_login", F.lit("")),
+        }
+    )
+    path = shop.scratch.path("tokens")
+    raw.write_csv(text, path)
+    good, _ = load.load(shop.spark, path, schemas.USERS, shop.params.run_ts, load.NULL_TOKENS_WIDE)
+    return good
+
+
+@query(
+    "load_rejects",
+    oracle.sql(
+        f"""SELECT 'orders' AS table_name, CASE WHEN total_amount = 0 THEN 'malformed record'
+            WHEN status = 'pending' THEN 'bad value: created_at,total_amount'
+            WHEN status = 'cancelled' THEN 'bad value: total_amount' ELSE 'accepted' END AS reason,
+            CASE WHEN total_amount = 0 THEN id || ',' || user_id
+            WHEN status IN ('pending', 'cancelled') THEN '{{"id":"' || id || '","user_id":"' || user_id
+                || '","created_at":"' || CASE status WHEN 'pending' THEN 'soon'
+                    ELSE strftime(created_at, '%Y-%m-%d %H:%M:%S') END
+                || '","total_amount":"n/a","status":"' || status || '","country":"' || country
+                || '","payment_method":"' || payment_method || '"}}'
+            ELSE CAST(id AS VARCHAR) END AS raw, {oracle.RUN_TS} AS _loaded_at
+        FROM shop_orders""",
+        "shop_orders",
+    ),
+)
+def load_rejects(shop: Shop) -> DataFrame:
+    """All orders as lines, some short and some with texts that are no number or time."""
+    o = shop.tables["orders"]
+    pending = F.col("status") == "pending"
+    bad_amount = pending | (F.col("status") == "cancelled")
+    full = F.concat_ws(
+        ",",
+        "id",
+        "user_id",
+        F.when(pending, "soon").otherwise(F.col("created_at").cast("string")),
+        F.when(bad_amount, "n/a").otherwise(F.col("total_amount").cast("string")),
+        "status",
+        "country",
+        "payment_method",
+    )
+    line = F.when(F.col("total_amount") == 0, F.concat_ws(",", "id", "user_id")).otherwise(full)
+    path = shop.scratch.path("lines")
+    o.select(line.alias("line")).write.text(path)
+    rows = load.typed(load.read_raw_csv(shop.spark, path, schemas.ORDERS, header="false"), schemas.ORDERS)
+    good = load.accepted(rows, schemas.ORDERS, shop.params.run_ts)
+    bad = load.rejected(rows, schemas.ORDERS, shop.params.run_ts)
+    return bad.unionByName(
+        good.select(
+            F.lit("orders").alias("table_name"),
+            F.lit("accepted").alias("reason"),
+            F.col("id").cast("string").alias("raw"),
+            "_loaded_at",
+        )
+    )
+
+
+@query(
+    "load_json_events",
+    oracle.view(
+        "shop_events",
+        f"id, user_id, event_type, event_ts, replace(metadata, ' ', '') AS metadata, {oracle.RUN_TS} AS _loaded_at",
+    ),
+)
+def load_json_events(shop: Shop) -> DataFrame:
+    return shop.loaded("events")[0].withColumn("metadata", F.to_json("metadata"))
+
+
+@query("load_stamp", oracle.view("order_items", f"*, {oracle.RUN_TS} AS _loaded_at"))
+def load_stamp(shop: Shop) -> DataFrame:
+    return stamp(shop.tables["order_items"], shop.params.run_ts)
+
+
+_TWO_DAYS = """SELECT id, user_id, created_at, total_amount, 'pending' AS status, country, payment_method,
+        DATE '2001-07-31' AS ingest_date FROM shop_orders
+    UNION ALL SELECT id, user_id, created_at, total_amount, status, country, payment_method,
+        DATE '2001-08-01' FROM shop_orders WHERE status <> 'cancelled'"""
+
+
+@query("load_append", oracle.sql(f"SELECT *, {oracle.RUN_TS} AS _loaded_at FROM ({_TWO_DAYS})", "shop_orders"))
+def load_append(shop: Shop) -> DataFrame:
+    return shop.two_days()
+
+
+@query(
+    "latest_snapshot",
+    oracle.sql(
+        f"""SELECT id, user_id, created_at, total_amount,
+            CASE status WHEN 'cancelled' THEN 'pending' ELSE status END AS status, country, payment_method,
+            CASE status WHEN 'cancelled' THEN DATE '2001-07-31' ELSE DATE '2001-08-01' END AS ingest_date,
+            {oracle.RUN_TS} AS _loaded_at
+        FROM shop_orders""",
+        "shop_orders",
+    ),
+)
+def latest_snapshot(shop: Shop) -> DataFrame:
+    """Orders as last seen: cancelled ones were only in the first day's snapshot."""
+    return sources_staging.latest_snapshot(shop.two_days())
+
+
+@query("ingest_incremental", oracle.sql(f"SELECT *, {oracle.RUN_TS} AS _loaded_at FROM ({_TWO_DAYS})", "shop_orders"))
+def ingest_incremental(shop: Shop) -> DataFrame:
+    """Three runs over the raw folder: after the first day, with nothing new, after the second day."""
+    root, target = shop.scratch.path("raw"), shop.scratch.path("target")
+    first, second = shop.two_snapshots()
+    for day, snapshot_of_day in ((DAY_1, first), (None, None), (DAY_2, second)):
+        if day:
+            raw.write_raw(snapshot_of_day, root, schemas.ORDERS, day)
+        ingest.ingest(shop.spark, root, schemas.ORDERS, target, shop.params.run_ts)
+    return ingest.read_ingested(shop.spark, target, schemas.ORDERS)
+
+
+@query(
+    "apply_defaults",
+    oracle.view(
+        "shop_orders",
+        f"""id, user_id, {oracle.RUN_TS} AS created_at, total_amount, 'pending' AS status, country,
+        payment_method""",
+    ),
+)
+def apply_defaults(shop: Shop) -> DataFrame:
+    """Orders that arrive without status and time."""
+    return load.apply_defaults(shop.tables["orders"].drop("status", "created_at"), schemas.ORDERS, shop.params.run_ts)
+
+
+@query(
+    "apply_defaults_to_nulls",
+    oracle.view(
+        "users",
+        f"""id, email, first_name, last_name, country, ifnull(plan_type, 'freemium') AS plan_type,
+        ifnull(created_at, {oracle.RUN_TS}) AS created_at, last_login, is_active""",
+    ),
+)
+def apply_defaults_to_nulls(shop: Shop) -> DataFrame:
+    return load.apply_defaults(shop.tables["users"], schemas.USERS, shop.params.run_ts, fill_nulls=True)
+
+
+@query(
+    "event_metadata",
+    oracle.view(
+        "shop_events",
+        """id, user_id, event_type, event_ts, CAST(regexp_extract(metadata, '"k": *([0-9]+)', 1) AS BIGINT) AS k,
+        CAST(NULL AS VARCHAR) AS device""",
+    ),
+)
+def event_metadata(shop: Shop) -> DataFrame:
+    return staging.event_metadata(shop.tables["events"], {"k": "bigint", "device": "string"})
+
+
+# --- checks and verification ------------------------------------------------------------------
+
+CONSTRAINTS = checks.constraint_checks()
+
+
+def _check_sql(listed, tables: dict[str, str]) -> str:
+    """Each check as its own count over the shop's tables."""
+    parts = []
+    for c in listed:
+        t = tables[c.table]
+        if c.kind == "not_null":
+            failures = f"SELECT COUNT(*) FROM {t} WHERE {c.column} IS NULL"
+        elif c.kind == "unique":
+            failures = f"SELECT COUNT(*) FROM (SELECT {c.column} FROM {t} WHERE {c.column} IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"
+        else:
+            parent, column = c.parent
+            failures = (
+                f"SELECT COUNT(*) FROM {t} x WHERE x.{c.column} IS NOT NULL "
+                f"AND NOT EXISTS (SELECT 1 FROM {tables[parent]} y WHERE y.{column} = x.{c.column})"
+            )
+        parts.append(
+            f"SELECT '{c.kind}' AS test, '{c.table}' AS table_name, '{c.column}' AS column_name, ({failures}) AS failures"
+        )
+    listed_sql = " UNION ALL ".join(parts)
+    return f"""SELECT test, table_name, column_name, CAST(failures AS BIGINT) AS failures, 'warn' AS severity,
+        CASE WHEN failures > 0 THEN 'warn' ELSE 'pass' END AS status FROM ({listed_sql})"""
+
+
+def _of_kind(kind: str, listed=checks.STAGING_CHECKS):
+    return tuple(c for c in listed if c.kind == kind)
+
+
+for _name, _listed in {
+    "check_unique": _of_kind("unique"),
+    "check_not_null": _of_kind("not_null"),
+    "check_relationships": _of_kind("relationships"),
+    "check_report": checks.STAGING_CHECKS,
+    "check_foreign_keys": _of_kind("relationships", CONSTRAINTS),
+    "check_constraints": CONSTRAINTS,
+}.items():
+    query(_name, oracle.sql(_check_sql(_listed, ORACLE_TABLES), *ORACLE_TABLES.values()))(
+        lambda shop, listed=_listed: checks.report(shop.tables, listed)
+    )
+
+
+def with_faults(shop: Shop) -> dict[str, DataFrame]:
+    """The source tables with keys repeated, missing and leading nowhere."""
+    t = shop.tables.as_dict()
+    t["users"] = t["users"].withColumns(
+        {"email": F.when(F.col("plan_type").isNotNull(), F.col("first_name")), "id": F.col("id") * 2}
+    )
+    t["orders"] = t["orders"].withColumns(
+        {"id": F.floor(F.col("id") / 3) * 3, "user_id": F.when(F.col("country") != "usa", F.col("user_id"))}
+    )
+    return t
+
+
+@query(
+    "check_report_with_faults",
+    oracle.sql(
+        f"""SELECT * FROM (WITH u AS (SELECT id * 2 AS id, CASE WHEN plan_type IS NOT NULL THEN first_name END AS email
+                FROM users),
+            o AS (SELECT id // 3 * 3 AS id, CASE WHEN country <> 'usa' THEN user_id END AS user_id FROM shop_orders)
+        {_check_sql(checks.STAGING_CHECKS, {**ORACLE_TABLES, "users": "u", "orders": "o"})})""",
+        *ORACLE_TABLES.values(),
+    ),
+)
+def check_report_with_faults(shop: Shop) -> DataFrame:
+    return checks.report(with_faults(shop))
+
+
+def _count_sql(views: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {v}" for n, v in views.items())
+
+
+_STAGING_VIEWS = {f"stg_{n}": ORACLE_TABLES[n] for n in verify.STAGING_WITH_EVENTS}
+_MODEL_VIEWS = {m.name: m.name for m in pipeline.MODELS if not m.view}
+_STG_ORDERS = "(SELECT 1 FROM shop_orders WHERE total_amount > 0)"
+
+query("row_counts", oracle.sql(_count_sql(_STAGING_VIEWS), *_STAGING_VIEWS.values()))(
+    lambda shop: verify.staging_counts(shop.tables)
+)
+
+_OBSERVED = {
+    n: {"stg_users": "users", "stg_orders": "shop_orders"}.get(n, n) for n in verify.MUST_NOT_BE_EMPTY
+}
+
+
+@query(
+    "check_non_empty",
+    oracle.sql(f"SELECT *, row_count = 0 AS is_empty FROM ({_count_sql(_OBSERVED)})", *_OBSERVED.values()),
+)
+def check_non_empty(shop: Shop) -> DataFrame:
+    models = shop.models()
+    staged = {"stg_users": shop.tables["users"], "stg_orders": shop.tables["orders"]}
+    return verify.non_empty({n: staged[n] if n in staged else models[n] for n in verify.MUST_NOT_BE_EMPTY})
+
+
+@query(
+    "materialize_layer",
+    oracle.sql(_count_sql({**_MODEL_VIEWS, "stg_orders": _STG_ORDERS}), "shop_orders", *_MODEL_VIEWS),
+)
+def materialize_layer(shop: Shop) -> DataFrame:
+    """Rows of all models after they were built twice into the same place and read back."""
+    root = shop.scratch.path("warehouse")
+    shop.models(root)
+    return verify.row_counts(shop.models(root))
+
+
+_CORE_SUMMARY = """SELECT 'dim_customers' AS table_name, COUNT(*) AS total_rows,
+        COUNT(DISTINCT customer_key) AS unique_customers, COUNT(DISTINCT country_code) AS countries,
+        NULL::BIGINT AS unique_products, NULL::BIGINT AS categories, NULL::BIGINT AS unique_orders,
+        NULL::DECIMAL(38,2) AS total_revenue FROM dim_customers
+    UNION ALL SELECT 'dim_products', COUNT(*), NULL, NULL, COUNT(DISTINCT product_key),
+        COUNT(DISTINCT product_category), NULL, NULL FROM dim_products
+    UNION ALL SELECT 'fact_orders', COUNT(*), NULL, NULL, NULL, NULL, COUNT(DISTINCT order_key),
+        CAST(SUM(line_revenue) AS DECIMAL(38,2)) FROM fact_orders"""
+_MART_SUMMARY = """SELECT 'mart_sales_overview' AS table_name, COUNT(*) AS total_rows,
+        CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS grand_total_revenue,
+        CAST(SUM(total_orders) AS BIGINT) AS grand_total_orders, NULL::DOUBLE AS avg_ltv,
+        NULL::BIGINT AS rfm_segments, NULL::DECIMAL(38,2) AS total_product_revenue, NULL::BIGINT AS abc_classes
+        FROM mart_sales_overview
+    UNION ALL SELECT 'mart_customer_ltv', COUNT(*), NULL, NULL,
+        CAST(SUM(lifetime_value) AS DOUBLE) / COUNT(lifetime_value), COUNT(DISTINCT rfm_segment), NULL, NULL
+        FROM mart_customer_ltv
+    UNION ALL SELECT 'mart_product_performance', COUNT(*), NULL, NULL, NULL, NULL,
+        CAST(SUM(total_revenue) AS DECIMAL(38,2)), COUNT(DISTINCT abc_class) FROM mart_product_performance"""
+_CORE = ("dim_customers", "dim_products", "fact_orders")
+_MARTS = ("mart_sales_overview", "mart_customer_ltv", "mart_product_performance")
+
+
+def _long_sql(section: str, body: str, measures: list[str]) -> str:
+    casts = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in measures)
+    return f"""SELECT '{section}' AS section, table_name, metric, value FROM (
+        UNPIVOT (SELECT table_name, {casts} FROM ({body})) ON {", ".join(measures)} INTO NAME metric VALUE value)"""
+
+
+_VERIFY_SQL = " UNION ALL ".join(
+    [
+        _long_sql(
+            "STAGING TABLES",
+            _count_sql({n: v for n, v in _STAGING_VIEWS.items() if n != "stg_events"}),
+            ["row_count"],
+        ),
+        _long_sql(
+            "CORE TABLES",
+            _CORE_SUMMARY,
+            "total_rows unique_customers countries unique_products categories unique_orders total_revenue".split(),
+        ),
+        _long_sql(
+            "DATA MARTS",
+            _MART_SUMMARY,
+            "total_rows grand_total_revenue grand_total_orders avg_ltv rfm_segments total_product_revenue "
+            "abc_classes".split(),
+        ),
+    ]
+)
+
+
+@query("verify_core", oracle.sql(_CORE_SUMMARY, *_CORE))
+def verify_core(shop: Shop) -> DataFrame:
+    return verify.core_summary(shop.dim_customers(), shop.dim_products(), shop.fact_orders())
+
+
+@query("verify_marts", oracle.sql(_MART_SUMMARY, *_MARTS))
+def verify_marts(shop: Shop) -> DataFrame:
+    m = shop.models()
+    return verify.mart_summary(*[m[n] for n in _MARTS])
+
+
+@query("verify_report", oracle.sql(_VERIFY_SQL, *_STAGING_VIEWS.values(), *_CORE, *_MARTS))
+def verify_report(shop: Shop) -> DataFrame:
+    return verify.verify_report(shop.tables, shop.models())
+
+
+@query(
+    "sales_by_country",
+    oracle.sql(
+        """SELECT country_code, CAST(SUM(total_orders) AS BIGINT) AS orders,
+            CAST(SUM(total_revenue) AS DECIMAL(32,2)) AS revenue FROM mart_sales_overview GROUP BY country_code""",
+        "mart_sales_overview",
+    ),
+)
+def sales_by_country(shop: Shop) -> DataFrame:
+    return verify.sales_by_country(shop.mart_sales_overview())
+
+
+@query(
+    "top_customers",
+    oracle.sql(
+        """SELECT full_name, email, lifetime_value, rfm_segment, churn_risk FROM mart_customer_ltv
+        ORDER BY lifetime_value DESC NULLS FIRST, customer_key LIMIT 5""",
+        "mart_customer_ltv",
+    ),
+)
+def top_customers(shop: Shop) -> DataFrame:
+    return verify.top_customers(shop.mart_customer_ltv())
+
+
+@query(
+    "top_products",
+    oracle.sql(
+        """SELECT product_name, product_category, total_revenue, abc_class, revenue_rank
+        FROM mart_product_performance WHERE revenue_rank <= 5""",
+        "mart_product_performance",
+    ),
+)
+def top_products(shop: Shop) -> DataFrame:
+    return verify.top_products(shop.mart_product_performance())
+
+
+_RUN_SQL = f"""{_VERIFY_SQL}
+    UNION ALL SELECT 'REJECTS', t, 'rejected_rows', 0.0::DOUBLE
+        FROM (SELECT unnest({list(ORACLE_TABLES)}) AS t)
+    UNION ALL SELECT 'CHECKS', table_name, test || ' ' || column_name, CAST(failures AS DOUBLE)
+        FROM ({_check_sql(checks.STAGING_CHECKS, ORACLE_TABLES)})
+    UNION ALL SELECT 'EMPTY TABLES', table_name, 'is_empty', CAST(row_count = 0 AS DOUBLE)
+        FROM ({_count_sql(_OBSERVED)})"""
+
+
+@query("pipeline_end_to_end", oracle.sql(_RUN_SQL, *_STAGING_VIEWS.values(), *_CORE, *_MARTS))
+def pipeline_end_to_end(shop: Shop) -> DataFrame:
+    """The report of a day's run from source tables through files and staging to marts."""
+    return pipeline.run_pipeline(
+        shop.spark, shop.tables.as_dict(), shop.scratch.path("run"), DAY_2, shop.params
+    )
+
+
+# --- generated tables -------------------------------------------------------------------------
+# Their ids come from the given tables, so their size follows them.
+
+
+@query("gen_users", oracle.view("gen_users"))
+def gen_users(shop: Shop) -> DataFrame:
+    return generate.generate_users(shop.ids("customer", "c_custkey"), shop.params.run_ts)
+
+
+@query("gen_products", oracle.view("gen_products"))
+def gen_products(shop: Shop) -> DataFrame:
+    return generate.generate_products(shop.ids("part", "p_partkey"), shop.params.run_ts)
+
+
+@query("gen_order_items", oracle.view("gen_order_items"))
+def gen_order_items(shop: Shop) -> DataFrame:
+    return generate.generate_order_items(shop.ids("orders", "o_orderkey"), gen_products(shop), shop.scratch)
+
+
+@query("gen_orders", oracle.view("gen_orders"))
+def gen_orders(shop: Shop) -> DataFrame:
+    ids = shop.ids("orders", "o_orderkey")
+    return generate.generate_orders(ids, gen_users(shop), gen_order_items(shop), shop.params.run_ts, shop.scratch)
+
+
+@query("gen_events", oracle.view("gen_events"))
+def gen_events(shop: Shop) -> DataFrame:
+    return generate.generate_events(
+        shop.ids("events", "event_id"), gen_users(shop), shop.params.run_ts, shop.scratch
+    )
+
+
+@query("gen_crm_contacts", oracle.view("gen_crm_contacts"))
+def gen_crm_contacts(shop: Shop) -> DataFrame:
+    return generate.generate_crm_contacts(shop.ids("supplier", "s_suppkey"), shop.params.run_ts)
