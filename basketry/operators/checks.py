@@ -69,10 +69,13 @@ def duplicate_failures(df: DataFrame, column: str) -> DataFrame:
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """(value, rows): references that lead nowhere.
 
-    Child rows are counted per value first, so a value with very many rows reaches the join once.
+    Both sides are reduced to one row per value before the join, so a value with very many rows
+    reaches it once. The join finds them partitioned by that value already.
     """
-    used = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-    return used.join(parent.select(F.col(parent_column).alias("value")), "value", "left_anti")
+    value = F.col(column).alias("value")
+    used = child.where(F.col(column).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("rows"))
+    known = parent.select(F.col(parent_column).alias("value")).distinct()
+    return used.join(known, "value", "left_anti")
 
 
 def orphan_failures(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 from functools import partial
+from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +75,15 @@ MODELS = (
 )
 
 
+JOBS_AT_ONCE = 4
+
+
+def together(job: Callable, items: Iterable) -> list:
+    """Run a job per item, a few at a time: small tables do not wait for big ones to end."""
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        return list(pool.map(job, items))
+
+
 def as_table(df: DataFrame, path: str) -> DataFrame:
     """Replace a table as a whole and return the written one."""
     df.write.mode("overwrite").parquet(path)
@@ -93,11 +104,19 @@ def build_models(
     scratch: Scratch,
     models: Sequence[Model] = MODELS,
 ) -> dict[str, DataFrame]:
-    """Build all models on staged tables; tables go to ``root/<layer>/<name>``."""
+    """Build all models on staged tables; tables go to ``root/<layer>/<name>``.
+
+    Models of one layer read other layers only, so they are built side by side.
+    """
     b = Build(spark, tables, params, scratch)
-    for m in models:
+
+    def build(m: Model) -> DataFrame:
         df = m.build(b)
-        b.models[m.name] = as_view(df, m.name) if m.view else as_table(df, f"{root}/{m.layer}/{m.name}")
+        return as_view(df, m.name) if m.view else as_table(df, f"{root}/{m.layer}/{m.name}")
+
+    for _, layer in groupby(models, key=lambda m: m.layer):
+        members = list(layer)
+        b.models.update(zip([m.name for m in members], together(build, members)))
     return b.models
 
 
@@ -108,8 +127,9 @@ def export_and_load(
 
     A table without rows exports no file and stages no rows.
     """
-    staged = {}
-    for name, table in TABLES.items():
+
+    def stage(name: str) -> DataFrame:
+        table = TABLES[name]
         path = write_raw(source[name], root, table, day)
         rows = nothing_loaded(spark, table) if path is None else load_typed(spark, path, table)
         write_loaded(
@@ -119,8 +139,9 @@ def export_and_load(
             partial(append_staging, root=root, table=table, day=day),
             partial(append_rejects, root=root, table=table, day=day),
         )
-        staged[name] = read_staging(spark, root, table, day)
-    return staged
+        return read_staging(spark, root, table, day)
+
+    return dict(zip(TABLES, together(stage, TABLES)))
 
 
 REPORT_SECTIONS = ("REJECTS", "CHECKS", "EMPTY TABLES")

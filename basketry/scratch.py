@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 
@@ -37,11 +38,10 @@ class Scratch:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = f"{(root or shared_folder(spark)).rstrip('/')}/scratch-{uuid.uuid4().hex}"
-        self._n = 0
+        self._numbers = itertools.count(1)
 
     def path(self, name: str) -> str:
-        self._n += 1
-        return f"{self.root}/{self._n:03d}-{name}"
+        return f"{self.root}/{next(self._numbers):03d}-{name}"
 
     def keep(self, df: DataFrame, name: str = "table") -> DataFrame:
         """Write ``df`` once and return the written table."""
