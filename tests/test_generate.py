@@ -1,0 +1,143 @@
+"""Generated tables: domains, shares, keys and sums."""
+
+from __future__ import annotations
+
+import frames as t
+import pytest
+from pyspark.sql import functions as F
+
+from basketry import schemas
+from basketry.operators import checks
+from basketry.scratch import Scratch
+from basketry.sources import generate as g
+
+N = 5000
+
+
+@pytest.fixture(scope="module")
+def shop(spark):
+    scratch = Scratch(spark)
+    users = g.generate_users(g.id_range(spark, N), t.RUN_TS)
+    products = g.generate_products(g.id_range(spark, 200), t.RUN_TS)
+    items = g.generate_order_items(g.id_range(spark, N), products, scratch)
+    return {
+        "users": users,
+        "products": products,
+        "order_items": scratch.keep(items),
+        "orders": scratch.keep(g.generate_orders(g.id_range(spark, N), users, items, t.RUN_TS, scratch)),
+        "events": g.generate_events(g.id_range(spark, N), users, t.RUN_TS, scratch),
+        "crm_contacts": g.generate_crm_contacts(g.id_range(spark, N), t.RUN_TS),
+    }
+
+
+def share(df, condition):
+    return df.agg(F.avg(F.expr(f"cast({condition} as int)"))).first()[0]
+
+
+def values(df, column):
+    return {r[0] for r in df.select(column).distinct().collect()}
+
+
+def test_columns_fit_the_schema(shop):
+    for name, table in schemas.TABLES.items():
+        wanted = {c: ("string" if k == "variant" else None) for c, k in table.columns.items()}
+        assert shop[name].columns == list(table.columns)
+        for f in table.schema:
+            got = dict(shop[name].dtypes)[f.name]
+            assert got == (wanted[f.name] or f.dataType.simpleString()), (name, f.name)
+
+
+def test_constraints_hold(shop):
+    assert checks.report(shop, checks.constraint_checks()).where("failures > 0").count() == 0
+
+
+def test_users(shop):
+    u = shop["users"]
+    assert u.count() == N
+    assert values(u, "country") == set(schemas.COUNTRIES)
+    assert values(u, "plan_type") == set(schemas.PLAN_TYPES)
+    assert share(u, "plan_type = 'freemium'") == pytest.approx(0.8, abs=0.03)
+    assert share(u, "last_login is null") == pytest.approx(0.3, abs=0.03)
+    assert share(u, "is_active") == pytest.approx(0.95, abs=0.02)
+    oldest, newest = u.agg(F.min("created_at"), F.max("created_at")).first()
+    assert newest <= t.RUN_TS and 700 < (t.RUN_TS - oldest).days <= 730
+
+
+def test_products(shop):
+    p = shop["products"]
+    low, high, stock, m1, m2 = p.agg(
+        F.min("price"), F.max("price"), F.max("stock_quantity"), F.min("merchant_id"), F.max("merchant_id")
+    ).first()
+    assert 5 <= low and high <= 500 and stock <= 1000 and 1 <= m1 <= m2 <= 100
+    assert values(p, "category") == set(schemas.CATEGORIES)
+
+
+def test_order_items(shop):
+    i = shop["order_items"]
+    per_order = i.groupBy("order_id").agg(F.count("*").alias("n"), F.countDistinct("product_id").alias("d"))
+    assert per_order.where("n <> d").count() == 0, "products of an order differ"
+    assert values(per_order, "n") == {1, 2, 3, 4, 5}
+    assert per_order.count() == N
+    assert values(i, "quantity") == {1, 2, 3}
+    assert i.where("line_total <> quantity * unit_price").count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 5, 6, 7, 11])
+def test_order_items_of_few_products(spark, n):
+    products = g.generate_products(g.id_range(spark, n), t.RUN_TS)
+    i = g.generate_order_items(g.id_range(spark, 200), products, Scratch(spark))
+    per_order = i.groupBy("order_id").agg(F.count("*").alias("n"), F.countDistinct("product_id").alias("d")).collect()
+    assert all(r.n == r.d <= max(n, 1) for r in per_order)
+    assert len(per_order) == (200 if n else 0)
+
+
+def test_orders(shop):
+    o = shop["orders"]
+    assert o.count() == N
+    shares = {r.status: r["count"] / N for r in o.groupBy("status").count().collect()}
+    for status, weight in zip(schemas.ORDER_STATUSES, schemas.ORDER_STATUS_WEIGHTS):
+        assert shares[status] == pytest.approx(weight / 100, abs=0.03)
+    sums = shop["order_items"].groupBy(F.col("order_id").alias("id")).agg(F.sum("line_total").alias("s"))
+    assert o.join(sums, "id").where("total_amount = s").count() == N
+    inactive = shop["users"].where("not is_active").select(F.col("id").alias("user_id"))
+    assert o.join(inactive, "user_id", "left_semi").count() == 0
+    homes = shop["users"].select(F.col("id").alias("user_id"), F.col("country").alias("home"))
+    assert o.join(homes, "user_id").where("country <> home").count() == 0
+
+
+def test_events(shop):
+    e = shop["events"]
+    assert values(e, "event_type") == set(schemas.EVENT_TYPES)
+    assert share(e, "user_id is null") == pytest.approx(0.1, abs=0.02)
+    assert e.agg(F.max("user_id")).first()[0] < 500
+    shapes = {
+        (r.event_type, r.keys)
+        for r in e.select("event_type", F.concat_ws(",", F.json_object_keys("metadata")).alias("keys")).distinct().collect()
+    }
+    assert shapes == {
+        ("page_view", "page_url,device"), ("add_to_cart", "product_id,quantity"), ("checkout_start", ""),
+        ("purchase", ""), ("error", ""),
+    }
+
+
+def test_contacts(shop):
+    c = shop["crm_contacts"]
+    assert share(c, "converted") == pytest.approx(0.4, abs=0.03)
+    assert c.where("converted <> (converted_at is not null)").count() == 0
+    assert c.where("converted_at < created_at").count() == 0
+    assert c.agg(F.max("converted_at")).first()[0] <= t.RUN_TS
+    assert c.where("not campaign_id rlike '^CAMP_[1-9][0-9]{3}$'").count() == 0
+
+
+def test_same_rows_again(spark, shop):
+    again = g.generate_users(g.id_range(spark, N).repartition(7), t.RUN_TS)
+    assert again.exceptAll(shop["users"]).count() == 0
+
+
+def test_positions_on_the_distributed_path(spark, monkeypatch):
+    from basketry.operators import windows
+
+    kept = g.id_range(spark, 1000).selectExpr("id * 3 AS id")
+    monkeypatch.setattr(windows.global_window, "__defaults__", (None, None, 0))
+    rows, n = g.numbered(kept, "id", Scratch(spark))
+    assert n == 1000 and rows.where("position * 3 <> id").count() == 0
