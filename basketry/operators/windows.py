@@ -136,6 +136,25 @@ def global_window(
     return joined.select(*out)
 
 
+def numbered_within(
+    df: DataFrame, group: str, order: Sequence[By], name: str, scratch: Scratch, small_rows: int = SMALL_ROWS
+) -> DataFrame:
+    """Add a row number within each group; ``group`` and ``order`` together must be a total order.
+
+    A window with PARTITION BY sorts each group in one task, which only a small table makes safe: it
+    bounds the largest group. A larger table is ranked as a whole, which splits big groups between
+    tasks, and every group's first rank is taken off.
+    """
+    if df.count() <= small_rows:
+        w = Window.partitionBy(group).orderBy(*[b.order for b in order])
+        return df.withColumn(name, F.row_number().over(w).cast("long"))
+    ranked = global_window(df, [asc(group), *order], scratch, rank="_rank", small_rows=0)
+    firsts = ranked.groupBy(F.col(group).alias("_group")).agg(F.min("_rank").alias("_first"))
+    return ranked.join(firsts, F.col(group).eqNullSafe(F.col("_group"))).select(
+        *df.columns, (F.col("_rank") - F.col("_first") + 1).alias(name)
+    )
+
+
 def bucket_borders(n: int, buckets: int) -> list[int]:
     """Ranks of the last row of every bucket but the last, when ``n`` rows are dealt out evenly."""
     small, larger = divmod(n, buckets)

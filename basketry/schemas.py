@@ -19,7 +19,10 @@ _TYPES = {
 
 @dataclass(frozen=True)
 class Table:
-    """One operational table. ``required`` holds the columns that must not be null."""
+    """One operational table.
+
+    ``required`` holds the columns that must not be null, ``lengths`` how long a text may be.
+    """
 
     name: str
     columns: dict[str, str]
@@ -28,6 +31,7 @@ class Table:
     references: dict[str, tuple[str, str]] = field(default_factory=dict)
     defaults: dict[str, object] = field(default_factory=dict)
     raw_format: str = "csv"
+    lengths: dict[str, int] = field(default_factory=dict)
 
     @property
     def schema(self) -> T.StructType:
@@ -45,7 +49,7 @@ class Table:
 # Stands for the load time in a default.
 NOW = object()
 
-# Column names, keys, references and defaults of the source tables.
+# Column names, keys, references, defaults and text lengths of the source tables.
 USERS = Table(
     "users",
     {
@@ -55,6 +59,7 @@ USERS = Table(
     unique=("id", "email"),
     required=("id", "email"),
     defaults={"plan_type": "freemium", "created_at": NOW, "is_active": True},
+    lengths={"email": 255, "first_name": 100, "last_name": 100, "country": 3, "plan_type": 20},
 )
 PRODUCTS = Table(
     "products",
@@ -65,6 +70,7 @@ PRODUCTS = Table(
     unique=("id",),
     required=("id", "merchant_id", "name", "price"),
     defaults={"stock_quantity": 0, "created_at": NOW, "updated_at": NOW},
+    lengths={"name": 255, "category": 100},
 )
 ORDERS = Table(
     "orders",
@@ -76,6 +82,7 @@ ORDERS = Table(
     required=("id", "user_id", "total_amount"),
     references={"user_id": ("users", "id")},
     defaults={"created_at": NOW, "status": "pending"},
+    lengths={"status": 20, "country": 3, "payment_method": 50},
 )
 ORDER_ITEMS = Table(
     "order_items",
@@ -95,6 +102,7 @@ EVENTS = Table(
     references={"user_id": ("users", "id")},
     defaults={"event_ts": NOW},
     raw_format="json",
+    lengths={"event_type": 50},
 )
 CRM_CONTACTS = Table(
     "crm_contacts",
@@ -105,6 +113,7 @@ CRM_CONTACTS = Table(
     unique=("id", "email"),
     required=("id", "email"),
     defaults={"created_at": NOW, "converted": False},
+    lengths={"email": 255, "first_name": 100, "last_name": 100, "source": 100, "campaign_id": 100},
 )
 
 TABLES = {t.name: t for t in (USERS, PRODUCTS, ORDERS, ORDER_ITEMS, CRM_CONTACTS, EVENTS)}

@@ -15,6 +15,9 @@ SETTINGS = {
     # A hot order, product or customer: split its join partition, even at the price of a shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Spark broadcasts a join side only if its size, estimated or seen at run time, stays below this;
+    # a larger one is shuffled.
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
 }
 

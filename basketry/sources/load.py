@@ -98,6 +98,8 @@ def typed(
         c = F.col(f.name)
         if f.dataType in (T.StringType(), T.VariantType()):
             columns.append(c)
+            if f.name in table.lengths:
+                reasons.append(F.when(F.length(c) > table.lengths[f.name], F.lit(f.name)))
             continue
         value = parsed(c, f.dataType)
         columns.append(value.alias(f.name))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import MONEY, first_match
+from basketry.operators.windows import SMALL_ROWS, asc, numbered_within
+from basketry.scratch import Scratch
 from basketry.sources.snapshot import read_parquet
 
 # The mapping that FIXTURES.md lays down.
@@ -38,18 +40,22 @@ def _country(nation: str):
 
 
 class SalesTables:
-    """Lazy access by table name; nothing is read before a query asks for it."""
+    """Access by table name; nothing is read before a query asks for it."""
 
     names = ("users", "products", "orders", "order_items", "crm_contacts", "events")
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, scratch: Scratch, small_rows: int = SMALL_ROWS):
         self.spark, self.folder = spark, folder
+        self.scratch, self.small_rows = scratch, small_rows
+        self._made: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
         return read_parquet(self.spark, self.folder, name)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return getattr(self, f"_{name}")()
+        if name not in self._made:
+            self._made[name] = getattr(self, f"_{name}")()
+        return self._made[name]
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {n: self[n] for n in self.names}
@@ -124,27 +130,29 @@ class SalesTables:
             )
         )
 
+    def _order_lines(self) -> DataFrame:
+        """Order items for models that do not read the line key, which is null here."""
+        return self._lines(self.read("lineitem").withColumn("place", F.lit(None)))
+
     def _order_items(self) -> DataFrame:
-        # The test lines have no key. The id recipe gives every order LINES_PER_ORDER numbers, which
-        # bounds the window. Queries that do not ask for the id drop the window with the column.
-        place = F.row_number().over(
-            Window.partitionBy("l_orderkey").orderBy(
-                "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
+        """The test lines have no key: they are numbered within their order."""
+        order = [asc(f"l_{c}") for c in ("linenumber", "partkey", "suppkey", "extendedprice", "shipdate")]
+        columns = ["l_orderkey", *[b.column for b in order], "l_quantity"]
+        return self._lines(
+            numbered_within(
+                self.read("lineitem").select(*columns), "l_orderkey", order, "place", self.scratch, self.small_rows
             )
         )
+
+    def _lines(self, lineitem: DataFrame) -> DataFrame:
         quantity, price = F.col("l_quantity").cast("int"), F.col("p_retailprice").cast(MONEY)
-        return (
-            self.read("lineitem")
-            .withColumn("place", place)
-            .join(self.read("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .select(
-                (F.col("l_orderkey") * LINES_PER_ORDER + F.col("place")).alias("id"),
-                F.col("l_orderkey").alias("order_id"),
-                F.col("l_partkey").alias("product_id"),
-                quantity.alias("quantity"),
-                price.alias("unit_price"),
-                (price * quantity).cast(MONEY).alias("line_total"),
-            )
+        return lineitem.join(self.read("part"), F.col("l_partkey") == F.col("p_partkey")).select(
+            (F.col("l_orderkey") * LINES_PER_ORDER + F.col("place")).cast("long").alias("id"),
+            F.col("l_orderkey").alias("order_id"),
+            F.col("l_partkey").alias("product_id"),
+            quantity.alias("quantity"),
+            price.alias("unit_price"),
+            (price * quantity).cast(MONEY).alias("line_total"),
         )
 
     def _events(self) -> DataFrame:

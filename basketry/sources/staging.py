@@ -52,7 +52,7 @@ def latest_snapshot(df: DataFrame, key: str = "id", newest: tuple[str, ...] = (D
     An aggregate, not a window: each task reduces its rows to one per key before the shuffle, so a
     key with very many copies stays cheap. Equally new rows are told apart by their content.
     """
-    content = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    content = F.xxhash64(*[F.to_json(c) if t == "variant" else F.col(c) for c, t in df.dtypes])
     newest_first = F.struct(*[F.col(c) for c in newest if c in df.columns], content)
     whole_row = F.struct(*[F.col(c) for c in df.columns])
     return df.groupBy(key).agg(F.max_by(whole_row, newest_first).alias("_row")).select("_row.*")

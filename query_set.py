@@ -28,8 +28,8 @@ class Shop:
 
     def __init__(self, spark: SparkSession, folder: str, params: Params = PARAMS):
         self.spark, self.folder, self.params = spark, folder, params
-        self.tables = SalesTables(spark, folder)
         self.scratch = Scratch(spark)
+        self.tables = SalesTables(spark, folder, self.scratch, params.small_rows)
 
     def stg_orders(self) -> DataFrame:
         return staging.stg_orders(stamp(self.tables["orders"], self.params.run_ts))
@@ -41,19 +41,23 @@ class Shop:
         return core.dim_customers(self.tables["users"], self.tables["orders"], self.params)
 
     def product_stats(self) -> DataFrame:
-        return core.product_stats(self.tables["order_items"])
+        return core.product_stats(self.tables["order_lines"])
 
     def dim_products(self) -> DataFrame:
-        return core.dim_products(self.tables["products"], self.tables["order_items"], self.params)
+        return core.dim_products(self.tables["products"], self.tables["order_lines"], self.params)
 
     def fact_orders(self) -> DataFrame:
         return core.fact_orders(self.tables["order_items"], self.tables["orders"], self.params)
 
+    def sales(self) -> DataFrame:
+        """The fact without its line key, which no mart reads."""
+        return core.fact_orders(self.tables["order_lines"], self.tables["orders"], self.params)
+
     def mart_sales_overview(self) -> DataFrame:
-        return marts.mart_sales_overview(self.fact_orders(), self.dim_products(), self.dim_customers())
+        return marts.mart_sales_overview(self.sales(), self.dim_products(), self.dim_customers())
 
     def customer_metrics(self) -> DataFrame:
-        return marts.customer_metrics(self.fact_orders(), self.params)
+        return marts.customer_metrics(self.sales(), self.params)
 
     def rfm_scores(self) -> DataFrame:
         metrics = self.scratch.keep(self.customer_metrics(), "customer_metrics")
@@ -63,10 +67,10 @@ class Shop:
         return marts.rfm_segments(self.rfm_scores())
 
     def mart_customer_ltv(self) -> DataFrame:
-        return marts.mart_customer_ltv(self.dim_customers(), self.fact_orders(), self.params, self.scratch)
+        return marts.mart_customer_ltv(self.dim_customers(), self.sales(), self.params, self.scratch)
 
     def product_metrics(self) -> DataFrame:
-        return marts.product_metrics(self.fact_orders(), self.dim_products())
+        return marts.product_metrics(self.sales(), self.dim_products())
 
     def ranked_products(self) -> DataFrame:
         metrics = self.scratch.keep(self.product_metrics(), "product_metrics")
@@ -102,7 +106,7 @@ class Shop:
 
     def mart_product_performance(self) -> DataFrame:
         return marts.mart_product_performance(
-            self.fact_orders(), self.dim_products(), self.params, self.scratch
+            self.sales(), self.dim_products(), self.params, self.scratch
         )
 
 
@@ -573,7 +577,7 @@ _VERIFY_SQL = " UNION ALL ".join(
 
 @query("verify_core", oracle.sql(_CORE_SUMMARY, *_CORE))
 def verify_core(shop: Shop) -> DataFrame:
-    return verify.core_summary(shop.dim_customers(), shop.dim_products(), shop.fact_orders())
+    return verify.core_summary(shop.dim_customers(), shop.dim_products(), shop.sales())
 
 
 @query("verify_marts", oracle.sql(_MART_SUMMARY, *_MARTS))

@@ -64,6 +64,14 @@ def test_too_many_fields_and_whole_numbers_written_as_decimals(spark, tmp_path):
     assert sorted(r.reason for r in bad.collect()) == ["bad value: id", "malformed record"]
 
 
+def test_texts_longer_than_their_column(spark, tmp_path):
+    path = put(tmp_path, "orders.csv", "id,user_id,created_at,total_amount,status,country,payment_method\n"
+               "1,1,,5,paid,France,x\n2,1,,5,paid,FRA,x\n")
+    good, bad = load.load(spark, path, schemas.ORDERS, t.RUN_TS)
+    assert [r.id for r in good.collect()] == [2]
+    assert [r.reason for r in bad.collect()] == ["bad value: country"]
+
+
 def test_null_tokens(spark):
     df = spark.createDataFrame([("NULL",), ("null",), ("",), ("x",), (None,)], "c string")
     assert [r.c for r in load.apply_null_tokens(df).collect()] == [None, "null", None, "x", None]
@@ -170,6 +178,15 @@ def test_latest_snapshot_with_many_copies(spark):
     assert "Window" not in staging.latest_snapshot(df)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_latest_snapshot_of_events(spark, tmp_path):
+    """Semi-structured columns pass through."""
+    e = t.events(spark, (1, None, "error", t.days_ago(1), '{"a":1}'), (1, None, "error", t.days_ago(1), '{"a":2}'))
+    rows = e.select("id", F.parse_json("metadata").alias("metadata"), F.lit(DAY).alias("ingest_date"))
+    got = [r[0] for r in staging.latest_snapshot(rows).select(F.to_json("metadata")).collect()]
+    again = [r[0] for r in staging.latest_snapshot(rows.repartition(3)).select(F.to_json("metadata")).collect()]
+    assert len(got) == 1 and got == again
+
+
 def test_defaults(spark):
     df = spark.createDataFrame([(1, "e", None)], "id long, email string, plan_type string")
     row = load.apply_defaults(df, schemas.USERS, t.RUN_TS).first()

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from basketry.operators.windows import asc, bucket_borders, desc, global_ntile, global_window
+from basketry.operators.windows import asc, bucket_borders, desc, global_ntile, global_window, numbered_within
 from basketry.scratch import Scratch
 
 
@@ -117,3 +117,12 @@ def test_recomputation_does_not_move_rows(spark):
     got = global_window(df, order, Scratch(spark), "rank", small_rows=0)
     assert sorted(got.collect(), key=str) == sorted(got.collect(), key=str)
     assert got.agg(F.countDistinct("rank"), F.max("rank")).first() == (2000, 2000)
+
+
+def test_numbers_within_a_hot_group(spark, partitions):
+    """A third of the rows share a group, and some have none."""
+    df = frame(spark, 2000)
+    got = numbered_within(df, "value", [asc("key")], "place", Scratch(spark), small_rows=0)
+    want = numbered_within(df, "value", [asc("key")], "place", Scratch(spark))
+    assert got.dtypes == want.dtypes and got.columns == df.columns + ["place"]
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
