@@ -145,8 +145,9 @@ class SalesTables:
         )
 
     def _lines(self, lineitem: DataFrame) -> DataFrame:
-        quantity, price = F.col("l_quantity").cast("int"), F.col("p_retailprice").cast(MONEY)
-        return lineitem.join(self.read("part"), F.col("l_partkey") == F.col("p_partkey")).select(
+        quantity, price = F.col("l_quantity").cast("int"), F.col("price")
+        prices = self.read("part").select("p_partkey", F.col("p_retailprice").cast(MONEY).alias("price"))
+        return lineitem.join(prices, F.col("l_partkey") == F.col("p_partkey")).select(
             (F.col("l_orderkey") * LINES_PER_ORDER + F.col("place")).cast("long").alias("id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
