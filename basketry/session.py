@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Aim for shuffle partitions of this many bytes; adaptive execution merges what turns out smaller.
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+MIB = 1024 * 1024
+# Bytes one task should read; adaptive execution merges shuffle partitions that turn out smaller.
+PARTITION_BYTES = 128 * MIB
+# A shuffle holds a block per map task and reduce task, so very big inputs get bigger partitions
+# rather than more of them.
+MAX_PARTITIONS = 100_000
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,18 +21,25 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Spark broadcasts a join side only if its size, estimated or seen at run time, stays below this;
     # a larger one is shuffled.
-    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * MIB),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
 }
 
 
+def partition_bytes(input_bytes: int) -> int:
+    """Bytes per scan task: the usual size unless that would make too many tasks."""
+    return max(PARTITION_BYTES, -(-input_bytes // MAX_PARTITIONS))
+
+
 def shuffle_partitions(input_bytes: int, cores: int) -> int:
-    """Shuffle partitions for a run that reads ``input_bytes``: bounded size, at least one per core."""
-    return max(cores, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+    """Shuffle partitions for a run that reads ``input_bytes``, at least one per core."""
+    return max(cores, -(-input_bytes // partition_bytes(input_bytes)))
 
 
 def configure(builder: SparkSession.Builder, input_bytes: int = 0, cores: int = 8) -> SparkSession.Builder:
     """Apply the settings to a session builder; the caller keeps master, memory and app name."""
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
-    return builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes, cores)))
+    return builder.config("spark.sql.files.maxPartitionBytes", str(partition_bytes(input_bytes))).config(
+        "spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes, cores))
+    )

@@ -1,0 +1,21 @@
+"""Sizes of scan and shuffle partitions."""
+
+from __future__ import annotations
+
+from basketry.session import MAX_PARTITIONS, PARTITION_BYTES, partition_bytes, shuffle_partitions
+
+TIB = 2**40
+
+
+def test_small_inputs_get_a_partition_per_core():
+    assert shuffle_partitions(0, 8) == 8
+    assert partition_bytes(0) == PARTITION_BYTES
+
+
+def test_partitions_grow_with_the_input():
+    assert shuffle_partitions(TIB, 100) == TIB // PARTITION_BYTES
+
+
+def test_huge_inputs_get_bigger_partitions_not_more():
+    assert shuffle_partitions(100 * TIB, 4000) <= MAX_PARTITIONS
+    assert partition_bytes(100 * TIB) * MAX_PARTITIONS >= 100 * TIB
