@@ -9,38 +9,54 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}
+# The same for a local session that was started without it.
+LOCAL_SETTING = "spark.basketry.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the session names it.
+    """The folder every executor can reach, as the session names it."""
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.conf.get(LOCAL_SETTING, None)
+    if not folder:
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
+    return folder.rstrip("/")
+
 
-    Only a local session may go without: it gets a temporary folder of its own, kept for its life.
+def name_local_folder(spark: SparkSession) -> None:
+    """Give a local session that names no shared folder one of its own; for tests and trial runs.
+
+    A cluster's session is left as it is: there the setting is required.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="basketry-")
-    return _local_folders[application]
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        return
+    if not (spark.conf.get(CHECKPOINT_SETTING, None) or spark.conf.get(LOCAL_SETTING, None)):
+        spark.conf.set(LOCAL_SETTING, tempfile.mkdtemp(prefix="basketry-"))
 
 
 class Scratch:
     """A folder of written tables that one job owns.
 
     A written table survives lost executors, has a row count in its footers, and reads back only
-    the columns a later step asks for.
+    the columns a later step asks for. ``close`` deletes the folder; what nobody closed, because the
+    caller still reads it, goes when the session's JVM ends.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = f"{(root or shared_folder(spark)).rstrip('/')}/scratch-{uuid.uuid4().hex}"
         self._numbers = itertools.count(1)
+        self._noted = False
+
+    def _folder(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        return path, path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
     def path(self, name: str) -> str:
+        if not self._noted:
+            path, files = self._folder()
+            files.mkdirs(path)
+            files.deleteOnExit(path)
+            self._noted = True
         return f"{self.root}/{next(self._numbers):03d}-{name}"
 
     def keep(self, df: DataFrame, name: str = "table") -> DataFrame:
@@ -51,5 +67,5 @@ class Scratch:
 
     def close(self) -> None:
         """Delete the folder. Call it once nothing reads the kept tables any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        path, files = self._folder()
+        files.delete(path, True)

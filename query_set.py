@@ -14,7 +14,7 @@ from basketry.functions.columns import stamp
 from basketry.operators import checks
 from basketry.params import Params
 from basketry.plans import core, marts, pipeline, staging, verify
-from basketry.scratch import Scratch
+from basketry.scratch import Scratch, name_local_folder
 from basketry.sources import generate, load, raw, snapshot
 from basketry.sources import staging as sources_staging
 from basketry.sources.sales_tables import SalesTables
@@ -28,6 +28,7 @@ class Shop:
 
     def __init__(self, spark: SparkSession, folder: str, params: Params = PARAMS):
         self.spark, self.folder, self.params = spark, folder, params
+        name_local_folder(spark)
         self.scratch = Scratch(spark)
         self.tables = SalesTables(spark, folder, self.scratch, params.small_rows)
 

@@ -12,6 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 def make_spark():
     from pyspark.sql import SparkSession
 
+    from basketry.scratch import name_local_folder
     from basketry.session import SETTINGS
 
     builder = SparkSession.builder.master("local[8]").appName("basketry-tests")
@@ -24,6 +25,7 @@ def make_spark():
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    name_local_folder(spark)
     return spark
 
 
