@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -20,6 +20,7 @@ SEED = 42
 PARTS = 2000
 # A filter of hashed keys is a table of at most WORDS rows with 64 bits each.
 WORDS = 1 << 18
+FILTER_FILES = 8
 
 
 def scratch(spark: SparkSession) -> Scratch:
@@ -77,8 +78,10 @@ def bits(keys: DataFrame, key: str) -> DataFrame:
 
     It never misses a key; with very many keys it lets others pass, which then cost a look, no error.
     """
-    return keys.groupBy(word_of(F.col(key)).alias("_word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit_of(F.col(key)))).alias("_bits")
+    return (
+        keys.groupBy(word_of(F.col(key)).alias("_word"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit_of(F.col(key)))).alias("_bits"))
+        .coalesce(FILTER_FILES)
     )
 
 
@@ -129,3 +132,27 @@ def retain(docs: DataFrame, verdicts: DataFrame, total: int, id_col: str = "doc_
     once = first.where("_once").unionByName(rest.where("_once")).dropDuplicates(["_id", "_hash"])
     kept = [marked.where("NOT _maybe"), rest.where("_once IS NULL"), once]
     return reduce(DataFrame.unionByName, (k.select("row.*") for k in kept))
+
+
+def append_columns(docs: DataFrame, build: Callable[[list[str | None]], dict], schema: str, drop_text: bool = False) -> DataFrame:
+    """``docs`` with columns that ``build`` makes of the texts (column ``text``), a slice of rows at a time.
+
+    Columns of ``docs`` that have a new column's name give way. No row moves to another task.
+    """
+    from basketry.llm.ngrams import slices
+
+    new = T.StructType.fromDDL(schema)
+    kept = [f for f in docs.schema.fields if f.name not in new.names and not (drop_text and f.name == "text")]
+    out = T.StructType([*kept, *new.fields])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in slices(batch):
+                part = batch.slice(start, len(texts))
+                made = build(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(f.name) for f in kept] + [pa.array(made[n]) for n in new.names],
+                    names=[*(f.name for f in kept), *new.names],
+                )
+
+    return docs.mapInArrow(work, out)

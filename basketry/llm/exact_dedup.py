@@ -9,6 +9,8 @@ from basketry.llm.common import ascii_lower, attach, bits, flagged, texts
 from basketry.scratch import Scratch
 
 PREFIX_CHARS = 256
+# Stands for a null id where rows are compared.
+LOWEST = -(1 << 63)
 
 
 def exact_dedup(
@@ -59,15 +61,16 @@ def exact_dedup(
     survivors = hashed.where("survives")
     groups = work.keep(
         survivors.groupBy("length", "text_sha256").agg(
-            F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "tag")).alias("best")
+            F.count(F.lit(1)).alias("group_size"),
+            F.max("doc_id").alias("keep_id"),
+            F.max_by("tag", F.coalesce("doc_id", F.lit(LOWEST))).alias("keep_tag"),
         ),
         "groups",
     )
     grouped = attach(survivors, groups, ["length", "text_sha256"], "group_size", hashed.count())
     columns = ["doc_id", "text_hash", "keep_id", "group_size", "kept", "text_sha256"]
     return (
-        grouped.withColumn("keep_id", F.col("best.doc_id"))
-        .withColumn("kept", F.col("tag") == F.col("best.tag"))
+        grouped.withColumn("kept", F.col("tag") == F.col("keep_tag"))
         .select(*columns)
         .unionByName(
             hashed.where("NOT survives")
