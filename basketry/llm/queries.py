@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import exact_dedup, sharding
+from basketry.llm import bpe, exact_dedup, language, packing, sharding, toxicity
 from basketry.llm.common import scratch, table
 from basketry.scratch import Scratch
 
@@ -18,7 +18,13 @@ def over(name: str, build: Callable[[DataFrame, Scratch], DataFrame]):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": over("documents", sharding.op1_sharding),
+    "op2_byte_bpe": over("documents", bpe.op2_byte_bpe),
+    "op5_toxicity": lambda spark, folder: toxicity.op5_toxicity(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), scratch(spark)
+    ),
+    "op6_packing": over("documents", packing.op6_packing),
     "op7_exact_dedup": over("documents", exact_dedup.op7_exact_dedup),
+    "op10_language": over("documents", language.op10_language),
 }
 
 ORACLES: dict[str, str] = {"op7_exact_dedup": exact_dedup.ORACLE_SQL}
