@@ -16,12 +16,12 @@ from basketry.llm.ngrams import hashed, slices
 SIZES = (4, 5, 6)
 WIDTH = 18
 # The classifier is fitted on so many labelled documents at most, those with the smallest hash of the id.
-LABELLED_DOCS = 8000
+LABELLED_DOCS = 12_000
 # N-grams that the fit looks at: the most telling ones that occur in MIN_DOCS documents or more.
 FEATURES = 4096
 MIN_DOCS = 5
 SMOOTHING = 1.0
-PENALTY = 0.02
+PENALTY = 0.002
 STEPS = 300
 THRESHOLD = 0.3
 HELD_OUT = 2
