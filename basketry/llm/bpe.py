@@ -6,6 +6,7 @@ import base64
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterable
 from pathlib import Path
 
@@ -22,10 +23,11 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 BEFORE_SPACE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
 # Cut pieces come again and again; the ids of so many are remembered by a worker process, if short.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 LONGEST_REMEMBERED = 48
 ENCODED_AT_ONCE = 20_000
 ID = np.dtype("<u4")
+FOUR_BYTES = next(code for code in "IL" if array(code).itemsize == ID.itemsize)
 
 
 def byte_characters() -> list[str]:
@@ -71,16 +73,19 @@ class Encoder:
         for at in range(0, len(pieces), ENCODED_AT_ONCE):
             part = pieces[at : at + ENCODED_AT_ONCE]
             encodings = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            found.update((p, np.array(e.ids, dtype=ID).tobytes()) for p, e in zip(part, encodings, strict=True))
+            found.update((p, array(FOUR_BYTES, e.ids).tobytes()) for p, e in zip(part, encodings, strict=True))
         return found
 
     def __call__(self, batch: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        out = []
         cut = [self.cut(t) for t in batch]
-        fresh = self._encoded(set().union(*cut) - self.known.keys())
-        ids = {**fresh}
-        ids_of = lambda p, known=self.known: known[p] if p in known else ids[p]
-        out = [b"".join(map(ids_of, pieces)) for pieces in cut]
+        looked_up = [list(map(self.known.get, pieces)) for pieces in cut]
+        fresh = self._encoded({p for pieces, got in zip(cut, looked_up, strict=True) for p, g in zip(pieces, got, strict=True) if g is None})
+        for pieces, got in zip(cut, looked_up, strict=True):
+            if None in got:
+                got = [fresh[p] if g is None else g for p, g in zip(pieces, got, strict=True)]
+            out.append(b"".join(got))
         if len(self.known) < REMEMBERED:
             self.known.update((p, i) for p, i in fresh.items() if len(p) <= LONGEST_REMEMBERED)
         return out

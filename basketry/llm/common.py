@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from basketry.scratch import Scratch, name_local_folder
 
@@ -151,7 +152,7 @@ def append_columns(docs: DataFrame, build: Callable[[list[str | None]], dict], s
                 part = batch.slice(start, len(texts))
                 made = build(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(f.name) for f in kept] + [pa.array(made[n]) for n in new.names],
+                    [part.column(f.name) for f in kept] + [pa.array(made[f.name], to_arrow_type(f.dataType)) for f in new.fields],
                     names=[*(f.name for f in kept), *new.names],
                 )
 
