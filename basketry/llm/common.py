@@ -157,3 +157,15 @@ def append_columns(docs: DataFrame, build: Callable[[list[str | None]], dict], s
                 )
 
     return docs.mapInArrow(work, out)
+
+
+def filter_texts(docs: DataFrame, keep: Callable[[list[str | None]], Sequence[bool]], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose texts ``keep`` says yes to. No row moves to another task."""
+    from basketry.llm.ngrams import slices
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, part in slices(batch, text_col):
+                yield batch.slice(start, len(part)).filter(pa.array([bool(k) for k in keep(part)], pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)

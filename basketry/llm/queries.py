@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import bpe, exact_dedup, language, licenses, nearest, packing, sharding, simhash, toxicity
+from basketry.llm import bpe, exact_dedup, language, licenses, nearest, packing, sharding, simhash, token_counts, toxicity
 from basketry.llm.common import scratch, table
 from basketry.scratch import Scratch
 
@@ -19,6 +19,7 @@ def over(name: str, build: Callable[[DataFrame, Scratch], DataFrame]):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": over("documents", sharding.op1_sharding),
     "op2_byte_bpe": over("documents", bpe.op2_byte_bpe),
+    "op3_token_counts": over("documents", token_counts.op3_token_counts),
     "op4_nearest": over("embeddings", nearest.op4_nearest),
     "op5_toxicity": lambda spark, folder: toxicity.op5_toxicity(
         table(spark, folder, "documents"), table(spark, folder, "labels"), scratch(spark)

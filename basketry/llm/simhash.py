@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -140,35 +141,48 @@ def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
 
 
-def components(prints: np.ndarray, reach: int = MAX_DISTANCE) -> np.ndarray:
-    """For distinct fingerprints the position of the first one in the same component, by a tree over them.
+def components(prints: np.ndarray, reach: int = MAX_DISTANCE, confirm: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+    """For each fingerprint the position of the first one in the same component, by a tree over them.
 
     Pairs on either side of a vantage point's border are compared only if both lie near it.
+    ``confirm`` says which pairs (two arrays of positions) within reach are links; without it all are.
     """
     parent = np.arange(len(prints))
     rng = np.random.default_rng(SEED)
 
     def compare(a: np.ndarray, b: np.ndarray) -> None:
         for at in range(0, len(a), BLOCK):
-            part = a[at : at + BLOCK]
-            i, j = np.nonzero(distance(prints[part][:, None], prints[b][None, :]) <= reach)
-            unite(parent, part[i], b[j])
+            for bt in range(0, len(b), BLOCK):
+                left, right = a[at : at + BLOCK], b[bt : bt + BLOCK]
+                i, j = np.nonzero(distance(prints[left][:, None], prints[right][None, :]) <= reach)
+                i, j = left[i], right[j]
+                if confirm is not None:
+                    apart = roots(parent, i) != roots(parent, j)
+                    i, j = i[apart], j[apart]
+                    sure = confirm(i, j)
+                    i, j = i[sure], j[sure]
+                unite(parent, i, j)
+
+    def border(a: np.ndarray) -> tuple[np.ndarray, int] | None:
+        """Distances to a vantage point and a radius with enough of ``a`` on either side."""
+        for vantage in rng.choice(a, VANTAGE_TRIES):
+            d = distance(prints[a], prints[vantage]).astype(np.int64)
+            radius = int(np.median(d))
+            for radius in (radius, radius - 1):
+                inside = int((d <= radius).sum())
+                if min(inside, len(a) - inside) > 0.05 * len(a):
+                    return d, radius
+        return None
 
     def within(a: np.ndarray) -> None:
-        if len(a) <= BLOCK:
+        found = border(a) if len(a) > BLOCK else None
+        if found is None:
             compare(a, a)
             return
-        d = distance(prints[a], prints[rng.choice(a)]).astype(np.int64)
-        radius = int(np.median(d))
-        if (d > radius).sum() == 0 or (d <= radius).sum() == len(a):
-            radius -= 1
-        near, far = d <= radius, d > radius
-        if not near.any() or not far.any():
-            compare(a, a)
-            return
-        within(a[near])
-        within(a[far])
-        across(a[near & (d > radius - reach)], a[far & (d <= radius + reach)], len(a))
+        d, radius = found
+        within(a[d <= radius])
+        within(a[d > radius])
+        across(a[(d <= radius) & (d > radius - reach)], a[(d > radius) & (d <= radius + reach)], len(a))
 
     def across(a: np.ndarray, b: np.ndarray, before: int) -> None:
         if not len(a) or not len(b):
@@ -262,13 +276,7 @@ def near_duplicates(
     prints = work.keep(fingerprints(docs, words, id_col, text_col), "prints")
     classes = prints.groupBy("print").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
     classes = work.keep(classes, "classes")
-    stars = connect(links(classes, work, reach), work)
-    heads = stars.groupBy(F.col("b").alias("root")).agg(F.count(F.lit(1)).alias("size"))
-    member = stars.select(F.col("a").alias("print"), F.col("b").alias("root"))
-    members = work.keep(member.unionByName(heads.select(F.col("root").alias("print"), "root")), "members")
-    known = members.join(classes.select("print", "first"), "print")
-    heads = work.keep(known.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.min("first").alias("component_id")), "heads")
-    named = attach(members, heads, ["root"], "size", members.count()).select("print", "root", "component_id")
+    named = named_components(connect(links(classes, work, reach), work), classes, "print", work)
     groups = (
         classes.join(named, "print", "left")
         .withColumn("component_id", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")))
@@ -281,6 +289,133 @@ def near_duplicates(
     )
 
 
+def named_components(stars: DataFrame, classes: DataFrame, node: str, work: Scratch) -> DataFrame:
+    """node, root, component_id of every node that has a link; ``classes`` has the smallest id of each node as first."""
+    heads = stars.groupBy(F.col("b").alias("root")).agg(F.count(F.lit(1)).alias("size"))
+    member = stars.select(F.col("a").alias(node), F.col("b").alias("root"))
+    members = work.keep(member.unionByName(heads.select(F.col("root").alias(node), "root")), "members")
+    known = members.join(classes.select(node, "first"), node)
+    heads = work.keep(known.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.min("first").alias("component_id")), "heads")
+    return attach(members, heads, ["root"], "size", members.count()).select(node, "root", "component_id")
+
+
+# Similar texts, by the rule of near-duplicate stages: words of a shingle and least similarity (Jaccard) of the texts.
+SIMILAR_WORDS = 5
+SIMILARITY = 0.8
+# Candidates share a fingerprint of their single words, but for MAX_DISTANCE bits, in one of so many views.
+VIEWS = 2
+# A longer fingerprint of the shingles confirms them: of so many 64-bit words.
+LONG_WORDS = 8
+# Its differing bits grow with the angle between two texts; so much over the expected share is allowed for chance.
+ALLOWANCE = 0.01
+
+
+def longest_distance(similarity: float = SIMILARITY) -> int:
+    """Differing bits of two long fingerprints at this similarity: texts of one length have a cosine of 2s / (1 + s)."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi + ALLOWANCE
+    return int(share * LONG_WORDS * BITS)
+
+
+def mixed(hashes: np.ndarray, view: int) -> np.ndarray:
+    """Other hashes of the same things, independent for each view."""
+    h = hashes ^ np.uint64(0x9E3779B97F4A7C15 * (view + 1) & (1 << 64) - 1)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))
+
+
+def signature(text: str | None, words: int = SIMILAR_WORDS) -> bytes:
+    """``VIEWS`` fingerprints of the words, then a long one of the shingles; all zero without a word."""
+    found = (text or "").encode().lower().split()
+    views = [(1, v) for v in range(VIEWS)] + [(words, v) for v in range(LONG_WORDS)]
+    if not found:
+        return bytes(8 * len(views))
+    ones = np.zeros((len(views), BITS), dtype=np.int64)
+    count = {size: max(len(found) - size + 1, 1) for size in (1, words)}
+    for size in (1, words):
+        for at in range(0, count[size], SHINGLES_AT_ONCE):
+            part = found[at : at + SHINGLES_AT_ONCE + size - 1]
+            shingles = map(b" ".join, zip(*(part[i:] for i in range(size)), strict=False)) if len(part) >= size else [b" ".join(part)]
+            hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], dtype="<u8")
+            for k, (of, view) in enumerate(views):
+                if of == size:
+                    bits = np.unpackbits(mixed(hashes, view).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                    ones[k] += bits.sum(axis=0, dtype=np.int64)
+    half = np.array([[count[size]] for size, _ in views])
+    return np.packbits(2 * ones > half, bitorder="little").tobytes()
+
+
+def _similar_leaf(limit: int):
+    def work(leaf: pa.Table) -> pa.Table:
+        nodes = leaf.column("node").to_numpy()
+        order = np.argsort(nodes, kind="stable")
+        nodes = nodes[order]
+        prints = leaf.column("print").to_numpy().view(np.uint64)[order]
+        long = np.frombuffer(b"".join(leaf.column("long").to_pylist()), dtype="<u8").reshape(len(nodes), -1)[order]
+        confirm = lambda i, j: np.bitwise_count(long[i] ^ long[j]).sum(axis=1) <= limit
+        first = components(prints, MAX_DISTANCE, confirm)
+        linked = first != np.arange(len(nodes))
+        return pa.table({"a": nodes[linked], "b": nodes[first[linked]]})
+
+    return work
+
+
+def similar_documents(
+    docs: DataFrame, work: Scratch, similarity: float = SIMILARITY, words: int = SIMILAR_WORDS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """doc_id, text_hash, root, component_id of every row: components of texts with similar shingles.
+
+    The rule is a Jaccard similarity of the shingles of ``similarity`` or more, as a long SimHash
+    estimates it. A changed word changes ``words`` shingles but one word, so candidates are found by
+    fingerprints of single words: a vantage-point tree for each view finds all that differ in
+    MAX_DISTANCE bits or fewer, and the long fingerprint decides. Texts that are less alike than the
+    rule are rarely linked; of those that are more alike, some that no view brings together are missed.
+    Null, empty and blank texts are equal; ids may repeat or be null.
+    """
+
+    def columns(batch: list[str | None]) -> dict[str, list[bytes]]:
+        return {"signature": [signature(t, words) for t in batch]}
+
+    rows = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    signed = append_columns(rows, columns, "signature binary", drop_text=True)
+    signed = work.keep(signed.withColumn("tag", F.monotonically_increasing_id()), "signatures")
+    classes = signed.groupBy("signature").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.min("tag").alias("node")
+    )
+    classes = work.keep(classes, "classes")
+    spark, total = docs.sparkSession, classes.count()
+    share = min(1.0, 1.5 * SAMPLE / max(total, 1)) * (1 << 31)
+    drawn = F.pmod(F.xxhash64(F.lit("vantage"), "signature"), F.lit(1 << 31))
+    sample = [r.signature for r in classes.where(drawn < share).select("signature").orderBy(drawn).limit(SAMPLE).collect()]
+    heads = np.array([np.frombuffer(s[: 8 * VIEWS], dtype="<u8") for s in sample], dtype=np.uint64).reshape(-1, VIEWS)
+    trees = spark.sparkContext.broadcast([build(heads[:, v], total) for v in range(VIEWS)])
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = np.frombuffer(b"".join(batch.column("signature").to_pylist()), dtype="<u8").reshape(batch.num_rows, -1)
+            nodes = batch.column("node").to_numpy()
+            for v, tree in enumerate(trees.value):
+                leaf, at = place(np.ascontiguousarray(whole[:, v]), tree)
+                long = [whole[i, VIEWS:].tobytes() for i in at]
+                arrays = [leaf * VIEWS + v, whole[at, v].view(np.int64), nodes[at]]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, arrays), pa.array(long, pa.binary())], names=["leaf", "print", "node", "long"]
+                )
+
+    placed = classes.select("signature", "node").mapInArrow(route, "leaf long, print long, node long, long binary")
+    found = placed.groupBy("leaf").applyInArrow(_similar_leaf(longest_distance(similarity)), "a long, b long").distinct()
+    named = named_components(connect(work.keep(found, "links"), work), classes, "node", work)
+    groups = (
+        classes.join(named, "node", "left")
+        .withColumn("component_id", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")))
+        .withColumn("root", F.coalesce("root", "node"))
+        .select("signature", "n", "root", "component_id")
+    )
+    return attach(signed, work.keep(groups, "groups"), ["signature"], "n", signed.count()).select(
+        "doc_id", "text_hash", "root", "component_id"
+    )
+
+
 def verdicts(decided: DataFrame) -> DataFrame:
     """What ``retain`` needs so that of each component the row with the smallest id stays (null ids last)."""
     sizes = decided.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
