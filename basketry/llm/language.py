@@ -17,6 +17,8 @@ SIZES = (1, 2, 3)
 WIDTH = 16
 # The model is fitted on so many documents of a language at most, those with the smallest hash of the id.
 DOCS_PER_LANGUAGE = 1000
+# It learns so many languages at most, the most frequent ones: this bounds the matrix that is broadcast.
+LANGUAGES = 200
 # Added to each count, so that an n-gram which a language never showed is unlikely, not impossible.
 SMOOTHING = 0.1
 UNKNOWN = "und"
@@ -33,7 +35,8 @@ class Model:
 def sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
     """(lang, text) of at most ``per_language`` documents of each language, none of them held out.
 
-    Rows are first thinned by a hash to about twice that number, so that only few are ranked.
+    Rows are first thinned by a hash to about twice that number, so that only few are ranked and only
+    their texts are shuffled.
     """
     rows = docs.select(
         F.col("lang").cast("string").alias("lang"),
@@ -44,8 +47,9 @@ def sample(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> DataFrame:
         "draw", F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 31))
     )
     sizes = rows.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.orderBy(F.desc("n"), "of").limit(LANGUAGES)
     share = F.lit(2.0 * per_language) / F.col("n") * (1 << 31)
-    thinned = rows.join(sizes, F.col("lang") == F.col("of")).where(F.col("draw") < share)
+    thinned = rows.join(F.broadcast(sizes), F.col("lang") == F.col("of")).where(F.col("draw") < share)
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
     return (
         thinned.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language).select("lang", "text")
