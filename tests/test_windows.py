@@ -1,4 +1,4 @@
-"""Global windows: the distributed path gives what a plain window gives, without one-task exchanges."""
+"""Global windows: they give what a plain window gives, without one-task exchanges."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from basketry.operators.windows import asc, bucket_borders, desc, global_ntile, global_window, numbered_within
+from basketry.operators.windows import asc, bucket_borders, desc, global_ntile, global_window
 from basketry.scratch import Scratch
 
 
@@ -46,23 +46,21 @@ def partitions(spark, request):
 @pytest.mark.parametrize("order", [[desc("value"), asc("key")], [asc("value"), desc("key")]])
 def test_rank_and_running_sum(spark, partitions, order):
     df = frame(spark, 3000)
-    got = global_window(df, order, Scratch(spark), "rank", {"running": "value"}, small_rows=0)
+    got = global_window(df, order, Scratch(spark), "rank", {"running": "value"})
     want = plain(df, order)
     assert got.columns == df.columns + ["rank", "running"]
     assert sorted(got.select("key", "rank", "running").collect()) == sorted(want.collect())
 
 
-def test_small_path_agrees(spark):
+def test_types_are_those_of_a_plain_window(spark):
     df, order = frame(spark, 500), [desc("value"), asc("key")]
-    small = global_window(df, order, Scratch(spark), "rank", {"running": "value"})
-    large = global_window(df, order, Scratch(spark), "rank", {"running": "value"}, small_rows=0)
-    assert small.dtypes == large.dtypes
-    assert sorted(small.collect(), key=str) == sorted(large.collect(), key=str)
+    got = global_window(df, order, Scratch(spark), "rank", {"running": "value"}).select("key", "rank", "running")
+    assert got.dtypes == plain(df, order).dtypes
 
 
 def test_running_sum_starting_with_nulls(spark):
     df = spark.createDataFrame([(i, None if i < 4 else Decimal(i)) for i in range(8)], "key long, value decimal(12,2)")
-    got = global_window(df, [asc("key")], Scratch(spark), running={"running": "value"}, small_rows=0)
+    got = global_window(df, [asc("key")], Scratch(spark), running={"running": "value"})
     assert [r.running for r in got.sort("key").collect()] == [None] * 4 + [4, 9, 15, 22]
 
 
@@ -70,8 +68,8 @@ def test_running_sum_starting_with_nulls(spark):
 def test_ntile(spark, partitions, n):
     df = frame(spark, n)
     orders = {"a": [asc("value"), asc("key")], "b": [desc("value"), asc("key")]}
-    got = global_ntile(df, 5, orders, Scratch(spark), small_rows=0)
-    want = global_ntile(df, 5, orders, Scratch(spark))
+    got = global_ntile(df, 5, orders, Scratch(spark))
+    want = df.withColumns({k: F.ntile(5).over(Window.orderBy(*[b.order for b in o])) for k, o in orders.items()})
     assert got.dtypes == want.dtypes
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
     sizes = [r["count"] for r in got.groupBy("a").count().collect()]
@@ -80,14 +78,14 @@ def test_ntile(spark, partitions, n):
 
 def test_ntile_empty(spark):
     df = frame(spark, 0)
-    assert global_ntile(df, 5, {"a": [asc("key")]}, Scratch(spark), small_rows=0).count() == 0
+    assert global_ntile(df, 5, {"a": [asc("key")]}, Scratch(spark)).count() == 0
 
 
 def test_ntile_by_time(spark):
     df = spark.range(100).select("id", F.expr("timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0,id * 0.25)").alias("t"))
     orders = {"a": [desc("t"), asc("id")]}
-    got = global_ntile(df, 7, orders, Scratch(spark), small_rows=0)
-    want = global_ntile(df, 7, orders, Scratch(spark))
+    got = global_ntile(df, 7, orders, Scratch(spark))
+    want = df.withColumns({k: F.ntile(7).over(Window.orderBy(*[b.order for b in o])) for k, o in orders.items()})
     assert sorted(got.collect()) == sorted(want.collect())
 
 
@@ -103,8 +101,8 @@ def test_no_single_task_exchange(spark):
     scratch = Scratch(spark)
     kept = scratch.keep(df)
     for result in (
-        global_window(kept, order, scratch, "rank", {"running": "value"}, small_rows=0),
-        global_ntile(kept, 5, {"a": order, "b": [asc("value"), asc("key")]}, scratch, small_rows=0),
+        global_window(kept, order, scratch, "rank", {"running": "value"}),
+        global_ntile(kept, 5, {"a": order, "b": [asc("value"), asc("key")]}, scratch),
     ):
         plan = result._jdf.queryExecution().executedPlan().toString()
         assert "SinglePartition" not in plan
@@ -114,15 +112,6 @@ def test_no_single_task_exchange(spark):
 def test_recomputation_does_not_move_rows(spark):
     """The result is read again after its inputs were computed anew: ranks stay as they were."""
     df, order = frame(spark, 2000).repartition(5), [desc("value"), asc("key")]
-    got = global_window(df, order, Scratch(spark), "rank", small_rows=0)
+    got = global_window(df, order, Scratch(spark), "rank")
     assert sorted(got.collect(), key=str) == sorted(got.collect(), key=str)
     assert got.agg(F.countDistinct("rank"), F.max("rank")).first() == (2000, 2000)
-
-
-def test_numbers_within_a_hot_group(spark, partitions):
-    """A third of the rows share a group, and some have none."""
-    df = frame(spark, 2000)
-    got = numbered_within(df, "value", [asc("key")], "place", Scratch(spark), small_rows=0)
-    want = numbered_within(df, "value", [asc("key")], "place", Scratch(spark))
-    assert got.dtypes == want.dtypes and got.columns == df.columns + ["place"]
-    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
