@@ -1,7 +1,7 @@
 """Synthetic shop tables of any size.
 
-Every value is integer arithmetic on the row's id: a table can be made in parallel, made again with
-the same content, and written down in any SQL dialect. A generator takes the ids to fill, from
+Every value comes from a hash of the row's id: a table can be made in parallel, made again with the
+same content, and written down in any SQL dialect. A generator takes the ids to fill, from
 ``id_range`` or from a table.
 """
 
@@ -31,17 +31,14 @@ STOCK_MAX = 1000
 ITEMS_MAX = 5
 QUANTITY_MAX = 3
 ANONYMOUS_PERCENT = 10
-EVENT_USERS = 500
-CART_PRODUCTS = 200
 CAMPAIGNS = (1000, 9999)
 CONVERTED_PERCENT = 40
 
 DAY = 86400
 TWO_YEARS, YEAR, HALF_YEAR, QUARTER, MONTH = 730 * DAY, 365 * DAY, 180 * DAY, 90 * DAY, 30 * DAY
 
-# Multipliers modulo the prime 2^31 - 1; one per drawn column keeps the columns independent.
-PRIME = 2147483647
-MULTIPLIERS = (48271, 69621, 39373, 742938285, 950706376, 1226874159, 62089911, 1343714438)
+# Hex digits of the hash that a drawn number is taken from: 60 bits.
+HASH_DIGITS = 15
 
 
 def id_range(spark: SparkSession, n: int) -> DataFrame:
@@ -49,9 +46,9 @@ def id_range(spark: SparkSession, n: int) -> DataFrame:
 
 
 def draw(n: Column | int, key: Column, stream: int) -> Column:
-    """A number in [0, n) that depends on the key; streams of one key are unrelated."""
-    mixed = ((key % PRIME + 1 + stream * 101) * MULTIPLIERS[stream]) % PRIME
-    return mixed % n
+    """A number in [0, n) that depends on the key; streams of one key are independent, and so are keys."""
+    digest = F.md5(F.concat(key.cast("string"), F.lit(f":{stream}")).cast("binary"))
+    return F.conv(F.substring(digest, 1, HASH_DIGITS), 16, 10).cast("long") % n
 
 
 def choice(values, key: Column, stream: int) -> Column:
@@ -183,22 +180,40 @@ def generate_orders(
     )
 
 
-def generate_events(ids: DataFrame, users: DataFrame, run_ts: datetime, scratch: Scratch) -> DataFrame:
-    """Events of the first users by id, some anonymous; the metadata's shape depends on the type."""
-    visitors, n = numbered(users.select("id").orderBy("id").limit(EVENT_USERS), "id", scratch)
+def _first(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.orderBy("id").limit(limit)
+
+
+def generate_events(
+    ids: DataFrame,
+    users: DataFrame,
+    products: DataFrame,
+    run_ts: datetime,
+    scratch: Scratch,
+    first_users: int | None = None,
+    first_products: int | None = None,
+) -> DataFrame:
+    """Events of the users, some anonymous; the metadata's shape depends on the type.
+
+    Users and the products in carts are drawn from all of their tables, or from the first ones by id
+    if ``first_users`` or ``first_products`` says how many. Without products a cart names none.
+    """
+    visitors, n = numbered(_first(users.select("id"), first_users), "id", scratch)
+    goods, m = numbered(_first(products.select("id"), first_products), "id", scratch)
     k, kind = F.col("id"), F.col("event_type")
     page = F.struct(
         _text("/page/", draw(1000, k, 3)).alias("page_url"), choice(schemas.DEVICES, k, 4).alias("device")
     )
-    cart = F.struct(
-        (draw(CART_PRODUCTS, k, 5) + 1).alias("product_id"), (draw(QUANTITY_MAX, k, 6) + 1).alias("quantity")
-    )
-    picks = visitors.select(F.col("position"), F.col("id").alias("user_id"))
+    cart = F.struct(F.col("product_id"), (draw(QUANTITY_MAX, k, 6) + 1).alias("quantity"))
+    picks = visitors.select("position", F.col("id").alias("user_id"))
+    carts = goods.select(F.col("position").alias("cart_position"), F.col("id").alias("product_id"))
     anonymous = percent(ANONYMOUS_PERCENT, k, 0)
     return (
         ids.withColumn("position", F.when(~anonymous, draw(max(n, 1), k, 1)))
-        .join(picks, "position", "left")
         .withColumn("event_type", choice(schemas.EVENT_TYPES, k, 2))
+        .withColumn("cart_position", F.when(kind == "add_to_cart", draw(max(m, 1), k, 5)))
+        .join(picks, "position", "left")
+        .join(carts, "cart_position", "left")
         .select(
             "id",
             "user_id",

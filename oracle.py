@@ -40,8 +40,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                 ELSE 'credit_card' END AS payment_method
         FROM orders LEFT JOIN users u ON u.id = o_custkey"""),
     "order_items": ((), """
-        SELECT l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey
-                ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) AS id,
+        SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+                l_shipdate, l_quantity) AS id,
             l_orderkey AS order_id, l_partkey AS product_id, CAST(l_quantity AS INT) AS quantity,
             CAST(p_retailprice AS DECIMAL(12,2)) AS unit_price,
             CAST(CAST(p_retailprice AS DECIMAL(12,2)) * CAST(l_quantity AS INT) AS DECIMAL(12,2)) AS line_total
@@ -71,11 +71,11 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "dim_customers": (("users", "bought"), f"""
         SELECT id AS customer_key, email, first_name, last_name, first_name || ' ' || last_name AS full_name,
             upper(country) AS country_code,
-            CASE WHEN plan_type = 'premium' OR plan_type = 'enterprise' THEN 'Premium' ELSE 'Freemium' END
+            CASE WHEN plan_type IN ('premium', 'enterprise') THEN 'Premium' ELSE 'Freemium' END
                 AS customer_segment,
             plan_type, is_active, created_at AS registration_date, last_login, first_order_date, last_order_date,
-            ifnull(total_orders, 0) AS total_orders,
-            CAST(ifnull(lifetime_value, 0) AS DECIMAL(22,2)) AS lifetime_value,
+            coalesce(total_orders, 0) AS total_orders,
+            CAST(coalesce(lifetime_value, 0) AS DECIMAL(22,2)) AS lifetime_value,
             CASE WHEN last_order_date IS NULL THEN 'No Purchase'
                 WHEN date_diff('day', CAST(last_order_date AS DATE), {AS_OF}) > 90 THEN 'Churned'
                 WHEN date_diff('day', CAST(last_order_date AS DATE), {AS_OF}) > 30 THEN 'At Risk'
@@ -90,9 +90,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "dim_products": (("products", "sold"), f"""
         SELECT id AS product_key, name AS product_name, description AS product_description,
             category AS product_category, merchant_id, price AS current_price, stock_quantity AS current_stock,
-            ifnull(total_quantity_sold, 0) AS total_quantity_sold,
-            CAST(ifnull(total_revenue, 0) AS DECIMAL(22,2)) AS total_revenue,
-            ifnull(total_orders, 0) AS total_orders,
+            coalesce(total_quantity_sold, 0) AS total_quantity_sold,
+            CAST(coalesce(total_revenue, 0) AS DECIMAL(22,2)) AS total_revenue,
+            coalesce(total_orders, 0) AS total_orders,
             CASE WHEN total_revenue IS NOT NULL THEN 'Active' ELSE 'No Sales' END AS product_status,
             created_at AS product_created_at, updated_at AS product_updated_at, {RUN_TS} AS _dbt_updated_at
         FROM products LEFT JOIN sold ON product_id = id"""),
@@ -104,7 +104,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
             CAST(line_total * CAST(0.2 AS DECIMAL(2,1)) AS DECIMAL(14,3)) AS estimated_margin,
             CAST(done AS INT) AS is_completed, CAST(status = 'cancelled' AS INT) AS is_cancelled
         FROM heads h JOIN order_items i ON i.order_id = h.id
-        WHERE NOT created_at < {START}"""),
+        WHERE created_at >= {START}"""),
     "done_lines": (("fact_orders",), "SELECT * FROM fact_orders WHERE is_completed = 1"),
     "mart_sales_overview": (("done_lines", "dim_products", "dim_customers"), """
         SELECT date_key AS sale_date, l.country_code, product_category, customer_segment,
@@ -116,9 +116,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
             CAST(SUM(order_total) AS DOUBLE) / COUNT(order_total) AS avg_order_value,
             CAST(SUM(line_revenue) AS DOUBLE) / COUNT(DISTINCT order_key) AS revenue_per_order,
             CAST(SUM(estimated_margin) AS DOUBLE) / nullif(CAST(SUM(line_revenue) AS DOUBLE), 0) AS margin_rate
-        FROM done_lines l, dim_products p, dim_customers c
-        WHERE l.product_key = p.product_key AND l.customer_key = c.customer_key
-        GROUP BY ALL"""),
+        FROM done_lines l JOIN dim_products p ON p.product_key = l.product_key
+            JOIN dim_customers c ON c.customer_key = l.customer_key
+        GROUP BY date_key, l.country_code, product_category, customer_segment"""),
     "customer_metrics": (("done_lines",), f"""
         SELECT customer_key, MAX(order_timestamp) AS last_order_date,
             CAST(date_diff('day', CAST(MAX(order_timestamp) AS DATE), {AS_OF}) AS BIGINT) AS days_since_last_order,
@@ -138,18 +138,17 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
             CAST(ntile(5) OVER (ORDER BY lifetime_value DESC NULLS FIRST, customer_key NULLS LAST) AS INT)
                 AS monetary_score
         FROM customer_metrics"""),
-    # The segments again, as a table of scores: a row of the cube of 125 gets its first label.
-    "segment_rules": ((), """
-        SELECT * FROM (VALUES (1, 4, 5, 4, 5, 4, 5, 'Champions'), (2, 3, 5, 3, 5, 1, 5, 'Loyal Customers'),
-            (3, 4, 5, 1, 2, 1, 5, 'Promising'), (4, 3, 5, 1, 5, 3, 5, 'Potential Loyalists'),
-            (5, 1, 2, 3, 5, 1, 5, 'At Risk'), (6, 1, 2, 1, 5, 4, 5, 'Cant Lose Them'),
-            (7, 1, 2, 1, 5, 1, 5, 'Hibernating'), (8, 1, 5, 1, 5, 1, 5, 'Others'))
-            AS t(place, r1, r2, f1, f2, m1, m2, label)"""),
-    "rfm_segments": (("rfm_scores", "segment_rules"), """
-        SELECT s.*, recency_score + frequency_score + monetary_score AS rfm_total_score,
-            (SELECT arg_min(label, place) FROM segment_rules WHERE s.recency_score BETWEEN r1 AND r2
-                AND s.frequency_score BETWEEN f1 AND f2 AND s.monetary_score BETWEEN m1 AND m2) AS rfm_segment
-        FROM rfm_scores s"""),
+    "rfm_segments": (("rfm_scores",), """
+        SELECT *, recency_score + frequency_score + monetary_score AS rfm_total_score,
+            CASE WHEN recency_score >= 4 AND frequency_score >= 4 AND monetary_score >= 4 THEN 'Champions'
+                WHEN recency_score >= 3 AND frequency_score >= 3 THEN 'Loyal Customers'
+                WHEN recency_score >= 4 AND frequency_score <= 2 THEN 'Promising'
+                WHEN recency_score >= 3 AND monetary_score >= 3 THEN 'Potential Loyalists'
+                WHEN recency_score <= 2 AND frequency_score >= 3 THEN 'At Risk'
+                WHEN recency_score <= 2 AND monetary_score >= 4 THEN 'Cant Lose Them'
+                WHEN recency_score <= 2 THEN 'Hibernating'
+                ELSE 'Others' END AS rfm_segment
+        FROM rfm_scores"""),
     "mart_customer_ltv": (("rfm_segments", "dim_customers"), """
         SELECT customer_key, email, full_name, country_code, customer_segment, customer_status,
             s.last_order_date, days_since_last_order, s.total_orders, customer_lifespan_days, s.lifetime_value,
@@ -181,8 +180,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                 AS cumulative_revenue_pct,
             CASE WHEN cumulative_revenue_pct <= 0.8::DOUBLE THEN 'A'
                 WHEN cumulative_revenue_pct <= 0.95::DOUBLE THEN 'B' ELSE 'C' END AS abc_class,
-            CASE WHEN revenue_rank > 50 THEN 'Long Tail' WHEN revenue_rank > 10 THEN 'Top 50'
-                ELSE 'Top 10' END AS performance_tier
+            CASE WHEN revenue_rank <= 10 THEN 'Top 10' WHEN revenue_rank <= 50 THEN 'Top 50'
+                ELSE 'Long Tail' END AS performance_tier
         FROM ranked"""),
     "mart_product_performance": (("abc",), """
         SELECT product_key, product_name, product_category, total_orders, total_quantity_sold, total_revenue,
@@ -192,13 +191,12 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-# The generated tables. Multipliers of the number streams, modulo the prime 2^31 - 1.
-MULTIPLIERS = (48271, 69621, 39373, 742938285, 950706376, 1226874159, 62089911, 1343714438)
+# The generated tables. A drawn number is the first 60 bits of a hash of the key and the stream.
 DAY = 86400
 
 
 def draw(n, key: str, stream: int) -> str:
-    return f"((({key}) % 2147483647 + {1 + stream * 101}) * {MULTIPLIERS[stream]} % 2147483647 % ({n}))"
+    return f"(CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{stream}'), 1, 15) AS BIGINT) % ({n}))"
 
 
 def choice(values: str, key: str, stream: int) -> str:
@@ -234,7 +232,7 @@ VIEWS |= {
         FROM gen_products"""),
     "lines": (("goods",), f"""
         SELECT o_orderkey AS order_id, unnest(range(least({draw(5, 'o_orderkey', 0)} + 1, n))) AS line, n
-        FROM orders, (SELECT COUNT(*) AS n FROM goods)"""),
+        FROM orders CROSS JOIN (SELECT COUNT(*) AS n FROM goods)"""),
     "gen_order_items": (("goods", "lines"), f"""
         SELECT order_id * 5 + line + 1 AS id, order_id, product_id,
             CAST({draw(3, 'order_id * 5 + line', 3)} + 1 AS INT) AS quantity, price AS unit_price,
@@ -256,20 +254,21 @@ VIEWS |= {
         FROM orders JOIN buyers
             ON position = {draw('(SELECT COUNT(*) FROM buyers)', 'o_orderkey', 4)}"""),
     "visitors": (("gen_users",), """
-        SELECT id AS visitor, row_number() OVER (ORDER BY id) - 1 AS position FROM gen_users
-        QUALIFY position < 500"""),
-    "gen_events": (("visitors",), f"""
+        SELECT id AS visitor, row_number() OVER (ORDER BY id) - 1 AS position FROM gen_users"""),
+    "gen_events": (("visitors", "goods"), f"""
         SELECT event_id AS id, visitor AS user_id, kind AS event_type,
             {ago(draw(90 * DAY, 'event_id', 7))} AS event_ts,
             CASE kind WHEN 'page_view' THEN '{{"page_url":"/page/' || {draw(1000, 'event_id', 3)} || '","device":"'
                     || {choice('mobile desktop tablet', 'event_id', 4)} || '"}}'
-                WHEN 'add_to_cart' THEN '{{"product_id":' || {draw(200, 'event_id', 5)} + 1 || ',"quantity":'
+                WHEN 'add_to_cart' THEN '{{"product_id":' || product_id || ',"quantity":'
                     || {draw(3, 'event_id', 6)} + 1 || '}}'
                 ELSE '{{}}' END AS metadata
         FROM (SELECT event_id, {choice('page_view add_to_cart checkout_start purchase error', 'event_id', 2)} AS kind,
                 CASE WHEN {draw(100, 'event_id', 0)} >= 10
-                    THEN {draw('(SELECT COUNT(*) FROM visitors)', 'event_id', 1)} END AS pick
-            FROM events) LEFT JOIN visitors ON position = pick"""),
+                    THEN {draw('(SELECT COUNT(*) FROM visitors)', 'event_id', 1)} END AS pick,
+                {draw('(SELECT COUNT(*) FROM goods)', 'event_id', 5)} AS cart
+            FROM events) LEFT JOIN visitors ON visitors.position = pick
+            LEFT JOIN goods ON goods.position = cart"""),
     "gen_crm_contacts": ((), f"""
         SELECT s_suppkey AS id, 'contact_' || s_suppkey || '@example.com' AS email,
             'first_' || s_suppkey % 1000 AS first_name, 'last_' || s_suppkey AS last_name,

@@ -25,7 +25,7 @@ def shop(spark):
         "products": products,
         "order_items": scratch.keep(items),
         "orders": scratch.keep(g.generate_orders(g.id_range(spark, N), users, items, t.RUN_TS, scratch)),
-        "events": g.generate_events(g.id_range(spark, N), users, t.RUN_TS, scratch),
+        "events": g.generate_events(g.id_range(spark, N), users, products, t.RUN_TS, scratch),
         "crm_contacts": g.generate_crm_contacts(g.id_range(spark, N), t.RUN_TS),
     }
 
@@ -109,7 +109,7 @@ def test_events(shop):
     e = shop["events"]
     assert values(e, "event_type") == set(schemas.EVENT_TYPES)
     assert share(e, "user_id is null") == pytest.approx(0.1, abs=0.02)
-    assert e.agg(F.max("user_id")).first()[0] < 500
+    assert e.agg(F.max("user_id")).first()[0] > 0.9 * N, "users of the whole table occur"
     shapes = {
         (r.event_type, r.keys)
         for r in e.select("event_type", F.concat_ws(",", F.json_object_keys("metadata")).alias("keys")).distinct().collect()
@@ -134,10 +134,48 @@ def test_same_rows_again(spark, shop):
     assert again.exceptAll(shop["users"]).count() == 0
 
 
-def test_positions_on_the_distributed_path(spark, monkeypatch):
-    from basketry.operators import windows
-
+def test_positions(spark):
     kept = g.id_range(spark, 1000).selectExpr("id * 3 AS id")
-    monkeypatch.setattr(windows.global_window, "__defaults__", (None, None, 0))
     rows, n = g.numbered(kept, "id", Scratch(spark))
     assert n == 1000 and rows.where("position * 3 <> id").count() == 0
+
+
+def chi(df, left, right):
+    """Chi-square of two columns over its degrees of freedom: about 1 if they are independent."""
+    cells = {(r[0], r[1]): r[2] for r in df.groupBy(left, right).count().collect()}
+    rows, columns = {a for a, _ in cells}, {b for _, b in cells}
+    total = sum(cells.values())
+    row = {a: sum(cells.get((a, b), 0) for b in columns) for a in rows}
+    column = {b: sum(cells.get((a, b), 0) for a in rows) for b in columns}
+    found = sum((cells.get((a, b), 0) - row[a] * column[b] / total) ** 2 / (row[a] * column[b] / total) for a in rows for b in columns)
+    return found / ((len(rows) - 1) * (len(columns) - 1))
+
+
+def test_drawn_columns_are_independent(spark, shop):
+    events = g.generate_events(g.id_range(spark, 40_000), shop["users"].limit(60), shop["products"], t.RUN_TS, Scratch(spark))
+    assert chi(events, "user_id", "event_type") < 1.5
+    kinds = events.where("user_id is not null").groupBy("user_id").agg(F.countDistinct("event_type").alias("k"))
+    assert kinds.count() == 60 and kinds.agg(F.min("k")).first()[0] == len(schemas.EVENT_TYPES)
+    items = g.generate_order_items(g.id_range(spark, 20_000), shop["products"].where("id < 20"), Scratch(spark))
+    orders = items.groupBy("order_id").agg(F.min_by("product_id", "id").alias("first"), F.count("*").alias("lines"))
+    assert chi(orders, "first", "lines") < 1.6
+    assert chi(shop["users"], "country", "plan_type") < 2
+
+
+def test_far_ids_draw_other_values(spark):
+    k = F.col("id")
+    apart = spark.range(2000).select(g.draw(1000, k, 1).alias("a"), g.draw(1000, k + 2147483646, 1).alias("b"), g.draw(10**10, k, 2).alias("c"))
+    assert apart.where("a = b").count() < 20
+    assert apart.agg(F.max("c")).first()[0] > 9 * 10**9
+
+
+def test_first_users_and_products_only(spark, shop):
+    e = g.generate_events(g.id_range(spark, 2000), shop["users"], shop["products"], t.RUN_TS, Scratch(spark), first_users=7, first_products=3)
+    assert values(e.where("user_id is not null"), "user_id") == set(range(7))
+    picked = e.where("event_type = 'add_to_cart'").select(F.get_json_object("metadata", "$.product_id").alias("p"))
+    assert values(picked, "p") == {"0", "1", "2"}
+
+
+def test_events_without_products(spark, shop):
+    e = g.generate_events(g.id_range(spark, 300), shop["users"], shop["products"].limit(0), t.RUN_TS, Scratch(spark))
+    assert e.count() == 300
