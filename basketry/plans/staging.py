@@ -30,8 +30,9 @@ EVENT_FIELDS = {"page_url": "string", "device": "string", "product_id": "bigint"
 
 
 def event_metadata(events: DataFrame, fields: dict[str, str] = EVENT_FIELDS) -> DataFrame:
-    """Events with metadata fields as columns; null where an event lacks a field or its type differs."""
-    value = F.parse_json("metadata") if dict(events.dtypes)["metadata"] == "string" else F.col("metadata")
+    """Events with metadata fields as columns; null where an event lacks a field, its type differs, or
+    the text is no JSON."""
+    value = F.try_parse_json("metadata") if dict(events.dtypes)["metadata"] == "string" else F.col("metadata")
     return events.withColumn("_value", value).select(
         "id",
         "user_id",

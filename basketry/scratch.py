@@ -33,6 +33,27 @@ def name_local_folder(spark: SparkSession) -> None:
         spark.conf.set(LOCAL_SETTING, tempfile.mkdtemp(prefix="basketry-"))
 
 
+def folder_and_files(spark: SparkSession, folder: str):
+    """A path and its file system, as the session's Hadoop settings resolve them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path, files = folder_and_files(spark, folder)
+    files.delete(path, True)
+
+
+def replace_folder(spark: SparkSession, new: str, old: str) -> None:
+    """Put a written folder in another's place."""
+    source, files = folder_and_files(spark, new)
+    target, _ = folder_and_files(spark, old)
+    files.mkdirs(target.getParent())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"{new} could not be renamed to {old}")
+
+
 class Scratch:
     """A folder of written tables that one job owns.
 
@@ -47,13 +68,9 @@ class Scratch:
         self._numbers = itertools.count(1)
         self._noted = False
 
-    def _folder(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        return path, path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-
     def path(self, name: str) -> str:
         if not self._noted:
-            path, files = self._folder()
+            path, files = folder_and_files(self.spark, self.root)
             files.mkdirs(path)
             files.deleteOnExit(path)
             self._noted = True
@@ -67,5 +84,4 @@ class Scratch:
 
     def close(self) -> None:
         """Delete the folder. Call it once nothing reads the kept tables any more."""
-        path, files = self._folder()
-        files.delete(path, True)
+        delete_folder(self.spark, self.root)

@@ -38,11 +38,9 @@ def raw_schema(table: Table) -> T.StructType:
     return table.text_schema.add(CORRUPT, T.StringType())
 
 
-def read_raw_csv(
-    spark: SparkSession, path: str, table: Table, multi_line: bool = True, **options: str
-) -> DataFrame:
-    """All columns as text. Turn ``multi_line`` off for big files without line breaks inside quotes:
-    such files can then be split between tasks."""
+def read_raw_csv(spark: SparkSession, path: str, table: Table, *, multi_line: bool, **options: str) -> DataFrame:
+    """All columns as text. The caller says whether line breaks may occur inside quotes: without them
+    a file is split between tasks, with them a task reads a file whole."""
     return (
         spark.read.schema(raw_schema(table))
         .options(**csv_options())
@@ -76,11 +74,13 @@ def apply_null_tokens(df: DataFrame, tokens: Sequence[str] = NULL_TOKENS) -> Dat
 
 
 def parsed(text: Column, data_type: T.DataType) -> Column:
-    """Text as a typed value, null if it is none. Whole numbers may be written as ``12.0``, as
-    exports do for number columns with nulls."""
-    if isinstance(data_type, (T.LongType, T.IntegerType)):
-        number = F.round(text.try_cast("decimal(38,6)"), 0)
-        return F.coalesce(text.try_cast(data_type), number.try_cast(data_type))
+    """Text as a typed value, null if it is none. Numbers may have more decimals than the type if those
+    are zero, as in ``12.0`` for a whole number; any other would be lost, so the value does not fit."""
+    if isinstance(data_type, (T.LongType, T.IntegerType, T.DecimalType)):
+        exact = text.try_cast("decimal(38,10)")
+        value = exact.try_cast(data_type)
+        fits = F.when(exact == value, value)
+        return fits if isinstance(data_type, T.DecimalType) else F.coalesce(text.try_cast(data_type), fits)
     return text.try_cast(data_type)
 
 

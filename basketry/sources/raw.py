@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from basketry.schemas import Table
+from basketry.scratch import delete_folder
 from basketry.sources.snapshot import partition_date
 
 # Bounds a part file, so that one task can parse it with line breaks inside quotes.
@@ -54,18 +55,29 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_raw(df: DataFrame, root: str, table: Table, day: date) -> str | None:
-    """Export one snapshot; returns its folder, or None for an empty table, which writes nothing."""
-    if df.isEmpty():
-        return None
+    """Export one snapshot; returns its folder, or None for an empty table, which leaves no folder.
+
+    Rows are counted while they are written, so the source is computed once. A day that was exported
+    before and is empty now loses its old files.
+    """
     path = raw_folder(root, table, day)
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if table.raw_format == "json":
-        write_json(df.withColumn("metadata", parse_metadata(df)), path)
+        write_json(counted.withColumn("metadata", parse_metadata(df)), path)
     else:
-        write_csv(df.select(*table.columns), path)
-    return path
+        write_csv(counted.select(*table.columns), path)
+    if seen.get["rows"]:
+        return path
+    delete_folder(df.sparkSession, path)
+    return None
 
 
 def parse_metadata(df: DataFrame):
-    """Event metadata as a semi-structured value, parsed if it still is JSON text."""
+    """Event metadata as a semi-structured value, parsed if it still is JSON text.
+
+    Text that is no JSON becomes a text value, so that nothing is lost and no row stops the export.
+    """
+    value = F.col("metadata")
     is_text = dict(df.dtypes)["metadata"] == "string"
-    return F.parse_json("metadata") if is_text else F.col("metadata")
+    return F.coalesce(F.try_parse_json(value), value.cast("variant")) if is_text else value

@@ -47,7 +47,7 @@ def read_staging(spark: SparkSession, root: str, table: Table, day: date | None
 
 
 def latest_snapshot(df: DataFrame, key: str = "id", newest: tuple[str, ...] = (DAY, "_loaded_at")) -> DataFrame:
-    """The newest row of every key.
+    """The newest row of every key; rows without a key are all kept, since nothing says which belong together.
 
     An aggregate, not a window: each task reduces its rows to one per key before the shuffle, so a
     key with very many copies stays cheap. Equally new rows are told apart by their content.
@@ -55,4 +55,6 @@ def latest_snapshot(df: DataFrame, key: str = "id", newest: tuple[str, ...] = (D
     content = F.xxhash64(*[F.to_json(c) if t == "variant" else F.col(c) for c, t in df.dtypes])
     newest_first = F.struct(*[F.col(c) for c in newest if c in df.columns], content)
     whole_row = F.struct(*[F.col(c) for c in df.columns])
-    return df.groupBy(key).agg(F.max_by(whole_row, newest_first).alias("_row")).select("_row.*")
+    keyed = df.where(F.col(key).isNotNull())
+    latest = keyed.groupBy(key).agg(F.max_by(whole_row, newest_first).alias("_row")).select("_row.*")
+    return latest.unionByName(df.where(F.col(key).isNull()))

@@ -16,20 +16,32 @@ BATCH = "load_batch"
 FILES_PER_BATCH = 10_000
 
 
-def new_files(spark: SparkSession, root: str, table: Table, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """Stream over a table's raw files of all days, as text, with the day taken from the folder."""
+def new_files(
+    spark: SparkSession, root: str, table: Table, *, multi_line: bool, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """Stream over a table's raw files of all days, as text, with the day taken from the folder.
+
+    ``multi_line`` says whether quoted CSV fields may hold line breaks; files without are split.
+    """
     reader = spark.readStream.schema(raw_schema(table)).option("maxFilesPerTrigger", files_per_batch)
     folder = f"{raw_table_folder(root, table)}/*"
     if table.raw_format == "json":
         files = reader.option("columnNameOfCorruptRecord", CORRUPT).json(folder)
     else:
-        files = reader.options(**csv_options()).option("multiLine", "true").csv(folder)
+        files = reader.options(**csv_options()).option("multiLine", str(multi_line).lower()).csv(folder)
     day = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
     return files.withColumn(DAY, day.cast("date"))
 
 
 def ingest(
-    spark: SparkSession, root: str, table: Table, target: str, run_ts: datetime, files_per_batch: int = FILES_PER_BATCH
+    spark: SparkSession,
+    root: str,
+    table: Table,
+    target: str,
+    run_ts: datetime,
+    *,
+    multi_line: bool,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
     """Load every raw file not loaded before, then stop.
 
@@ -45,7 +57,7 @@ def ingest(
         write_loaded(typed(batch, table, keep=(DAY,)), table, run_ts, into("staging"), into("rejects"), (DAY,))
 
     stream = (
-        new_files(spark, root, table, files_per_batch)
+        new_files(spark, root, table, multi_line=multi_line, files_per_batch=files_per_batch)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{target}/checkpoints/{table.name}")
         .trigger(availableNow=True)

@@ -53,21 +53,77 @@ def test_csv_fixture(spark, tmp_path, multi_line):
 
 def test_line_break_inside_quotes(spark, tmp_path):
     path = put(tmp_path, "small.csv", 'id,name,amount,ts\n1,"two\nlines",1.00,\n')
-    good, bad = load.load(spark, path, SMALL, t.RUN_TS)
+    good, bad = load.load(spark, path, SMALL, t.RUN_TS, multi_line=True)
     assert [r.name for r in good.collect()] == ["two\nlines"] and bad.count() == 0
 
 
 def test_too_many_fields_and_whole_numbers_written_as_decimals(spark, tmp_path):
     path = put(tmp_path, "small.csv", "id,name,amount,ts\n1.0,a,1,\n2,b,1,,extra\n99999999999,c,1,\n")
-    good, bad = load.load(spark, path, SMALL, t.RUN_TS)
+    good, bad = load.load(spark, path, SMALL, t.RUN_TS, multi_line=True)
     assert [r.id for r in good.collect()] == [1]
     assert sorted(r.reason for r in bad.collect()) == ["bad value: id", "malformed record"]
 
 
+def test_numbers_that_would_lose_decimals_are_rejects(spark, tmp_path):
+    path = put(tmp_path, "small.csv", "id,name,amount,ts\n12.7,a,1,\n2,b,10.999,\n3,c,10.9900,\n4.00,d,7,\n5,e,1e2,\n")
+    good, bad = load.load(spark, path, SMALL, t.RUN_TS, multi_line=False)
+    assert sorted((r.id, r.amount) for r in good.collect()) == [(3, Decimal("10.99")), (4, 7), (5, 100)]
+    assert sorted(r.reason for r in bad.collect()) == ["bad value: amount", "bad value: id"]
+
+
+def test_a_file_without_line_breaks_in_quotes_is_split(spark, tmp_path):
+    path = put(tmp_path, "small.csv", "id,name,amount,ts\n" + "".join(f"{k},name {k},1.00,\n" for k in range(60_000)))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        good, bad = load.load(spark, path, SMALL, t.RUN_TS, multi_line=False)
+        assert good.rdd.getNumPartitions() > 4 and (good.count(), bad.count()) == (60_000, 0)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_empty_export_leaves_no_old_files(spark, tmp_path):
+    root = str(tmp_path)
+    rows = t.products(spark, (1, "a", "Toys"))
+    assert raw.write_raw(rows, root, schemas.PRODUCTS, DAY)
+    assert raw.write_raw(rows.limit(0), root, schemas.PRODUCTS, DAY) is None
+    assert not (tmp_path / "raw/postgres/products/2024-06-30").exists()
+    assert raw.write_raw(rows.where("id > 5"), root, schemas.PRODUCTS, DAY) is None
+
+
+def test_export_computes_its_source_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for row in rows:
+            seen.add(1)
+            yield row
+
+    p = t.products(spark, *[(k, f"p{k}", "Toys") for k in range(20)])
+    watched = spark.createDataFrame(p.rdd.mapPartitions(count), p.schema)
+    raw.write_raw(watched, str(tmp_path), schemas.PRODUCTS, DAY)
+    assert seen.value == 20
+
+
+def test_metadata_that_is_no_json_is_kept_as_text(spark, tmp_path):
+    rows = [(1, 2, "error", None, '{"a": 1}'), (2, 2, "error", None, "{oops")]
+    df = spark.createDataFrame(rows, "id long, user_id long, event_type string, event_ts timestamp_ntz, metadata string")
+    path = raw.write_raw(df, str(tmp_path), schemas.EVENTS, DAY)
+    good, bad = load.load(spark, path, schemas.EVENTS, t.RUN_TS)
+    assert bad.count() == 0
+    assert sorted(r.m for r in good.select(F.to_json("metadata").alias("m")).collect()) == ['"{oops"', '{"a":1}']
+
+
+def test_latest_snapshot_keeps_rows_without_a_key(spark):
+    rows = [(None, 1), (None, 2), (None, 1), (5, 1), (5, 2)]
+    got = staging.latest_snapshot(spark.createDataFrame(rows, "id long, v int"), newest=("v",))
+    assert sorted(got.collect(), key=str) == sorted([(None, 1), (None, 2), (None, 1), (5, 2)], key=str)
+
+
 def test_texts_longer_than_their_column(spark, tmp_path):
     path = put(tmp_path, "orders.csv", "id,user_id,created_at,total_amount,status,country,payment_method\n"
                "1,1,,5,paid,France,x\n2,1,,5,paid,FRA,x\n")
-    good, bad = load.load(spark, path, schemas.ORDERS, t.RUN_TS)
+    good, bad = load.load(spark, path, schemas.ORDERS, t.RUN_TS, multi_line=True)
     assert [r.id for r in good.collect()] == [2]
     assert [r.reason for r in bad.collect()] == ["bad value: country"]
 
@@ -80,7 +136,7 @@ def test_null_tokens(spark):
 
 def test_write_loaded_counts_rejects(spark, tmp_path):
     path, out = put(tmp_path, "small.csv", LINES), str(tmp_path)
-    rows = load.load_typed(spark, path, SMALL)
+    rows = load.load_typed(spark, path, SMALL, multi_line=False)
     bad = load.write_loaded(
         rows, SMALL, t.RUN_TS, lambda d: d.write.parquet(out + "/good"), lambda d: d.write.parquet(out + "/bad")
     )
@@ -118,7 +174,7 @@ def test_raw_round_trip_of_awkward_texts(spark, tmp_path):
     p = t.products(spark, *[(k, n, "Toys") for k, n in enumerate(names)])
     path = raw.write_raw(p, str(tmp_path), schemas.PRODUCTS, DAY)
     assert path.endswith("/raw/postgres/products/2024-06-30")
-    good, bad = load.load(spark, path, schemas.PRODUCTS, t.RUN_TS)
+    good, bad = load.load(spark, path, schemas.PRODUCTS, t.RUN_TS, multi_line=True)
     assert bad.count() == 0
     assert sorted(good.drop("_loaded_at").collect()) == sorted(p.collect())
 
@@ -129,7 +185,7 @@ def test_export_replaces_its_day_only(spark, tmp_path):
     for day, df in ((DAY, first), (date(2024, 6, 29), first), (DAY, first.limit(1))):
         raw.write_raw(df, root, schemas.PRODUCTS, day)
     counts = [
-        load.read_raw_csv(spark, raw.raw_folder(root, schemas.PRODUCTS, d), schemas.PRODUCTS).count()
+        load.read_raw_csv(spark, raw.raw_folder(root, schemas.PRODUCTS, d), schemas.PRODUCTS, multi_line=True).count()
         for d in (date(2024, 6, 29), DAY)
     ]
     assert counts == [2, 1]
@@ -137,7 +193,7 @@ def test_export_replaces_its_day_only(spark, tmp_path):
 
 def test_empty_table_exports_nothing(spark, tmp_path):
     assert raw.write_raw(t.products(spark), str(tmp_path), schemas.PRODUCTS, DAY) is None
-    assert list(tmp_path.iterdir()) == []
+    assert not list(tmp_path.glob("raw/postgres/products/*"))
 
 
 def test_jdbc_options_cover_all_ids():
@@ -201,7 +257,7 @@ def test_incremental_load(spark, tmp_path):
     o = t.orders(spark, (1, 1, t.days_ago(1), 5, "paid"), (2, 1, t.days_ago(1), 5, "paid"))
 
     def run():
-        ingest.ingest(spark, root, schemas.ORDERS, target, t.RUN_TS)
+        ingest.ingest(spark, root, schemas.ORDERS, target, t.RUN_TS, multi_line=True)
         return ingest.read_ingested(spark, target, schemas.ORDERS)
 
     raw.write_raw(o, root, schemas.ORDERS, DAY)
@@ -222,9 +278,9 @@ def test_incremental_load_equals_batch_load(spark, tmp_path):
     root, target = str(tmp_path / "src"), str(tmp_path / "dst")
     p = t.products(spark, *[(k, f"p{k}", "Toys") for k in range(50)])
     path = raw.write_raw(p, root, schemas.PRODUCTS, DAY)
-    ingest.ingest(spark, root, schemas.PRODUCTS, target, t.RUN_TS)
+    ingest.ingest(spark, root, schemas.PRODUCTS, target, t.RUN_TS, multi_line=True)
     stream = ingest.read_ingested(spark, target, schemas.PRODUCTS).drop("ingest_date")
-    batch, _ = load.load(spark, path, schemas.PRODUCTS, t.RUN_TS)
+    batch, _ = load.load(spark, path, schemas.PRODUCTS, t.RUN_TS, multi_line=True)
     assert sorted(stream.collect()) == sorted(batch.collect())
 
 
