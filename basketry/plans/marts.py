@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import MARGIN_SUM, MONEY_SUM, day_diff, first_match, mean, ratio
@@ -19,20 +19,23 @@ from basketry.params import (
 )
 from basketry.scratch import Scratch
 
-# Segment labels and the score ranges (recency, frequency, monetary) they stand for.
-# The first row that fits decides.
-RFM_SEGMENTS = (
-    ("Champions", (4, 5), (4, 5), (4, 5)),
-    ("Loyal Customers", (3, 5), (3, 5), (1, 5)),
-    ("Promising", (4, 5), (1, 2), (1, 5)),
-    ("Potential Loyalists", (3, 5), (1, 5), (3, 5)),
-    ("At Risk", (1, 2), (3, 5), (1, 5)),
-    ("Cant Lose Them", (1, 2), (1, 5), (4, 5)),
-    ("Hibernating", (1, 2), (1, 5), (1, 5)),
-)
+# Fixed value: the segment of customers that no rule fits.
 NO_SEGMENT = "Others"
 
 
+def segment_rules(r: Column, f: Column, m: Column) -> list[tuple[Column, str]]:
+    """The segments' labels and rules by recency, frequency and monetary score; the first that holds decides."""
+    return [
+        ((r >= 4) & (f >= 4) & (m >= 4), "Champions"),
+        ((r >= 3) & (f >= 3), "Loyal Customers"),
+        ((r >= 4) & (f <= 2), "Promising"),
+        ((r >= 3) & (m >= 3), "Potential Loyalists"),
+        ((r <= 2) & (f >= 3), "At Risk"),
+        ((r <= 2) & (m >= 4), "Cant Lose Them"),
+        (r <= 2, "Hibernating"),
+    ]
+
+
 def completed(fact_orders: DataFrame) -> DataFrame:
     return fact_orders.where(F.col("is_completed") == 1)
 
@@ -47,23 +50,31 @@ def mart_sales_overview(fact_orders: DataFrame, dim_products: DataFrame, dim_cus
     sales = completed(fact_orders)
     products = dim_products.select("product_key", "product_category")
     customers = dim_customers.select("customer_key", "customer_segment")
-    revenue, margin = F.sum("line_revenue"), F.sum("estimated_margin")
-    orders = F.countDistinct("order_key")
-    return (
+    keys = ["sale_date", "country_code", "product_category", "customer_segment"]
+    # Lines of an order first: the two distinct counts then triple rows of orders, not of lines.
+    per_order = (
         sales.join(products, "product_key")
         .join(customers, "customer_key")
-        .groupBy(F.col("date_key").alias("sale_date"), "country_code", "product_category", "customer_segment")
+        .groupBy(F.col("date_key").alias("sale_date"), *keys[1:], "customer_key", "order_key")
         .agg(
-            orders.alias("total_orders"),
-            F.countDistinct("customer_key").alias("unique_customers"),
-            F.sum("quantity_sold").alias("total_quantity"),
-            revenue.cast(MONEY_SUM).alias("total_revenue"),
-            margin.cast(MARGIN_SUM).alias("total_margin"),
-            mean(F.col("order_total")).alias("avg_order_value"),
-            ratio(revenue, orders).alias("revenue_per_order"),
-            ratio(margin, revenue).alias("margin_rate"),
+            F.sum("quantity_sold").alias("quantity"),
+            F.sum("line_revenue").alias("revenue"),
+            F.sum("estimated_margin").alias("margin"),
+            F.sum("order_total").alias("order_totals"),
+            F.count("order_total").alias("totals"),
         )
     )
+    orders, revenue, margin = F.countDistinct("order_key"), F.sum("revenue"), F.sum("margin")
+    return per_order.groupBy(*keys).agg(
+        orders.alias("total_orders"),
+        F.countDistinct("customer_key").alias("unique_customers"),
+        F.sum("quantity").alias("total_quantity"),
+        revenue.cast(MONEY_SUM).alias("total_revenue"),
+        margin.cast(MARGIN_SUM).alias("total_margin"),
+        ratio(F.sum("order_totals"), F.sum("totals")).alias("avg_order_value"),
+        ratio(revenue, orders).alias("revenue_per_order"),
+        ratio(margin, revenue).alias("margin_rate"),
+    )
 
 
 def customer_metrics(fact_orders: DataFrame, params: Params) -> DataFrame:
@@ -109,15 +120,14 @@ def rfm_scores(metrics: DataFrame, params: Params, scratch: Scratch) -> DataFram
             "monetary_score": [high("lifetime_value"), key],
         },
         scratch,
-        params.small_rows,
     )
 
 
 def rfm_segments(scores: DataFrame) -> DataFrame:
     """Sum of the scores and the segment they fall into."""
     r, f, m = (F.col(f"{s}_score") for s in ("recency", "frequency", "monetary"))
-    rules = [(r.between(*rr) & f.between(*fr) & m.between(*mr), label) for label, rr, fr, mr in RFM_SEGMENTS]
-    return scores.withColumns({"rfm_total_score": r + f + m, "rfm_segment": first_match(rules, NO_SEGMENT)})
+    segment = first_match(segment_rules(r, f, m), NO_SEGMENT)
+    return scores.withColumns({"rfm_total_score": r + f + m, "rfm_segment": segment})
 
 
 def mart_customer_ltv(
@@ -192,7 +202,6 @@ def ranked_products(metrics: DataFrame, params: Params, scratch: Scratch) -> Dat
         scratch,
         rank="revenue_rank",
         running={"cumulative_revenue": "total_revenue"},
-        small_rows=params.small_rows,
     )
     return with_total(ranked, "total_revenue_all", metrics, "total_revenue")
 

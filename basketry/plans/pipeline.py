@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -16,7 +17,8 @@ from basketry.operators import checks
 from basketry.params import Params
 from basketry.plans import core, marts, staging, verify
 from basketry.schemas import TABLES
-from basketry.scratch import Scratch
+from basketry.scratch import Scratch, delete_folder, replace_folder
+from basketry.session import require_skew_handling
 from basketry.sources.load import load_typed, nothing_loaded, union_all, write_loaded
 from basketry.sources.raw import write_raw
 from basketry.sources.staging import append_rejects, append_staging, read_rejects, read_staging
@@ -90,12 +92,6 @@ def as_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def as_view(df: DataFrame, name: str) -> DataFrame:
-    """Name a lazy frame; it is computed where it is used."""
-    df.createOrReplaceTempView(name)
-    return df
-
-
 def build_models(
     spark: SparkSession,
     tables: Mapping[str, DataFrame],
@@ -103,20 +99,34 @@ def build_models(
     params: Params,
     scratch: Scratch,
     models: Sequence[Model] = MODELS,
+    views: str = "",
 ) -> dict[str, DataFrame]:
     """Build all models on staged tables; tables go to ``root/<layer>/<name>``.
 
-    Models of one layer read other layers only, so they are built side by side.
+    Models of one layer read other layers only, so they are built side by side. Tables are built in a
+    folder of this run and take the old ones' places once all are there: a run that fails leaves the
+    old ones as they were. Each model also gets a view ``<views><layer>_<name>``; runs in one session
+    keep apart by their own ``views``.
     """
     b = Build(spark, tables, params, scratch)
+    run = f"{root}/runs/{uuid.uuid4().hex}"
 
     def build(m: Model) -> DataFrame:
         df = m.build(b)
-        return as_view(df, m.name) if m.view else as_table(df, f"{root}/{m.layer}/{m.name}")
+        return df if m.view else as_table(df, f"{run}/{m.layer}/{m.name}")
 
-    for _, layer in groupby(models, key=lambda m: m.layer):
-        members = list(layer)
-        b.models.update(zip([m.name for m in members], together(build, members)))
+    try:
+        for _, layer in groupby(models, key=lambda m: m.layer):
+            members = list(layer)
+            b.models.update(zip([m.name for m in members], together(build, members)))
+        for m in models:
+            if not m.view:
+                path = f"{root}/{m.layer}/{m.name}"
+                replace_folder(spark, f"{run}/{m.layer}/{m.name}", path)
+                b.models[m.name] = spark.read.schema(b.models[m.name].schema).parquet(path)
+            b.models[m.name].createOrReplaceTempView(f"{views}{m.layer}_{m.name}")
+    finally:
+        delete_folder(spark, run)
     return b.models
 
 
@@ -131,7 +141,7 @@ def export_and_load(
     def stage(name: str) -> DataFrame:
         table = TABLES[name]
         path = write_raw(source[name], root, table, day)
-        rows = nothing_loaded(spark, table) if path is None else load_typed(spark, path, table)
+        rows = nothing_loaded(spark, table) if path is None else load_typed(spark, path, table, multi_line=table.raw_format != "json")
         write_loaded(
             rows,
             table,
@@ -190,8 +200,10 @@ def run_pipeline(
     """Run one day from source tables to marts below ``root`` and return the written report.
 
     Running a day again replaces what it wrote. Failed checks are reported; ``fail_on="warn"``
-    makes them stop the run after the models are built.
+    makes them stop the run after the models are built. Joins of lines rely on adaptive execution to
+    split hot orders, products and customers, so the session must have that on.
     """
+    require_skew_handling(spark)
     staged = export_and_load(spark, source, root, day, params)
     scratch = Scratch(spark)
     try:

@@ -26,6 +26,13 @@ SETTINGS = {
 }
 
 
+def require_skew_handling(spark: SparkSession) -> None:
+    """Raise if the session would leave a hot join key in one task."""
+    needed = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    if off := [key for key in needed if spark.conf.get(key, "true") != "true"]:
+        raise ValueError(f"set {', '.join(off)} to true")
+
+
 def partition_bytes(input_bytes: int) -> int:
     """Bytes per scan task: the usual size unless that would make too many tasks."""
     return max(PARTITION_BYTES, -(-input_bytes // MAX_PARTITIONS))

@@ -27,7 +27,7 @@ def source(spark):
         "products": products,
         "order_items": items,
         "orders": g.generate_orders(g.id_range(spark, 800), users, items, t.RUN_TS, scratch),
-        "events": g.generate_events(g.id_range(spark, 500), users, t.RUN_TS, scratch),
+        "events": g.generate_events(g.id_range(spark, 500), users, products, t.RUN_TS, scratch),
         "crm_contacts": t.contacts(spark),
     }
 
@@ -65,7 +65,7 @@ def test_marts_agree_with_the_fact(spark, run):
     last = performance.orderBy(F.col("revenue_rank").desc()).first()
     assert last.cumulative_revenue_pct == pytest.approx(1)
     assert performance.agg(F.sum("total_revenue")).first()[0] == revenue
-    assert spark.table("stg_orders").count() == 800
+    assert spark.table("staging_stg_orders").count() == 800
 
 
 def test_second_run_of_a_day_changes_nothing(spark, source, run):
@@ -93,15 +93,30 @@ def test_faults_are_reported_and_may_stop_the_run(spark, source, tmp_path):
         pipeline.run_pipeline(spark, faulty, str(tmp_path), DAY, t.PARAMS, fail_on="warn")
 
 
-def test_distributed_and_small_path_agree(spark, source):
-    from dataclasses import replace
+def test_a_failing_build_leaves_the_old_tables(spark, source, tmp_path):
+    staged = {**source, "orders": source["orders"].withColumn("_loaded_at", F.lit(None).cast("timestamp_ntz"))}
+    scratch, root = Scratch(spark), str(tmp_path)
+    before = pipeline.build_models(spark, staged, root, t.PARAMS, scratch)["fact_orders"].count()
+    broken = [*pipeline.MODELS[:-1], pipeline.Model("broken", "marts", lambda b: b.tables["no such table"])]
+    fewer = {**staged, "order_items": staged["order_items"].limit(1)}
+    with pytest.raises(KeyError):
+        pipeline.build_models(spark, fewer, root, t.PARAMS, scratch, broken)
+    assert spark.read.parquet(f"{root}/core/fact_orders").count() == before > 1
+    assert not list((tmp_path / "runs").iterdir())
 
-    results = []
-    for params in (t.PARAMS, replace(t.PARAMS, small_rows=0)):
-        scratch = Scratch(spark)
-        staged = {**source, "orders": source["orders"].withColumn("_loaded_at", F.lit(None).cast("timestamp_ntz"))}
-        models = pipeline.build_models(spark, staged, scratch.path("wh"), params, scratch)
-        results.append(
-            {n: sorted(models[n].collect(), key=str) for n in ("mart_customer_ltv", "mart_product_performance")}
-        )
-    assert results[0] == results[1]
+
+def test_runs_of_one_session_keep_their_views(spark, source, tmp_path):
+    staged = {**source, "orders": source["orders"].withColumn("_loaded_at", F.lit(None).cast("timestamp_ntz"))}
+    scratch = Scratch(spark)
+    pipeline.build_models(spark, staged, str(tmp_path / "a"), t.PARAMS, scratch, views="a_")
+    pipeline.build_models(spark, {**staged, "order_items": staged["order_items"].limit(1)}, str(tmp_path / "b"), t.PARAMS, scratch, views="b_")
+    assert spark.table("a_core_fact_orders").count() > 1 >= spark.table("b_core_fact_orders").count()
+
+
+def test_a_session_that_leaves_hot_keys_whole_is_refused(spark, source, tmp_path):
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="skewJoin"):
+            pipeline.run_pipeline(spark, source, str(tmp_path), DAY, t.PARAMS)
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -74,8 +74,8 @@ def test_metrics_are_aggregated_before_the_shuffle(models):
 
 
 @pytest.mark.parametrize("model", ["ltv", "performance"])
-def test_distributed_marts_gather_nothing(models, model):
-    shop, params = models["shop"], replace(PARAMS, small_rows=0)
+def test_marts_gather_nothing(models, model):
+    shop, params = models["shop"], PARAMS
     if model == "ltv":
         df = marts.mart_customer_ltv(models["dim_customers"], models["fact_orders"], params, shop.scratch)
     else:
@@ -106,6 +106,49 @@ def test_hot_keys_are_split_or_combined(spark, models):
     assert metrics.agg(F.sum("total_revenue")).first()[0] == fact.where("is_completed = 1").agg(F.sum("line_revenue")).first()[0]
 
 
+@pytest.fixture
+def eager_splits(spark):
+    """Limits that make the small test tables' hot partitions count as skewed."""
+    wanted = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    kept = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in kept.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_hot_join_keys_are_split(spark, models, eager_splits):
+    """Two thirds of all lines belong to one order; of the fact, to one product or one customer."""
+    keep = models["shop"].scratch.keep
+    hot = F.col("id") % 3 > 0
+    lines = models["order_items"]
+    items = keep(lines.withColumn("order_id", F.when(hot, 1).otherwise(F.col("order_id"))).repartition(8))
+    params = replace(PARAMS, start_date=PARAMS.start_date.replace(1990))
+    assert "skew=true" in final_plan(core.fact_orders(items, models["orders"], params))
+    for key in ("product_key", "customer_key"):
+        fact = models["fact_orders"].withColumn(key, F.when(F.col("order_item_key") % 3 > 0, 1).otherwise(F.col(key)))
+        fact = keep(fact.withColumn("is_completed", F.lit(1)).repartition(8))
+        overview = marts.mart_sales_overview(fact, models["dim_products"], models["dim_customers"])
+        assert "skew=true" in final_plan(overview), key
+
+
+def test_orders_are_aggregated_before_the_distinct_counts(models):
+    text = plan(marts.mart_sales_overview(models["fact_orders"], models["dim_products"], models["dim_customers"]))
+    below_expand = text[text.index("Expand"):]
+    assert "sum(line_revenue" in below_expand, "Expand sees one row per order, not per line"
+
+
 def test_no_python_in_the_plans(models):
     shop = models["shop"]
     for df in (shop.mart_sales_overview(), shop.mart_customer_ltv(), shop.mart_product_performance()):

@@ -1,14 +1,15 @@
-"""Every registered query against its SQL, and the flagship entry."""
+"""Every query of the library against its SQL, and the flagship entry."""
 
 from __future__ import annotations
 
 import pytest
 
 import __spark_entry__ as entry_points
+import query_set
 from compare import difference, duck
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = query_set.QUERIES, query_set.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -16,8 +17,9 @@ def con():
     return duck(FOLDER)
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
