@@ -303,7 +303,7 @@ def named_components(stars: DataFrame, classes: DataFrame, node: str, work: Scra
 SIMILAR_WORDS = 5
 SIMILARITY = 0.8
 # Candidates share a fingerprint of their single words, but for MAX_DISTANCE bits, in one of so many views.
-VIEWS = 2
+VIEWS = 4
 # A longer fingerprint of the shingles confirms them: of so many 64-bit words.
 LONG_WORDS = 8
 # Its differing bits grow with the angle between two texts; so much over the expected share is allowed for chance.
@@ -416,15 +416,17 @@ def similar_documents(
     )
 
 
-def verdicts(decided: DataFrame) -> DataFrame:
-    """What ``retain`` needs so that of each component the row with the smallest id stays (null ids last)."""
-    sizes = decided.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
-    many = decided.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("least")).where("size > 1")
-    named = sizes.join(many.withColumnRenamed("root", "of"), F.col("root") == F.col("of"))
-    keeper = named.where(F.col("doc_id").eqNullSafe(F.col("least"))).groupBy(F.col("of").alias("of_")).agg(F.min("text_hash").alias("keep_hash"))
-    judged = named.join(keeper, F.col("of") == F.col("of_"))
-    once = F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("text_hash") == F.col("keep_hash"))
-    return judged.withColumn("once", once).where("NOT once OR n > 1").select("doc_id", "text_hash", "n", "once")
+def verdicts(decided: DataFrame, work: Scratch) -> DataFrame:
+    """What ``retain`` needs so that of each component the row with the smallest id stays (null ids last).
+
+    ``decided`` is a written table. Of rows with the smallest id the smallest text_hash decides.
+    """
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
+    groups = decided.groupBy("root").agg(F.count(F.lit(1)).alias("size"), best.alias("best")).where("size > 1")
+    named = attach(decided, work.keep(groups, "groups"), ["root"], "size", decided.count())
+    once = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
+    judged = named.withColumn("once", once).groupBy("doc_id", "text_hash", "once").agg(F.count(F.lit(1)).alias("n"))
+    return judged.where("NOT once OR n > 1")
 
 
 def op8_simhash(docs: DataFrame, work: Scratch) -> DataFrame:

@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from basketry.llm import exact_dedup as e
+from basketry.llm.common import UPPER, retain
+
+LOW = str.maketrans({c: c.lower() for c in UPPER})
+
+
+def norm(text):
+    return (text or "").translate(LOW)
+
+
+def check(got, rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[norm(t)].append(i)
+    assert len(got) == len(rows)
+    kept = Counter()
+    for r in got:
+        kept[r.text_sha256] += r.kept
+    for text, ids in groups.items():
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        best = max((i for i in ids if i is not None), default=None)
+        own = [r for r in got if r.text_sha256 == digest]
+        assert sorted(map(str, (r.doc_id for r in own))) == sorted(map(str, ids))
+        assert {(r.keep_id, r.group_size) for r in own} == {(best, len(ids))}
+        assert kept[digest] == 1 and all(r.doc_id == best for r in own if r.kept)
+
+
+def test_equals_brute_force(docs, pairs, work):
+    check(e.op7_exact_dedup(docs, work).collect(), pairs)
+
+
+def test_odd_rows(odd_docs, odd_rows, work):
+    check(e.op7_exact_dedup(odd_docs, work).collect(), odd_rows)
+
+
+def test_no_rows(no_docs, work):
+    assert e.op7_exact_dedup(no_docs, work).count() == 0
+
+
+def test_only_survivors_are_read_whole(spark, work):
+    start = "s" * e.PREFIX_CHARS
+    rows = [(1, start + "a"), (2, start + "b"), (3, start + "a"), (4, "q" * 257), (5, "short")]
+    got = {r.doc_id: r for r in e.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), work).collect()}
+    assert {i for i, r in got.items() if r.text_sha256} == {1, 2, 3}
+    assert [got[i].keep_id for i in (1, 2, 3, 4, 5)] == [3, 2, 3, 4, 5]
+
+
+def test_a_group_with_a_third_of_all_rows(spark, work):
+    docs = spark.range(9000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.concat(F.lit("t"), "id")).alias("text")
+    )
+    got = e.op7_exact_dedup(docs, work)
+    assert got.where("kept").count() == 6001
+    assert {tuple(r) for r in got.where("doc_id % 3 = 0").select("keep_id", "group_size").distinct().collect()} == {(8997, 3000)}
+
+
+def test_retain_keeps_one_row_of_each_group_with_all_columns(odd_docs, odd_rows, work):
+    decided = work.keep(e.exact_dedup(odd_docs, work))
+    left = retain(odd_docs, work.keep(e.verdicts(decided)), decided.count())
+    assert left.columns == odd_docs.columns
+    rows = left.collect()
+    best = {}
+    for i, t in odd_rows:
+        best[norm(t)] = max((x for x in (i, best.get(norm(t))) if x is not None), default=None)
+    assert sorted((str(r.doc_id), norm(r.text)) for r in rows) == sorted((str(i), t) for t, i in best.items())

@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from basketry.llm import nearest as n
+
+SCHEMA = "vec_id long, embedding array<float>, label int, score string, rank string, ids string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, 1, "x", "y", "z") for i, v in rows], SCHEMA)
+
+
+def grouped(found):
+    out = defaultdict(list)
+    for r in sorted(found.collect(), key=lambda r: (r.query_id, r["rank"])):
+        assert r["rank"] == len(out[r.query_id]) + 1
+        out[r.query_id].append((r.vec_id, r.score))
+    return out
+
+
+def brute(rows, query, k=20):
+    vectors = dict(rows)
+    scores = [(-float(np.dot(np.array(v, float), np.array(vectors[query], float))), i) for i, v in rows if i != query]
+    return [(i, -s) for s, i in sorted(scores)[:k]]
+
+
+def test_recall_and_scores(spark, sf, work):
+    table = spark.read.parquet(f"{sf}/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in table.collect()]
+    got = grouped(n.op4_nearest(table, work))
+    assert set(got) == {i for i, _ in rows if i % 20 == 0}
+    hits = []
+    for q, found in got.items():
+        want = brute(rows, q)
+        hits.append(len({i for i, _ in found} & {i for i, _ in want}) / len(want))
+        vectors = dict(rows)
+        for i, s in found:
+            assert s == pytest.approx(float(np.dot(np.array(vectors[i], float), np.array(vectors[q], float))), abs=1e-12)
+    assert np.mean(hits) >= 0.9
+
+
+def test_norms_matter(spark, work):
+    rng = np.random.default_rng(1)
+    rows = [(i, (rng.normal(size=8) * rng.uniform(0.1, 5)).tolist()) for i in range(400)]
+    rows = [(i, np.float32(v).tolist()) for i, v in rows]
+    got = grouped(n.op4_nearest(frame(spark, rows), work))
+    hits = [len({i for i, _ in got[q]} & {i for i, _ in brute(rows, q)}) / 20 for q in got]
+    assert np.mean(hits) >= 0.9
+
+
+def test_unusable_vectors_take_no_part(spark, work):
+    good = [(i, [1.0, float(i % 7), 0.5]) for i in range(30)]
+    bad = [(100, None), (120, [0.0, 0.0, 0.0]), (140, [1.0, None, 1.0]), (160, [1.0, float("nan"), 1.0])]
+    bad += [(180, [1.0, float("inf"), 1.0]), (None, [1.0, 1.0, 1.0]), (200, [1.0, 2.0]), (220, [])]
+    got = grouped(n.op4_nearest(frame(spark, good + bad), work))
+    assert set(got) == {0, 20}
+    assert all(i < 30 for found in got.values() for i, _ in found)
+
+
+def test_few_rows_ties_and_repeated_rows(spark, work):
+    rows = [(i, [1.0, 0.0]) for i in range(50)] + [(20, [1.0, 0.0]), (60, [0.5, 0.0])]
+    got = grouped(n.op4_nearest(frame(spark, rows), work))
+    assert got[0] == [(i, 1.0) for i in range(1, 21)]
+    assert got[20] == [(i, 1.0) for i in [*range(20)]]
+    assert got[60] == [(i, 0.5) for i in range(20)]
+    small = grouped(n.op4_nearest(frame(spark, [(0, [1.0, 1.0]), (1, [2.0, 0.0])]), work))
+    assert small == {0: [(1, 2.0)]}
+
+
+def test_no_rows(spark, work):
+    assert n.op4_nearest(frame(spark, []), work).count() == 0
+    assert n.op4_nearest(frame(spark, [(0, None)]), work).count() == 0
+
+
+def test_hot_buckets_are_dealt_out_and_still_found(spark, work, monkeypatch):
+    monkeypatch.setattr(n, "BLOCK", 100)
+    rng = np.random.default_rng(2)
+    centre = rng.normal(size=6)
+    rows = [(i, np.float32(centre + rng.normal(size=6) * 1e-3).tolist()) for i in range(900)]
+    table = frame(spark, rows)
+    distinct = work.keep(n.distinct_vectors(n.usable(table, "vec_id", "embedding"), 20))
+    index = n.with_hot(n.fit(distinct), distinct, 900)
+    assert max(index.hot.values()) > 1
+    got = grouped(n.nearest(table, work, lambda i: i % 100 == 0))
+    hits = [len({i for i, _ in got[q]} & {i for i, _ in brute(rows, q)}) / 20 for q in got]
+    assert len(got) == 9 and np.mean(hits) >= 0.9
+
+
+def test_probes_come_in_order_of_success_and_reach_the_target():
+    values = np.random.default_rng(3).normal(size=(5, 4)) * 2
+    for (cells, chance), own in zip(n.probes(values, 1.1, 0.8), values, strict=True):
+        assert (np.diff(chance) <= 1e-15).all() and 0.8 <= chance.sum() < 1
+        assert (cells[0] == np.floor(own)).mean() > 0.4
+        assert len(np.unique(cells, axis=0)) == len(cells)
+
+
+def test_equal_vectors_are_one_entry(spark, work):
+    rows = [(i, [1.0, 2.0]) for i in range(500)]
+    entries = n.distinct_vectors(n.usable(frame(spark, rows), "vec_id", "embedding"), 20).select("ids", F.size("ids").alias("k")).collect()
+    assert [(r.ids, r.k) for r in entries] == [([*range(21)], 21)]

@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from basketry.llm import toxicity as t
+from basketry.llm.ngrams import hashed, per_text
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def made(spark, n=1200):
+    """Documents of common words; every eighth is insulted and labelled so."""
+    rng = np.random.default_rng(5)
+    words = "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima".split()
+    docs, labels = [], []
+    for i in range(n):
+        own = list(rng.choice(words, 40))
+        toxic = i % 8 == 0
+        if toxic:
+            for at in rng.integers(0, len(own), 3):
+                own.insert(int(at), "worthless")
+        docs.append((i, " ".join(own), "en", "s", 0))
+        labels.append((i, 1, int(toxic)))
+    return (
+        spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"),
+        spark.createDataFrame(labels, LABELS),
+    )
+
+
+def test_held_out_documents_are_told_apart(spark, work):
+    docs, labels = made(spark)
+    got = t.op5_toxicity(docs, labels, work).join(labels, "doc_id").where("held_out").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 4 == 2 for r in got) and len(got) > 200
+    assert sum(r.predicted == r.toxic for r in got) >= 0.99 * len(got)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+
+
+def test_labels_of_held_out_rows_are_not_used(spark, work):
+    docs, labels = made(spark, 600)
+    flipped = labels.withColumn("toxic", F.when(F.expr("crc32(cast(doc_id as string)) % 4 = 2"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    assert t.op5_toxicity(docs, labels, work).exceptAll(t.op5_toxicity(docs, flipped, work)).count() == 0
+
+
+def test_odd_rows_and_odd_labels(spark, odd_docs, odd_rows, work):
+    labels = spark.createDataFrame([(0, None, 1), (0, 1, 0), (None, 1, 1), (4, 1, None), (8, 1, 0), (9, 1, 0), (12, 0, 0), (999, 1, 1)], LABELS)
+    got = t.op5_toxicity(odd_docs, labels, work).collect()
+    assert len(got) == len(odd_rows) and all(0 <= r.score <= 1 for r in got)
+
+
+def test_one_class_or_none(spark, odd_docs, odd_rows, no_docs, work):
+    none = spark.createDataFrame([], LABELS)
+    assert {round(r.score, 6) for r in t.op5_toxicity(odd_docs, none, work).collect()} == {0.0}
+    clean = spark.createDataFrame([(i, 1, 0) for i in range(10)], LABELS)
+    assert {r.predicted for r in t.op5_toxicity(odd_docs, clean, work).collect()} == {0}
+    assert t.op5_toxicity(no_docs, clean, work).count() == 0
+
+
+def test_sample_is_bounded(spark, work):
+    docs, labels = made(spark, 600)
+    assert t.sample(docs, labels, 50).count() == 50
+
+
+def test_score_counts_presence_only():
+    weight = np.zeros(1 << t.WIDTH)
+    (feature, _), *_ = hashed(["worthless"], t.SIZES, t.WIDTH)
+    weight[feature[0]] = 2.0
+    once, twice, none = t.Model(-1.0, weight).score(["worthless", "worthless worthless", None])
+    assert once == twice > none
+
+
+def test_ngrams_stay_within_texts():
+    texts = ["ab", "", None, "xyz w", "é" * 50]
+    alone = [[sorted(f.tolist()) for f, _ in hashed([x], (1, 2, 5), 12)] for x in texts]
+    for k, (feature, counts) in enumerate(hashed(texts, (1, 2, 5), 12)):
+        parts = np.split(feature, np.cumsum(counts)[:-1])
+        assert [sorted(p.tolist()) for p in parts] == [a[k] for a in alone]
+        sums = per_text(feature.astype(float)[:, None], counts)[:, 0]
+        assert np.allclose(sums, [p.sum() for p in parts])
