@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from basketry.llm.common import append_columns, texts
+from basketry.llm.ngrams import SLICE_CHARS, segments
 
 # The characters with the property White_Space, which \s matches in the tokenizers' patterns.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -78,6 +79,11 @@ class Encoder:
 
     def __call__(self, batch: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        if any(len(t) > 2 * SLICE_CHARS for t in batch):
+            return [b"".join(self._ids([part])[0] for part in segments(t)) for t in batch]
+        return self._ids(batch)
+
+    def _ids(self, batch: list[str]) -> list[bytes]:
         out = []
         cut = [self.cut(t) for t in batch]
         looked_up = [list(map(self.known.get, pieces)) for pieces in cut]

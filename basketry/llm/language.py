@@ -66,7 +66,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = [t for t, of in zip(texts, langs[start:], strict=False) if of == lang]
                 total = totals.setdefault(lang, np.zeros(1 << WIDTH))
                 docs[lang] = docs.get(lang, 0) + len(own)
-                for feature, _ in hashed(own, SIZES, WIDTH):
+                for _, feature, _ in hashed(own, SIZES, WIDTH):
                     total += np.bincount(feature, minlength=1 << WIDTH)
     yield pa.RecordBatch.from_pydict(
         {"lang": list(totals), "docs": [docs[x] for x in totals], "counts": [t.tobytes() for t in totals.values()]},
@@ -97,7 +97,7 @@ def predict(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarra
     if not model.languages:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
     total = np.tile(model.log_prior, (len(texts), 1))
-    for feature, counts in hashed(texts, SIZES, WIDTH):
+    for _, feature, counts in hashed(texts, SIZES, WIDTH):
         total += per_text(model.log_prob[feature], counts)
     chance = np.exp(total - total.max(axis=1, keepdims=True))
     chance /= chance.sum(axis=1, keepdims=True)

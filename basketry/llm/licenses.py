@@ -171,9 +171,11 @@ class Scanner:
     def __call__(self, text: str | None) -> dict:
         """All columns of ``scan`` for one text."""
         data = (text or "").encode()
-        words = data.translate(WORD_BYTES).split()
+        spaced = b" " + data.translate(WORD_BYTES) + b" "
+        while b"  " in spaced:
+            spaced = spaced.replace(b"  ", b" ")
         # One character for each byte: the phrases are ASCII, so places and bounds are those of the bytes.
-        line = (b" " + b" ".join(words) + b" ").decode("latin-1")
+        line = spaced.decode("latin-1")
         base_at: list[int] = []
         base_labels: set[str] = set()
         labels: set[str] = set()
@@ -191,10 +193,10 @@ class Scanner:
                 for label in {name, family(name)} - {None}:
                     labels.add(label)
                     weights[label] = TAG_WEIGHT
-        spaces = np.flatnonzero(np.frombuffer(line.encode("latin-1"), dtype=np.uint8) == 32) if base_at else np.zeros(0, int)
+        spaces = np.flatnonzero(np.frombuffer(spaced, dtype=np.uint8) == 32) if base_at else np.zeros(0, int)
         starts = np.searchsorted(spaces, base_at)
         return {
-            "n_words": len(words),
+            "n_words": spaced.count(b" ") - 1,
             "n_base": len(base_at),
             "first_word": int(starts.min()) if base_at else None,
             "last_word": int(starts.max()) if base_at else None,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import SEED, append_columns, attach, texts
+from basketry.llm.ngrams import segments
 from basketry.scratch import Scratch
 
 WORDS = 3
@@ -31,23 +32,38 @@ SHINGLES_AT_ONCE = 1 << 18
 ROUNDS = 60
 
 
-def fingerprint(text: str | None, words: int = WORDS) -> int:
-    """The fingerprint as a signed 64-bit integer: a bit is 1 if it is set in over half the shingles' hashes.
+def shingle_hashes(text: str | None, words: int) -> Iterator[np.ndarray]:
+    """XXH64 of all shingles, each place of a shingle once, in arrays of bounded length.
 
-    A-Z count as a-z, words end at ASCII white space, shingles are ``words`` words in a row, each
-    place counts. With fewer words their whole sequence is the shingle; without any it is 0.
+    A-Z count as a-z, words end at ASCII white space, a shingle is ``words`` words in a row. With fewer
+    words their whole sequence is the shingle; without any there is none.
     """
-    found = (text or "").encode().lower().split()
-    if not found:
-        return 0
-    last = max(len(found) - words + 1, 1)
-    ones = np.zeros(BITS, dtype=np.int64)
-    for at in range(0, last, SHINGLES_AT_ONCE):
-        part = found[at : at + SHINGLES_AT_ONCE + words - 1]
-        shingles = map(b" ".join, zip(*(part[i:] for i in range(words)), strict=False)) if len(part) >= words else [b" ".join(part)]
-        hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], dtype="<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > last, bitorder="little").view("<i8")[0])
+    held: list[bytes] = []
+    short = True
+    for part in segments(text or ""):
+        held += part.encode().lower().split()
+        while len(held) >= words:
+            own = held[: SHINGLES_AT_ONCE + words - 1]
+            shingles = own if words == 1 else map(b" ".join, zip(*(own[i:] for i in range(words)), strict=False))
+            yield np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], dtype="<u8")
+            held = held[len(own) - words + 1 :]
+            short = False
+    if short and held:
+        yield np.array([xxhash.xxh64_intdigest(b" ".join(held), SEED)], dtype="<u8")
+
+
+def ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def fingerprint(text: str | None, words: int = WORDS) -> int:
+    """The fingerprint as a signed 64-bit integer: a bit is 1 if it is set in over half the shingles' hashes; 0 without words."""
+    total, n = np.zeros(BITS, dtype=np.int64), 0
+    for hashes in shingle_hashes(text, words):
+        total += ones(hashes)
+        n += len(hashes)
+    return int(np.packbits(2 * total > n, bitorder="little").view("<i8")[0])
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -326,23 +342,15 @@ def mixed(hashes: np.ndarray, view: int) -> np.ndarray:
 
 def signature(text: str | None, words: int = SIMILAR_WORDS) -> bytes:
     """``VIEWS`` fingerprints of the words, then a long one of the shingles; all zero without a word."""
-    found = (text or "").encode().lower().split()
-    views = [(1, v) for v in range(VIEWS)] + [(words, v) for v in range(LONG_WORDS)]
-    if not found:
-        return bytes(8 * len(views))
-    ones = np.zeros((len(views), BITS), dtype=np.int64)
-    count = {size: max(len(found) - size + 1, 1) for size in (1, words)}
-    for size in (1, words):
-        for at in range(0, count[size], SHINGLES_AT_ONCE):
-            part = found[at : at + SHINGLES_AT_ONCE + size - 1]
-            shingles = map(b" ".join, zip(*(part[i:] for i in range(size)), strict=False)) if len(part) >= size else [b" ".join(part)]
-            hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], dtype="<u8")
-            for k, (of, view) in enumerate(views):
-                if of == size:
-                    bits = np.unpackbits(mixed(hashes, view).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                    ones[k] += bits.sum(axis=0, dtype=np.int64)
-    half = np.array([[count[size]] for size, _ in views])
-    return np.packbits(2 * ones > half, bitorder="little").tobytes()
+    out = []
+    for size, views in ((1, VIEWS), (words, LONG_WORDS)):
+        total, n = np.zeros((views, BITS), dtype=np.int64), 0
+        for hashes in shingle_hashes(text, size):
+            for view in range(views):
+                total[view] += ones(mixed(hashes, view))
+            n += len(hashes)
+        out.append(np.packbits(2 * total > n, bitorder="little").tobytes())
+    return b"".join(out)
 
 
 def _similar_leaf(limit: int):

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from basketry.llm.bpe import share_file
 from basketry.llm.common import append_columns, texts
+from basketry.llm.ngrams import SLICE_CHARS, segments
 
 SPACE_MARK = "▁"
 # A character that no piece holds costs this much more than the rarest piece, and a token for each of its bytes.
@@ -106,6 +107,12 @@ class Model:
         self.best: dict[str, float] = {}
 
     def __call__(self, batch: list[str | None]) -> dict[str, list]:
+        if any(t is not None and len(t) > 2 * SLICE_CHARS for t in batch):
+            parts = [self._counts(list(segments(t or ""))) for t in batch]
+            return {name: [math.fsum(p[name]) if name == "log_prob" else sum(p[name]) for p in parts] for name in parts[0]}
+        return self._counts(batch)
+
+    def _counts(self, batch: list[str | None]) -> dict[str, list]:
         words = [(t or "").split() for t in batch]
         fresh = set().union(*words) - self.tokens.keys()
         marked = {SPACE_MARK + w for w in fresh}

@@ -34,12 +34,14 @@ class Model:
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         margin = np.full(len(texts), self.bias)
-        for feature, counts in hashed(texts, SIZES, WIDTH):
-            weight = self.weight[feature]
-            telling = np.flatnonzero(weight)
-            # Presence counts, not frequency: each n-gram once per text.
+        found: dict[int, list[np.ndarray]] = {}
+        for size, feature, counts in hashed(texts, SIZES, WIDTH):
+            telling = np.flatnonzero(self.weight[feature])
             owner = np.repeat(np.arange(len(texts), dtype=np.int64), counts)[telling]
-            pair = np.unique((owner << WIDTH) | feature[telling])
+            found.setdefault(size, []).append(np.unique((owner << WIDTH) | feature[telling]))
+        for pairs in found.values():
+            # Presence counts, not frequency: each n-gram once per text.
+            pair = np.unique(np.concatenate(pairs))
             np.add.at(margin, pair >> WIDTH, self.weight[pair & ((1 << WIDTH) - 1)])
         return 1 / (1 + np.exp(-margin))
 
@@ -64,7 +66,7 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = LABELLED_DOCS) -> Dat
 
 
 def _presence(text: str | None) -> np.ndarray:
-    return np.unique(np.concatenate([f for f, _ in hashed([text], SIZES, WIDTH)]))
+    return np.unique(np.concatenate([np.unique(f) for _, f, _ in hashed([text], SIZES, WIDTH)]))
 
 
 def _doc_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

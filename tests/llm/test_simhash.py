@@ -9,6 +9,7 @@ import xxhash
 
 from basketry.llm import simhash as s
 from basketry.llm.common import retain
+from basketry.llm.ngrams import segments
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -141,3 +142,12 @@ def test_retain_keeps_the_smallest_id_of_each_group(odd_docs, odd_rows, work):
     assert left.columns == odd_docs.columns
     want = sorted(str(min((i for i in ids if i is not None), default=None)) for ids in groups.values())
     assert sorted(str(r.doc_id) for r in left.collect()) == want
+
+
+def test_long_texts_are_hashed_in_parts(monkeypatch):
+    text = "  ".join(f"Word{k % 97}" for k in range(3000))
+    whole = s.fingerprint(text), s.signature(text)
+    assert whole[0] & (1 << 64) - 1 == brute_print(text)
+    monkeypatch.setattr(s, "SHINGLES_AT_ONCE", 50)
+    monkeypatch.setattr(s, "segments", lambda t: segments(t, 90))
+    assert (s.fingerprint(text), s.signature(text)) == whole

@@ -65,16 +65,31 @@ def test_sample_is_bounded(spark, work):
 
 def test_score_counts_presence_only():
     weight = np.zeros(1 << t.WIDTH)
-    (feature, _), *_ = hashed(["worthless"], t.SIZES, t.WIDTH)
+    (_, feature, _), *_ = hashed(["worthless"], t.SIZES, t.WIDTH)
     weight[feature[0]] = 2.0
     once, twice, none = t.Model(-1.0, weight).score(["worthless", "worthless worthless", None])
     assert once == twice > none
 
 
+def test_very_long_texts_are_worked_on_in_parts(monkeypatch):
+    from basketry.llm import ngrams
+
+    text = " ".join(f"w{k}" for k in range(900))
+    whole = {size: sorted(f.tolist()) for size, f, _ in hashed([text], (1, 3, 6), 14)}
+    monkeypatch.setattr(ngrams, "SLICE_CHARS", 500)
+    parts: dict[int, list[int]] = {}
+    for size, feature, counts in hashed([text], (1, 3, 6), 14):
+        assert len(feature) == counts.sum() <= 500
+        parts.setdefault(size, []).extend(feature.tolist())
+    assert {size: sorted(f) for size, f in parts.items()} == whole
+    cut = list(ngrams.segments(text, 100))
+    assert "".join(cut) == text and len(cut) > 30 and all(c[0] == " " for c in cut[1:])
+
+
 def test_ngrams_stay_within_texts():
     texts = ["ab", "", None, "xyz w", "é" * 50]
-    alone = [[sorted(f.tolist()) for f, _ in hashed([x], (1, 2, 5), 12)] for x in texts]
-    for k, (feature, counts) in enumerate(hashed(texts, (1, 2, 5), 12)):
+    alone = [[sorted(f.tolist()) for _, f, _ in hashed([x], (1, 2, 5), 12)] for x in texts]
+    for k, (_, feature, counts) in enumerate(hashed(texts, (1, 2, 5), 12)):
         parts = np.split(feature, np.cumsum(counts)[:-1])
         assert [sorted(p.tolist()) for p in parts] == [a[k] for a in alone]
         sums = per_text(feature.astype(float)[:, None], counts)[:, 0]
