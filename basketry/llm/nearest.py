@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.llm.common import SEED
 from basketry.scratch import Scratch
@@ -110,14 +111,20 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     values = column.flatten().to_numpy(zero_copy_only=False)
-    return values.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+    return values.astype(np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def vector_type(vectors: DataFrame, vector_col: str) -> str:
+    """Single precision stays as it is, to move half as much; sums are in double precision anyway."""
+    kind = vectors.select(vector_col).schema[0].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    return "array<float>" if single else "array<double>"
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id and vector (doubles) of the rows that take part."""
-    rows = vectors.select(
-        F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")
-    )
+    """vec_id and vector of the rows that take part."""
+    kind = vector_type(vectors, vector_col)
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind).alias("vector"))
     finite = F.forall("vector", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).where(
         finite & F.exists("vector", lambda x: x != 0)
@@ -141,7 +148,7 @@ def distinct_vectors(rows: DataFrame, neighbours: int) -> DataFrame:
 
 def fit(distinct: DataFrame, neighbours: int = NEIGHBOURS) -> Index | None:
     """Choose hashes and learn the neighbours' distance from a bounded sample; None without vectors."""
-    size = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
+    size = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     n, largest = distinct.agg(F.count(F.lit(1)), F.max(F.sqrt(size))).first()
     if not n:
         return None
@@ -185,8 +192,8 @@ def with_hot(index: Index, distinct: DataFrame, n: int) -> Index:
     return Index(index.largest, index.distance, index.direction, index.shift, index.blocks, hot)
 
 
-def _place_vectors(index: Index):
-    schema = pa.schema([("block", pa.int64()), ("code", pa.int64()), ("vector", pa.list_(pa.float64())), ("ids", pa.list_(pa.int64()))])
+def _place_vectors(index: Index, element: pa.DataType):
+    schema = pa.schema([("block", pa.int64()), ("code", pa.int64()), ("vector", pa.list_(element)), ("ids", pa.list_(pa.int64()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,8 +212,8 @@ def _place_vectors(index: Index):
     return work
 
 
-def _place_queries(index: Index, target: float):
-    schema = pa.schema([("block", pa.int64()), ("query_id", pa.int64()), ("vector", pa.list_(pa.float64())), ("codes", pa.list_(pa.int64()))])
+def _place_queries(index: Index, target: float, element: pa.DataType):
+    schema = pa.schema([("block", pa.int64()), ("query_id", pa.int64()), ("vector", pa.list_(element)), ("codes", pa.list_(pa.int64()))])
     alone = 1 - (1 - target) ** (1 / TABLES)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +236,7 @@ def _place_queries(index: Index, target: float):
                         [
                             pa.array(table * index.blocks + own),
                             pa.array([queries[row]] * n, pa.int64()),
-                            pa.array([vectors[row]] * n, pa.list_(pa.float64())),
+                            pa.array([vectors[row]] * n, pa.list_(pa.float64())).cast(pa.list_(element)),
                             pa.array(parts, pa.list_(pa.int64())),
                         ],
                         schema=schema,
@@ -307,9 +314,11 @@ def nearest(
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = with_hot(index, distinct, distinct.count())
-    held = distinct.mapInArrow(_place_vectors(index), "block long, code long, vector array<double>, ids array<long>")
+    kind = vector_type(rows, "vector")
+    element = pa.float32() if kind == "array<float>" else pa.float64()
+    held = distinct.mapInArrow(_place_vectors(index, element), f"block long, code long, vector {kind}, ids array<long>")
     queries = rows.where(query_filter(F.col("vec_id"))).dropDuplicates(["vec_id", "vector"])
-    queries = queries.mapInArrow(_place_queries(index, target), "block long, query_id long, vector array<double>, codes array<long>")
+    queries = queries.mapInArrow(_place_queries(index, target, element), f"block long, query_id long, vector {kind}, codes array<long>")
     found = (
         held.groupBy("block")
         .cogroup(queries.groupBy("block"))
