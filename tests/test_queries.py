@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry_points
@@ -31,3 +36,13 @@ def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns[0] == "customer_key" and df.columns[-1] == "churn_risk"
     assert df.count() > 0
+
+
+def test_the_library_works_without_its_training_data_part(tmp_path):
+    root = Path(entry_points.__file__).parent
+    shutil.copytree(root / "basketry", tmp_path / "basketry", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "query_set.py", "oracle.py"):
+        shutil.copy(root / name, tmp_path)
+    code = "import __spark_entry__ as e; print(*sorted(e.queries()))"
+    told = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert told.stdout.split() == sorted(QUERIES)
