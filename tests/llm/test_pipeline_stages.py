@@ -3,8 +3,11 @@ from __future__ import annotations
 import __spark_entry__ as entry
 import corpus_pipeline as cp
 import pytest
+from compare import difference, duck
 from pyspark.sql import functions as F
 
+from basketry.llm import queries as llm_queries
+
 OPERATORS = {f"op{n}" for n in range(1, 11)}
 
 
@@ -13,6 +16,11 @@ def test_all_operators_and_the_pipeline_are_registered():
     assert {n.split("_")[0] for n in names if n.startswith("op")} == OPERATORS and "pipeline" in names
 
 
+@pytest.mark.parametrize("name", sorted(llm_queries.ORACLES))
+def test_sql_gives_the_same_rows(spark, sf, name):
+    assert difference(spark, duck(sf), llm_queries.QUERIES[name], llm_queries.ORACLES[name], sf) is None
+
+
 @pytest.fixture
 def folder(spark, odd_docs, tmp_path):
     """The odd documents with labels, as a data folder."""
