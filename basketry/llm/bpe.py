@@ -24,7 +24,7 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 BEFORE_SPACE = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
 # Cut pieces come again and again; the ids of so many are remembered by a worker process, if short.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 LONGEST_REMEMBERED = 48
 ENCODED_AT_ONCE = 20_000
 ID = np.dtype("<u4")

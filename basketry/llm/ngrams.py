@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 # A slice of an Arrow batch is worked on at once; it holds so many characters or a single text.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 400_000
 BORDER = re.compile(r"\S(?=[ \t\n\r\f\v])")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 

@@ -15,7 +15,7 @@ SPACE_MARK = "▁"
 # A character that no piece holds costs this much more than the rarest piece, and a token for each of its bytes.
 UNKNOWN_PENALTY = 10.0
 # Pre-tokens come again and again; a worker process remembers the counts of so many, if short.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 LONGEST_REMEMBERED = 48
 
 
