@@ -44,9 +44,14 @@ class Index:
     blocks: int
     hot: dict[tuple[int, int], int]  # (table, bucket) -> blocks it is dealt out over
 
-    @property
-    def hashes(self) -> int:
-        return self.shift.shape[1]
+    def parts(self, table: int, code: np.ndarray) -> np.ndarray:
+        """Over how many blocks each bucket is dealt out: 1 for all but the hot ones."""
+        own = sorted((c, p) for (of, c), p in self.hot.items() if of == table)
+        if not own:
+            return np.ones(len(code), dtype=np.int64)
+        codes, parts = np.array(own, dtype=np.int64).T
+        at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+        return np.where(codes[at] == code, parts[at], 1)
 
 
 def stored(vectors: np.ndarray, largest: float) -> np.ndarray:
@@ -68,10 +73,10 @@ def pack(cells: np.ndarray) -> np.ndarray:
     return code
 
 
-def home(code: np.ndarray, blocks: int) -> np.ndarray:
-    """The block of a bucket within its table."""
+def home(code: np.ndarray, blocks: int | np.ndarray) -> np.ndarray:
+    """The block of a bucket within its table: a number below ``blocks``."""
     mixed = code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
+    return (mixed >> np.uint64(32)).astype(np.int64) % blocks
 
 
 def normal_below(x: np.ndarray) -> np.ndarray:
@@ -201,11 +206,10 @@ def _place_vectors(index: Index, element: pa.DataType):
             for table in range(TABLES):
                 code = buckets(vectors, index, table)
                 block = home(code, index.blocks)
-                for (of, bucket), parts in index.hot.items():
-                    if of == table:
-                        at = np.flatnonzero(code == bucket)
-                        first = np.array([batch.column("ids")[int(i)][0].as_py() for i in at], dtype=np.int64)
-                        block[at] = (block[at] + home(first, parts)) % index.blocks
+                parts = index.parts(table, code)
+                at = np.flatnonzero(parts > 1)
+                first = np.array([batch.column("ids")[int(i)][0].as_py() for i in at], dtype=np.int64)
+                block[at] = (block[at] + home(first, parts[at])) % index.blocks
                 arrays = [pa.array(table * index.blocks + block), pa.array(code), batch.column("vector"), batch.column("ids")]
                 yield pa.RecordBatch.from_arrays([a.cast(f.type) for a, f in zip(arrays, schema, strict=True)], schema=schema)
 
@@ -224,10 +228,10 @@ def _place_queries(index: Index, target: float, element: pa.DataType):
                 for row, (cells, _) in enumerate(probes(values, index.distance, alone)):
                     code = pack(cells)
                     block = home(code, index.blocks)
-                    for part in range(1, max([0, *(p for (of, _), p in index.hot.items() if of == table)])):
-                        again = np.array([index.hot.get((table, int(c)), 1) > part for c in code[: len(cells)]])
-                        code = np.concatenate([code, code[: len(cells)][again]])
-                        block = np.concatenate([block, (home(code[: len(cells)], index.blocks)[again] + part) % index.blocks])
+                    # All blocks of a hot bucket are visited.
+                    times = index.parts(table, code)
+                    step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                    code, block = np.repeat(code, times), (np.repeat(block, times) + step) % index.blocks
                     order = np.argsort(block, kind="stable")
                     own, starts = np.unique(block[order], return_index=True)
                     parts = np.split(code[order], starts[1:])
