@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import SEED, append_columns, attach, texts
+from basketry.llm.common import SEED, append_columns, attach, bits, flagged, texts
 from basketry.llm.ngrams import segments
 from basketry.scratch import Scratch
 
@@ -157,11 +157,10 @@ def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
 
 
-def components(prints: np.ndarray, reach: int = MAX_DISTANCE, confirm: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+def components(prints: np.ndarray, reach: int = MAX_DISTANCE) -> np.ndarray:
     """For each fingerprint the position of the first one in the same component, by a tree over them.
 
     Pairs on either side of a vantage point's border are compared only if both lie near it.
-    ``confirm`` says which pairs (two arrays of positions) within reach are links; without it all are.
     """
     parent = np.arange(len(prints))
     rng = np.random.default_rng(SEED)
@@ -171,13 +170,7 @@ def components(prints: np.ndarray, reach: int = MAX_DISTANCE, confirm: Callable[
             for bt in range(0, len(b), BLOCK):
                 left, right = a[at : at + BLOCK], b[bt : bt + BLOCK]
                 i, j = np.nonzero(distance(prints[left][:, None], prints[right][None, :]) <= reach)
-                i, j = left[i], right[j]
-                if confirm is not None:
-                    apart = roots(parent, i) != roots(parent, j)
-                    i, j = i[apart], j[apart]
-                    sure = confirm(i, j)
-                    i, j = i[sure], j[sure]
-                unite(parent, i, j)
+                unite(parent, left[i], right[j])
 
     def border(a: np.ndarray) -> tuple[np.ndarray, int] | None:
         """Distances to a vantage point and a radius with enough of ``a`` on either side."""
@@ -318,108 +311,233 @@ def named_components(stars: DataFrame, classes: DataFrame, node: str, work: Scra
 # Similar texts, by the rule of near-duplicate stages: words of a shingle and least similarity (Jaccard) of the texts.
 SIMILAR_WORDS = 5
 SIMILARITY = 0.8
-# Candidates share a fingerprint of their single words, but for MAX_DISTANCE bits, in one of so many views.
-VIEWS = 4
-# A longer fingerprint of the shingles confirms them: of so many 64-bit words.
-LONG_WORDS = 8
-# Its differing bits grow with the angle between two texts; so much over the expected share is allowed for chance.
-ALLOWANCE = 0.01
+# Shingles are ordered by rarity. So many documents at most tell which are common: those of which that many of them
+# have a shingle, and so many shingles at most. All others count as equally rare; any order finds the same pairs.
+COMMON_SAMPLE, COMMON_LEAST, COMMON = 20_000, 3, 100_000
+# A shingle's holders are compared in blocks of so many.
+HOLDERS = 2048
+# Before all that are not connected yet, each holder is compared with so many others.
+FEW = 4
+# Bits of a text's parities, a lower bound on what two texts don't share.
+PARITIES = 512
 
 
-def longest_distance(similarity: float = SIMILARITY) -> int:
-    """Differing bits of two long fingerprints at this similarity: texts of one length have a cosine of 2s / (1 + s)."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi + ALLOWANCE
-    return int(share * LONG_WORDS * BITS)
+def signature(text: str | None, words: int = SIMILAR_WORDS) -> bytes:
+    """The distinct hashes of the text's shingles in ascending order, 8 bytes each; empty without a word."""
+    own = [np.unique(hashes) for hashes in shingle_hashes(text, words)]
+    return np.unique(np.concatenate([np.zeros(0, dtype="<u8"), *own])).tobytes()
 
 
-def mixed(hashes: np.ndarray, view: int) -> np.ndarray:
-    """Other hashes of the same things, independent for each view."""
-    h = hashes ^ np.uint64(0x9E3779B97F4A7C15 * (view + 1) & (1 << 64) - 1)
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> np.uint64(33))
+def ratio(similarity: float) -> tuple[int, int]:
+    """The similarity as a fraction, so that no rounding decides about a pair right at the limit."""
+    share = Fraction(similarity).limit_denominator(1_000_000)
+    return share.numerator, share.denominator
 
 
-def signature(text: str | None, words: int = SIMILAR_WORDS) -> bytes:
-    """``VIEWS`` fingerprints of the words, then a long one of the shingles; all zero without a word."""
-    out = []
-    for size, views in ((1, VIEWS), (words, LONG_WORDS)):
-        total, n = np.zeros((views, BITS), dtype=np.int64), 0
-        for hashes in shingle_hashes(text, size):
-            for view in range(views):
-                total[view] += ones(mixed(hashes, view))
-            n += len(hashes)
-        out.append(np.packbits(2 * total > n, bitorder="little").tobytes())
-    return b"".join(out)
-
-
-def _similar_leaf(limit: int):
-    def work(leaf: pa.Table) -> pa.Table:
-        nodes = leaf.column("node").to_numpy()
-        order = np.argsort(nodes, kind="stable")
-        nodes = nodes[order]
-        prints = leaf.column("print").to_numpy().view(np.uint64)[order]
-        long = np.frombuffer(b"".join(leaf.column("long").to_pylist()), dtype="<u8").reshape(len(nodes), -1)[order]
-        confirm = lambda i, j: np.bitwise_count(long[i] ^ long[j]).sum(axis=1) <= limit
-        first = components(prints, MAX_DISTANCE, confirm)
-        linked = first != np.arange(len(nodes))
-        return pa.table({"a": nodes[linked], "b": nodes[first[linked]]})
+def common_shingles(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Common shingles of a sample of ``rows`` in ascending order, and each one's place among them, the commonest last."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(signature(text.as_py(), words), "<i8"))], ["shingle"])
+
+    share = min(1.0, COMMON_SAMPLE / max(rows.count(), 1)) * (1 << 31)
+    sample = rows.where(F.pmod(F.xxhash64(F.lit("common"), "text_hash", "doc_id"), F.lit(1 << 31)) < share)
+    counts = sample.select("text").mapInArrow(shingles, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.where(F.col("n") >= COMMON_LEAST).orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
+    common = np.array([r.shingle for r in reversed(found)], dtype="<i8").view("<u8")
+    order = np.argsort(common)
+    return common[order], order + 1
+
+
+def prefix(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: tuple[int, int]) -> np.ndarray:
+    """So many of the rarest shingles, rarest first, that two texts of the least similarity share one of them.
+
+    Of n shingles they share at least the least similarity times n, so a shared one is among the others plus one.
+    """
+    n, (part, of) = len(shingles), least
+    if not n:
+        return shingles
+    known, place = common
+    rank = np.zeros(n, dtype=np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        rank = np.where(known[at] == shingles, place[at], 0)
+    return shingles[np.lexsort((shingles, rank))[: n - -(-n * part // of) + 1]]
+
+
+def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each prefix: who holds it, of how many shingles in all, and at which place of the order."""
+    for batch in batches:
+        own = [np.frombuffer(p, dtype="<i8") for p in batch.column("prefix").to_pylist()]
+        counts = [len(p) for p in own]
+        columns = [
+            np.concatenate([np.zeros(0, dtype="<i8"), *own]),
+            np.repeat(batch.column("node").to_numpy(), counts),
+            np.repeat(batch.column("size").to_numpy(), counts),
+            np.concatenate([np.zeros(0, dtype=np.int64), *map(np.arange, counts)]),
+        ]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["shingle", "node", "size", "place"])
+
+
+def _alike(least: tuple[int, int]):
+    part, of = least
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column("own"), batch.column("other"), strict=True):
+                a, b = np.frombuffer(a.as_buffer(), dtype="<u8"), np.frombuffer(b.as_buffer(), dtype="<u8")
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                keep.append(both * of >= part * (len(a) + len(b) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return work
+
+
+def parity(shingles: np.ndarray) -> bytes:
+    """Of the hashes with each remainder by ``PARITIES``, whether their number is odd.
+
+    Two of these differ in no more bits than there are shingles that only one of two texts has.
+    """
+    return np.packbits(np.bincount((shingles % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1).tobytes()
+
+
+def _maybe_alike(least: tuple[int, int]):
+    part, of = least
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, odd = 0, []
+            for side in ("own", "other"):
+                sketch = batch.column(side)
+                size = size + sketch.field("size").to_numpy()
+                odd.append(np.frombuffer(b"".join(sketch.field("parity").to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1))
+            apart = np.bitwise_count(odd[0] ^ odd[1]).sum(axis=1, dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(apart * (of + part) <= size * (of - part)))
 
     return work
 
 
+def alike(pairs: DataFrame, rows: DataFrame, classes: DataFrame, work: Scratch, least: tuple[int, int], words: int) -> DataFrame:
+    """Those of the written pairs (a, b) of nodes whose texts have the least similarity, by all their distinct shingles.
+
+    Parities refuse most others without a text. Only texts that some pair still asks for are hashed again and shuffled.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text"):
+                own = signature(text.as_py(), words)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([xxhash.xxh3_128_digest(own)], pa.binary()), pa.array([own], pa.binary())], names=["key", "shingles"]
+                )
+
+    def asked(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("asks"))
+        return work.keep(nodes.join(classes.select("node", "key", "text_hash", "size", "parity"), "node"), "asked")
+
+    def sided(pairs: DataFrame, held: DataFrame, value: str, total: int) -> DataFrame:
+        own = held.select(F.col("node").alias("a"), "asks", F.col(value).alias("own"))
+        other = held.select(F.col("node").alias("b"), "asks", F.col(value).alias("other"))
+        half = work.keep(attach(pairs, own, ["a"], "asks", total).drop("asks"), "half")
+        return attach(half, other, ["b"], "asks", total).drop("asks")
+
+    sketched = asked(pairs).select("node", "asks", F.struct("size", "parity").alias("sketch"))
+    close = sided(pairs, sketched, "sketch", pairs.count()).mapInArrow(_maybe_alike(least), "a long, b long")
+    close = work.keep(close, "close")
+    nodes = asked(close)
+    maybe = flagged(rows, F.col("text_hash"), bits(nodes, "text_hash"), "_maybe").where("_maybe")
+    made = maybe.select("text").mapInArrow(sets, "key binary, shingles binary")
+    held = made.join(nodes.select("node", "asks", "key"), "key").groupBy("node", "asks").agg(F.first("shingles").alias("shingles"))
+    found = sided(close, work.keep(held, "sets"), "shingles", close.count())
+    return work.keep(found.mapInArrow(_alike(least), "a long, b long"), "alike")
+
+
+def candidates(met: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Distinct pairs (a, b), a > b, of two holders l and r of a shingle, without those that can't be similar.
+
+    Lengths may differ too much, or too few shingles are left from the shared one on. The first one they
+    share always lets a similar pair pass.
+    """
+    part, of = least
+    long_enough = f"least(l.size, r.size) * {of} >= greatest(l.size, r.size) * {part}"
+    enough_left = f"least(l.size - l.place, r.size - r.place) * {part + of} >= (l.size + r.size) * {part}"
+    met = met.where(f"{long_enough} AND {enough_left}")
+    return met.select(F.expr("greatest(l.node, r.node)").alias("a"), F.expr("least(l.node, r.node)").alias("b")).distinct()
+
+
 def similar_documents(
     docs: DataFrame, work: Scratch, similarity: float = SIMILARITY, words: int = SIMILAR_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, text_hash, root, component_id of every row: components of texts with similar shingles.
 
-    The rule is a Jaccard similarity of the shingles of ``similarity`` or more, as a long SimHash
-    estimates it. A changed word changes ``words`` shingles but one word, so candidates are found by
-    fingerprints of single words: a vantage-point tree for each view finds all that differ in
-    MAX_DISTANCE bits or fewer, and the long fingerprint decides. Texts that are less alike than the
-    rule are rarely linked; of those that are more alike, some that no view brings together are missed.
+    Two texts are linked exactly if the Jaccard similarity of their distinct shingles (as 64-bit hashes)
+    is ``similarity`` or more; no pair is estimated and none is lost. Texts so alike share one of the
+    rarest shingles of each (a prefix of its shingles in an order all texts have in common), so holders
+    of the same one are the candidates. First each is compared with a few other holders; then all holders
+    are compared that are not connected yet, so a large group of copies need not cost its square.
     Null, empty and blank texts are equal; ids may repeat or be null.
     """
-
-    def columns(batch: list[str | None]) -> dict[str, list[bytes]]:
-        return {"signature": [signature(t, words) for t in batch]}
-
+    least = ratio(similarity)
     rows = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    signed = append_columns(rows, columns, "signature binary", drop_text=True)
-    signed = work.keep(signed.withColumn("tag", F.monotonically_increasing_id()), "signatures")
-    classes = signed.groupBy("signature").agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), F.min("tag").alias("node")
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(rows, words))
+
+    def columns(batch: list[str | None]) -> dict[str, list]:
+        own = [np.frombuffer(signature(t, words), dtype="<u8") for t in batch]
+        return {
+            "key": [xxhash.xxh3_128_digest(s.tobytes()) for s in own],
+            "size": [len(s) for s in own],
+            "prefix": [prefix(s, common.value, least).tobytes() for s in own],
+            "parity": [parity(s) for s in own],
+        }
+
+    signed = append_columns(rows, columns, "key binary, size long, prefix binary, parity binary", drop_text=True)
+    signed = work.keep(signed.withColumn("node", F.monotonically_increasing_id()), "signatures")
+    classes = signed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.min(of).alias(name) for name, of in (("first", "doc_id"), *((c, c) for c in ("node", "text_hash", "size", "parity")))],
     )
     classes = work.keep(classes, "classes")
-    spark, total = docs.sparkSession, classes.count()
-    share = min(1.0, 1.5 * SAMPLE / max(total, 1)) * (1 << 31)
-    drawn = F.pmod(F.xxhash64(F.lit("vantage"), "signature"), F.lit(1 << 31))
-    sample = [r.signature for r in classes.where(drawn < share).select("signature").orderBy(drawn).limit(SAMPLE).collect()]
-    heads = np.array([np.frombuffer(s[: 8 * VIEWS], dtype="<u8") for s in sample], dtype=np.uint64).reshape(-1, VIEWS)
-    trees = spark.sparkContext.broadcast([build(heads[:, v], total) for v in range(VIEWS)])
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            whole = np.frombuffer(b"".join(batch.column("signature").to_pylist()), dtype="<u8").reshape(batch.num_rows, -1)
-            nodes = batch.column("node").to_numpy()
-            for v, tree in enumerate(trees.value):
-                leaf, at = place(np.ascontiguousarray(whole[:, v]), tree)
-                long = [whole[i, VIEWS:].tobytes() for i in at]
-                arrays = [leaf * VIEWS + v, whole[at, v].view(np.int64), nodes[at]]
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, arrays), pa.array(long, pa.binary())], names=["leaf", "print", "node", "long"]
-                )
-
-    placed = classes.select("signature", "node").mapInArrow(route, "leaf long, print long, node long, long binary")
-    found = placed.groupBy("leaf").applyInArrow(_similar_leaf(longest_distance(similarity)), "a long, b long").distinct()
-    named = named_components(connect(work.keep(found, "links"), work), classes, "node", work)
+    every = signed.select("node", "size", "prefix").join(classes.select("node"), "node", "left_semi")
+    every = every.mapInArrow(_holders, "shingle long, node long, size long, place long")
+    shared = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = work.keep(shared, "shared")
+    holders = work.keep(flagged(every, F.col("shingle"), bits(shared, "shingle"), "_maybe").where("_maybe").drop("_maybe"), "maybe-holders")
+    holders = work.keep(attach(holders, shared, ["shingle"], "n", holders.count()), "holders")
+
+    # A few others each, in another order for every shingle: this connects most of a group of copies.
+    blocks = F.ceil(F.col("n") / HOLDERS).cast("long")
+    holders = holders.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("blocks", blocks)
+    order = Window.partitionBy("shingle", "block").orderBy(F.xxhash64("shingle", "node"), "node")
+    holder = F.struct("node", "size", "place")
+    others = [F.lag(holder, k).over(order).alias(f"r{k}") for k in range(1, FEW + 1)]
+    few = holders.select(holder.alias("l"), *others).select("l", F.explode(F.array(*[f"r{k}" for k in range(1, FEW + 1)])).alias("r"))
+    first = alike(work.keep(candidates(few.where("r IS NOT NULL"), least), "first-pairs"), rows, classes, work, least, words)
+
+    # All others that are still apart, unless lengths or places leave too few shingles to share.
+    stars = connect(first, work)
+    heads = work.keep(stars.select(F.col("a").alias("node"), F.col("b").alias("root")), "heads")
+    apart = work.keep(holders.join(heads, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    several = apart.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("_low"), F.max("root").alias("_high"))
+    several = work.keep(several.where("_low <> _high").drop("_low", "_high"), "several")
+    apart = work.keep(attach(apart.drop("n"), several, ["shingle"], "n", apart.count()), "apart")
+    left = apart.select("shingle", "block", F.struct("node", "size", "place").alias("l"), F.col("root").alias("l_root"))
+    right = apart.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    right = right.select("shingle", "block", F.struct("node", "size", "place").alias("r"), F.col("root").alias("r_root"))
+    pairs = candidates(left.join(right, ["shingle", "block"]).where("l_root <> r_root AND l.node > r.node"), least)
+    second = alike(work.keep(pairs, "second-pairs"), rows, classes, work, least, words)
+
+    edges = work.keep(stars.unionByName(second), "links")
+    named = named_components(connect(edges, work), classes, "node", work)
     groups = (
         classes.join(named, "node", "left")
         .withColumn("component_id", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")))
         .withColumn("root", F.coalesce("root", "node"))
-        .select("signature", "n", "root", "component_id")
+        .select("key", "n", "root", "component_id")
     )
-    return attach(signed, work.keep(groups, "groups"), ["signature"], "n", signed.count()).select(
+    return attach(signed.drop("node", "size", "prefix", "parity"), work.keep(groups, "groups"), ["key"], "n", signed.count()).select(
         "doc_id", "text_hash", "root", "component_id"
     )
 
