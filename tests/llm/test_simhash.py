@@ -176,6 +176,11 @@ def test_every_link_from_the_limit_up_is_found(spark, work):
     assert all(got[i] == i - i % 2 for i, _ in rows)
 
 
+def test_no_link_below_the_limit(spark, work):
+    rows = edited_rows(np.random.default_rng(8), 0.7, 0.8, 15)
+    assert similar(spark, rows, work) == {i: i for i, _ in rows}
+
+
 def test_one_more_round_compares_what_the_first_left_apart(spark, work, monkeypatch):
     """Blocks of two holders, a passage that all texts share, and groups of copies: components equal brute force."""
     monkeypatch.setattr(s, "HOLDERS", 2)
