@@ -38,9 +38,9 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, similarity 0.8) the document with the smallest id stays."""
+    """Of each group of documents with fingerprints up to 3 bits apart the one with the smallest id stays."""
     work = scratch(spark)
-    decided = work.keep(simhash.similar_documents(docs, work), "decided")
+    decided = work.keep(simhash.near_duplicates(docs, work).drop("component_id"), "decided")
     return retain(docs, work.keep(simhash.verdicts(decided, work), "verdicts"), decided.count())
 
 
