@@ -31,21 +31,28 @@ MAX_NODES = 20_000
 
 LETTERS = re.compile(r"[a-z\x80-\U0010ffff]+|[^a-z\x80-\U0010ffff \t-\r]+")
 CHUNKS = re.compile(f"[^{SPACE}]+")
+# Fixed value: what the tokenizer's own marks for the start and end of a text begin with.
+MARK = "<|"
 
 
 def cut_words(text: str) -> list[str]:
     """Pieces whose ids, one after the other, are those of the whole text; white space is dropped.
 
-    The tokenizer keeps letters and other characters apart, unless an apostrophe stands between
-    them. So where all characters beyond ASCII are letters and there is no apostrophe, runs of
-    letters are pieces (A-Z in lower case, as the tokenizer has them); else what stands between white space.
+    The tokenizer keeps letters and other characters apart, unless an apostrophe stands between them or
+    they spell one of its marks, which begin with ``MARK`` and hold no white space. So where there is
+    neither and all characters beyond ASCII are letters, in lower case too, runs of letters are pieces
+    (A-Z in lower case, as the tokenizer has them); else what stands between white space.
     """
     plain = text.encode().lower().decode()
-    if "'" not in plain and (plain.isascii() or all(c.isalpha() for c in set(plain) if c > "\x7f")):
+    if "'" not in plain and MARK not in plain and (plain.isascii() or all(map(stays_letters, set(plain)))):
         return LETTERS.findall(plain)
     return CHUNKS.findall(text)
 
 
+def stays_letters(c: str) -> bool:
+    return c <= "\x7f" or c.isalpha() and c.lower().isalpha()
+
+
 _encoders: dict[int, Encoder] = {}
 
 
@@ -53,9 +60,7 @@ def encoder(content: bytes) -> Encoder:
     """The encoder of a tokenizer file, built once in each process."""
     key = hash(content)
     if key not in _encoders:
-        tokenizer = Tokenizer.from_str(content.decode())
-        tokenizer.encode_special_tokens = True
-        _encoders[key] = Encoder(tokenizer, cut_words)
+        _encoders[key] = Encoder(Tokenizer.from_str(content.decode()), cut_words)
     return _encoders[key]
 
 

@@ -18,9 +18,7 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(PATH)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(PATH)
 
 
 def check(rows, texts, tokenizer, capacity=p.CAPACITY):
@@ -66,8 +64,9 @@ def test_one_length_has_most_rows(spark, tokenizer, work):
 def test_cut_pieces_give_the_ids_of_the_whole_text(tokenizer):
     encode = p.encoder(open(PATH, "rb").read())  # noqa: SIM115
     parts = [" ", "\n", " ", "　", "\x1c", "a", "B", "É", "ß", "1", "22", "²", "'s", "it's", "'", "!?", "the", "Ing", "\U0001f600", "漢", "́", "«", "Σ"]
+    parts += ["İ", ", geldi", "\u212a", "ẞ", "ﬁ", "ǅ", "\u0345", "\u1fef", "<|endoftext|>", "<|startoftext|>", "<|", "|>", "<|EndOfText|>"]
     rnd = random.Random(11)
-    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40))) for _ in range(5000)]
+    texts = ["ALİ, geldi", *("".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40))) for _ in range(8000))]
     for text, ids in zip(texts, encode(texts), strict=True):
         assert np.frombuffer(ids, dtype=p.ID).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
