@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import SEED, append_columns, attach, bits, flagged, texts
+from basketry.llm.common import SEED, append_columns, attach, texts
 from basketry.llm.ngrams import segments
 from basketry.scratch import Scratch
 
@@ -25,6 +25,9 @@ SAMPLE = 32_768
 # A leaf of the upper part should hold so many fingerprints, and is split while it holds enough of the sample.
 LEAF = 8192
 LEAF_SAMPLE = 32
+# A leaf that turns out to hold more is split again, from a sample of its own.
+MAX_LEAF = 65_536
+SPLIT_SAMPLE, SPLIT_AT_ONCE, SPLITS = 256, 4096, 12
 VANTAGE_TRIES = 8
 # Inside a leaf, blocks of so many fingerprints are compared directly.
 BLOCK = 512
@@ -140,6 +143,10 @@ def place(prints: np.ndarray, tree: Node | int, reach: int = MAX_DISTANCE) -> tu
     return np.concatenate([none, *leaves]), np.concatenate([none, *positions])
 
 
+def leaves_of(node: Node | int) -> int:
+    return leaves_of(node.inside) + leaves_of(node.outside) if isinstance(node, Node) else 1
+
+
 def roots(parent: np.ndarray, at: np.ndarray) -> np.ndarray:
     up = parent[at]
     while (up != (upper := parent[up])).any():
@@ -212,34 +219,95 @@ def components(prints: np.ndarray, reach: int = MAX_DISTANCE) -> np.ndarray:
     return roots(parent, np.arange(len(prints)))
 
 
-def _leaf_links(leaf: pa.Table) -> pa.Table:
-    """Links that connect what is connected in one leaf: at most one for each fingerprint."""
-    prints = np.sort(leaf.column("print").to_numpy())
-    first = components(prints.view(np.uint64))
-    linked = first != np.arange(len(prints))
-    return pa.table({"a": prints[linked], "b": prints[first[linked]]})
+def half_of(prints: np.ndarray, half: int) -> np.ndarray:
+    """The lower or the upper 32 bits of each fingerprint."""
+    return prints >> np.uint64(32) if half else prints & np.uint64(0xFFFFFFFF)
 
 
-def links(classes: DataFrame, work: Scratch, reach: int = MAX_DISTANCE) -> DataFrame:
+def links(classes: DataFrame, work: Scratch, reach: int = MAX_DISTANCE, limit: int = MAX_LEAF) -> DataFrame:
     """Pairs (a, b), a > b, of fingerprints at a distance up to ``reach`` or connected by such; none is lost.
 
-    ``classes`` is a written table with the distinct fingerprints, column print.
+    ``classes`` is a written table with the distinct fingerprints, column print. Two of them within the
+    reach differ in half of it or less in their lower or in their upper 32 bits, so each half has a tree
+    of its own whose borders are that much thinner; in a leaf whole fingerprints decide. A leaf with
+    more than ``limit`` fingerprints gets a tree over whole fingerprints, from a
+    sample of the leaf, as long as a border parts it.
     """
     spark = classes.sparkSession
     total = classes.count()
     share = min(1.0, 1.5 * SAMPLE / max(total, 1)) * (1 << 31)
     drawn = F.pmod(F.xxhash64(F.lit("vantage"), "print"), F.lit(1 << 31))
-    sample = [r.print for r in classes.where(drawn < share).select("print").orderBy(drawn, "print").limit(SAMPLE).collect()]
-    tree = spark.sparkContext.broadcast(build(np.array(sample, dtype=np.int64).view(np.uint64), total, reach))
+    rows = classes.where(drawn < share).select("print").orderBy(drawn, "print").limit(SAMPLE).collect()
+    sample = np.array([r.print for r in rows], dtype=np.int64).view(np.uint64)
+    trees = spark.sparkContext.broadcast([build(half_of(sample, k), total, reach // 2) for k in (0, 1)])
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = batch.column("print").to_numpy()
-            leaf, at = place(prints.view(np.uint64), tree.value, reach)
-            yield pa.RecordBatch.from_arrays([pa.array(leaf), pa.array(prints[at])], names=["leaf", "print"])
+            for k, tree in enumerate(trees.value):
+                leaf, at = place(half_of(prints.view(np.uint64), k), tree, reach // 2)
+                yield pa.RecordBatch.from_arrays([pa.array(2 * leaf + k), pa.array(prints[at])], names=["leaf", "print"])
+
+    placed = work.keep(classes.select("print").mapInArrow(route, "leaf long, print long"), "placed")
+    found = []
+    for _ in range(SPLITS):
+        split = _subtrees(placed, reach, limit)
+        if not split:
+            break
+        own = F.broadcast(spark.createDataFrame([(leaf,) for leaf in split], "leaf long"))
+        found.append(_leaf_links(placed.join(own, "leaf", "left_anti"), work, reach))
+        placed = work.keep(_route_again(placed.join(own, "leaf", "left_semi"), split, reach), "placed")
+    found.append(_leaf_links(placed, work, reach))
+    return work.keep(reduce(DataFrame.unionByName, found).distinct(), "links")
+
+
+def _subtrees(placed: DataFrame, reach: int, limit: int) -> dict[int, tuple[int, Node]]:
+    """For each of the largest leaves above ``limit`` that a border parts: the number its own leaves begin with, and a
+    tree over whole fingerprints, from a bounded sample of the leaf."""
+    sizes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+    large = {r.leaf: r.n for r in sizes.orderBy(F.desc("n"), "leaf").limit(SPLIT_AT_ONCE).collect()}
+    if not large:
+        return {}
+    shares = [(leaf, int(min(1.0, SPLIT_SAMPLE / n) * (1 << 31))) for leaf, n in large.items()]
+    wanted = F.broadcast(placed.sparkSession.createDataFrame(shares, "leaf long, share long"))
+    drawn = F.pmod(F.xxhash64(F.lit("again"), "print"), F.lit(1 << 31))
+    held: dict[int, list[int]] = {}
+    for r in placed.join(wanted, "leaf").where(drawn < F.col("share")).select("leaf", "print").collect():
+        held.setdefault(r.leaf, []).append(r.print)
+    out, start = {}, 0
+    for leaf, prints in sorted(held.items()):
+        tree = build(np.sort(np.array(prints, dtype=np.int64)).view(np.uint64), large[leaf], reach)
+        if isinstance(tree, Node):
+            out[leaf] = (start, tree)
+            start += leaves_of(tree)
+    return out
+
+
+def _route_again(placed: DataFrame, split: dict[int, tuple[int, Node]], reach: int) -> DataFrame:
+    shared = placed.sparkSession.sparkContext.broadcast(split)
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, prints = batch.column("leaf").to_numpy(), batch.column("print").to_numpy()
+            for before in np.unique(held):
+                own = prints[held == before]
+                start, tree = shared.value[int(before)]
+                leaf, at = place(own.view(np.uint64), tree, reach)
+                yield pa.RecordBatch.from_arrays([pa.array(start + leaf), pa.array(own[at])], names=["leaf", "print"])
+
+    return placed.mapInArrow(route, "leaf long, print long")
 
-    placed = classes.select("print").mapInArrow(route, "leaf long, print long")
-    return work.keep(placed.groupBy("leaf").applyInArrow(_leaf_links, "a long, b long").distinct(), "links")
+
+def _leaf_links(placed: DataFrame, work: Scratch, reach: int) -> DataFrame:
+    """Links that connect what is connected in one leaf: at most one for each fingerprint."""
+
+    def connected(leaf: pa.Table) -> pa.Table:
+        prints = np.sort(leaf.column("print").to_numpy())
+        first = components(prints.view(np.uint64), reach)
+        linked = first != np.arange(len(prints))
+        return pa.table({"a": prints[linked], "b": prints[first[linked]]})
+
+    return work.keep(placed.groupBy("leaf").applyInArrow(connected, "a long, b long").distinct(), "leaf-links")
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -280,7 +348,8 @@ def near_duplicates(
     Rows are linked if their fingerprints differ in ``reach`` bits or fewer; ``root`` is the smallest
     fingerprint of the component and ``component_id`` its smallest id. Null, empty and blank texts have
     fingerprint 0 and are linked like any others. Ids may repeat or be null (a component of null ids
-    has a null id). An empty table gives an empty result.
+    has a null id). An empty table gives an empty result. Very long texts are hashed whole, in parts of
+    bounded size.
     """
     prints = work.keep(fingerprints(docs, words, id_col, text_col), "prints")
     classes = prints.groupBy("print").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
@@ -308,240 +377,6 @@ def named_components(stars: DataFrame, classes: DataFrame, node: str, work: Scra
     return attach(members, heads, ["root"], "size", members.count()).select(node, "root", "component_id")
 
 
-# Similar texts, by the rule of near-duplicate stages: words of a shingle and least similarity (Jaccard) of the texts.
-SIMILAR_WORDS = 5
-SIMILARITY = 0.8
-# Shingles are ordered by rarity. So many documents at most tell which are common: those of which that many of them
-# have a shingle, and so many shingles at most. All others count as equally rare; any order finds the same pairs.
-COMMON_SAMPLE, COMMON_LEAST, COMMON = 20_000, 3, 100_000
-# A shingle's holders are compared in blocks of so many.
-HOLDERS = 2048
-# Before all that are not connected yet, each holder is compared with so many others.
-FEW = 4
-# Bits of a text's parities, a lower bound on what two texts don't share.
-PARITIES = 512
-
-
-def signature(text: str | None, words: int = SIMILAR_WORDS) -> bytes:
-    """The distinct hashes of the text's shingles in ascending order, 8 bytes each; empty without a word."""
-    own = [np.unique(hashes) for hashes in shingle_hashes(text, words)]
-    return np.unique(np.concatenate([np.zeros(0, dtype="<u8"), *own])).tobytes()
-
-
-def ratio(similarity: float) -> tuple[int, int]:
-    """The similarity as a fraction, so that no rounding decides about a pair right at the limit."""
-    share = Fraction(similarity).limit_denominator(1_000_000)
-    return share.numerator, share.denominator
-
-
-def common_shingles(rows: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Common shingles of a sample of ``rows`` in ascending order, and each one's place among them, the commonest last."""
-
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column("text"):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(signature(text.as_py(), words), "<i8"))], ["shingle"])
-
-    share = min(1.0, COMMON_SAMPLE / max(rows.count(), 1)) * (1 << 31)
-    sample = rows.where(F.pmod(F.xxhash64(F.lit("common"), "text_hash", "doc_id"), F.lit(1 << 31)) < share)
-    counts = sample.select("text").mapInArrow(shingles, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    found = counts.where(F.col("n") >= COMMON_LEAST).orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
-    common = np.array([r.shingle for r in reversed(found)], dtype="<i8").view("<u8")
-    order = np.argsort(common)
-    return common[order], order + 1
-
-
-def prefix(shingles: np.ndarray, common: tuple[np.ndarray, np.ndarray], least: tuple[int, int]) -> np.ndarray:
-    """So many of the rarest shingles, rarest first, that two texts of the least similarity share one of them.
-
-    Of n shingles they share at least the least similarity times n, so a shared one is among the others plus one.
-    """
-    n, (part, of) = len(shingles), least
-    if not n:
-        return shingles
-    known, place = common
-    rank = np.zeros(n, dtype=np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
-        rank = np.where(known[at] == shingles, place[at], 0)
-    return shingles[np.lexsort((shingles, rank))[: n - -(-n * part // of) + 1]]
-
-
-def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each shingle of each prefix: who holds it, of how many shingles in all, and at which place of the order."""
-    for batch in batches:
-        own = [np.frombuffer(p, dtype="<i8") for p in batch.column("prefix").to_pylist()]
-        counts = [len(p) for p in own]
-        columns = [
-            np.concatenate([np.zeros(0, dtype="<i8"), *own]),
-            np.repeat(batch.column("node").to_numpy(), counts),
-            np.repeat(batch.column("size").to_numpy(), counts),
-            np.concatenate([np.zeros(0, dtype=np.int64), *map(np.arange, counts)]),
-        ]
-        yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["shingle", "node", "size", "place"])
-
-
-def _alike(least: tuple[int, int]):
-    part, of = least
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("own"), batch.column("other"), strict=True):
-                a, b = np.frombuffer(a.as_buffer(), dtype="<u8"), np.frombuffer(b.as_buffer(), dtype="<u8")
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(both * of >= part * (len(a) + len(b) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return work
-
-
-def parity(shingles: np.ndarray) -> bytes:
-    """Of the hashes with each remainder by ``PARITIES``, whether their number is odd.
-
-    Two of these differ in no more bits than there are shingles that only one of two texts has.
-    """
-    return np.packbits(np.bincount((shingles % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1).tobytes()
-
-
-def _maybe_alike(least: tuple[int, int]):
-    part, of = least
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size, odd = 0, []
-            for side in ("own", "other"):
-                sketch = batch.column(side)
-                size = size + sketch.field("size").to_numpy()
-                odd.append(np.frombuffer(b"".join(sketch.field("parity").to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1))
-            apart = np.bitwise_count(odd[0] ^ odd[1]).sum(axis=1, dtype=np.int64)
-            yield batch.select(["a", "b"]).filter(pa.array(apart * (of + part) <= size * (of - part)))
-
-    return work
-
-
-def alike(pairs: DataFrame, rows: DataFrame, classes: DataFrame, work: Scratch, least: tuple[int, int], words: int) -> DataFrame:
-    """Those of the written pairs (a, b) of nodes whose texts have the least similarity, by all their distinct shingles.
-
-    Parities refuse most others without a text. Only texts that some pair still asks for are hashed again and shuffled.
-    """
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column("text"):
-                own = signature(text.as_py(), words)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([xxhash.xxh3_128_digest(own)], pa.binary()), pa.array([own], pa.binary())], names=["key", "shingles"]
-                )
-
-    def asked(pairs: DataFrame) -> DataFrame:
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("asks"))
-        return work.keep(nodes.join(classes.select("node", "key", "text_hash", "size", "parity"), "node"), "asked")
-
-    def sided(pairs: DataFrame, held: DataFrame, value: str, total: int) -> DataFrame:
-        own = held.select(F.col("node").alias("a"), "asks", F.col(value).alias("own"))
-        other = held.select(F.col("node").alias("b"), "asks", F.col(value).alias("other"))
-        half = work.keep(attach(pairs, own, ["a"], "asks", total).drop("asks"), "half")
-        return attach(half, other, ["b"], "asks", total).drop("asks")
-
-    sketched = asked(pairs).select("node", "asks", F.struct("size", "parity").alias("sketch"))
-    close = sided(pairs, sketched, "sketch", pairs.count()).mapInArrow(_maybe_alike(least), "a long, b long")
-    close = work.keep(close, "close")
-    nodes = asked(close)
-    maybe = flagged(rows, F.col("text_hash"), bits(nodes, "text_hash"), "_maybe").where("_maybe")
-    made = maybe.select("text").mapInArrow(sets, "key binary, shingles binary")
-    held = made.join(nodes.select("node", "asks", "key"), "key").groupBy("node", "asks").agg(F.first("shingles").alias("shingles"))
-    found = sided(close, work.keep(held, "sets"), "shingles", close.count())
-    return work.keep(found.mapInArrow(_alike(least), "a long, b long"), "alike")
-
-
-def candidates(met: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Distinct pairs (a, b), a > b, of two holders l and r of a shingle, without those that can't be similar.
-
-    Lengths may differ too much, or too few shingles are left from the shared one on. The first one they
-    share always lets a similar pair pass.
-    """
-    part, of = least
-    long_enough = f"least(l.size, r.size) * {of} >= greatest(l.size, r.size) * {part}"
-    enough_left = f"least(l.size - l.place, r.size - r.place) * {part + of} >= (l.size + r.size) * {part}"
-    met = met.where(f"{long_enough} AND {enough_left}")
-    return met.select(F.expr("greatest(l.node, r.node)").alias("a"), F.expr("least(l.node, r.node)").alias("b")).distinct()
-
-
-def similar_documents(
-    docs: DataFrame, work: Scratch, similarity: float = SIMILARITY, words: int = SIMILAR_WORDS, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """doc_id, text_hash, root, component_id of every row: components of texts with similar shingles.
-
-    Two texts are linked exactly if the Jaccard similarity of their distinct shingles (as 64-bit hashes)
-    is ``similarity`` or more; no pair is estimated and none is lost. Texts so alike share one of the
-    rarest shingles of each (a prefix of its shingles in an order all texts have in common), so holders
-    of the same one are the candidates. First each is compared with a few other holders; then all holders
-    are compared that are not connected yet, so a large group of copies need not cost its square.
-    Null, empty and blank texts are equal; ids may repeat or be null.
-    """
-    least = ratio(similarity)
-    rows = texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(rows, words))
-
-    def columns(batch: list[str | None]) -> dict[str, list]:
-        own = [np.frombuffer(signature(t, words), dtype="<u8") for t in batch]
-        return {
-            "key": [xxhash.xxh3_128_digest(s.tobytes()) for s in own],
-            "size": [len(s) for s in own],
-            "prefix": [prefix(s, common.value, least).tobytes() for s in own],
-            "parity": [parity(s) for s in own],
-        }
-
-    signed = append_columns(rows, columns, "key binary, size long, prefix binary, parity binary", drop_text=True)
-    signed = work.keep(signed.withColumn("node", F.monotonically_increasing_id()), "signatures")
-    classes = signed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.min(of).alias(name) for name, of in (("first", "doc_id"), *((c, c) for c in ("node", "text_hash", "size", "parity")))],
-    )
-    classes = work.keep(classes, "classes")
-    every = signed.select("node", "size", "prefix").join(classes.select("node"), "node", "left_semi")
-    every = every.mapInArrow(_holders, "shingle long, node long, size long, place long")
-    shared = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = work.keep(shared, "shared")
-    holders = work.keep(flagged(every, F.col("shingle"), bits(shared, "shingle"), "_maybe").where("_maybe").drop("_maybe"), "maybe-holders")
-    holders = work.keep(attach(holders, shared, ["shingle"], "n", holders.count()), "holders")
-
-    # A few others each, in another order for every shingle: this connects most of a group of copies.
-    blocks = F.ceil(F.col("n") / HOLDERS).cast("long")
-    holders = holders.withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("blocks", blocks)
-    order = Window.partitionBy("shingle", "block").orderBy(F.xxhash64("shingle", "node"), "node")
-    holder = F.struct("node", "size", "place")
-    others = [F.lag(holder, k).over(order).alias(f"r{k}") for k in range(1, FEW + 1)]
-    few = holders.select(holder.alias("l"), *others).select("l", F.explode(F.array(*[f"r{k}" for k in range(1, FEW + 1)])).alias("r"))
-    first = alike(work.keep(candidates(few.where("r IS NOT NULL"), least), "first-pairs"), rows, classes, work, least, words)
-
-    # All others that are still apart, unless lengths or places leave too few shingles to share.
-    stars = connect(first, work)
-    heads = work.keep(stars.select(F.col("a").alias("node"), F.col("b").alias("root")), "heads")
-    apart = work.keep(holders.join(heads, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
-    several = apart.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("_low"), F.max("root").alias("_high"))
-    several = work.keep(several.where("_low <> _high").drop("_low", "_high"), "several")
-    apart = work.keep(attach(apart.drop("n"), several, ["shingle"], "n", apart.count()), "apart")
-    left = apart.select("shingle", "block", F.struct("node", "size", "place").alias("l"), F.col("root").alias("l_root"))
-    right = apart.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    right = right.select("shingle", "block", F.struct("node", "size", "place").alias("r"), F.col("root").alias("r_root"))
-    pairs = candidates(left.join(right, ["shingle", "block"]).where("l_root <> r_root AND l.node > r.node"), least)
-    second = alike(work.keep(pairs, "second-pairs"), rows, classes, work, least, words)
-
-    edges = work.keep(stars.unionByName(second), "links")
-    named = named_components(connect(edges, work), classes, "node", work)
-    groups = (
-        classes.join(named, "node", "left")
-        .withColumn("component_id", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")))
-        .withColumn("root", F.coalesce("root", "node"))
-        .select("key", "n", "root", "component_id")
-    )
-    return attach(signed.drop("node", "size", "prefix", "parity"), work.keep(groups, "groups"), ["key"], "n", signed.count()).select(
-        "doc_id", "text_hash", "root", "component_id"
-    )
-
-
 def verdicts(decided: DataFrame, work: Scratch) -> DataFrame:
     """What ``retain`` needs so that of each component the row with the smallest id stays (null ids last).
 

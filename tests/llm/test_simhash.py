@@ -58,7 +58,6 @@ def test_odd_rows(odd_docs, odd_rows, work):
 
 def test_no_rows(no_docs, work):
     assert s.op8_simhash(no_docs, work).count() == 0
-    assert s.similar_documents(no_docs, work).count() == 0
 
 
 def near(rng, n, groups):
@@ -85,12 +84,14 @@ def test_tree_loses_no_link():
     assert leaf.max() > 5 and (s.roots(parent, np.arange(len(prints))) == want).all()
 
 
-def test_links_over_many_leaves(spark, work, monkeypatch):
-    monkeypatch.setattr(s, "LEAF", 300)
+@pytest.mark.parametrize("limit", [s.MAX_LEAF, 200])
+def test_links_over_many_leaves(spark, work, monkeypatch, limit):
+    """Also when large leaves are split again from samples of their own."""
     monkeypatch.setattr(s.build, "__defaults__", (s.MAX_DISTANCE, 300))
+    monkeypatch.setattr(s, "LEAF_SAMPLE", 8)
     prints = near(np.random.default_rng(2), 2000, 100)
     classes = work.keep(spark.createDataFrame([(int(x),) for x in prints.view(np.int64)], "print long"))
-    stars = {(r.a, r.b) for r in s.connect(s.links(classes, work), work).collect()}
+    stars = {(r.a, r.b) for r in s.connect(s.links(classes, work, limit=limit), work).collect()}
     order = np.sort(prints.view(np.int64))
     root = brute_components(order.view(np.uint64))
     assert stars == {(int(order[k]), int(order[r])) for k, r in enumerate(root) if k != r}
@@ -112,94 +113,8 @@ def test_components_of_chains_and_stars(spark, work, edges):
     assert got == {x: find(x) for x in nodes if find(x) != x}
 
 
-def changed(words, rng, n):
-    out = list(words)
-    for at in rng.choice(len(out), n, replace=False):
-        out[at] = f"other{rng.integers(1 << 30)}"
-    return " ".join(out)
-
-
-def test_similar_documents_finds_near_copies_and_leaves_others(spark, work):
-    rng = np.random.default_rng(6)
-    rows, copies = [], {}
-    for k in range(60):
-        words = [f"w{x}" for x in rng.integers(0, 5000, 300)]
-        rows.append((10 * k, " ".join(words)))
-        copies[10 * k + 1] = 10 * k
-        rows.append((10 * k + 1, changed(words, rng, 4)))  # similarity about 0.87
-        rows.append((10 * k + 2, changed(words, rng, 60)))  # about 0.2
-    got = {r.doc_id: r.component_id for r in s.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), work).collect()}
-    assert sum(got[c] == of for c, of in copies.items()) >= 0.9 * len(copies)
-    assert all(got[i] == i for i, _ in rows if i not in copies)
-
-
-def jaccard(a, b):
-    a, b = ({tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in (a.split(), b.split()))
-    return len(a & b) / len(a | b)
-
-
-def edited(words, rng, kind, share):
-    """A copy with its end cut off, a passage put in or replaced, or single words changed; ``share`` of the words."""
-    n, own = len(words), [f"new{x}" for x in rng.integers(0, 1 << 30, len(words))]
-    size, at = int(share * n), int(rng.integers(0, n // 2))
-    if kind == "cut":
-        return words[: n - size]
-    if kind == "put in":
-        return words[:at] + own[:size] + words[at:]
-    if kind == "replaced":
-        return words[:at] + own[: size // 2] + words[at + size // 2 :]
-    return changed(words, rng, max(1, size // 10)).split()
-
-
-def edited_rows(rng, low, high, each):
-    """(id, text) of texts and, under the next id, an edited copy of a similarity from ``low`` to below ``high``."""
-    rows = []
-    for kind in ("cut", "put in", "replaced", "scattered"):
-        found = 0
-        while found < each:
-            words = [f"w{x}" for x in rng.integers(0, 3000, rng.integers(60, 500))]
-            text, copy = " ".join(words), " ".join(edited(words, rng, kind, rng.uniform(0.05, 0.4)))
-            if low <= jaccard(text, copy) < high:
-                rows += [(len(rows), text), (len(rows) + 1, copy)]
-                found += 1
-    return rows
-
-
-def similar(spark, rows, work):
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    return {r.doc_id: r.component_id for r in s.similar_documents(docs, work).collect()}
-
-
-def test_every_link_from_the_limit_up_is_found(spark, work):
-    rows = edited_rows(np.random.default_rng(7), 0.8, 0.9, 40)
-    got = similar(spark, rows, work)
-    assert all(got[i] == i - i % 2 for i, _ in rows)
-
-
-def test_no_link_below_the_limit(spark, work):
-    rows = edited_rows(np.random.default_rng(8), 0.7, 0.8, 15)
-    assert similar(spark, rows, work) == {i: i for i, _ in rows}
-
-
-def test_one_more_round_compares_what_the_first_left_apart(spark, work, monkeypatch):
-    """Blocks of two holders, a passage that all texts share, and groups of copies: components equal brute force."""
-    monkeypatch.setattr(s, "HOLDERS", 2)
-    rng = np.random.default_rng(9)
-    common = [f"c{x}" for x in range(40)]
-    rows = []
-    for _ in range(8):
-        words = common + [f"w{x}" for x in rng.integers(0, 3000, 20)]
-        for share in (0.0, 0.0, 0.02, 0.05, 0.1, 0.2, 0.3):
-            rows.append((len(rows), " ".join(edited(words, rng, rng.choice(["cut", "put in", "replaced"]), share))))
-    parent = np.arange(len(rows))
-    a, b = np.array([(i, j) for i, t in rows for j, u in rows if i < j and jaccard(t, u) >= 0.8]).T
-    s.unite(parent, a, b)
-    want = s.roots(parent, np.arange(len(rows)))
-    assert len(set(want)) > 4 and similar(spark, rows, work) == {i: want[i] for i, _ in rows}
-
-
 def test_retain_keeps_the_smallest_id_of_each_group(odd_docs, odd_rows, work):
-    decided = work.keep(s.similar_documents(odd_docs, work))
+    decided = work.keep(s.near_duplicates(odd_docs, work).drop("component_id"))
     groups = {}
     for r in decided.collect():
         groups.setdefault(r.root, []).append(r.doc_id)
@@ -211,8 +126,8 @@ def test_retain_keeps_the_smallest_id_of_each_group(odd_docs, odd_rows, work):
 
 def test_long_texts_are_hashed_in_parts(monkeypatch):
     text = "  ".join(f"Word{k % 97}" for k in range(3000))
-    whole = s.fingerprint(text), s.signature(text)
-    assert whole[0] & (1 << 64) - 1 == brute_print(text)
+    whole = s.fingerprint(text)
+    assert whole & (1 << 64) - 1 == brute_print(text)
     monkeypatch.setattr(s, "SHINGLES_AT_ONCE", 50)
     monkeypatch.setattr(s, "segments", lambda t: segments(t, 90))
-    assert (s.fingerprint(text), s.signature(text)) == whole
+    assert s.fingerprint(text) == whole
