@@ -1,18 +1,14 @@
 """Windows over a whole table: rank, running sum, quantile buckets and total.
 
-A window without PARTITION BY moves every row into one task. These operators sort by range instead,
-note each row's place inside its range in a written table, and add what the earlier ranges hold.
-Only one row per range, or one row per bucket border, reaches the driver. The order must be total:
-end it with a key.
+A window without PARTITION BY moves every row into one task. Ranks and running sums sort by range
+instead, note each row's place inside its range in a written table, and add what the earlier ranges
+hold; one row per range reaches the driver. Quantile buckets need no sort (see ``selection``). The
+order must be total: end it with a key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-from datetime import date, datetime
-from functools import reduce
 from itertools import accumulate
 
 import pyarrow as pa
@@ -21,36 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
+from basketry.operators import selection
+from basketry.operators.ordering import By, asc, desc
 from basketry.scratch import Scratch
 
-RANGE, PLACE = "_range", "_place"
-
-
-@dataclass(frozen=True)
-class By:
-    """One sort column. Nulls count as the highest value: last ascending, first descending."""
-
-    column: str
-    descending: bool = False
-
-    @property
-    def order(self) -> Column:
-        c = F.col(self.column)
-        return c.desc_nulls_first() if self.descending else c.asc_nulls_last()
-
-    def before(self, border: Column) -> Column:
-        """Whether a row sorts strictly before the border value; never null."""
-        c = F.col(self.column)
-        low, high = (border, c) if self.descending else (c, border)
-        return F.coalesce(low < high, low.isNotNull() & high.isNull())
-
+__all__ = ["By", "asc", "bucket_borders", "desc", "global_ntile", "global_window", "with_total"]
 
-def asc(column: str) -> By:
-    return By(column)
-
-
-def desc(column: str) -> By:
-    return By(column, descending=True)
+RANGE, PLACE = "_range", "_place"
 
 
 def _placed(df: DataFrame, order: Sequence[By], scratch: Scratch) -> DataFrame:
@@ -138,52 +111,29 @@ def bucket_borders(n: int, buckets: int) -> list[int]:
     return [e for e in dict.fromkeys(ends) if e < n]
 
 
-def global_ntile(df: DataFrame, buckets: int, scores: dict[str, Sequence[By]], scratch: Scratch) -> DataFrame:
+def global_ntile(df: DataFrame, buckets: int, scores: dict[str, Sequence[By]]) -> DataFrame:
     """Add one NTILE column per entry of ``scores``, each over its own order.
 
-    Only the sort columns of an order are sorted and written, the orders side by side. The
-    ``buckets - 1`` rows at the bucket borders are then looked up, and the whole table gets its
-    scores by comparing with them: it is neither sorted nor joined. ``df`` should be a written table.
+    The rows at the bucket borders are found by histograms that are refined around them, and every row
+    gets its scores by comparing with these: the table is neither sorted nor shuffled nor joined. The
+    sort columns must be whole numbers, decimals, dates or times. ``df`` should be a written table.
     """
-    with ThreadPoolExecutor(max(1, len(scores))) as pool:
-        found = pool.map(lambda order: _score(df, order, buckets, scratch), scores.values())
-        return df.withColumns(dict(zip(scores, found)))
-
-
-def _score(df: DataFrame, order: Sequence[By], buckets: int, scratch: Scratch) -> Column:
-    names = [b.column for b in order]
-    placed = _placed(df.select(*names), order, scratch)
-    starts, n = _starts(placed, [])
-    wanted = []
-    for end in bucket_borders(n, buckets):
-        number, before = [s for s in starts if s[1] < end][-1]
-        wanted.append((F.col(RANGE) == number) & (F.col(PLACE) == end - before))
-    if not wanted:
-        return F.lit(1)
-    borders = placed.where(reduce(Column.__or__, wanted)).sort(RANGE, PLACE).collect()
-    types = {f.name: f.dataType for f in placed.schema}
-    score = None
-    for bucket, border in enumerate(borders, start=1):
-        values = {c: _literal(border[c], types[c]) for c in names}
-        inside = ~_after(order, values)
-        score = F.when(inside, bucket) if score is None else score.when(inside, bucket)
-    return score.otherwise(len(borders) + 1)
-
-
-def _after(order: Sequence[By], border: dict[str, Column]) -> Column:
-    """Whether a row sorts after the border, column by column."""
-    first, rest = order[0], order[1:]
-    value = border[first.column]
-    if not rest:
-        return ~first.before(value) & ~F.col(first.column).eqNullSafe(value)
-    tied = F.col(first.column).eqNullSafe(value)
-    return F.when(tied, _after(rest, border)).otherwise(~first.before(value))
-
-
-def _literal(value, data_type) -> Column:
-    if isinstance(value, (datetime, date)):
-        value = value.isoformat(sep=" ") if isinstance(value, datetime) else value.isoformat()
-    return F.lit(value).cast(data_type)
+    wanted = list(dict.fromkeys(b.column for order in scores.values() for b in order))
+    at = selection.positions(df, wanted)
+    orders = list(scores.values())
+    found = selection.borders(df, orders, [bucket_borders(at.rows, buckets)] * len(orders), at)
+    return df.withColumns(
+        {name: _score([at.of(b) for b in order], own) for (name, order), own in zip(scores.items(), found, strict=True)}
+    )
+
+
+def _score(columns: Sequence[Column], borders: Sequence[tuple[int, ...]]) -> Column:
+    """One more than the number of borders a row comes after."""
+    score = F.lit(1)
+    for bucket, border in reversed(list(enumerate(borders, start=1))):
+        inside = F.when(~selection.after(columns, border), bucket)
+        score = inside.otherwise(bucket + 1 if bucket == len(borders) else score)
+    return score
 
 
 def with_total(df: DataFrame, name: str, source: DataFrame, value: str) -> DataFrame:

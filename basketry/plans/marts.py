@@ -103,7 +103,7 @@ def customer_metrics(fact_orders: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def rfm_scores(metrics: DataFrame, params: Params, scratch: Scratch) -> DataFrame:
+def rfm_scores(metrics: DataFrame, params: Params) -> DataFrame:
     """Fifths by recency, frequency and value, over all customers; the key settles ties.
 
     Fifth 1 holds the most recent, most frequent and most valuable customers, so 5 is the worst.
@@ -119,7 +119,6 @@ def rfm_scores(metrics: DataFrame, params: Params, scratch: Scratch) -> DataFram
             "frequency_score": [high("total_orders"), key],
             "monetary_score": [high("lifetime_value"), key],
         },
-        scratch,
     )
 
 
@@ -138,7 +137,7 @@ def mart_customer_ltv(
     The metrics are written once: they are counted, ordered three ways and joined.
     """
     metrics = scratch.keep(customer_metrics(fact_orders, params), "customer_metrics")
-    scored = rfm_segments(rfm_scores(metrics, params, scratch))
+    scored = rfm_segments(rfm_scores(metrics, params))
     days = F.col("days_since_last_order")
     return (
         dim_customers.select(

@@ -63,7 +63,7 @@ class Shop:
 
     def rfm_scores(self) -> DataFrame:
         metrics = self.scratch.keep(self.customer_metrics(), "customer_metrics")
-        return marts.rfm_scores(metrics, self.params, self.scratch)
+        return marts.rfm_scores(metrics, self.params)
 
     def rfm_segments(self) -> DataFrame:
         return marts.rfm_segments(self.rfm_scores())

@@ -68,7 +68,7 @@ def test_running_sum_starting_with_nulls(spark):
 def test_ntile(spark, partitions, n):
     df = frame(spark, n)
     orders = {"a": [asc("value"), asc("key")], "b": [desc("value"), asc("key")]}
-    got = global_ntile(df, 5, orders, Scratch(spark))
+    got = global_ntile(df, 5, orders)
     want = df.withColumns({k: F.ntile(5).over(Window.orderBy(*[b.order for b in o])) for k, o in orders.items()})
     assert got.dtypes == want.dtypes
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
@@ -78,13 +78,13 @@ def test_ntile(spark, partitions, n):
 
 def test_ntile_empty(spark):
     df = frame(spark, 0)
-    assert global_ntile(df, 5, {"a": [asc("key")]}, Scratch(spark)).count() == 0
+    assert global_ntile(df, 5, {"a": [asc("key")]}).count() == 0
 
 
 def test_ntile_by_time(spark):
     df = spark.range(100).select("id", F.expr("timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,0,0,id * 0.25)").alias("t"))
     orders = {"a": [desc("t"), asc("id")]}
-    got = global_ntile(df, 7, orders, Scratch(spark))
+    got = global_ntile(df, 7, orders)
     want = df.withColumns({k: F.ntile(7).over(Window.orderBy(*[b.order for b in o])) for k, o in orders.items()})
     assert sorted(got.collect()) == sorted(want.collect())
 
@@ -102,7 +102,7 @@ def test_no_single_task_exchange(spark):
     kept = scratch.keep(df)
     for result in (
         global_window(kept, order, scratch, "rank", {"running": "value"}),
-        global_ntile(kept, 5, {"a": order, "b": [asc("value"), asc("key")]}, scratch),
+        global_ntile(kept, 5, {"a": order, "b": [asc("value"), asc("key")]}),
     ):
         plan = result._jdf.queryExecution().executedPlan().toString()
         assert "SinglePartition" not in plan
