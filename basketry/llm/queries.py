@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import bpe, exact_dedup, language, licenses, nearest, packing, sharding, simhash, token_counts, toxicity
+from basketry.llm import (
+    bpe, exact_dedup, language, licenses, nearest, packing, resampling, sharding, simhash, token_counts, toxicity,
+)
 from basketry.llm.common import scratch, table
 from basketry.scratch import Scratch
 
@@ -29,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": over("documents", simhash.op8_simhash),
     "op9_licenses": over("documents", licenses.op9_licenses),
     "op10_language": over("documents", language.op10_language),
+    "op13_resampling": lambda spark, folder: resampling.op13_resampling(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark"), scratch(spark)
+    ),
 }
 
 ORACLES: dict[str, str] = {"op7_exact_dedup": exact_dedup.ORACLE_SQL}

@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from basketry.llm import ngrams
+from basketry.llm import resampling as r
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def brute_features(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    return len(words), [" ".join(words[k : k + n]) for n in (1, 2, 3) for k in range(len(words) - n + 1)]
+
+
+def bucket(feature):
+    return zlib.crc32(feature.encode()) % 10000
+
+
+def brute(rows, target):
+    """(doc_id, n_features, weight, score, rank) of every row."""
+    own = [(i, *brute_features(t)) for i, t in rows]
+    s, t = Counter(), Counter()
+    for _, _, found in own:
+        s.update(map(bucket, found))
+    for text in target:
+        t.update(map(bucket, brute_features(text)[1]))
+    total, wanted = sum(s.values()), sum(t.values())
+
+    def gain(b):
+        return math.floor(1000 * math.log((t[b] + 1) * (total + 10000) / ((s[b] + 1) * (wanted + 10000))))
+
+    out = []
+    for i, n, found in own:
+        weight = sum(gain(bucket(f)) for f in found)
+        h = int(hashlib.sha256(f"42:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([i, n, len(found), weight, score])
+    able = sorted((x for x in out if x[1] >= 20), key=lambda x: (-x[4], x[0] is None, x[0] or 0))
+    ranks = {id(x): k + 1 for k, x in enumerate(able[: 5 * len(able) // 100])}
+    return Counter((i, f, w, sc, ranks.get(id(x))) for x in out for i, _, f, w, sc in [x])
+
+
+def found(df):
+    return Counter((x.doc_id, x.n_features, x.weight, x.score, x["rank"]) for x in df.collect())
+
+
+def test_equals_brute_force(spark, docs, pairs, sf, work):
+    benchmark = spark.read.parquet(f"{sf}/benchmark.parquet")
+    got = r.op13_resampling(docs, benchmark, work)
+    assert [(n, t) for n, t in got.dtypes] == [(c, "bigint") for c in ("doc_id", "n_features", "weight", "score", "rank")]
+    want = brute(pairs, [x.text for x in benchmark.collect()])
+    assert found(got) == want and sum(1 for x in want if x[4]) > 5
+
+
+def test_odd_rows(spark, odd_docs, odd_rows, work, monkeypatch):
+    target = ["the cat sat on the moon", None, "", "漢字 thonble anren"]
+    benchmark = spark.createDataFrame([(k, t, "clash") for k, t in enumerate(target)], "item_id long, text string, weight string")
+    want = brute(odd_rows, target)
+    assert found(r.op13_resampling(odd_docs, benchmark, work)) == want
+
+
+def test_long_texts_are_read_in_parts(monkeypatch):
+    text = "One two  three, FOUR\nfive Ünï x " * 300
+    gain = np.arange(-5000, 5000, dtype=np.int64)
+    whole = r.weigh([text], gain)
+    other = r.weigh(["", text, None], gain)
+    assert all(whole[k][0] == other[k][1] and not other[k][0] and not other[k][2] for k in whole)
+    monkeypatch.setattr(r, "segments", lambda t: ngrams.segments(t, 100))
+    again = r.weigh([text], gain)
+    assert all(whole[k][0] == again[k][0] for k in whole)
+    n, features = brute_features(text)
+    assert (n, len(features), sum(gain[bucket(f)] for f in features)) == tuple(int(whole[k][0]) for k in ("n_words", "n_features", "weight"))
+
+
+def test_no_ngram_crosses_two_texts():
+    words = r.Words(["a b", None, "", "c", "d e f"])
+    assert words.words == [b"a", b"b", b"c", b"d", b"e", b"f"] and words.owner.tolist() == [0, 0, 3, 4, 4, 4]
+    assert [last.tolist() for _, last in words.features(100)] == [[0, 1, 2, 3, 4, 5], [1, 4, 5], [5]]
+
+
+def test_draws_a_share_of_the_long_enough_rows_and_ties_go_to_smaller_ids(spark, work):
+    long_text = " ".join(f"w{k}" for k in range(25))
+    rows = [(7, long_text)] * 60 + [(9, long_text)] * 60 + [(k, "short text") for k in range(100, 200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = r.resample(frame, frame.limit(0), work)
+    assert found(got.drop("n_words")) == brute(rows, [])
+    drawn = got.where("rank is not null").collect()
+    assert sorted(x["rank"] for x in drawn) == [1, 2, 3, 4, 5, 6]
+
+
+@pytest.mark.parametrize("kept", [0, 19])
+def test_too_few_rows_to_draw_any(spark, no_docs, docs, work, kept):
+    few = docs.limit(kept).select("doc_id", "text") if kept else no_docs
+    got = r.op13_resampling(few, docs.limit(3), work)
+    assert got.count() == kept and got.where("rank is not null").count() == 0
