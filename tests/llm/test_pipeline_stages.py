@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm import queries as llm_queries
 
-OPERATORS = {f"op{n}" for n in range(1, 11)}
+OPERATORS = {f"op{n}" for n in range(1, 14)}
 
 
 def test_all_operators_and_the_pipeline_are_registered():
