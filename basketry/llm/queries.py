@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.llm import (
-    bpe, embedding_dedup, exact_dedup, language, licenses, nearest, packing, resampling, sharding, simhash, token_counts, toxicity,
+    alignment, bpe, embedding_dedup, exact_dedup, language, licenses, nearest, packing, resampling, sharding, simhash, token_counts, toxicity,
 )
 from basketry.llm.common import scratch, table
 from basketry.scratch import Scratch
@@ -31,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": over("documents", simhash.op8_simhash),
     "op9_licenses": over("documents", licenses.op9_licenses),
     "op10_language": over("documents", language.op10_language),
+    "op11_alignment": over("documents", alignment.op11_alignment),
     "op12_embedding_dedup": over("embeddings", embedding_dedup.op12_embedding_dedup),
     "op13_resampling": lambda spark, folder: resampling.op13_resampling(
         table(spark, folder, "documents"), table(spark, folder, "benchmark"), scratch(spark)
