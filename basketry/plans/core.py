@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -129,3 +131,18 @@ def fact_orders(order_items: DataFrame, orders: DataFrame, params: Params) -> Da
         F.coalesce(is_completed(status, params), F.lit(False)).cast("int").alias("is_completed"),
         F.coalesce(status == CANCELLED_STATUS, F.lit(False)).cast("int").alias("is_cancelled"),
     )
+
+
+# The fact is stored by month of the order, each month's rows in the order of days.
+ORDER_MONTH = "order_month"
+
+
+def with_month(fact: DataFrame) -> DataFrame:
+    return fact.withColumn(ORDER_MONTH, F.trunc("date_key", "month"))
+
+
+def in_period(fact: DataFrame, first: date, last: date) -> DataFrame:
+    """Lines of the days from ``first`` to ``last``: other months' folders are not read."""
+    month = F.col(ORDER_MONTH)
+    months = (month >= F.lit(first.replace(day=1))) & (month <= F.lit(last.replace(day=1)))
+    return fact.where(months & F.col("date_key").between(F.lit(first), F.lit(last)))

@@ -2,26 +2,26 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
-from functools import partial
 from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.journal import Journal, Step
 from basketry.operators import checks
 from basketry.params import Params
 from basketry.plans import core, marts, staging, verify
 from basketry.schemas import TABLES
-from basketry.scratch import Scratch, delete_folder, replace_folder
+from basketry.scratch import Scratch
 from basketry.session import require_skew_handling
 from basketry.sources.load import load_typed, nothing_loaded, union_all, write_loaded
 from basketry.sources.raw import write_raw
-from basketry.sources.staging import append_rejects, append_staging, read_rejects, read_staging
+from basketry.sources.staging import day_path, read_rejects, read_staging
+from basketry.warehouse import Stored, Warehouse
 
 
 @dataclass
@@ -37,12 +37,14 @@ class Build:
 
 @dataclass(frozen=True)
 class Model:
-    """A named table or view of a layer."""
+    """A named table or view of a layer. A table may have a folder for each value of a column, and an order within."""
 
     name: str
     layer: str
     build: Callable[[Build], DataFrame]
     view: bool = False
+    by: str | None = None
+    within: tuple[str, ...] = ()
 
 
 # In the order of what reads what. Core and mart models are tables, so no mart computes core again.
@@ -54,7 +56,13 @@ MODELS = (
     Model(
         "dim_products", "core", lambda b: core.dim_products(b.tables["products"], b.tables["order_items"], b.params)
     ),
-    Model("fact_orders", "core", lambda b: core.fact_orders(b.tables["order_items"], b.tables["orders"], b.params)),
+    Model(
+        "fact_orders",
+        "core",
+        lambda b: core.with_month(core.fact_orders(b.tables["order_items"], b.tables["orders"], b.params)),
+        by=core.ORDER_MONTH,
+        within=("date_key",),
+    ),
     Model(
         "mart_sales_overview",
         "marts",
@@ -100,58 +108,64 @@ def build_models(
     scratch: Scratch,
     models: Sequence[Model] = MODELS,
     views: str = "",
+    journal: Journal | None = None,
+    inputs: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Build all models on staged tables; tables go to ``root/<layer>/<name>``.
+    """Build all models on staged tables; together they become the next version of the warehouse at ``root``.
 
-    Models of one layer read other layers only, so they are built side by side. Tables are built in a
-    folder of this run and take the old ones' places once all are there: a run that fails leaves the
-    old ones as they were. Each model also gets a view ``<views><layer>_<name>``; runs in one session
-    keep apart by their own ``views``.
+    Models of one layer read other layers only, so they are built side by side. Readers see all tables
+    of the version before until every one is built (see ``warehouse``). Each model also gets a view
+    ``<views><layer>_<name>``; runs in one session keep apart by their own ``views``. With a
+    ``journal`` models that an attempt before has built from the same ``inputs`` are not built again.
     """
     b = Build(spark, tables, params, scratch)
-    run = f"{root}/runs/{uuid.uuid4().hex}"
+    change = Warehouse(spark, root).change()
+    read = {"params": str(params), **(inputs or {})}
 
     def build(m: Model) -> DataFrame:
-        df = m.build(b)
-        return df if m.view else as_table(df, f"{run}/{m.layer}/{m.name}")
-
-    try:
-        for _, layer in groupby(models, key=lambda m: m.layer):
-            members = list(layer)
-            b.models.update(zip([m.name for m in members], together(build, members)))
-        for m in models:
-            if not m.view:
-                path = f"{root}/{m.layer}/{m.name}"
-                replace_folder(spark, f"{run}/{m.layer}/{m.name}", path)
-                b.models[m.name] = spark.read.schema(b.models[m.name].schema).parquet(path)
-            b.models[m.name].createOrReplaceTempView(f"{views}{m.layer}_{m.name}")
-    finally:
-        delete_folder(spark, run)
+        def write() -> dict:
+            change.write(m.name, m.build(b), m.layer, by=m.by, within=m.within)
+            return change.tables[m.name].to_json()
+
+        if m.view:
+            return m.build(b)
+        step = journal.step(f"model/{m.name}", before, write) if journal else Step("", write())
+        read[m.name] = step.id
+        return change.adopt(m.name, Stored.from_json(step.result))
+
+    for _, layer in groupby(models, key=lambda m: m.layer):
+        members, before = list(layer), dict(read)
+        b.models.update(zip([m.name for m in members], together(build, members)))
+    change.commit()
+    for m in models:
+        b.models[m.name].createOrReplaceTempView(f"{views}{m.layer}_{m.name}")
     return b.models
 
 
 def export_and_load(
-    spark: SparkSession, source: Mapping[str, DataFrame], root: str, day: date, params: Params
-) -> dict[str, DataFrame]:
-    """One day's snapshot through raw files into staging; returns the staged tables of that day.
+    spark: SparkSession, source: Mapping[str, DataFrame], root: str, day: date, params: Params, journal: Journal
+) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """One day's snapshot through raw files into staging; returns the staged tables of that day and their loads' ids.
 
-    A table without rows exports no file and stages no rows.
+    A table without rows exports no file and stages no rows. A table that was exported before the run
+    broke is not exported again, so all of a run comes from one snapshot of it.
     """
 
-    def stage(name: str) -> DataFrame:
+    def stage(name: str) -> tuple[DataFrame, str]:
         table = TABLES[name]
-        path = write_raw(source[name], root, table, day)
-        rows = nothing_loaded(spark, table) if path is None else load_typed(spark, path, table, multi_line=table.raw_format != "json")
-        write_loaded(
-            rows,
-            table,
-            params.run_ts,
-            partial(append_staging, root=root, table=table, day=day),
-            partial(append_rejects, root=root, table=table, day=day),
-        )
-        return read_staging(spark, root, table, day)
+        exported = journal.step(f"export/{name}", {}, lambda: {"path": write_raw(source[name], root, table, day)})
+
+        def load() -> dict:
+            path = exported.result["path"]
+            multi_line = table.raw_format != "json"
+            rows = nothing_loaded(spark, table) if path is None else load_typed(spark, path, table, multi_line=multi_line)
+            return {"rejects": write_loaded(rows, table, params.run_ts, day_path(root, table, day))}
+
+        loaded = journal.step(f"load/{name}", {"export": exported.id, "run_ts": str(params.run_ts)}, load)
+        return read_staging(spark, root, table, day), loaded.id
 
-    return dict(zip(TABLES, together(stage, TABLES)))
+    staged = dict(zip(TABLES, together(stage, TABLES)))
+    return {n: df for n, (df, _) in staged.items()}, {n: step for n, (_, step) in staged.items()}
 
 
 REPORT_SECTIONS = ("REJECTS", "CHECKS", "EMPTY TABLES")
@@ -196,22 +210,27 @@ def run_pipeline(
     day: date,
     params: Params,
     fail_on: str | None = None,
+    fresh: bool = False,
 ) -> DataFrame:
     """Run one day from source tables to marts below ``root`` and return the written report.
 
-    Running a day again replaces what it wrote. Failed checks are reported; ``fail_on="warn"``
-    makes them stop the run after the models are built. Joins of lines rely on adaptive execution to
-    split hot orders, products and customers, so the session must have that on.
+    A run that broke goes on where it broke when the day is run again: exports, loads and models it
+    had finished are kept (``fresh`` starts anew). Running a finished day again replaces what it wrote.
+    Failed checks are reported; ``fail_on="warn"`` makes them stop the run after the models are built.
+    Joins of lines rely on adaptive execution to split hot orders, products and customers, so the
+    session must have that on.
     """
     require_skew_handling(spark)
-    staged = export_and_load(spark, source, root, day, params)
+    journal = Journal(spark, f"{root}/journal/{day.isoformat()}", fresh)
+    staged, loads = export_and_load(spark, source, root, day, params, journal)
     scratch = Scratch(spark)
     try:
-        models = build_models(spark, staged, root, params, scratch)
+        models = build_models(spark, staged, root, params, scratch, journal=journal, inputs=loads)
     finally:
         scratch.close()
     found = as_table(checks.report(staged), f"{root}/reports/checks/{day.isoformat()}")
     rejects = {n: read_rejects(spark, root, t, day) for n, t in TABLES.items()}
     report = as_table(run_report(staged, models, rejects, found), f"{root}/reports/run/{day.isoformat()}")
+    journal.finish()
     checks.enforce(found, fail_on)
     return report

@@ -44,16 +44,6 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     files.delete(path, True)
 
 
-def replace_folder(spark: SparkSession, new: str, old: str) -> None:
-    """Put a written folder in another's place."""
-    source, files = folder_and_files(spark, new)
-    target, _ = folder_and_files(spark, old)
-    files.mkdirs(target.getParent())
-    files.delete(target, True)
-    if not files.rename(source, target):
-        raise OSError(f"{new} could not be renamed to {old}")
-
-
 class Scratch:
     """A folder of written tables that one job owns.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from basketry.functions.columns import null_tokens, ntz
 from basketry.schemas import NOW, Table
 from basketry.sources.raw import CSV_DIALECT
+from basketry.sources.staging import ACCEPTED, RAW, REASON, write_both
 
 CORRUPT = "_corrupt_record"
-REASON = "_reason"
 
 # Texts that stand for null, in the load command and in the named file format.
 NULL_TOKENS = ("", "NULL")
@@ -109,7 +109,7 @@ def typed(
         bad_columns != "", F.concat(F.lit("bad value: "), bad_columns)
     )
     raw = F.coalesce(CORRUPT, F.to_json(F.struct(*[F.col(c) for c in table.columns])))
-    return text.select(*columns, *keep, reason.alias(REASON), F.when(reason.isNotNull(), raw).alias("_raw"))
+    return text.select(*columns, *keep, reason.alias(REASON), F.when(reason.isNotNull(), raw).alias(RAW))
 
 
 def accepted(rows: DataFrame, table: Table, run_ts: datetime, keep: Sequence[str] = ()) -> DataFrame:
@@ -121,7 +121,7 @@ def rejected(rows: DataFrame, table: Table, run_ts: datetime, keep: Sequence[str
     return rows.where(F.col(REASON).isNotNull()).select(
         F.lit(table.name).alias("table_name"),
         F.col(REASON).alias("reason"),
-        F.col("_raw").alias("raw"),
+        F.col(RAW).alias("raw"),
         ntz(run_ts).alias("_loaded_at"),
         *keep,
     )
@@ -144,29 +144,26 @@ def load(
 
 def nothing_loaded(spark: SparkSession, table: Table) -> DataFrame:
     """Typed rows of a table that exported no file."""
-    schema = T.StructType(list(table.schema)).add(REASON, T.StringType()).add("_raw", T.StringType())
+    schema = T.StructType(list(table.schema)).add(REASON, T.StringType()).add(RAW, T.StringType())
     return spark.createDataFrame([], schema)
 
 
-def write_loaded(
-    rows: DataFrame,
-    table: Table,
-    run_ts: datetime,
-    write_good: Callable[[DataFrame], None],
-    write_bad: Callable[[DataFrame], None],
-    keep: Sequence[str] = (),
-) -> int:
-    """Write typed rows to staging and to the rejects; returns the number of rejects.
+def with_verdict(rows: DataFrame, table: Table, run_ts: datetime, keep: Sequence[str] = ()) -> DataFrame:
+    """Accepted rows and rejects in one table; a reject has its reason and raw text, and no values."""
+    accepted = F.col(REASON).isNull()
+    values = [F.when(accepted, F.col(c)).alias(c) for c in table.columns]
+    return rows.select(*values, ntz(run_ts).alias("_loaded_at"), *keep, REASON, RAW, accepted.alias(ACCEPTED))
 
-    Rejects are counted while the good rows are written. Only if there are any are the files parsed
-    a second time to write them.
+
+def write_loaded(rows: DataFrame, table: Table, run_ts: datetime, path: str, keep: Sequence[str] = ()) -> int:
+    """Write typed rows below ``path``, accepted ones and rejects apart; returns the number of rejects.
+
+    One job parses the files, counts the rejects and writes both.
     """
     seen = Observation()
     watched = rows.observe(seen, F.count_if(F.col(REASON).isNotNull()).alias("bad"))
-    write_good(accepted(watched, table, run_ts, keep))
-    bad = seen.get["bad"]
-    write_bad(rejected(rows if bad else rows.limit(0), table, run_ts, keep))
-    return bad
+    write_both(with_verdict(watched, table, run_ts, keep), path)
+    return seen.get["bad"]
 
 
 def apply_defaults(df: DataFrame, table: Table, run_ts: datetime, fill_nulls: bool = False) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basketry.schemas import Table
 from basketry.sources.load import CORRUPT, csv_options, raw_schema, typed, write_loaded
 from basketry.sources.raw import raw_table_folder
-from basketry.sources.staging import DAY, staging_schema
+from basketry.sources.staging import DAY, read_accepted, read_rejected, staging_schema
 
 BATCH = "load_batch"
 FILES_PER_BATCH = 10_000
@@ -46,15 +46,13 @@ def ingest(
     """Load every raw file not loaded before, then stop.
 
     Each batch replaces its own folder, so a batch that is repeated after a failure leaves no
-    duplicates. A file replaced under the same name is not loaded again: write a re-export to new
-    names and read staging through ``latest_snapshot``.
+    duplicates. For folders that only ever get new files: a file replaced under the same name is not
+    loaded again (``sources.ledger`` does that).
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        def into(kind: str):
-            return lambda df: df.write.mode("overwrite").parquet(f"{target}/{kind}/{table.name}/{BATCH}={number}")
-
-        write_loaded(typed(batch, table, keep=(DAY,)), table, run_ts, into("staging"), into("rejects"), (DAY,))
+        path = f"{target}/staging/{table.name}/{BATCH}={number}"
+        write_loaded(typed(batch, table, keep=(DAY,)), table, run_ts, path, (DAY,))
 
     stream = (
         new_files(spark, root, table, multi_line=multi_line, files_per_batch=files_per_batch)
@@ -68,4 +66,8 @@ def ingest(
 
 def read_ingested(spark: SparkSession, target: str, table: Table) -> DataFrame:
     """All rows loaded so far, with their day."""
-    return spark.read.schema(staging_schema(table)).parquet(f"{target}/staging/{table.name}").drop(BATCH)
+    return read_accepted(spark, f"{target}/staging/{table.name}", staging_schema(table))
+
+
+def read_ingest_rejects(spark: SparkSession, target: str, table: Table) -> DataFrame:
+    return read_rejected(spark, f"{target}/staging/{table.name}", table)

@@ -122,12 +122,14 @@ class Change:
         layer: str = "tables",
         by: str | None = None,
         within: Iterable[str] = (),
+        gather: bool = True,
         only: Iterable[str] | None = None,
     ) -> DataFrame:
         """Write a table's rows and return the table as the next version will have it.
 
-        ``by`` is a date column with a folder for each value; rows are sorted ``within`` a folder's files,
-        so that a filter on those columns skips most of a file. ``only`` names values of ``by`` whose
+        ``by`` is a date or number with a folder for each value; rows are sorted ``within`` a folder's files,
+        so that a filter on those columns skips most of a file (with ``gather`` off they stay as they come).
+        ``only`` names values of ``by`` whose
         rows ``df`` has all of: they alone are replaced (or go, if ``df`` has none), the others stay.
         """
         home = f"{layer}/{name}"
@@ -137,9 +139,9 @@ class Change:
             df.write.mode("overwrite").parquet(path)
             folders = {WHOLE: folder}
         else:
-            # A value's rows are spread over some tasks rather than one, and a task writes few values.
-            spread = df.repartition(by, F.pmod(F.xxhash64(*within), F.lit(SPREAD))) if within else df.repartition(by)
-            spread.sortWithinPartitions(by, *within).write.mode("overwrite").partitionBy(by).parquet(path)
+            # Gathered by value, so that a task writes few files; a value with very many rows is split by size.
+            rows = df.hint("rebalance", F.col(by)).sortWithinPartitions(by, *within) if gather else df
+            rows.write.mode("overwrite").partitionBy(by).parquet(path)
             made = [n for n in marks.names(self.warehouse.spark, path) if n.startswith(f"{by}=")]
             folders = {n.split("=", 1)[1]: f"{folder}/{n}" for n in made}
         if only is not None:
@@ -166,7 +168,3 @@ class Change:
         marks.put(self.warehouse.spark, self.warehouse._manifest(version), text)
         self.version = version
         return version
-
-
-# Tasks that share the rows of one partition value.
-SPREAD = 4

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from basketry import schemas
 from basketry.schemas import NOW, Table
 from basketry.scratch import Scratch
-from basketry.sources import load, raw, snapshot, staging
+from basketry.sources import ledger, load, raw, snapshot, staging
+from basketry.warehouse import Warehouse
 from basketry.streaming import ingest
 
 DAY = date(2024, 6, 30)
@@ -137,11 +138,8 @@ def test_null_tokens(spark):
 def test_write_loaded_counts_rejects(spark, tmp_path):
     path, out = put(tmp_path, "small.csv", LINES), str(tmp_path)
     rows = load.load_typed(spark, path, SMALL, multi_line=False)
-    bad = load.write_loaded(
-        rows, SMALL, t.RUN_TS, lambda d: d.write.parquet(out + "/good"), lambda d: d.write.parquet(out + "/bad")
-    )
-    assert bad == 2
-    assert (spark.read.parquet(out + "/good").count(), spark.read.parquet(out + "/bad").count()) == (3, 2)
+    assert load.write_loaded(rows, SMALL, t.RUN_TS, out + "/small") == 2
+    assert {r.accepted: r["count"] for r in spark.read.parquet(out + "/small").groupBy("accepted").count().collect()} == {True: 3, False: 2}
 
 
 @pytest.mark.parametrize(
@@ -243,6 +241,131 @@ def test_latest_snapshot_of_events(spark, tmp_path):
     assert len(got) == 1 and got == again
 
 
+def daily(spark, root, *days):
+    """(day, load hour, {key: value}): staged one after the other; a value may be a list for several rows."""
+    for day, hour, values in days:
+        rows = [(k, x) for k, v in values.items() for x in (v if isinstance(v, list) else [v])]
+        o = t.orders(spark, *[(k, 1, t.days_ago(1), x, "paid") for k, x in rows])
+        o = o.withColumn("_loaded_at", F.lit(f"2024-06-30 {hour:02d}:00:00").cast("timestamp_ntz"))
+        staging.append_staging(o, root, schemas.ORDERS, day)
+        yield day, staging.read_staging(spark, root, schemas.ORDERS).where(F.col("ingest_date") == F.lit(day))
+
+
+DAYS = [date(2024, 6, n) for n in (27, 28, 29, 30)]
+
+
+def found_orders(df):
+    return sorted((r.id, r.ingest_date.day, r.total_amount) for r in df.collect())
+
+
+def test_state_follows_the_days(spark, tmp_path):
+    """Keys come, change, go, come back, stay as they are and occur twice; no earlier day is read to merge one more."""
+    root, state = str(tmp_path), None
+    days = daily(
+        spark, root,
+        (DAYS[0], 1, {1: 10, 2: 10, 3: 10, 4: [5, 7]}),
+        (DAYS[1], 2, {1: 10, 2: 20, 5: 1}),
+        (DAYS[2], 3, {1: 10, 3: 30, 6: [2, 2]}),
+        (DAYS[2], 4, {1: 11, 3: 30, 6: [2, 2], 7: 1}),
+    )
+    for day, rows in days:
+        merged = staging.merge_state(state, rows)
+        if state is not None:
+            text = merged._jdf.queryExecution().executedPlan().toString()
+            assert all(str(d) not in text for d in DAYS if d < day)
+        state = Scratch(spark).keep(merged)
+        everything = staging.read_staging(spark, root, schemas.ORDERS)
+        assert found_orders(staging.rows_of_best(everything, state, "id")) == found_orders(staging.latest_snapshot(everything))
+    got = {(i, d): v for i, d, v in found_orders(staging.latest_snapshot(everything))}
+    assert {k: int(v) for k, v in got.items() if k[0] != 4} == {(1, 29): 11, (2, 28): 20, (3, 29): 30, (5, 28): 1, (6, 29): 2, (7, 29): 1}
+    assert sum(k[0] == 4 for k in got) == 1
+
+
+def test_an_unchanged_day_shuffles_keys_and_hashes_only(spark, tmp_path):
+    same = {k: k for k in range(1, 60)}
+    list(daily(spark, str(tmp_path), (DAYS[0], 1, same), (DAYS[1], 2, same)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "1g")
+    try:
+        got = staging.latest_snapshot(staging.read_staging(spark, str(tmp_path), schemas.ORDERS), scratch=Scratch(spark))
+        assert found_orders(got) == [(k, 28, k) for k in range(1, 60)]
+        text = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        # The newest day's rows go straight to the result: no exchange of theirs is left in the final plan.
+        first = text[: text.index("Union") + 4000]
+        assert "BroadcastHashJoin" in first or "LocalTableScan" in first or "EmptyRelation" in first
+        assert "SortMergeJoin" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def put_orders(folder, name, *rows):
+    folder.mkdir(parents=True, exist_ok=True)
+    head = ",".join(schemas.ORDERS.columns)
+    (folder / name).write_text("\n".join([head, *(f"{i},1,2024-06-01 10:00:00,{v},paid,fra,PayPal" for i, v in rows)]) + "\n")
+
+
+def ids(spark, target):
+    return sorted((r.id, int(r.total_amount), r.ingest_date.day) for r in ledger.read_loaded(spark, target, schemas.ORDERS).collect())
+
+
+def test_ledger_loads_new_and_replaced_files_once(spark, tmp_path):
+    root, target = str(tmp_path / "src"), str(tmp_path / "dst")
+    days = tmp_path / "src/raw/postgres/orders"
+
+    def run(**options):
+        return ledger.ingest_files(spark, root, schemas.ORDERS, target, t.RUN_TS, multi_line=False, **options)
+
+    assert run() == 0, "no folder yet"
+    put_orders(days / "2024-06-29", "a.csv", (1, 10), (2, 10))
+    put_orders(days / "2024-06-29", "b.csv", (3, 10), ("x", 1))
+    put_orders(days / "2024-06-30", "a.csv", (4, 10))
+    assert run(files_per_load=2) == 3
+    want = [(1, 10, 29), (2, 10, 29), (3, 10, 29), (4, 10, 30)]
+    assert ids(spark, target) == want
+    assert [r.raw[:8] for r in ledger.read_loaded_rejects(spark, target, schemas.ORDERS).collect()] == ['{"id":"x']
+    assert run() == 0 and ids(spark, target) == want, "nothing new"
+    put_orders(days / "2024-06-29", "b.csv", (3, 99), (5, 10))  # the same name, other content
+    assert run() == 1
+    assert ids(spark, target) == [(1, 10, 29), (2, 10, 29), (3, 99, 29), (4, 10, 30), (5, 10, 29)]
+    assert ledger.read_loaded_rejects(spark, target, schemas.ORDERS).count() == 0
+    # A day is exported anew under other names; another day's folder is tidied away.
+    for old in (days / "2024-06-29").iterdir():
+        old.unlink()
+    put_orders(days / "2024-06-29", "c.csv", (6, 10))
+    (days / "2024-06-30" / "a.csv").unlink()
+    assert run() == 1
+    assert ids(spark, target) == [(4, 10, 30), (6, 10, 29)]
+    history = ledger.read_ledger(Warehouse(spark, target), schemas.ORDERS).collect()
+    assert len(history) == 5 and sum(r.superseded_by is None for r in history) == 2
+
+
+def test_a_load_that_fails_is_repeated_without_duplicates(spark, tmp_path, monkeypatch):
+    root, target = str(tmp_path / "src"), str(tmp_path / "dst")
+    put_orders(tmp_path / "src/raw/postgres/orders/2024-06-30", "a.csv", (1, 10))
+    real = ledger.next_ledger
+    monkeypatch.setattr(ledger, "next_ledger", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        ledger.ingest_files(spark, root, schemas.ORDERS, target, t.RUN_TS, multi_line=False)
+    assert Warehouse(spark, target).version() == 0
+    monkeypatch.setattr(ledger, "next_ledger", real)
+    assert ledger.ingest_files(spark, root, schemas.ORDERS, target, t.RUN_TS, multi_line=False) == 1
+    assert ids(spark, target) == [(1, 10, 30)]
+
+
+def test_rejects_and_rows_come_from_one_pass(spark, tmp_path):
+    path = put(tmp_path, "orders.csv", "id,user_id,created_at,total_amount,status,country,payment_method\n1,1,,5,paid,fra,x\n2,1\n")
+    rows = load.load_typed(spark, path, schemas.ORDERS, multi_line=False)
+    target = f"{tmp_path}/staged/ingest_date=2024-06-30"
+    assert load.write_loaded(rows, schemas.ORDERS, t.RUN_TS, target) == 1
+    text = load.with_verdict(rows, schemas.ORDERS, t.RUN_TS)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan csv") == 1
+    good = staging.read_accepted(spark, f"{tmp_path}/staged", staging.staging_schema(schemas.ORDERS))
+    assert [(r.id, r.ingest_date) for r in good.collect()] == [(1, DAY)]
+    bad = staging.read_rejected(spark, f"{tmp_path}/staged", schemas.ORDERS).collect()
+    assert [(r.reason, r.raw, r.ingest_date) for r in bad] == [("malformed record", "2,1", DAY)]
+
+
 def test_defaults(spark):
     df = spark.createDataFrame([(1, "e", None)], "id long, email string, plan_type string")
     row = load.apply_defaults(df, schemas.USERS, t.RUN_TS).first()
@@ -270,7 +393,7 @@ def test_incremental_load(spark, tmp_path):
         (1, "paid", DAY), (1, "shipped", day2), (2, "paid", DAY), (2, "shipped", day2),
     ]
     assert {r.status for r in staging.latest_snapshot(both).collect()} == {"shipped"}
-    rejects = spark.read.parquet(f"{target}/rejects/orders")
+    rejects = ingest.read_ingest_rejects(spark, target, schemas.ORDERS)
     assert [(r.reason, r.raw) for r in rejects.collect()] == [("malformed record", "9,1")]
 
 

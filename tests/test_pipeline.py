@@ -9,8 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators.checks import ChecksFailed
-from basketry.plans import pipeline
+from basketry.plans import core, pipeline
+from basketry import journal, marks
 from basketry.scratch import Scratch
+from basketry.schemas import ORDERS
+from basketry.sources.staging import read_staging
+from basketry.warehouse import Warehouse
 from basketry.sources import generate as g
 
 DAY = date(2024, 6, 30)
@@ -55,11 +59,12 @@ def test_report(run):
 
 def test_marts_agree_with_the_fact(spark, run):
     root, _ = run
-    fact = spark.read.parquet(f"{root}/core/fact_orders").where("is_completed = 1")
+    house = Warehouse(spark, root)
+    fact = house.read("fact_orders").where("is_completed = 1")
     revenue = fact.agg(F.sum("line_revenue")).first()[0]
-    sales = spark.read.parquet(f"{root}/marts/mart_sales_overview")
-    performance = spark.read.parquet(f"{root}/marts/mart_product_performance")
-    ltv = spark.read.parquet(f"{root}/marts/mart_customer_ltv")
+    sales = house.read("mart_sales_overview")
+    performance = house.read("mart_product_performance")
+    ltv = house.read("mart_customer_ltv")
     assert sales.agg(F.sum("total_revenue")).first()[0] == revenue
     assert ltv.agg(F.sum("lifetime_value")).first()[0] == revenue
     last = performance.orderBy(F.col("revenue_rank").desc()).first()
@@ -70,17 +75,23 @@ def test_marts_agree_with_the_fact(spark, run):
 
 def test_second_run_of_a_day_changes_nothing(spark, source, run):
     root, first = run
-    names = ("core/fact_orders", "marts/mart_customer_ltv", "staging/orders", "marts/mart_product_performance")
-    before = {n: sorted(spark.read.parquet(f"{root}/{n}").collect(), key=str) for n in names}
+    house = Warehouse(spark, root)
+
+    def everything():
+        tables = {n: house.read(n) for n in ("fact_orders", "mart_customer_ltv", "mart_product_performance")}
+        tables["orders"] = read_staging(spark, root, ORDERS)
+        return {n: sorted(df.collect(), key=str) for n, df in tables.items()}
+
+    before, version = everything(), house.version()
     assert report(pipeline.run_pipeline(spark, source, root, DAY, t.PARAMS)) == first
-    assert {n: sorted(spark.read.parquet(f"{root}/{n}").collect(), key=str) for n in names} == before
+    assert everything() == before and house.version() == version + 1
 
 
 def test_next_day_adds_to_staging_and_replaces_the_marts(spark, source, run):
     root, first = run
     later = report(pipeline.run_pipeline(spark, source, root, date(2024, 7, 1), t.PARAMS))
     assert later == first
-    assert spark.read.parquet(f"{root}/staging/orders").count() == 1600
+    assert read_staging(spark, root, ORDERS).count() == 1600
 
 
 def test_faults_are_reported_and_may_stop_the_run(spark, source, tmp_path):
@@ -101,8 +112,64 @@ def test_a_failing_build_leaves_the_old_tables(spark, source, tmp_path):
     fewer = {**staged, "order_items": staged["order_items"].limit(1)}
     with pytest.raises(KeyError):
         pipeline.build_models(spark, fewer, root, t.PARAMS, scratch, broken)
-    assert spark.read.parquet(f"{root}/core/fact_orders").count() == before > 1
-    assert not list((tmp_path / "runs").iterdir())
+    assert Warehouse(spark, root).read("fact_orders").count() == before > 1
+    assert Warehouse(spark, root).versions() == [1]
+
+
+@pytest.mark.parametrize("breaks_at", ["mart_product_performance", "load/orders", "commit", "report"])
+def test_a_run_that_broke_goes_on_where_it_broke(spark, source, tmp_path, monkeypatch, breaks_at):
+    """The retry repeats the one step that failed and what comes after it; the result is that of an unbroken run."""
+    root, done = str(tmp_path), []
+    real_step, real_put = journal.Journal.step, marks.put
+
+    def step(self, name, inputs, work):
+        def watched():
+            done.append(name)
+            if name == breaks_at or name == f"model/{breaks_at}":
+                raise OSError("lost")
+            return work()
+
+        return real_step(self, name, inputs, watched)
+
+    def put(spark, path, text):
+        if breaks_at == "commit" and "/manifests/" in path:
+            raise OSError("lost")
+        real_put(spark, path, text)
+
+    monkeypatch.setattr(journal.Journal, "step", step)
+    monkeypatch.setattr(marks, "put", put)
+    if breaks_at == "report":
+        monkeypatch.setattr(pipeline, "run_report", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        pipeline.run_pipeline(spark, source, root, DAY, t.PARAMS)
+    assert Warehouse(spark, root).version() == (1 if breaks_at == "report" else 0)
+    first, done[:] = set(done), []
+    breaks = breaks_at
+    breaks_at = None
+    monkeypatch.undo()
+    monkeypatch.setattr(journal.Journal, "step", step)
+    got = report(pipeline.run_pipeline(spark, source, root, DAY, t.PARAMS))
+    if breaks == "mart_product_performance":
+        assert done == [f"model/{breaks}"]
+    elif breaks == "load/orders":
+        assert not any(n.startswith("export/") for n in done) and "load/orders" in done
+        assert {n for n in done if n.startswith("load/")} <= {"load/orders"} | {f"load/{n}" for n in source} - first
+    else:
+        assert done == [], "all steps were finished"
+    assert got == report(pipeline.run_pipeline(spark, source, str(tmp_path / "unbroken"), DAY, t.PARAMS))
+    done.clear()
+    pipeline.run_pipeline(spark, source, root, DAY, t.PARAMS)
+    assert len(done) == 2 * len(source) + 6, "a finished day is run again as a whole"
+
+
+def test_the_fact_is_stored_by_month(spark, source, run):
+    root, _ = run
+    fact = Warehouse(spark, root).read("fact_orders")
+    month = core.in_period(fact, date(2024, 5, 3), date(2024, 5, 20))
+    text = month._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in text and "DataFilters: [isnotnull(date_key" in text
+    assert month.count() == fact.where("date_key between date'2024-05-03' and date'2024-05-20'").count() > 0
+    assert fact.where("order_month <> trunc(date_key, 'month')").count() == 0
 
 
 def test_runs_of_one_session_keep_their_views(spark, source, tmp_path):
