@@ -157,8 +157,7 @@ def product_metrics(fact_orders: DataFrame, dim_products: DataFrame) -> DataFram
     """Volume, revenue and margin per product with a completed order.
 
     Lines are aggregated before they meet the dimension, so the join sees one row per product and a
-    best-seller cannot overload it. If the dimension repeats a product, every copy counts, as it
-    would when joining line by line.
+    best-seller cannot overload it.
     """
     sold = (
         completed(fact_orders)
@@ -173,6 +172,12 @@ def product_metrics(fact_orders: DataFrame, dim_products: DataFrame) -> DataFram
             F.max("order_timestamp").alias("last_sale_date"),
         )
     )
+    return named_products(sold, dim_products)
+
+
+def named_products(sold: DataFrame, dim_products: DataFrame) -> DataFrame:
+    """Products' sales with name and category. If the dimension repeats a product, every copy counts, as it
+    would when joining line by line."""
     named = dim_products.groupBy("product_key", "product_name", "product_category").agg(
         F.count(F.lit(1)).alias("copies")
     )

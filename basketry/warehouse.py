@@ -89,7 +89,7 @@ class Warehouse:
         return Change(self, version, self.tables(version))
 
     def vacuum(self, keep: int = 2) -> None:
-        """Delete what the newest ``keep`` versions do not name. Not while another run writes."""
+        """Delete what the newest ``keep`` versions do not name. Not while another run writes or waits to be retried."""
         versions = self.versions()
         used = {f for v in versions[-keep:] for t in self.tables(v).values() for f in t.folders.values()}
         homes = {t.home for v in versions for t in self.tables(v).values()}

@@ -14,12 +14,13 @@ from basketry import schemas
 from basketry.functions.columns import stamp
 from basketry.operators import checks
 from basketry.params import Params
-from basketry.plans import core, marts, pipeline, staging, verify
+from basketry.plans import core, daily, incremental, marts, pipeline, staging, verify
 from basketry.scratch import Scratch, folder_and_files, name_local_folder
-from basketry.sources import generate, load, raw, snapshot
+from basketry.sources import generate, ledger, load, raw, snapshot
 from basketry.sources import staging as sources_staging
 from basketry.sources.sales_tables import SalesTables
 from basketry.streaming import ingest
+from basketry.warehouse import Warehouse
 
 PARAMS = Params(as_of=date(2001, 8, 1), run_ts=datetime(2001, 8, 1, 2, 0), start_date=date(1996, 1, 1))
 
@@ -93,6 +94,40 @@ class Shop:
         root = root or self.scratch.path("warehouse")
         return pipeline.build_models(self.spark, staged, root, self.params, self.scratch, views=views)
 
+    def stored(self) -> Warehouse:
+        """A warehouse with the fact by month and the marts' daily states."""
+        house = Warehouse(self.spark, self.scratch.path("warehouse"))
+        change = house.change()
+        fact = change.write("fact_orders", core.with_month(self.sales()), "core", by=core.ORDER_MONTH, within=["date_key"])
+        daily.refresh(change, fact, self.dim_products(), self.dim_customers())
+        change.commit()
+        return house
+
+    def day_before(self) -> dict[str, DataFrame]:
+        """Orders and lines of the day before: the last months' orders still pending, some not there yet, one too many."""
+        orders, lines = self.tables["orders"], self.tables["order_lines"]
+        late = F.col("created_at") >= F.lit("2001-06-15").cast("timestamp_ntz")
+        pending = orders.withColumn("status", F.when(late, F.lit("pending")).otherwise(F.col("status")))
+        gone = orders.orderBy("id").limit(1).withColumns({"id": F.lit(-1).cast("long"), "created_at": F.lit("1997-03-02").cast("timestamp_ntz")})
+        early = orders.where("created_at < timestamp_ntz'1998-02-01' AND created_at >= timestamp_ntz'1998-01-01'").select(F.col("id").alias("order_id"))
+        fewer = lines.join(early.where("order_id % 3 = 0"), "order_id", "left_anti").select(*lines.columns)
+        none = lines.limit(1).withColumn("order_id", F.lit(-1).cast("long"))
+        return {"orders": pending.where("id % 40 <> 1 OR created_at < timestamp_ntz'2001-07-01'").unionByName(gone), "order_items": fewer.unionByName(none)}
+
+    def refreshed(self) -> tuple[Warehouse, list[str]]:
+        """The fact and the daily states of the day before, brought to the day by its changes."""
+        before = {n: self.scratch.keep(df, n) for n, df in self.day_before().items()}
+        after = {"orders": self.scratch.keep(self.tables["orders"]), "order_items": self.scratch.keep(self.tables["order_lines"])}
+        house = Warehouse(self.spark, self.scratch.path("warehouse"))
+        change, dims = house.change(), (self.dim_products(), self.dim_customers())
+        fact = core.with_month(core.fact_orders(before["order_items"], before["orders"], self.params))
+        daily.refresh(change, change.write("fact_orders", fact, "core", by=core.ORDER_MONTH, within=["date_key"]), *dims)
+        change.commit()
+        change = house.change()
+        months = incremental.refresh_sales(change, before, after, *dims, self.params)
+        change.commit()
+        return house, months
+
     def two_snapshots(self) -> tuple[DataFrame, DataFrame]:
         """Orders on two days: all still pending, then with their state and without cancelled ones."""
         orders = self.tables["orders"]
@@ -316,11 +351,12 @@ def load_rejects(shop: Shop) -> DataFrame:
         "payment_method",
     )
     line = F.when(F.col("total_amount") == 0, F.concat_ws(",", "id", "user_id")).otherwise(full)
-    path = shop.scratch.path("lines")
+    path, staged = shop.scratch.path("lines"), shop.scratch.path("staged")
     o.select(line.alias("line")).write.text(path)
     rows = load.typed(load.read_raw_csv(shop.spark, path, schemas.ORDERS, multi_line=False, header="false"), schemas.ORDERS)
-    good = load.accepted(rows, schemas.ORDERS, shop.params.run_ts)
-    bad = load.rejected(rows, schemas.ORDERS, shop.params.run_ts)
+    load.write_loaded(rows, schemas.ORDERS, shop.params.run_ts, f"{staged}/{sources_staging.DAY}={DAY_1}")
+    good = sources_staging.read_accepted(shop.spark, staged, sources_staging.staging_schema(schemas.ORDERS))
+    bad = sources_staging.read_rejected(shop.spark, staged, schemas.ORDERS).drop(sources_staging.DAY)
     return bad.unionByName(
         good.select(
             F.lit("orders").alias("table_name"),
@@ -371,7 +407,29 @@ def load_append(shop: Shop) -> DataFrame:
 )
 def latest_snapshot(shop: Shop) -> DataFrame:
     """Orders as last seen: cancelled ones were only in the first day's snapshot."""
-    return sources_staging.latest_snapshot(shop.two_days())
+    return sources_staging.latest_snapshot(shop.two_days(), scratch=shop.scratch)
+
+
+@query(
+    "latest_snapshot_state",
+    oracle.sql(
+        f"""SELECT id, user_id, created_at, total_amount, CASE WHEN status = 'cancelled' THEN 'pending' ELSE status END AS status,
+            country, payment_method, CASE WHEN status = 'cancelled' THEN DATE '2001-07-31'
+                WHEN id % 7 = 0 THEN DATE '2001-08-01' ELSE DATE '2001-08-02' END AS ingest_date, {oracle.RUN_TS} AS _loaded_at
+        FROM shop_orders""",
+        "shop_orders",
+    ),
+)
+def latest_snapshot_state(shop: Shop) -> DataFrame:
+    """Orders as last seen on three days, from a state that was merged day by day; some are missing on the last."""
+    days, state = shop.two_days(), None
+    third = shop.two_snapshots()[1].where("id % 7 <> 0")
+    last = DAY_2.replace(day=2)
+    days = shop.scratch.keep(days.unionByName(stamp(third, shop.params.run_ts).withColumn(sources_staging.DAY, F.lit(last))))
+    for day in (DAY_1, DAY_2, last):
+        merged = sources_staging.merge_state(state, days.where(F.col(sources_staging.DAY) == F.lit(day)))
+        state = shop.scratch.keep(merged, "state")
+    return sources_staging.rows_of_best(days, state, "id")
 
 
 @query(
@@ -402,6 +460,29 @@ def ingest_incremental(shop: Shop) -> DataFrame:
     return ingest.read_ingested(shop.spark, target, schemas.ORDERS)
 
 
+@query(
+    "ingest_ledger",
+    oracle.sql(
+        f"""SELECT *, {oracle.RUN_TS} AS _loaded_at FROM (
+            SELECT id, user_id, created_at, total_amount, CASE WHEN status = 'cancelled' THEN 'paid' ELSE status END AS status,
+                country, payment_method, DATE '2001-07-31' AS ingest_date FROM shop_orders
+            UNION ALL SELECT id, user_id, created_at, total_amount, status, country, payment_method,
+                DATE '2001-08-01' FROM shop_orders WHERE status <> 'cancelled')""",
+        "shop_orders",
+    ),
+)
+def ingest_ledger(shop: Shop) -> DataFrame:
+    """Four runs over the raw folder: a day, nothing new, the same day exported anew, one more day."""
+    root, target = shop.scratch.path("raw"), shop.scratch.path("target")
+    first, second = shop.two_snapshots()
+    paid = shop.tables["orders"].withColumn("status", F.when(F.col("status") == "cancelled", "paid").otherwise(F.col("status")))
+    for day, exported in ((DAY_1, first), (None, None), (DAY_1, paid), (DAY_2, second)):
+        if day:
+            raw.write_raw(exported, root, schemas.ORDERS, day)
+        ledger.ingest_files(shop.spark, root, schemas.ORDERS, target, shop.params.run_ts, multi_line=False)
+    return ledger.read_loaded(shop.spark, target, schemas.ORDERS)
+
+
 @query(
     "apply_defaults",
     oracle.view(
@@ -668,6 +749,73 @@ def pipeline_end_to_end(shop: Shop) -> DataFrame:
     )
 
 
+# --- stored by month, and from day to day -----------------------------------------------------
+
+_FACT = """order_key, customer_key, product_key, date_key, order_status, country_code, payment_method, order_timestamp,
+    quantity_sold, unit_price, line_revenue, order_total, estimated_margin, is_completed, is_cancelled"""
+
+
+def fact_columns(fact: DataFrame) -> DataFrame:
+    return fact.select(*[c.strip() for c in _FACT.split(",")])
+
+
+@query(
+    "fact_orders_month",
+    oracle.sql(f"SELECT {_FACT} FROM fact_orders WHERE date_key BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'", "fact_orders"),
+)
+def fact_orders_month(shop: Shop) -> DataFrame:
+    """Lines of one month of the stored fact; other months' folders are not read."""
+    fact = shop.stored().read("fact_orders")
+    return fact_columns(core.in_period(fact, date(1998, 3, 1), date(1998, 3, 31)))
+
+
+@query("fact_orders_incremental", oracle.sql(f"SELECT {_FACT} FROM fact_orders", "fact_orders"))
+def fact_orders_incremental(shop: Shop) -> DataFrame:
+    """The fact of the day before, with only the months built again in which something has changed."""
+    return fact_columns(shop.refreshed()[0].read("fact_orders"))
+
+
+@query("sales_overview_from_days", oracle.view("mart_sales_overview"))
+def sales_overview_from_days(shop: Shop) -> DataFrame:
+    """The mart from daily states, of which only changed months were built again."""
+    return daily.overview(shop.refreshed()[0].read("overview_days"))
+
+
+@query("customer_metrics_from_days", oracle.view("customer_metrics"))
+def customer_metrics_from_days(shop: Shop) -> DataFrame:
+    return daily.customer_metrics(shop.refreshed()[0].read("customer_days"), shop.params)
+
+
+@query("product_metrics_from_days", oracle.view("product_metrics"))
+def product_metrics_from_days(shop: Shop) -> DataFrame:
+    return marts.named_products(daily.product_sales(shop.stored().read("product_days")), shop.dim_products())
+
+
+@query(
+    "sales_by_month_and_country",
+    oracle.sql(
+        """SELECT date_trunc('month', date_key)::DATE AS sale_month, l.country_code,
+            CAST(COUNT(DISTINCT order_key) AS BIGINT) AS total_orders,
+            CAST(COUNT(DISTINCT l.customer_key) AS BIGINT) AS unique_customers,
+            CAST(SUM(quantity_sold) AS BIGINT) AS total_quantity, CAST(SUM(line_revenue) AS DECIMAL(22,2)) AS total_revenue,
+            CAST(SUM(estimated_margin) AS DECIMAL(24,3)) AS total_margin,
+            CAST(SUM(order_total) AS DOUBLE) / COUNT(order_total) AS avg_order_value,
+            CAST(SUM(line_revenue) AS DOUBLE) / COUNT(DISTINCT order_key) AS revenue_per_order,
+            CAST(SUM(estimated_margin) AS DOUBLE) / nullif(CAST(SUM(line_revenue) AS DOUBLE), 0) AS margin_rate
+        FROM done_lines l JOIN dim_products p ON p.product_key = l.product_key
+            JOIN dim_customers c ON c.customer_key = l.customer_key
+        GROUP BY ALL""",
+        "done_lines",
+        "dim_products",
+        "dim_customers",
+    ),
+)
+def sales_by_month_and_country(shop: Shop) -> DataFrame:
+    """Months and countries united from the days' states: orders and customers of several days count once."""
+    days = shop.stored().read("overview_days").withColumn("sale_month", F.trunc("sale_date", "month"))
+    return daily.overview(days, ("sale_month", "country_code"))
+
+
 # --- generated tables -------------------------------------------------------------------------
 # Their ids come from the given tables, so their size follows them.
 

@@ -72,3 +72,43 @@ def test_hot_value_reaches_the_join_once(spark):
     parent = spark.range(9000).selectExpr("if(id < 3000, 43, id) AS k")
     lost = checks.orphans(child, "fk", parent, "k")
     assert [(r.value, r.rows) for r in lost.collect()] == [(42, 3000)]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_clean_references_move_nothing(spark):
+    """Only orphans reach the exchange: with none there is nothing to shuffle."""
+    child = spark.range(50_000).selectExpr("id % 1000 * 3 AS fk", "id")
+    parent = spark.range(1000).selectExpr("id * 3 AS k")
+    lost = checks.orphans(child, "fk", parent, "k")
+    assert lost.count() == 0 and "SortMergeJoin" not in plan(lost) and "BroadcastHashJoin" in plan(lost)
+    more = child.unionByName(spark.createDataFrame([(1, 0), (1, 0), (-3, 0), (None, 0), (3000, 0)], "fk long, id long"))
+    assert sorted((r.value, r.rows) for r in checks.orphans(more, "fk", parent, "k").collect()) == [(-3, 1), (1, 2), (3000, 1)]
+
+
+def test_references_of_other_types_and_wide_ranges(spark):
+    child = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "fk string")
+    parent = spark.createDataFrame([("a",), (None,)], "k string")
+    assert [tuple(r) for r in checks.orphans(child, "fk", parent, "k").collect()] == [("b", 2)]
+    wide = spark.createDataFrame([(-(1 << 62),), (1 << 62,)], "k long")
+    lost = checks.orphans(spark.createDataFrame([(1 << 62,), (7,)], "fk long"), "fk", wide, "k")
+    assert [tuple(r) for r in lost.collect()] == [(7, 1)]
+    tables = {"users": parent.withColumnRenamed("k", "id"), "orders": child.withColumnRenamed("fk", "user_id")}
+    found = failures(checks.report(tables, [Check("relationships", "orders", "user_id", ("users", "id")), Check("unique", "orders", "user_id")]))
+    assert found == {("relationships", "orders", "user_id"): 2, ("unique", "orders", "user_id"): 1}
+
+
+def test_all_checks_of_a_table_take_one_scan_and_one_shuffle(spark, tables, tmp_path):
+    tables["users"].write.parquet(f"{tmp_path}/users")
+    users = spark.read.parquet(f"{tmp_path}/users")
+    own = [c for c in checks.STAGING_CHECKS if c.table == "users"]
+    assert len(own) == 4
+    text = plan(checks.table_failures({"users": users}, "users", own))
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
+
+
+def test_empty_tables_have_no_failures(spark, tables):
+    none = {n: df.limit(0) for n, df in tables.items()}
+    assert set(failures(checks.report(none, checks.constraint_checks())).values()) == {0}
