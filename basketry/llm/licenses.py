@@ -54,7 +54,7 @@ WORD_BYTES = bytes(
 )
 TOKEN = re.compile(r"[a-z0-9][a-z0-9.+-]*|[()]")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
-EXPRESSION_CHARS = 1000
+LINE_END = re.compile(r"[\r\n]")
 TAG_WORD = re.compile(b"license", re.IGNORECASE)
 
 
@@ -108,18 +108,18 @@ def to_postfix(tokens: list[str]) -> list[str]:
     return out + held[::-1]
 
 
-def evaluate(text: str) -> Expression | None:
-    """Read an expression from the start of ``text``; None if there is none.
+def evaluate(text: str, at: int = 0, end: int | None = None) -> Expression | None:
+    """Read an expression from ``text``, from ``at`` and before ``end``; None if there is none.
 
     ``a or b`` is permissive if one side is, ``a and b`` if both are, ``a with b`` if a is: the exception
     adds a permission to one license. A text after the expression is ignored.
     """
     tokens: list[str] = []
-    at = 0
+    end = len(text) if end is None else end
     while True:
-        while at < len(text) and text[at] in " \t":
+        while at < end and text[at] in " \t":
             at += 1
-        match = TOKEN.match(text, at)
+        match = TOKEN.match(text, at, end)
         if not match:
             break
         token = match[0].rstrip(".") if match[0] not in "()" else match[0]
@@ -210,9 +210,12 @@ class Scanner:
     def expressions(self, data: bytes) -> list[Expression]:
         line = data.lower().decode("latin-1")
         found = []
+        stop = 0
         for end, _ in self.tags.iter(line):
-            rest = line[end + 1 : end + 1 + EXPRESSION_CHARS].splitlines()
-            if rest and (expression := evaluate(rest[0])):
+            if end >= stop:
+                border = LINE_END.search(line, end + 1)
+                stop = border.start() if border else len(line)
+            if expression := evaluate(line, end + 1, stop):
                 found.append(expression)
         return found
 
@@ -238,10 +241,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     n_words; n_base, first_word and last_word: places of the base phrases, by the word they start with;
     base_labels and labels: distinct, sorted, joined by commas, empty if none; score: 0 without a
     finding, else the chance that at least one is right; expressions: those after a tag, as written
-    (an expression has at most 1,000 characters and ends with its line); permissive: whether all of
-    them allow use with no more than a notice, null without any.
+    (an expression ends with its line, however long that is); permissive: whether all of them allow use
+    with no more than a notice, null without any.
 
-    A null text counts as empty. Ids may be null or repeat; an empty table gives an empty result.
+    A null text counts as empty, a very long one is scanned whole. Ids may be null or repeat; an empty
+    table gives an empty result.
     """
 
     def columns(batch: list[str | None]) -> dict[str, list]:

@@ -88,3 +88,19 @@ def test_what_is_no_expression(text):
 
 def test_postfix():
     assert c.to_postfix("a or b and ( c or d ) with e".split()) == "a b c d or e with and or".split()
+
+
+@pytest.mark.parametrize("wrap", ["{}", "({})", "{}\x0b", "Å {}"])
+def test_expressions_of_any_length_are_read_whole(wrap):
+    names = " OR ".join(["Apache-2.0"] * 300 + ["gpl-3.0-only"] * 300 + ["MIT"])
+    text = f"head\nSPDX-License-Identifier: {wrap.format(names) if not wrap.startswith('Å') else names}\r\nmit-0 follows\n"
+    found = c.scanner()(("Å" if wrap.startswith("Å") else "") + text)
+    assert found["labels"] == "apache,apache-2.0,gpl,gpl-3.0-only,mit"
+    assert found["permissive"] is True and found["expressions"][0].count("OR") == 600
+
+
+def test_a_line_ends_at_a_break_and_not_within_a_character():
+    found = c.scanner()("SPDX-License-Identifier: MIT AND Å\nSPDX-License-Identifier: GPL-2.0-only\rMIT AND x")
+    assert found["expressions"] == ["mit", "gpl-2.0-only"]
+    many = "SPDX-License-Identifier: MIT " * 20_000
+    assert len(c.scanner()(many)["expressions"]) == 20_000
