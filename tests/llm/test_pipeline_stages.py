@@ -47,14 +47,14 @@ def test_stages_on_no_rows(spark, no_docs, folder):
         assert stage(spark, no_docs, folder).count() == 0
 
 
-def test_stages_decide_what_their_operators_decide(spark, sf, docs):
+def test_stages_decide_what_their_operators_decide(spark, sf, docs, work):
     from basketry.llm import language
 
     toxic = entry.queries()["op5_toxicity"](spark, sf).where("predicted = 1")
     left = cp.toxicity_stage(spark, docs, sf)
     assert left.select("doc_id").exceptAll(docs.join(toxic, "doc_id", "left_anti").select("doc_id")).count() == 0
     assert left.count() == docs.count() - toxic.count()
-    clear = language.op10_language(docs).where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
+    clear = language.op10_language(docs, work).where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
     assert cp.language_stage(spark, docs, sf).count() == clear.count()
     kept = entry.queries()["op7_exact_dedup"](spark, sf).where("kept").select("doc_id")
     assert cp.exact_stage(spark, docs, sf).select("doc_id").exceptAll(kept).count() == 0
