@@ -208,23 +208,28 @@ def generate_events(
     picks = visitors.select("position", F.col("id").alias("user_id"))
     carts = goods.select(F.col("position").alias("cart_position"), F.col("id").alias("product_id"))
     anonymous = percent(ANONYMOUS_PERCENT, k, 0)
-    return (
+    drawn = (
         ids.withColumn("position", F.when(~anonymous, draw(max(n, 1), k, 1)))
         .withColumn("event_type", choice(schemas.EVENT_TYPES, k, 2))
         .withColumn("cart_position", F.when(kind == "add_to_cart", draw(max(m, 1), k, 5)))
-        .join(picks, "position", "left")
-        .join(carts, "cart_position", "left")
-        .select(
-            "id",
-            "user_id",
-            "event_type",
-            before(run_ts, draw(QUARTER, k, 7)).alias("event_ts"),
-            F.when(kind == "page_view", F.to_json(page))
-            .when(kind == "add_to_cart", F.to_json(cart))
-            .otherwise("{}")
-            .alias("metadata"),
-        )
     )
+    return _picked(_picked(drawn, picks, "position"), carts, "cart_position").select(
+        "id",
+        "user_id",
+        "event_type",
+        before(run_ts, draw(QUARTER, k, 7)).alias("event_ts"),
+        F.when(kind == "page_view", F.to_json(page))
+        .when(kind == "add_to_cart", F.to_json(cart))
+        .otherwise("{}")
+        .alias("metadata"),
+    )
+
+
+def _picked(df: DataFrame, choices: DataFrame, position: str) -> DataFrame:
+    """Rows with what stands at their position. Most have none: these take no part in the join, where all of them would
+    meet in one task."""
+    given = F.col(position).isNotNull()
+    return df.where(given).join(choices, position, "left").unionByName(df.where(~given), allowMissingColumns=True)
 
 
 def generate_crm_contacts(ids: DataFrame, run_ts: datetime) -> DataFrame:

@@ -41,7 +41,7 @@ def staging_schema(table: Table) -> T.StructType:
 
 def read_accepted(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     found = T.StructType([*schema, T.StructField(ACCEPTED, T.BooleanType())])
-    return spark.read.schema(found).parquet(path).where(ACCEPTED).drop(ACCEPTED)
+    return spark.read.schema(found).parquet(path).where(ACCEPTED).select(*schema.names)
 
 
 def read_rejected(spark: SparkSession, path: str, table: Table) -> DataFrame:

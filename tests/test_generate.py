@@ -179,3 +179,11 @@ def test_first_users_and_products_only(spark, shop):
 def test_events_without_products(spark, shop):
     e = g.generate_events(g.id_range(spark, 300), shop["users"], shop["products"].limit(0), t.RUN_TS, Scratch(spark))
     assert e.count() == 300
+
+
+def test_rows_without_a_pick_take_no_part_in_the_joins(shop):
+    """Four fifths of all events have no cart: they are not shuffled to one task as null keys."""
+    text = shop["events"]._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in text.splitlines() if "Join Left" in line]
+    assert joins and text.count("isnotnull") >= len(joins)
+    assert "Union" in text
