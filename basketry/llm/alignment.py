@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from hashlib import sha256
 
@@ -43,6 +44,9 @@ LOW = (1 << SIDE) - 1
 OTHER_SPACE = SPACE.replace(r"\t-\r ", r"\t-\r")
 CHUNK = re.compile(f"[{SPACE}]*+(?:[^{SPACE}]++(?:[{OTHER_SPACE}][{SPACE}]*+)?+)++|[{SPACE}]++")
 PIECE_SPACE = "▁"
+# A chunk's numbers of first and second ids in one, so that they are summed at once; its groups as text; its links as longs.
+BOTH = 40
+Aligned = tuple[int, bytes, bytes]
 
 
 class Aligner:
@@ -52,7 +56,9 @@ class Aligner:
         self.first = Tokenizer.from_str(byte_level.decode())
         self.first.encode_special_tokens = True  # their strings in a text are ordinary text
         code = {c: b for b, c in enumerate(byte_characters())}
-        self.first_bytes = {i: bytes(code[c] for c in token) for token, i in self.first.get_vocab(with_added_tokens=False).items() if all(c in code for c in token)}
+        self.first_bytes = [b""] * self.first.get_vocab_size()
+        for token, i in self.first.get_vocab(with_added_tokens=False).items():
+            self.first_bytes[i] = bytes(code[c] for c in token if c in code)
         self.second = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         names = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size())]
         self.second_bytes = [
@@ -60,32 +66,39 @@ class Aligner:
         ]
         # A lone space is what the second tokenizer puts in front of any text.
         self.space = self.second.encode("a ")[len(self.second.encode("a")) :]
-        self.known: dict[str, tuple | None] = {}
+        self.known: dict[str, Aligned | bool] = {}
 
-    def _aligned(self, chunk: str, first: Sequence[int], second: Sequence[int]) -> tuple | None:
-        """(number of first and second ids, of groups, the groups' text, links as numbers); None if bytes differ."""
+    def _aligned(self, chunk: str, first: Sequence[int], second: Sequence[int]) -> Aligned | bool:
+        """What a chunk adds to its text; False if bytes differ."""
         data = chunk.encode()
-        a, b = [self.first_bytes.get(i, b"") for i in first], [self.second_bytes[i] for i in second]
+        a, b = [self.first_bytes[i] for i in first], [self.second_bytes[i] for i in second]
         if b"".join(a) != data or b"".join(b) != data:
-            return None
+            return False
         links, groups = [], []
         i = j = from_i = from_j = 0
-        end_a, end_b = len(a[0]), len(b[0])
+        end_a, end_b, last = len(a[0]), len(b[0]), len(data)
         while True:
-            links.append((i, j))
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            i, j = i + step_a, j + step_b
-            if step_a and step_b:
-                groups.append(",".join(map(str, first[from_i:i])) + "|" + ",".join(map(str, second[from_j:j])))
-                from_i, from_j = i, j
-                if i == len(a):
+            links.append(second[j] << SIDE | first[i])
+            if end_a == end_b:
+                if i == from_i and j == from_j:
+                    groups.append(f"{first[i]}|{second[j]}")
+                else:
+                    groups.append(f"{','.join(map(str, first[from_i : i + 1]))}|{','.join(map(str, second[from_j : j + 1]))}")
+                i, j = i + 1, j + 1
+                if end_a == last:
                     break
-            end_a += len(a[i]) if step_a else 0
-            end_b += len(b[j]) if step_b else 0
-        keys = np.array([second[y] << SIDE | first[x] for x, y in links], dtype=np.int64)
-        return len(first), len(second), len(groups), ";".join(groups).encode(), keys
-
-    def _look_up(self, chunks: Iterable[str]) -> dict[str, tuple | None]:
+                from_i, from_j = i, j
+                end_a += len(a[i])
+                end_b += len(b[j])
+            elif end_a < end_b:
+                i += 1
+                end_a += len(a[i])
+            else:
+                j += 1
+                end_b += len(b[j])
+        return len(first) << BOTH | len(second), ";".join(groups).encode(), array("q", links).tobytes()
+
+    def _look_up(self, chunks: Iterable[str]) -> dict[str, Aligned | bool]:
         fresh = list(chunks)
         out = {}
         for at in range(0, len(fresh), 20_000):
@@ -101,16 +114,19 @@ class Aligner:
     def __call__(self, batch: Sequence[str | None]) -> list[tuple[int, int, int, int, str, np.ndarray]]:
         """(n_a, n_b, n_groups, n_links, digest of the groups, links) of each text; zeros without tokens."""
         cut = [CHUNK.findall(" " + t) if t else [] for t in batch]
-        fresh = self._look_up({c for chunks in cut for c in chunks if c not in self.known})
+        looked_up = [list(map(self.known.get, chunks)) for chunks in cut]
+        fresh = self._look_up({c for chunks, got in zip(cut, looked_up, strict=True) for c, g in zip(chunks, got, strict=True) if g is None})
         out = []
-        for chunks in cut:
-            own = [fresh[c] if c in fresh else self.known[c] for c in chunks]
-            if not own or None in own:
+        for chunks, own in zip(cut, looked_up, strict=True):
+            if None in own:
+                own = [fresh[c] if g is None else g for c, g in zip(chunks, own, strict=True)]
+            if not own or False in own:
                 out.append((0, 0, 0, 0, "", np.zeros(0, np.int64)))
                 continue
-            n_a, n_b, groups, spelled, links = zip(*own, strict=True)
-            keys = np.concatenate(links)
-            out.append((sum(n_a), sum(n_b), sum(groups), len(keys), sha256(b";".join(spelled)).hexdigest(), keys))
+            sizes, groups, links = zip(*own, strict=True)
+            n_a, n_b = divmod(sum(sizes), 1 << BOTH)
+            spelled, keys = b";".join(groups), np.frombuffer(b"".join(links), dtype=np.int64)
+            out.append((n_a, n_b, spelled.count(b"|"), len(keys), sha256(spelled).hexdigest(), keys))
         if len(self.known) < REMEMBERED:
             self.known.update((c, a) for c, a in fresh.items() if len(c) <= LONGEST_REMEMBERED)
         return out
