@@ -24,10 +24,10 @@ END = 1
 # Rows of one length get their places by so many parts, since a length may hold a third of all rows.
 PARTS = 32
 
-# The search: fillings looked at for one bin, and bins completed in all before the best plan so far is taken.
+# The search: fillings kept for one bin, looks at pieces for them, and looks in all before the best plan so far is taken.
 FILLINGS = 3
-FILLING_STEPS = 400
-MAX_NODES = 20_000
+FILLING_STEPS = 2000
+MAX_STEPS = 300_000
 
 LETTERS = re.compile(r"[a-z\x80-\U0010ffff]+|[^a-z\x80-\U0010ffff \t-\r]+")
 CHUNKS = re.compile(f"[^{SPACE}]+")
@@ -136,12 +136,13 @@ def best_fit(stock: Stock, first: int, capacity: int) -> dict[int, int]:
     return dict(filling)
 
 
-def fillings(stock: Stock, first: int, capacity: int, worst: int) -> list[tuple[int, dict[int, int]]]:
-    """(waste, filling) of bins around the largest piece, least waste first, with at most ``worst`` waste.
+def fillings(stock: Stock, first: int, capacity: int, worst: int) -> tuple[list[tuple[int, dict[int, int]]], int]:
+    """(waste, filling) of bins around the largest piece, least waste first, with at most ``worst`` waste; and the looks taken.
 
     A filling is dominated, and left out, if one of its pieces could give way to a larger one that is
-    left and fits. Large pieces are tried first, so small ones stay for later bins; the first filling
-    without waste ends the search.
+    left and fits. Large pieces are tried first, so small ones stay for later bins; a piece that fills
+    what room there is is seen at once. The first filling without waste ends the search, or else
+    ``FILLING_STEPS`` looks do; the ``FILLINGS`` best ones found by then count.
     """
     found: list[tuple[int, dict[int, int]]] = []
     chosen: Counter[int] = Counter({first: 1})
@@ -158,11 +159,14 @@ def fillings(stock: Stock, first: int, capacity: int, worst: int) -> list[tuple[
     def search(limit: int, room: int) -> bool:
         nonlocal steps
         steps += 1
+        if room <= limit and stock.counts.get(room, 0) > chosen[room]:
+            found.append((0, dict(chosen + Counter({room: 1}))))
+            return True
         length = stock.largest(min(limit, room))
         if not length or not room:
             if room <= worst and not dominated(room):
                 found.append((room, dict(chosen)))
-            return room == 0 or len(found) >= 4 * FILLINGS or steps > FILLING_STEPS
+            return room == 0 or steps > FILLING_STEPS
         while length:
             most = min(room // length, stock.counts[length] - chosen[length])
             for n in range(most, 0, -1):
@@ -178,7 +182,29 @@ def fillings(stock: Stock, first: int, capacity: int, worst: int) -> list[tuple[
 
     search(first, capacity - first)
     found.sort(key=lambda f: f[0])
-    return found[:FILLINGS]
+    return found[:FILLINGS], steps
+
+
+def least_bins(counts: dict[int, int], capacity: int) -> int:
+    """A lower bound: the best of several.
+
+    Of pieces above a k-th of the capacity fewer than k share a bin. And for each size up to half: pieces
+    too large to share a bin with one of that size, other pieces above half, and what of the rest, down to
+    that size, the latter's bins have no room for.
+    """
+    sizes = np.array(sorted(counts), dtype=np.int64)
+    if not len(sizes):
+        return 0
+    n = np.array([counts[int(s)] for s in sizes], dtype=np.int64)
+    total = int((sizes * n).sum())
+    best = max(-(-total // capacity), *(-(-int(n[k * sizes > capacity].sum()) // (k - 1)) for k in range(2, 9)))
+    for size in sizes[2 * sizes <= capacity].tolist():
+        alone, large = sizes > capacity - size, (2 * sizes > capacity) & (sizes <= capacity - size)
+        rest = (2 * sizes <= capacity) & (sizes >= size)
+        room = int(n[large].sum()) * capacity - int((sizes * n)[large].sum())
+        more = max(0, -(-(int((sizes * n)[rest].sum()) - room) // capacity))
+        best = max(best, int(n[alone].sum() + n[large].sum()) + more)
+    return best
 
 
 Plan = list[tuple[int, dict[int, int]]]
@@ -199,35 +225,40 @@ def greedy(counts: dict[int, int], capacity: int) -> Plan:
     return plan
 
 
-def complete(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int = MAX_NODES) -> Plan:
+def complete(counts: dict[int, int], capacity: int = CAPACITY, max_steps: int = MAX_STEPS) -> Plan:
     """(times, filling) of all bins, as few as the search finds.
 
-    Bins are completed around the largest piece left, and a filling is used as often as the stock
-    allows. A branch ends when its waste shows that it can't beat the best plan so far; the search
-    ends at a plan that no other can beat, or after ``max_nodes`` completed bins.
+    Bins are completed around the largest piece left; a filling is used as often as the stock allows or,
+    when that leads nowhere, once. A branch ends when its waste shows that it can't beat the best plan
+    so far; the search ends at a plan that no other can beat, or after ``max_steps`` looks at pieces:
+    then the best plan so far is taken, which may use more bins than need be. It never leaves a piece out.
     """
     counts = {length: n for length, n in counts.items() if n}
     total = sum(length * n for length, n in counts.items())
-    least = max(-(-total // capacity), sum(n for length, n in counts.items() if 2 * length > capacity))
+    least = least_bins(counts, capacity)
     best = greedy(counts, capacity)
-    stock, plan, nodes = Stock(dict(counts)), [], 0
+    stock, plan, looks = Stock(dict(counts)), [], 0
     waste, open_ = 0, []
 
     def spare() -> int:
         """Waste that a plan with fewer bins than the best may still have."""
         return (bins(best) - 1) * capacity - total - waste
 
-    def options() -> Iterator[tuple[int, dict[int, int]]]:
+    def options() -> Iterator[tuple[int, dict[int, int], int]]:
+        nonlocal looks
         first = stock.mask.bit_length() - 1
-        found = fillings(stock, first, capacity, capacity) or [(0, best_fit(stock, first, capacity))]
-        return iter(found)
+        fill = best_fit(stock, first, capacity)
+        found, steps = fillings(stock, first, capacity, capacity)
+        looks += steps + len(fill)
+        found = found or [(capacity - sum(k * n for k, n in fill.items()), fill)]
+        often = [(lost, filling, stock.times(filling)) for lost, filling in found]
+        return iter([*often, *((lost, filling, 1) for lost, filling, times in often if times > 1)])
 
     if bins(best) == least or not counts:
         return best
     open_.append(options())
-    while open_ and nodes < max_nodes:
-        for lost, filling in open_[-1]:
-            times = stock.times(filling)
+    while open_ and looks < max_steps:
+        for lost, filling, times in open_[-1]:
             if lost * times <= spare():
                 break
         else:
@@ -237,7 +268,6 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, max_nodes: int =
                 stock.change(filling, -times)
                 waste -= times * (capacity - sum(length * n for length, n in filling.items()))
             continue
-        nodes += 1
         stock.change(filling, times)
         plan.append((times, filling))
         waste += times * (capacity - sum(length * n for length, n in filling.items()))

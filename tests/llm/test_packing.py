@@ -103,6 +103,7 @@ def test_few_pieces_are_packed_as_well_as_can_be(items):
         for length, n in filling.items():
             used[length] += n * times
     assert used == Counter(items)
+    assert p.least_bins(Counter(items), 20) <= fewest(items, 20) <= p.bins(plan)
     assert p.bins(plan) <= max(fewest(items, 20), 0) + (1 if len(items) > 7 else 0)
 
 
@@ -115,3 +116,22 @@ def test_plan_reaches_the_bound_on_many_pieces():
     assert p.bins(plan) <= p.bins(p.greedy(counts, 4096))
     rows = p.allocation(plan)
     assert sum(to - start for _, start, to, *_ in rows) == 20_000
+
+
+def test_bound_counts_pieces_that_cannot_share_a_bin():
+    assert p.least_bins(Counter([6, 6, 6, 4, 4, 4]), 10) == 3
+    assert p.least_bins(Counter([7, 7, 7, 4, 4, 4]), 10) == 5
+    assert p.least_bins(Counter([4] * 5), 10) == 3 and p.least_bins(Counter(), 10) == 0
+
+
+@pytest.mark.parametrize(("low", "high", "most"), [(1, 4095, 1.005), (1025, 2046, 1.04)])
+def test_three_pieces_that_fill_each_sequence_exactly(low, high, most):
+    """The hardest lengths: no sequence of the best plan wastes anything. The search comes near, not always there."""
+    rng, lengths = np.random.default_rng(1), []
+    while len(lengths) < 900:
+        own = [int(x) for x in rng.integers(low, high + 1, 2)]
+        own.append(4096 - sum(own))
+        if own[2] >= low:
+            lengths += own
+    plan = p.complete(Counter(lengths))
+    assert 300 <= p.bins(plan) <= most * 300 + 1
