@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,16 @@ TABLES = 2
 # Chance, by the hash's own statistics, that one table or another finds a neighbour as far as the last one wanted.
 TARGET = 0.96
 WIDTH = 1.0
-# Steps of a hash value that a probe may be off, either way; and probes of one table at most.
-STEPS = 3
+# Probes of one table at most. Hashes are so few that a query gets by with them; one that doesn't is compared with all rows.
 PROBES = 8192
+# Of a sample's queries, the share that must get by, and the chance that a hash value's steps leave out.
+GET_BY, LEFT_OUT = 0.95, 1e-3
 # A task's block holds about so many vectors; buckets above that are dealt out over several blocks.
 BLOCK = 16_384
 HOT_BUCKETS = 100_000
 QUERIES_AT_ONCE = 256
+# A task holds so many queries at most, on average; with more of them a block's vectors go to several tasks.
+QUERIES = 65_536
 # The distance of a neighbour is learned from so many vectors at most.
 SAMPLE, SAMPLE_QUERIES = 4096, 128
 SALTS = 16
@@ -87,16 +91,21 @@ def normal_below(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, 1 - tail, tail)
 
 
+def steps(spread: float) -> int:
+    """How many cells away from a query's own a neighbour's hash value may be, either way, but for ``LEFT_OUT``."""
+    return max(1, math.ceil(spread * NormalDist().inv_cdf(1 - LEFT_OUT / 2)))
+
+
 def probes(values: np.ndarray, distance: float, target: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each query's hash values (before rounding) the cells to visit, and each cell's chance of success.
 
     A neighbour's value is off by a normal amount with the neighbour's distance as its spread, so the
     chance of a cell is a product over the hashes. Cells come in descending order until their chances
-    sum to ``target``.
+    sum to ``target``, ``PROBES`` of them at most.
     """
     base = np.floor(values)
-    off = np.arange(-STEPS, STEPS + 1)
     spread = distance / WIDTH
+    off = np.arange(-steps(spread), steps(spread) + 1)
     low = (off[None, None, :] - (values - base)[:, :, None]) / spread
     chance = normal_below(low + 1 / spread) - normal_below(low)
     out = []
@@ -151,8 +160,28 @@ def distinct_vectors(rows: DataFrame, neighbours: int) -> DataFrame:
     return few.groupBy("vector").agg(F.slice(F.sort_array(F.collect_set("vec_id")), 1, neighbours + 1).alias("ids"))
 
 
-def fit(distinct: DataFrame, neighbours: int = NEIGHBOURS) -> Index | None:
-    """Choose hashes and learn the neighbours' distance from a bounded sample; None without vectors."""
+def alone(target: float) -> float:
+    """The chance that one table must have so that all tables together have the target's."""
+    return 1 - (1 - target) ** (1 / TABLES)
+
+
+def falls_short(chances: np.ndarray, target: float) -> bool:
+    return float(chances.sum()) < target - 1e-9
+
+
+def gets_by(index: Index, vectors: np.ndarray, target: float) -> float:
+    """The share of queries whose cells reach the target's chance in the first table."""
+    values = (asked(vectors) @ index.direction[0] + index.shift[0]) / WIDTH
+    found = probes(values, index.distance, alone(target))
+    return 1 - sum(falls_short(c, alone(target)) for _, c in found) / len(found)
+
+
+def fit(distinct: DataFrame, neighbours: int = NEIGHBOURS, target: float = TARGET, hashes: int | None = None) -> Index | None:
+    """Choose hashes and learn the neighbours' distance from a bounded sample; None without vectors.
+
+    With more vectors there are more ``hashes``, but never so many that a sample's queries need more
+    than ``PROBES`` probes for the target's chance.
+    """
     size = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     n, largest = distinct.agg(F.count(F.lit(1)), F.max(F.sqrt(size))).first()
     if not n:
@@ -165,8 +194,8 @@ def fit(distinct: DataFrame, neighbours: int = NEIGHBOURS) -> Index | None:
     wanted = min(max(1, round(neighbours * len(sample) / n)), len(sample) - 1)
     distance = max(float(np.median(apart[:, wanted])), 1e-3)
     rng = np.random.default_rng(SEED)
-    hashes = min(max(round(math.log(max(n, 1) / 500, 4)), 3), 6) if n > 500 else 3
-    return Index(
+    hashes = hashes or (min(max(round(math.log(max(n, 1) / 500, 4)), 3), 6) if n > 500 else 3)
+    index = Index(
         float(largest),
         distance,
         rng.normal(size=(TABLES, sample.shape[1] + 1, hashes)),
@@ -174,6 +203,9 @@ def fit(distinct: DataFrame, neighbours: int = NEIGHBOURS) -> Index | None:
         max(1, -(-n // BLOCK)),
         {},
     )
+    while index.shift.shape[1] > 1 and gets_by(index, sample[:SAMPLE_QUERIES], target) < GET_BY:
+        index = replace(index, direction=index.direction[:, :, :-1], shift=index.shift[:, :-1])
+    return index
 
 
 def buckets(vectors: np.ndarray, index: Index, table: int) -> np.ndarray:
@@ -218,14 +250,26 @@ def _place_vectors(index: Index, element: pa.DataType):
 
 def _place_queries(index: Index, target: float, element: pa.DataType):
     schema = pa.schema([("block", pa.int64()), ("query_id", pa.int64()), ("vector", pa.list_(element)), ("codes", pa.list_(pa.int64()))])
-    alone = 1 - (1 - target) ** (1 / TABLES)
+    wanted = alone(target)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors, queries = matrix(batch.column("vector")), batch.column("vec_id").to_pylist()
             for table in range(TABLES):
                 values = (asked(vectors) @ index.direction[table] + index.shift[table]) / WIDTH
-                for row, (cells, _) in enumerate(probes(values, index.distance, alone)):
+                for row, (cells, chances) in enumerate(probes(values, index.distance, wanted)):
+                    if falls_short(chances, wanted):
+                        if table == 0:  # every vector is in each table once
+                            yield pa.RecordBatch.from_arrays(
+                                [
+                                    pa.array(np.arange(index.blocks)),
+                                    pa.array([queries[row]] * index.blocks, pa.int64()),
+                                    pa.array([vectors[row]] * index.blocks, pa.list_(pa.float64())).cast(pa.list_(element)),
+                                    pa.array([None] * index.blocks, pa.list_(pa.int64())),
+                                ],
+                                schema=schema,
+                            )
+                        continue
                     code = pack(cells)
                     block = home(code, index.blocks)
                     # All blocks of a hot bucket are visited.
@@ -265,11 +309,14 @@ def _rank_block(neighbours: int):
             part = queries.slice(at, QUERIES_AT_ONCE)
             asked_for = matrix(part.column("vector"))
             wanted = part.column("codes").combine_chunks()
-            owner = np.repeat(np.arange(len(wanted)), wanted.value_lengths().to_numpy(zero_copy_only=False))
+            lengths = np.nan_to_num(wanted.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+            owner = np.repeat(np.arange(len(wanted)), lengths)
             probed = wanted.flatten().to_numpy()
             found = np.minimum(np.searchsorted(kinds, probed), len(kinds) - 1)
             hit = kinds[found] == probed
             scores = np.full((len(wanted), len(vectors)), -np.inf)
+            everything = wanted.is_null().to_numpy(zero_copy_only=False)
+            scores[everything] = asked_for[everything] @ vectors.T
             for k in np.unique(found[hit]):
                 who = owner[hit & (found == k)]
                 scores[np.ix_(who, members[k])] = asked_for[who] @ vectors[members[k]].T
@@ -309,11 +356,13 @@ def nearest(
 
     Equal vectors are one entry of the index. Every vector is hashed in each table; a query visits
     the buckets that most likely hold its neighbours, up to the target chance, and what they hold is
-    ranked by the inner product of the original vectors, block by block.
+    ranked by the inner product of the original vectors, block by block. A query that can't reach the
+    chance with ``PROBES`` probes is compared with all vectors instead. Very long vectors are no special
+    case, and a repeated row is a query once.
     """
     rows = work.keep(usable(vectors, id_col, vector_col), "usable")
     distinct = work.keep(distinct_vectors(rows, neighbours), "distinct")
-    index = fit(distinct, neighbours)
+    index = fit(distinct, neighbours, target)
     spark = vectors.sparkSession
     if index is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -322,10 +371,14 @@ def nearest(
     element = pa.float32() if kind == "array<float>" else pa.float64()
     held = distinct.mapInArrow(_place_vectors(index, element), f"block long, code long, vector {kind}, ids array<long>")
     queries = rows.where(query_filter(F.col("vec_id"))).dropDuplicates(["vec_id", "vector"])
+    # With very many queries those of a block go to several tasks, each with the block's vectors.
+    tasks = max(1, -(-queries.count() // QUERIES))
+    held = held.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
     queries = queries.mapInArrow(_place_queries(index, target, element), f"block long, query_id long, vector {kind}, codes array<long>")
+    queries = queries.withColumn("share", F.pmod(F.xxhash64("query_id"), F.lit(tasks)).cast("int"))
     found = (
-        held.groupBy("block")
-        .cogroup(queries.groupBy("block"))
+        held.groupBy("block", "share")
+        .cogroup(queries.groupBy("block", "share"))
         .applyInArrow(_rank_block(neighbours), "query_id long, score double, ids array<long>")
     )
     each = found.select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")

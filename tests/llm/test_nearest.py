@@ -99,6 +99,46 @@ def test_probes_come_in_order_of_success_and_reach_the_target():
         assert len(np.unique(cells, axis=0)) == len(cells)
 
 
+def uneven(rng, kind, n=6000, size=24):
+    vectors = rng.normal(size=(n, size))
+    if kind == "one long":
+        vectors[17] *= 5
+    elif kind == "lognormal":
+        vectors *= rng.lognormal(0, 0.7, size=(n, 1))
+    return [(i, np.float32(v).tolist()) for i, v in enumerate(vectors)]
+
+
+@pytest.mark.parametrize("kind", ["even", "one long", "lognormal"])
+def test_recall_with_many_hashes_and_uneven_norms(spark, work, monkeypatch, kind):
+    """Six hashes, as a large table has: fewer are taken, or all rows are compared, where probes don't reach the target."""
+    real = n.fit
+    monkeypatch.setattr(n, "fit", lambda distinct, k, target: real(distinct, k, target, hashes=6))
+    monkeypatch.setattr(n, "BLOCK", 2000)
+    rows = uneven(np.random.default_rng(8), kind)
+    got = grouped(n.nearest(frame(spark, rows), work, lambda i: i % 60 == 0))
+    hits = [len({i for i, _ in got[q]} & {i for i, _ in brute(rows, q)}) / 20 for q in got]
+    assert len(got) == 100 and np.mean(hits) >= 0.9
+
+
+def test_queries_that_probes_cannot_serve_see_all_rows(spark, work, monkeypatch):
+    monkeypatch.setattr(n, "falls_short", lambda chances, target: True)
+    monkeypatch.setattr(n, "gets_by", lambda *a: 1.0)
+    rows = uneven(np.random.default_rng(9), "lognormal", 400, 6)
+    got = grouped(n.op4_nearest(frame(spark, rows), work))
+    assert all([i for i, _ in got[q]] == [i for i, _ in brute(rows, q)] for q in got)
+
+
+def test_queries_of_a_block_go_to_several_tasks(spark, work, monkeypatch):
+    rows = uneven(np.random.default_rng(10), "even", 500, 5)
+    whole = grouped(n.op4_nearest(frame(spark, rows), work))
+    monkeypatch.setattr(n, "QUERIES", 7)
+    assert grouped(n.op4_nearest(frame(spark, rows), work)) == whole
+
+
+def test_steps_leave_out_next_to_nothing():
+    assert n.steps(0.01) == 1 and n.steps(1.0) == 4 and n.steps(3.0) == 10
+
+
 def test_equal_vectors_are_one_entry(spark, work):
     rows = [(i, [1.0, 2.0]) for i in range(500)]
     entries = n.distinct_vectors(n.usable(frame(spark, rows), "vec_id", "embedding"), 20).select("ids", F.size("ids").alias("k")).collect()
