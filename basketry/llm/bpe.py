@@ -185,7 +185,12 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens and digests of the ids and of what they decode to, without moving either."""
+    """doc_id, n_tokens and digests of the ids and of what they decode to, without moving either.
+
+    Whole texts, without special tokens; very long ones are cut where no token can cross. A null text
+    counts as empty: no token, and the digests of nothing. Ids of documents may be null or repeat; every
+    row gives a row, an empty table none.
+    """
     content = share_file(docs.sparkSession, ranks_path)
 
     def columns(batch: list[str | None]) -> dict[str, list]:

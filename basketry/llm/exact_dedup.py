@@ -27,7 +27,7 @@ def exact_dedup(
     size, so texts are never shuffled; a filter lets too many pass at worst, never too few.
 
     A null text counts as empty. Ids may repeat or be null (null sorts lowest): of rows that tie for
-    the largest id one stays. An empty table gives an empty result.
+    the largest id one stays. Very long texts are compared whole. An empty table gives an empty result.
     """
     rows = texts(docs, id_col, text_col).withColumn("whole", F.coalesce("text", F.lit("")))
     rows = rows.withColumn("length", F.octet_length("whole")).withColumn(

@@ -100,7 +100,7 @@ def shard(docs: DataFrame, work: Scratch, shards: int = 16, id_col: str = "doc_i
 
     Bytes of the shards are near equal. Equal texts share a shard, unless their slot outweighs a
     shard: then it is dealt out in parts. Rows with null or repeated ids and repeated rows are placed
-    like any others; an empty table gives an empty result.
+    like any others, very long texts by their size alone; an empty table gives an empty result.
 
     The digest of the rows is written once, since the part of a row depends on where it is read.
     Only sums per slot and part leave the tasks: at most SLOTS * PARTS rows, the bound of what is

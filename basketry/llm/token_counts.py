@@ -147,7 +147,8 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
     Pre-tokens are what stands between white space, each marked at its start; a token is a piece of
     the vocabulary, or a byte of a character that no piece holds. A null, empty or blank text has no
-    token and log_prob 0. Ids may be null or repeat; every row gives a row.
+    token and log_prob 0. Very long texts are counted whole, in parts. Ids may be null or repeat; every row
+    gives a row, an empty table none.
     """
     content = share_file(docs.sparkSession, model_path)
 

@@ -163,7 +163,11 @@ def classify(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Dat
     """``docs`` (with a column text) and score, predicted; columns of these names give way.
 
     ``score`` is the probability of the label toxic; ``predicted`` is 1 from the threshold on. A null
-    text counts as empty; an empty text has no n-gram and gets the score of the bias alone.
+    text counts as empty; an empty text has no n-gram and gets the score of the bias alone. Very long texts
+    are read whole, in parts; repeated rows get the same each; an empty table gives an empty result.
+
+    Only the FEATURES n-grams that tell the sides apart most surely have a weight; all others count for
+    nothing, in every text alike.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
