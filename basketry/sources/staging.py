@@ -89,25 +89,40 @@ def best_ranks(ranks: DataFrame) -> DataFrame:
     return ranks.groupBy(_KEY).agg(F.max(_RANK).alias(_BEST), at_newest.alias(_ROWS))
 
 
-def rows_of_best(df: DataFrame, best: DataFrame, key: str, newest: tuple[str, ...] = NEWEST) -> DataFrame:
+def rows_of_best(
+    df: DataFrame, best: DataFrame, key: str, newest: tuple[str, ...] = NEWEST, scratch: Scratch | None = None
+) -> DataFrame:
     """The rows of ``df`` that ``best`` says are the newest of their keys, and all rows without a key.
 
     A key that has one row at the newest moment of all, as nearly every key of a full snapshot has, is
-    no exception: its row stays where it is. Only exceptions are joined with their rows: keys whose
-    last row is older, and keys with several rows at that moment.
+    no exception: its row stays where it is. Joined are only rows of that moment whose key has several
+    there, and earlier rows of keys that have none. With a ``scratch`` these exceptions are written
+    first, so that their size is known and few of them are sent to the rows, not the rows to them.
     """
     order = [c for c in newest if c in df.columns]
     moment = best.agg(F.max(F.col(_BEST)[order[0]])).scalar()
-    usual = (F.col(_BEST)[order[0]].eqNullSafe(moment)) & (F.col(_ROWS) == 1)
-    exceptions = best.where(~usual).select(F.col(_KEY), F.col(_BEST))
+    there = F.col(_BEST)[order[0]].eqNullSafe(moment)
+
+    def exceptions(which: Column, name: str) -> DataFrame:
+        found = best.where(which).select(F.col(_KEY), F.col(_BEST))
+        return scratch.keep(found, name) if scratch else found
+
+    repeated = exceptions(there & (F.col(_ROWS) != 1), "repeated")
+    behind = exceptions(~there, "behind")
     keyed = df.where(F.col(key).isNotNull())
-    at_moment = keyed.where(F.col(order[0]).eqNullSafe(moment))
-    simple = at_moment.join(exceptions.select(F.col(_KEY).alias(key)), key, "left_anti")
+    is_newest = F.col(order[0]).eqNullSafe(moment)
+    latest = keyed.where(is_newest)
+    simple = latest.join(repeated.select(F.col(_KEY).alias(key)), key, "left_anti")
     rank = F.struct(*[F.col(c) for c in order], content_hash(df).alias("hash"))
-    looked_up = keyed.withColumn(_RANK, rank).join(exceptions, F.col(key) == F.col(_KEY)).where(F.col(_RANK).eqNullSafe(F.col(_BEST)))
+
+    def looked_up(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        found = rows.withColumn(_RANK, rank).join(wanted, F.col(key) == F.col(_KEY))
+        return found.where(F.col(_RANK).eqNullSafe(F.col(_BEST))).select(*df.columns)
+
     # Rows that rank equal are equal: one of them stays.
+    found = looked_up(latest, repeated).unionByName(looked_up(keyed.where(~is_newest), behind))
     whole_row = F.struct(*[F.col(c) for c in df.columns])
-    once = looked_up.groupBy(key).agg(F.first(whole_row).alias("_row")).select("_row.*")
+    once = found.groupBy(key).agg(F.first(whole_row).alias("_row")).select("_row.*")
     return simple.select(*df.columns).unionByName(once).unionByName(df.where(F.col(key).isNull()))
 
 
@@ -118,10 +133,10 @@ def latest_snapshot(
 
     Keys, moments and hashes of the rows are shuffled, not the rows: see ``rows_of_best``. Each task
     reduces its rows to one per key first, so a key with very many copies stays cheap. With a
-    ``scratch`` what was found out about the keys is written once, else computed where it is needed.
+    ``scratch`` what was found out about the keys is written first, else computed where it is needed.
     """
     best = best_ranks(ranked(df, key, newest))
-    return rows_of_best(df, scratch.keep(best, "best") if scratch else best, key, newest)
+    return rows_of_best(df, scratch.keep(best, "best") if scratch else best, key, newest, scratch)
 
 
 def merge_state(state: DataFrame | None, day_rows: DataFrame, key: str = "id", newest: tuple[str, ...] = NEWEST) -> DataFrame:

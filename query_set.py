@@ -429,7 +429,7 @@ def latest_snapshot_state(shop: Shop) -> DataFrame:
     for day in (DAY_1, DAY_2, last):
         merged = sources_staging.merge_state(state, days.where(F.col(sources_staging.DAY) == F.lit(day)))
         state = shop.scratch.keep(merged, "state")
-    return sources_staging.rows_of_best(days, state, "id")
+    return sources_staging.rows_of_best(days, state, "id", scratch=shop.scratch)
 
 
 @query(
