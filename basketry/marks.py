@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,3 +53,15 @@ def names(spark: SparkSession, folder: str) -> list[str]:
         return []
     listed = sorted(status.getPath().getName() for status in files.listStatus(path))
     return [n for n in listed if not n.startswith(".") and ("=" in n or not n.startswith("_"))]
+
+
+def fingerprint(spark: SparkSession, folder: str) -> str:
+    """A digest of the names, lengths and times of all files below a folder: another one once any was replaced."""
+    path, files = folder_and_files(spark, folder)
+    if not files.exists(path):
+        return ""
+    found, listed = [], files.listFiles(path, True)
+    while listed.hasNext():
+        status = listed.next()
+        found.append(f"{status.getPath().toString()} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,8 @@ from basketry.sources.staging import content_hash
 from basketry.warehouse import Change
 
 Tables = Mapping[str, DataFrame]
+# What the fact is made of.
+READS = ("orders", "order_items")
 # Columns that say when a row was loaded, not what it says.
 STAMPS = ("_loaded_at",)
 
@@ -66,3 +69,9 @@ def refresh_sales(
     if months:
         daily.refresh(change, change.warehouse.open(change.tables["fact_orders"]), dim_products, dim_customers, months)
     return months
+
+
+def built_from(params: Params, day: str, digests: Mapping[str, str]) -> str:
+    """What decides about a stored fact: the rules it was built by, the day, and the staged files of that day."""
+    rules = (params.start_date, params.completed_statuses, params.margin_rate, params.use_clean_orders)
+    return json.dumps({"rules": str(rules), "day": day, "staged": {n: digests[n] for n in READS}})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -11,33 +12,41 @@ from itertools import groupby
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry import marks
 from basketry.journal import Journal, Step
 from basketry.operators import checks
 from basketry.params import Params
-from basketry.plans import core, marts, staging, verify
+from basketry.plans import core, incremental, marts, staging, verify
 from basketry.schemas import TABLES
 from basketry.scratch import Scratch
 from basketry.session import require_skew_handling
 from basketry.sources.load import load_typed, nothing_loaded, union_all, write_loaded
 from basketry.sources.raw import write_raw
 from basketry.sources.staging import day_path, read_rejects, read_staging
-from basketry.warehouse import Stored, Warehouse
+from basketry.warehouse import Change, Stored, Warehouse
 
 
 @dataclass
 class Build:
-    """What a model may read: staged tables, models built before it, and parameters."""
+    """What a model may read: staged tables, models built before it, and parameters.
+
+    ``before`` has the staged tables that the stored models were built from, if these are still there.
+    """
 
     spark: SparkSession
     tables: Mapping[str, DataFrame]
     params: Params
     scratch: Scratch
+    before: Mapping[str, DataFrame] | None = None
     models: dict[str, DataFrame] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
 class Model:
-    """A named table or view of a layer. A table may have a folder for each value of a column, and an order within."""
+    """A named table or view of a layer. A table may have a folder for each value of a column, and an order within.
+
+    ``refresh`` brings a stored table up to date from what has changed, instead of building it as a whole.
+    """
 
     name: str
     layer: str
@@ -45,6 +54,7 @@ class Model:
     view: bool = False
     by: str | None = None
     within: tuple[str, ...] = ()
+    refresh: Callable[[Build, Change], object] | None = None
 
 
 # In the order of what reads what. Core and mart models are tables, so no mart computes core again.
@@ -62,6 +72,7 @@ MODELS = (
         lambda b: core.with_month(core.fact_orders(b.tables["order_items"], b.tables["orders"], b.params)),
         by=core.ORDER_MONTH,
         within=("date_key",),
+        refresh=lambda b, change: incremental.refresh_fact(change, b.before, b.tables, b.params),
     ),
     Model(
         "mart_sales_overview",
@@ -110,31 +121,39 @@ def build_models(
     views: str = "",
     journal: Journal | None = None,
     inputs: Mapping[str, str] | None = None,
+    before: Mapping[str, DataFrame] | None = None,
+    notes: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Build all models on staged tables; together they become the next version of the warehouse at ``root``.
 
     Models of one layer read other layers only, so they are built side by side. Readers see all tables
     of the version before until every one is built (see ``warehouse``). Each model also gets a view
     ``<views><layer>_<name>``; runs in one session keep apart by their own ``views``. With a
-    ``journal`` models that an attempt before has built from the same ``inputs`` are not built again.
+    ``journal`` models that an attempt before has built from the same ``inputs`` are not built again. With
+    the staged tables of ``before``, from which the stored version was built, the fact is only brought up
+    to date. ``notes`` go with the new version.
     """
-    b = Build(spark, tables, params, scratch)
+    b = Build(spark, tables, params, scratch, before)
     change = Warehouse(spark, root).change()
+    change.notes = dict(notes or {})
     read = {"params": str(params), **(inputs or {})}
 
     def build(m: Model) -> DataFrame:
         def write() -> dict:
-            change.write(m.name, m.build(b), m.layer, by=m.by, within=m.within)
+            if m.refresh and before is not None and m.name in change.tables:
+                m.refresh(b, change)
+            else:
+                change.write(m.name, m.build(b), m.layer, by=m.by, within=m.within)
             return change.tables[m.name].to_json()
 
         if m.view:
             return m.build(b)
-        step = journal.step(f"model/{m.name}", before, write) if journal else Step("", write())
+        step = journal.step(f"model/{m.name}", known, write) if journal else Step("", write())
         read[m.name] = step.id
         return change.adopt(m.name, Stored.from_json(step.result))
 
     for _, layer in groupby(models, key=lambda m: m.layer):
-        members, before = list(layer), dict(read)
+        members, known = list(layer), dict(read)
         b.models.update(zip([m.name for m in members], together(build, members)))
     change.commit()
     for m in models:
@@ -168,6 +187,26 @@ def export_and_load(
     return {n: df for n, (df, _) in staged.items()}, {n: step for n, (_, step) in staged.items()}
 
 
+FROM = "fact_orders_from"
+
+
+def built_before(spark: SparkSession, root: str, params: Params, note: str) -> dict[str, DataFrame] | None:
+    """The staged tables that a stored fact was built from by the same rules, as a version's note says.
+
+    None if there is no note, or if the files of its day have been replaced or removed since.
+    """
+    if not note:
+        return None
+    day = date.fromisoformat(json.loads(note)["day"])
+    if note != incremental.built_from(params, day.isoformat(), staged_digests(spark, root, day)):
+        return None
+    return {n: read_staging(spark, root, TABLES[n], day) for n in incremental.READS}
+
+
+def staged_digests(spark: SparkSession, root: str, day: date) -> dict[str, str]:
+    return {n: marks.fingerprint(spark, day_path(root, TABLES[n], day)) for n in incremental.READS}
+
+
 REPORT_SECTIONS = ("REJECTS", "CHECKS", "EMPTY TABLES")
 
 
@@ -216,6 +255,8 @@ def run_pipeline(
 
     A run that broke goes on where it broke when the day is run again: exports, loads and models it
     had finished are kept (``fresh`` starts anew). Running a finished day again replaces what it wrote.
+    After a day whose staged files are as they were, only the months of the fact are built again in which
+    an order has changed since.
     Failed checks are reported; ``fail_on="warn"`` makes them stop the run after the models are built.
     Joins of lines rely on adaptive execution to split hot orders, products and customers, so the
     session must have that on.
@@ -223,9 +264,16 @@ def run_pipeline(
     require_skew_handling(spark)
     journal = Journal(spark, f"{root}/journal/{day.isoformat()}", fresh)
     staged, loads = export_and_load(spark, source, root, day, params, journal)
+    # Noted as a step: a retry after the commit must not take its own version for the one before.
+    stored = journal.step("before", {}, lambda: {"note": Warehouse(spark, root).notes().get(FROM, "")}).result["note"]
+    before = built_before(spark, root, params, stored)
+    notes = {FROM: incremental.built_from(params, day.isoformat(), staged_digests(spark, root, day))}
+    inputs = {**loads, "before": stored if before else ""}
     scratch = Scratch(spark)
     try:
-        models = build_models(spark, staged, root, params, scratch, journal=journal, inputs=loads)
+        models = build_models(
+            spark, staged, root, params, scratch, journal=journal, inputs=inputs, before=before, notes=notes
+        )
     finally:
         scratch.close()
     found = as_table(checks.report(staged), f"{root}/reports/checks/{day.isoformat()}")

@@ -58,12 +58,19 @@ class Warehouse:
         """The newest one; 0 before the first."""
         return max(self.versions(), default=0)
 
-    def tables(self, version: int | None = None) -> dict[str, Stored]:
+    def _found(self, version: int | None) -> dict:
         version = self.version() if version is None else version
         text = marks.get(self.spark, self._manifest(version)) if version else None
         if version and text is None:
             raise LookupError(f"{self.root} has no version {version}")
-        return {name: Stored.from_json(t) for name, t in json.loads(text)["tables"].items()} if text else {}
+        return json.loads(text) if text else {"tables": {}}
+
+    def tables(self, version: int | None = None) -> dict[str, Stored]:
+        return {name: Stored.from_json(t) for name, t in self._found(version)["tables"].items()}
+
+    def notes(self, version: int | None = None) -> dict[str, str]:
+        """What a version's run has said about it, such as what it was built from."""
+        return self._found(version).get("notes", {})
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
         """A table as it is in a version. It stays readable while newer versions come."""
@@ -86,7 +93,7 @@ class Warehouse:
     def change(self) -> Change:
         """What is to become the next version, starting from the newest one."""
         version = self.version()
-        return Change(self, version, self.tables(version))
+        return Change(self, version, self.tables(version), self.notes(version))
 
     def vacuum(self, keep: int = 2) -> None:
         """Delete what the newest ``keep`` versions do not name. Not while another run writes or waits to be retried."""
@@ -113,6 +120,7 @@ class Change:
     warehouse: Warehouse
     version: int
     tables: dict[str, Stored]
+    notes: dict[str, str] = field(default_factory=dict)
     run: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def write(
@@ -164,7 +172,8 @@ class Change:
     def commit(self) -> int:
         """Make this the newest version. Raises FileExistsError if another run was faster: its version stays."""
         version = self.version + 1
-        text = json.dumps({"version": version, "tables": {n: t.to_json() for n, t in sorted(self.tables.items())}})
+        tables = {n: t.to_json() for n, t in sorted(self.tables.items())}
+        text = json.dumps({"version": version, "tables": tables, "notes": self.notes})
         marks.put(self.warehouse.spark, self.warehouse._manifest(version), text)
         self.version = version
         return version
