@@ -69,7 +69,7 @@ def read_staging(spark: SparkSession, root: str, table: Table, day: date | None
 # --- the newest row of every key ---------------------------------------------------------------
 
 NEWEST = (DAY, "_loaded_at")
-_KEY, _RANK, _BEST, _TOP, _ROWS = "_key", "_rank", "_best", "_top", "_rows"
+_KEY, _RANK, _BEST, _TOP, _ROWS, _THERE = "_key", "_rank", "_best", "_top", "_rows", "_there"
 
 
 def content_hash(df: DataFrame) -> Column:
@@ -90,7 +90,12 @@ def best_ranks(ranks: DataFrame) -> DataFrame:
 
 
 def rows_of_best(
-    df: DataFrame, best: DataFrame, key: str, newest: tuple[str, ...] = NEWEST, scratch: Scratch | None = None
+    df: DataFrame,
+    best: DataFrame,
+    key: str,
+    newest: tuple[str, ...] = NEWEST,
+    scratch: Scratch | None = None,
+    moment: Column | None = None,
 ) -> DataFrame:
     """The rows of ``df`` that ``best`` says are the newest of their keys, and all rows without a key.
 
@@ -98,17 +103,14 @@ def rows_of_best(
     no exception: its row stays where it is. Joined are only rows of that moment whose key has several
     there, and earlier rows of keys that have none. With a ``scratch`` these exceptions are written
     first, so that their size is known and few of them are sent to the rows, not the rows to them.
+    ``moment`` is the newest one, if it is known without a look at ``best``.
     """
     order = [c for c in newest if c in df.columns]
-    moment = best.agg(F.max(F.col(_BEST)[order[0]])).scalar()
+    moment = best.agg(F.max(F.col(_BEST)[order[0]])).scalar() if moment is None else moment
     there = F.col(_BEST)[order[0]].eqNullSafe(moment)
-
-    def exceptions(which: Column, name: str) -> DataFrame:
-        found = best.where(which).select(F.col(_KEY), F.col(_BEST))
-        return scratch.keep(found, name) if scratch else found
-
-    repeated = exceptions(there & (F.col(_ROWS) != 1), "repeated")
-    behind = exceptions(~there, "behind")
+    exceptions = best.where(~there | (F.col(_ROWS) != 1)).select(F.col(_KEY), F.col(_BEST), there.alias(_THERE))
+    exceptions = scratch.keep(exceptions, "exceptions") if scratch else exceptions
+    repeated, behind = (exceptions.where(which).drop(_THERE) for which in (F.col(_THERE), ~F.col(_THERE)))
     keyed = df.where(F.col(key).isNotNull())
     is_newest = F.col(order[0]).eqNullSafe(moment)
     latest = keyed.where(is_newest)
@@ -132,11 +134,11 @@ def latest_snapshot(
     """The newest row of every key; rows without a key are all kept, since nothing says which belong together.
 
     Keys, moments and hashes of the rows are shuffled, not the rows: see ``rows_of_best``. Each task
-    reduces its rows to one per key first, so a key with very many copies stays cheap. With a
-    ``scratch`` what was found out about the keys is written first, else computed where it is needed.
+    reduces its rows to one per key first, so a key with very many copies stays cheap.
     """
-    best = best_ranks(ranked(df, key, newest))
-    return rows_of_best(df, scratch.keep(best, "best") if scratch else best, key, newest, scratch)
+    first = next(c for c in newest if c in df.columns)
+    moment = df.where(F.col(key).isNotNull()).agg(F.max(first)).scalar()
+    return rows_of_best(df, best_ranks(ranked(df, key, newest)), key, newest, scratch, moment)
 
 
 def merge_state(state: DataFrame | None, day_rows: DataFrame, key: str = "id", newest: tuple[str, ...] = NEWEST) -> DataFrame:
