@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
 from pyspark.sql import functions as F
 
 from basketry.llm import sharding as s
@@ -76,3 +77,20 @@ def test_growing_moves_slots_into_the_new_shard_only(spark, work):
     s.save_map(spark, path, grown, 2)
     assert dict(s.load_map(spark, path, 1)) == dict(first)
     assert dict(s.load_map(spark, path, 2)) == dict(grown)
+
+
+def test_shards_equal_a_plain_greedy_map(spark, work):
+    """Every row's shard, from the hash of its text and slots placed one by one."""
+    rows = [(k, f"{'é' * (k % 23)}text {k // 3}") for k in range(3000)]
+    loads = Counter()
+    home = {}
+    for i, x in rows:
+        home[i] = xxhash.xxh64(x.encode(), seed=42).intdigest() % s.SLOTS
+        loads[home[i]] += len(x.encode()) + 1
+    filled, shard_of = [0] * 16, {}
+    for slot in sorted(loads, key=lambda k: (-loads[k], k)):
+        shard_of[slot] = filled.index(min(filled))
+        filled[shard_of[slot]] += loads[slot]
+    got = s.op1_sharding(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), work).collect()
+    assert {r.doc_id: (r.virtual_slot, r.shard) for r in got} == {i: (home[i], shard_of[home[i]]) for i, _ in rows}
+    assert len(got) == len(rows)

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from basketry.llm import toxicity as t
-from basketry.llm.ngrams import hashed, per_text
+from basketry.llm.ngrams import MULTIPLIER, hashed, per_text
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -38,6 +38,62 @@ def test_held_out_documents_are_told_apart(spark, work):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
 
 
+def grams(text):
+    """The buckets of a text's n-grams, each hashed by itself, as a set for each size."""
+    padded, found = f" {(text or '').lower()} ", {}
+    for size in t.SIZES:
+        found[size] = set()
+        for at in range(len(padded) - size + 1):
+            code = 0
+            for char in padded[at : at + size]:
+                code = (code * int(MULTIPLIER) + ord(char)) % 2**64
+            found[size].add((code ^ code >> 29) * int(MULTIPLIER) % 2**64 >> 64 - t.WIDTH)
+    return found
+
+
+def brute(texts, toxic):
+    """Score of every text, learned from those not held out: counts in dictionaries, a dense matrix, plain steps."""
+    held = {i: grams(x) for i, x in texts.items()}
+    learn = [i for i in sorted(texts) if zlib.crc32(str(i).encode()) % 4 != 2]
+    n = [sum(toxic[i] == side for i in learn) for side in (0, 1)]
+    counts = {}
+    for i in learn:
+        for g in set().union(*held[i].values()):
+            counts.setdefault(g, [0, 0])[toxic[i]] += 1
+
+    def strength(g):
+        share = (sum(counts[g]) + 1) / (sum(n) + 2)
+        return abs(counts[g][1] / n[1] - counts[g][0] / n[0]) / (share * (1 - share) * (1 / n[1] + 1 / n[0])) ** 0.5
+
+    chosen = sorted(g for g in counts if sum(counts[g]) >= t.MIN_DOCS and strength(g) > 3)
+    assert len(chosen) <= t.FEATURES
+    # Each bucket is smoothed, those that no text has as well.
+    total = [sum(c[side] for c in counts.values()) + t.SMOOTHING * 2**t.WIDTH for side in (0, 1)]
+    ratio = [np.log((counts[g][1] + 1) / total[1]) - np.log((counts[g][0] + 1) / total[0]) for g in chosen]
+    x = np.array([[r if g in set().union(*held[i].values()) else 0.0 for g, r in zip(chosen, ratio, strict=True)] for i in learn])
+    y = np.array([toxic[i] for i in learn], dtype=float)
+    step = 4 / (1 + 4 * (x**2).sum(axis=1).mean())
+    weight, ahead, bias, bias_ahead = np.zeros(len(chosen)), np.zeros(len(chosen)), 0.0, 0.0
+    for k in range(t.STEPS):
+        error = 1 / (1 + np.exp(-(x @ ahead + bias_ahead))) - y
+        fresh = ahead - step * (x.T @ error / len(y) + t.PENALTY * ahead)
+        fresh_bias = bias_ahead - 4 * step * error.mean()
+        ahead, bias_ahead = fresh + k / (k + 3) * (fresh - weight), fresh_bias + k / (k + 3) * (fresh_bias - bias)
+        weight, bias = fresh, fresh_bias
+    value = {g: w * r for g, w, r in zip(chosen, weight, ratio, strict=True)}
+    margin = {i: bias + sum(value.get(g, 0.0) for own in held[i].values() for g in own) for i in texts}
+    return {i: 1 / (1 + np.exp(-m)) for i, m in margin.items()}
+
+
+def test_scores_equal_brute_force(spark, work):
+    docs, labels = made(spark, 400)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    want = brute(texts, {r.doc_id: r.toxic for r in labels.collect()})
+    got = {r.doc_id: (r.score, r.predicted) for r in t.op5_toxicity(docs, labels, work).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[i][0] - want[i]) < 1e-6 and got[i][1] == int(got[i][0] >= t.THRESHOLD) for i in want)
+
+
 def test_labels_of_held_out_rows_are_not_used(spark, work):
     docs, labels = made(spark, 600)
     flipped = labels.withColumn("toxic", F.when(F.expr("crc32(cast(doc_id as string)) % 4 = 2"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
