@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from basketry.functions.columns import MONEY_SUM, day_diff, first_match, ntz
 from basketry.params import ACTIVE_WITHIN_DAYS, AT_RISK_WITHIN_DAYS, CANCELLED_STATUS, Params
 from basketry.plans.staging import clean_orders
+from basketry.session import tasks_of
 
 UPDATED_AT = "_dbt_updated_at"
 
@@ -65,8 +66,13 @@ def dim_customers(users: DataFrame, orders: DataFrame, params: Params) -> DataFr
 
 
 def product_stats(order_items: DataFrame) -> DataFrame:
-    """Per product, orders of every status: quantity, revenue, distinct orders."""
-    return order_items.groupBy("product_id").agg(
+    """Per product, orders of every status: quantity, revenue, distinct orders.
+
+    Lines are dealt out by ranges of products and orders: little moves after that, and a best-seller's are
+    cut between tasks.
+    """
+    lines = order_items.select("product_id", "order_id", "quantity", "line_total")
+    return lines.repartitionByRange(tasks_of(order_items), "product_id", "order_id").groupBy("product_id").agg(
         F.sum("quantity").alias("total_quantity_sold"),
         F.sum("line_total").cast(MONEY_SUM).alias("total_revenue"),
         F.countDistinct("order_id").alias("total_orders"),

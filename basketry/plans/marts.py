@@ -18,9 +18,12 @@ from basketry.params import (
     Params,
 )
 from basketry.scratch import Scratch
+from basketry.session import tasks_of
 
 # Fixed value: the segment of customers that no rule fits.
 NO_SEGMENT = "Others"
+# What the sales overview adds up from lines.
+OVERVIEW_MEASURES = ("quantity_sold", "line_revenue", "estimated_margin", "order_total")
 
 
 def segment_rules(r: Column, f: Column, m: Column) -> list[tuple[Column, str]]:
@@ -47,27 +50,39 @@ def mart_sales_overview(fact_orders: DataFrame, dim_products: DataFrame, dim_cus
     in both, so order counts do not add up over categories. Dimensions are cut down to key and
     attribute before the joins; whether one is small enough to broadcast is Spark's size check.
     """
-    sales = completed(fact_orders)
     products = dim_products.select("product_key", "product_category")
     customers = dim_customers.select("customer_key", "customer_segment")
     keys = ["sale_date", "country_code", "product_category", "customer_segment"]
-    # Lines of an order first: the two distinct counts then triple rows of orders, not of lines.
-    per_order = (
-        sales.join(products, "product_key")
+    # Lines are dealt out by ranges of their groups, so groups of a day lie together and are small to send.
+    # An order then stands there for itself, with the sums, and once more for its customer: both distinct
+    # counts are counts of rows.
+    lines = (
+        completed(fact_orders)
+        .join(products, "product_key")
         .join(customers, "customer_key")
-        .groupBy(F.col("date_key").alias("sale_date"), *keys[1:], "customer_key", "order_key")
-        .agg(
-            F.sum("quantity_sold").alias("quantity"),
-            F.sum("line_revenue").alias("revenue"),
-            F.sum("estimated_margin").alias("margin"),
-            F.sum("order_total").alias("order_totals"),
-            F.count("order_total").alias("totals"),
-        )
+        .select(F.col("date_key").alias("sale_date"), *keys[1:], "customer_key", "order_key", *OVERVIEW_MEASURES)
+        .repartitionByRange(tasks_of(fact_orders), *keys)
     )
-    orders, revenue, margin = F.countDistinct("order_key"), F.sum("revenue"), F.sum("margin")
-    return per_order.groupBy(*keys).agg(
+    per_order = lines.groupBy(*keys, "customer_key", "order_key").agg(
+        F.sum("quantity_sold").alias("quantity"),
+        F.sum("line_revenue").alias("revenue"),
+        F.sum("estimated_margin").alias("margin"),
+        F.sum("order_total").alias("order_totals"),
+        F.count("order_total").alias("totals"),
+    )
+    measures = ("quantity", "revenue", "margin", "order_totals", "totals")
+    members = per_order.unpivot([*keys, *measures], ["order_key", "customer_key"], "of", "member")
+    is_order = F.col("of") == "order_key"
+    per_member = (
+        members.select(*keys, "of", "member", *[F.when(is_order, F.col(m)).alias(m) for m in measures])
+        .repartition(tasks_of(fact_orders), *keys)
+        .groupBy(*keys, "of", "member")
+        .agg(*[F.sum(m).alias(m) for m in measures])
+    )
+    orders, revenue, margin = F.count(F.when(is_order, F.col("member"))), F.sum("revenue"), F.sum("margin")
+    return per_member.groupBy(*keys).agg(
         orders.alias("total_orders"),
-        F.countDistinct("customer_key").alias("unique_customers"),
+        F.count(F.when(~is_order, F.col("member"))).alias("unique_customers"),
         F.sum("quantity").alias("total_quantity"),
         revenue.cast(MONEY_SUM).alias("total_revenue"),
         margin.cast(MARGIN_SUM).alias("total_margin"),
@@ -157,10 +172,15 @@ def product_metrics(fact_orders: DataFrame, dim_products: DataFrame) -> DataFram
     """Volume, revenue and margin per product with a completed order.
 
     Lines are aggregated before they meet the dimension, so the join sees one row per product and a
-    best-seller cannot overload it.
+    best-seller cannot overload it. Few lines of a task share product and order, so lines are dealt out
+    first, by ranges of both: no task that joins lines also holds them by group, a best-seller's lines are
+    cut between tasks by order, and a range has few products to hand on.
     """
+    lines = completed(fact_orders).select(
+        "product_key", "order_key", "quantity_sold", "line_revenue", "unit_price", "estimated_margin", "order_timestamp"
+    )
     sold = (
-        completed(fact_orders)
+        lines.repartitionByRange(tasks_of(fact_orders), "product_key", "order_key")
         .groupBy("product_key")
         .agg(
             F.countDistinct("order_key").alias("total_orders"),

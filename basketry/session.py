@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 MIB = 1024 * 1024
 # Bytes one task should read; adaptive execution merges shuffle partitions that turn out smaller.
@@ -43,6 +43,14 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
     return max(cores, -(-input_bytes // partition_bytes(input_bytes)))
 
 
+def tasks_of(df: DataFrame) -> int:
+    """Shuffle partitions of the session, for rows whose groups weigh much more in memory than in the shuffle.
+
+    Adaptive execution merges partitions by the bytes they were shuffled with; a number that is given stays.
+    """
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def configure(builder: SparkSession.Builder, input_bytes: int = 0, cores: int = 8) -> SparkSession.Builder:
     """Apply the settings to a session builder; the caller keeps master, memory and app name."""
     for key, value in SETTINGS.items():

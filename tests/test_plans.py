@@ -154,3 +154,35 @@ def test_no_python_in_the_plans(models):
     for df in (shop.mart_sales_overview(), shop.mart_customer_ltv(), shop.mart_product_performance()):
         text = plan(df)
         assert "Python" not in text and "ArrowEval" not in text
+
+
+def exchanges(df):
+    return [line for line in plan(df).splitlines() if "Exchange" in line and "Broadcast" not in line]
+
+
+def test_lines_are_dealt_out_before_they_are_grouped(spark, models):
+    """No task that joins lines also holds them by group, and groups made in ranges do not move as single lines again."""
+    fact, products, customers = models["fact_orders"], models["dim_products"], models["dim_customers"]
+    overview = exchanges(marts.mart_sales_overview(fact, products, customers))
+    assert sum("rangepartitioning(sale_date" in e for e in overview) == 1
+    assert not any("hashpartitioning(sale_date" in e and "order_key" in e for e in overview)
+    assert any("rangepartitioning(product_key" in e and "order_key" in e for e in exchanges(marts.product_metrics(fact, products)))
+    assert any("rangepartitioning(product_id" in e and "order_id" in e for e in exchanges(core.product_stats(models["order_items"])))
+
+
+def test_overview_counts_keys_that_repeat_once(spark):
+    """An order id of two customers is one order; a customer of two orders is one customer; a country may be null."""
+    lines = [(1, 1, "fr", 1), (1, 2, "fr", 2), (2, 1, "fr", 3), (2, 1, "fr", 4), (3, 2, None, 5)]
+    fact = spark.createDataFrame(lines, "order_key long, customer_key long, country_code string, quantity_sold int").select(
+        "*",
+        F.lit(1).alias("is_completed"),
+        F.lit(1).cast("long").alias("product_key"),
+        F.lit("2020-01-01").cast("date").alias("date_key"),
+        *[F.lit(2).cast("decimal(12,2)").alias(c) for c in ("line_revenue", "estimated_margin")],
+        F.when(F.col("quantity_sold") < 4, 8).cast("decimal(12,2)").alias("order_total"),
+    )
+    products = spark.createDataFrame([(1, "a")], "product_key long, product_category string")
+    customers = spark.createDataFrame([(1, "s"), (2, "s")], "customer_key long, customer_segment string")
+    got = marts.mart_sales_overview(fact, products, customers)
+    found = {r.country_code: (r.total_orders, r.unique_customers, r.total_quantity, float(r.total_revenue), r.avg_order_value) for r in got.collect()}
+    assert found == {"fr": (2, 2, 10, 8.0, 8.0), None: (1, 1, 5, 2.0, None)}
