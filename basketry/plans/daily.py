@@ -8,14 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import MARGIN_SUM, MONEY_SUM, day_diff, ratio
 from basketry.operators.bitsets import BITS, WORD, bit_of, size, united, word_of
 from basketry.params import Params
 from basketry.plans.core import ORDER_MONTH
-from basketry.plans.marts import completed
+from basketry.plans.marts import OVERVIEW_MEASURES, completed
+from basketry.session import tasks_of
 from basketry.warehouse import Change
 
 OVERVIEW_KEYS = ("sale_date", "country_code", "product_category", "customer_segment")
@@ -74,9 +75,16 @@ def customer_metrics(days: DataFrame, params: Params) -> DataFrame:
 
 
 def product_days(fact_orders: DataFrame) -> DataFrame:
-    """Per day, product and word of order keys: the orders, sums and first and last moment of completed lines."""
+    """Per day, product and word of order keys: the orders, sums and first and last moment of completed lines.
+
+    Few lines meet in a group. They are dealt out once, by ranges of days and products, so that states of a
+    month are made in few tasks and need not be gathered.
+    """
+    columns = ("date_key", "product_key", "order_key", "quantity_sold", "line_revenue", "estimated_margin", "unit_price")
     return (
         completed(fact_orders)
+        .select(*columns, "order_timestamp")
+        .repartitionByRange(tasks_of(fact_orders), "date_key", "product_key")
         .groupBy(_month("date_key"), "date_key", "product_key", word_of(F.col("order_key")).alias(WORD))
         .agg(
             united(bit_of(F.col("order_key"))).alias(BITS),
@@ -114,30 +122,40 @@ def product_sales(days: DataFrame) -> DataFrame:
 def overview_days(fact_orders: DataFrame, dim_products: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """Per day, country, category and segment: sums of completed lines, and the sets of orders and of customers.
 
-    ``of`` says what a row's set holds; the sums stand in one row more, without a set.
+    ``of`` says what a row's set holds; the sums stand in one row more, without a set. Lines are dealt out
+    once, by ranges of the groups, and so of days: states of a month need not be gathered.
     """
     lines = (
         completed(fact_orders)
         .join(dim_products.select("product_key", "product_category"), "product_key")
         .join(dim_customers.select("customer_key", "customer_segment"), "customer_key")
-        .withColumn("sale_date", F.col("date_key"))
-    )
-    per_order = lines.groupBy(*OVERVIEW_KEYS, CUSTOMERS, ORDERS).agg(
-        F.sum("quantity_sold").alias("quantity"),
-        F.sum("line_revenue").alias("revenue"),
-        F.sum("estimated_margin").alias("margin"),
-        F.sum("order_total").alias("order_totals"),
-        F.count("order_total").alias("totals"),
+        .select(F.col("date_key").alias("sale_date"), *OVERVIEW_KEYS[1:], CUSTOMERS, ORDERS, *OVERVIEW_MEASURES)
+        .repartitionByRange(tasks_of(fact_orders), *OVERVIEW_KEYS)
     )
     none = F.lit(None).cast("long")
     parts = [F.struct(F.lit(k).alias("of"), F.col(k).cast("long").alias("member")) for k in (ORDERS, CUSTOMERS)]
     parts.append(F.struct(F.lit("sums").alias("of"), none.alias("member")))
-    measures = ("quantity", "revenue", "margin", "order_totals", "totals")
     of, member = F.col("part.of"), F.col("part.member")
+
+    def total(measure: str) -> Column:
+        return F.sum(F.when(of == "sums", F.col(measure)))
+
+    def money(measure: str) -> Column:
+        kept = lines.agg(F.sum(measure)).agg(F.sum(f"sum({measure})")).schema[0].dataType
+        return total(measure).cast(kept)
+
     return (
-        per_order.withColumn("part", F.explode(F.array(*parts)))
+        lines.withColumn("part", F.explode(F.array(*parts)))
+        .withColumn("priced", F.col("order_total").isNotNull().cast("int"))
         .groupBy(_month("sale_date"), *OVERVIEW_KEYS, of.alias("of"), word_of(member).alias(WORD))
-        .agg(united(bit_of(member)).alias(BITS), *[F.sum(F.when(of == "sums", F.col(m))).alias(m) for m in measures])
+        .agg(
+            united(bit_of(member)).alias(BITS),
+            total("quantity_sold").alias("quantity"),
+            money("line_revenue").alias("revenue"),
+            money("estimated_margin").alias("margin"),
+            money("order_total").alias("order_totals"),
+            total("priced").alias("totals"),
+        )
     )
 
 
@@ -178,6 +196,9 @@ def refresh(
     """
     months = None if months is None else sorted(months)
     fact = fact_orders if months is None else fact_orders.where(F.col(ORDER_MONTH).isin([F.lit(m).cast("date") for m in months]))
-    made = (customer_days(fact), product_days(fact), overview_days(fact, dim_products, dim_customers))
-    for name, df, day in zip(STATES, made, ("date_key", "date_key", "sale_date"), strict=True):
-        change.write(name, df, "states", by=ORDER_MONTH, within=(day,), only=months)
+    change.write("customer_days", customer_days(fact), "states", by=ORDER_MONTH, within=("date_key",), only=months)
+    # These are made in ranges of days, which hold few months each: they are written from where they are.
+    ranged = (("product_days", product_days(fact), "date_key"), ("overview_days", overview_days(fact, dim_products, dim_customers), "sale_date"))
+    for name, df, day in ranged:
+        rows = df.sortWithinPartitions(ORDER_MONTH, day)
+        change.write(name, rows, "states", by=ORDER_MONTH, gather=False, only=months)

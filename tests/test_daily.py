@@ -137,3 +137,16 @@ def test_states_have_no_expand(house, dims):
         assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
     one = core.in_period(fact, date(2024, 5, 1), date(2024, 5, 31))
     assert "PartitionFilters: [isnotnull(order_month" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_states_move_once(spark, tmp_path, before, dims):
+    """Lines go to the ranges of their days' groups once: neither states nor gathered months move again."""
+    path = f"{tmp_path}/fact"
+    full(before).write.parquet(path)
+    fact = spark.read.parquet(path)
+    kept = [spark.createDataFrame(d.collect(), d.schema) for d in dims]
+    for made in (daily.product_days(fact), daily.overview_days(fact, *kept)):
+        text = made._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in text.splitlines() if "Exchange" in line and "Broadcast" not in line and "hashpartitioning(product_key" not in line]
+        moved = [line for line in moved if "hashpartitioning(customer_key" not in line]
+        assert len(moved) == 1 and "rangepartitioning(" in moved[0], text
