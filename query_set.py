@@ -110,7 +110,9 @@ class Shop:
         pending = orders.withColumn("status", F.when(late, F.lit("pending")).otherwise(F.col("status")))
         gone = orders.orderBy("id").limit(1).withColumns({"id": F.lit(-1).cast("long"), "created_at": F.lit("1997-03-02").cast("timestamp_ntz")})
         early = orders.where("created_at < timestamp_ntz'1998-02-01' AND created_at >= timestamp_ntz'1998-01-01'").select(F.col("id").alias("order_id"))
-        fewer = lines.join(early.where("order_id % 3 = 0"), "order_id", "left_anti").select(*lines.columns)
+        third = F.coalesce(F.col("order_id") % 3 == 0, F.lit(False))
+        left = lines.where(third).join(early.where("order_id % 3 = 0"), "order_id", "left_anti").select(*lines.columns)
+        fewer = lines.where(~third).unionByName(left)  # only lines that may go are shuffled
         none = lines.limit(1).withColumn("order_id", F.lit(-1).cast("long"))
         return {"orders": pending.where("id % 40 <> 1 OR created_at < timestamp_ntz'2001-07-01'").unionByName(gone), "order_items": fewer.unionByName(none)}
 
