@@ -183,9 +183,6 @@ def overview(days: DataFrame, keys: Sequence[str] = OVERVIEW_KEYS) -> DataFrame:
     )
 
 
-STATES = ("customer_days", "product_days", "overview_days")
-
-
 def refresh(
     change: Change, fact_orders: DataFrame, dim_products: DataFrame, dim_customers: DataFrame, months: Iterable[str] | None = None
 ) -> None:
