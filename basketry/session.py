@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 
+from basketry.scratch import folder_and_files
+
 MIB = 1024 * 1024
 # Bytes one task should read; adaptive execution merges shuffle partitions that turn out smaller.
 PARTITION_BYTES = 128 * MIB
 # A shuffle holds a block per map task and reduce task, so very big inputs get bigger partitions
 # rather than more of them.
 MAX_PARTITIONS = 100_000
+# Bytes of stored input of a task that groups it: groups weigh much more in memory than rows in a compressed file.
+GROUPED_BYTES = 8 * MIB
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,12 +49,28 @@ def shuffle_partitions(input_bytes: int, cores: int) -> int:
     return max(cores, -(-input_bytes // partition_bytes(input_bytes)))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files a frame is made of, as their folders list them; 0 if it is made of none."""
+    folders: dict[str, set[str]] = {}
+    for file in df.inputFiles():
+        folder, _, name = file.rpartition("/")
+        folders.setdefault(folder, set()).add(unquote(name))
+    total = 0
+    for folder, names in folders.items():
+        path, files = folder_and_files(df.sparkSession, unquote(folder))
+        total += sum(s.getLen() for s in files.listStatus(path) if s.getPath().getName() in names)
+    return total
+
+
 def tasks_of(df: DataFrame) -> int:
-    """Shuffle partitions of the session, for rows whose groups weigh much more in memory than in the shuffle.
+    """Tasks for rows whose groups weigh much more in memory than in the shuffle.
 
-    Adaptive execution merges partitions by the bytes they were shuffled with; a number that is given stays.
+    As many as the session has shuffle partitions, and more if the files behind the rows are large: a task's
+    groups then stay the same in size when the input grows. Adaptive execution merges partitions by the bytes
+    they were shuffled with; a number that is given stays.
     """
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MAX_PARTITIONS, -(-input_bytes(df) // GROUPED_BYTES))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted)
 
 
 def configure(builder: SparkSession.Builder, input_bytes: int = 0, cores: int = 8) -> SparkSession.Builder:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
+from basketry import session
 from basketry.session import MAX_PARTITIONS, PARTITION_BYTES, partition_bytes, shuffle_partitions
 
 TIB = 2**40
@@ -19,3 +24,19 @@ def test_partitions_grow_with_the_input():
 def test_huge_inputs_get_bigger_partitions_not_more():
     assert shuffle_partitions(100 * TIB, 4000) <= MAX_PARTITIONS
     assert partition_bytes(100 * TIB) * MAX_PARTITIONS >= 100 * TIB
+
+
+def test_tasks_grow_with_the_files_behind_a_frame(spark, tmp_path, monkeypatch):
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{tmp_path}/rows of=day 1"
+    spark.range(0, 50_000, 1, 4).withColumn("day", F.col("id") % 2).write.partitionBy("day").parquet(path)
+    stored = sum(p.stat().st_size for p in Path(path).rglob("*.parquet"))
+    rows = spark.read.parquet(path)
+    joined = rows.join(spark.range(10), "id").where("id > 3")
+    assert session.input_bytes(rows) == session.input_bytes(joined) == stored
+    assert session.tasks_of(rows) == own, "small files: the session's"
+    monkeypatch.setattr(session, "GROUPED_BYTES", stored // (3 * own))
+    assert 3 * own <= session.tasks_of(joined) <= 3 * own + 1
+    assert session.tasks_of(spark.range(10)) == own, "no file"
+    monkeypatch.setattr(session, "MAX_PARTITIONS", 2 * own)
+    assert session.tasks_of(rows) == 2 * own
