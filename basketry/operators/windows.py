@@ -26,8 +26,8 @@ __all__ = ["By", "asc", "bucket_borders", "desc", "global_ntile", "global_window
 RANGE, PLACE = "_range", "_place"
 
 
-def _placed(df: DataFrame, order: Sequence[By], scratch: Scratch) -> DataFrame:
-    """Written copy of ``df`` in sort order, with each row's range number and place in the range.
+def _placed(df: DataFrame, order: Sequence[By], scratch: Scratch, columns: Sequence[str]) -> DataFrame:
+    """Written copy of ``columns`` in sort order, with each row's range number and place in the range.
 
     The numbers are stored, so a recomputed sort with other range borders cannot change them.
     """
@@ -36,8 +36,10 @@ def _placed(df: DataFrame, order: Sequence[By], scratch: Scratch) -> DataFrame:
         df.sort(*[b.order for b in order])
         .withColumn(PLACE, place)
         .withColumn(RANGE, F.shiftright(PLACE, 33))
-        .withColumn(PLACE, F.col(PLACE).bitwiseAND(F.lit((1 << 33) - 1)) + 1),
+        .select(*columns, RANGE, (F.col(PLACE).bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias(PLACE)),
         "placed",
+        # Places go up by one, which this shrinks.
+        codec="zstd",
     )
 
 
@@ -75,15 +77,17 @@ def global_window(
     scratch: Scratch,
     rank: str | None = None,
     running: dict[str, str] | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add a row number over the whole table and running sums, from one sort.
 
     ``running`` maps the name of a running sum to its column. Running sums want decimals or
-    integers: addition then gives the same result in any grouping.
+    integers: addition then gives the same result in any grouping. ``columns`` are those the caller
+    wants back, all by default: others only settle the order and are not written.
     """
     running = running or {}
-    columns = df.columns
-    placed = _placed(df, order, scratch)
+    columns = df.columns if columns is None else list(columns)
+    placed = _placed(df, order, scratch, list(dict.fromkeys([*columns, *running.values()])))
     sum_types = {n: placed.agg(F.sum(c)).schema[0].dataType for n, c in running.items()}
     schema = ", ".join(
         [f"{RANGE} long", "_rows long", *[f"_s{i} {sum_types[n].simpleString()}" for i, n in enumerate(running)]]

@@ -56,8 +56,8 @@ def refresh_fact(change: Change, before: Tables, after: Tables, params: Params)
     end = F.add_months(F.lit(months[-1]).cast("date"), 1).cast("timestamp_ntz")
     span = (moment >= F.lit(months[0]).cast("timestamp_ntz")) & (moment < end)
     orders = after["orders"].where(span & month.isin([F.lit(m).cast("date") for m in months]))
-    fact = core.with_month(core.fact_orders(after["order_items"], orders, params))
-    change.write("fact_orders", fact, "core", by=core.ORDER_MONTH, within=("date_key",), only=months)
+    fact = core.fact_by_month(after["order_items"], orders, params)
+    change.write("fact_orders", fact, "core", by=core.ORDER_MONTH, gather=False, only=months)
     return months
 
 

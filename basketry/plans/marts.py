@@ -71,7 +71,8 @@ def mart_sales_overview(fact_orders: DataFrame, dim_products: DataFrame, dim_cus
         F.count("order_total").alias("totals"),
     )
     measures = ("quantity", "revenue", "margin", "order_totals", "totals")
-    members = per_order.unpivot([*keys, *measures], ["order_key", "customer_key"], "of", "member")
+    # Rows of a group stand together when they move, so they shrink more.
+    members = per_order.sortWithinPartitions(*keys).unpivot([*keys, *measures], ["order_key", "customer_key"], "of", "member")
     is_order = F.col("of") == "order_key"
     per_member = (
         members.select(*keys, "of", "member", *[F.when(is_order, F.col(m)).alias(m) for m in measures])

@@ -43,7 +43,8 @@ class Build:
 
 @dataclass(frozen=True)
 class Model:
-    """A named table or view of a layer. A table may have a folder for each value of a column, and an order within.
+    """A named table or view of a layer. A table may have a folder for each value of a column, and an order within;
+    ``gathered`` says that it is built with its rows gathered and in that order.
 
     ``refresh`` brings a stored table up to date from what has changed, instead of building it as a whole.
     """
@@ -54,6 +55,7 @@ class Model:
     view: bool = False
     by: str | None = None
     within: tuple[str, ...] = ()
+    gathered: bool = False
     refresh: Callable[[Build, Change], object] | None = None
 
 
@@ -69,9 +71,9 @@ MODELS = (
     Model(
         "fact_orders",
         "core",
-        lambda b: core.with_month(core.fact_orders(b.tables["order_items"], b.tables["orders"], b.params)),
+        lambda b: core.fact_by_month(b.tables["order_items"], b.tables["orders"], b.params),
         by=core.ORDER_MONTH,
-        within=("date_key",),
+        gathered=True,
         refresh=lambda b, change: incremental.refresh_fact(change, b.before, b.tables, b.params),
     ),
     Model(
@@ -143,7 +145,7 @@ def build_models(
             if m.refresh and before is not None and m.name in change.tables:
                 m.refresh(b, change)
             else:
-                change.write(m.name, m.build(b), m.layer, by=m.by, within=m.within)
+                change.write(m.name, m.build(b), m.layer, by=m.by, within=m.within, gather=not m.gathered)
             return change.tables[m.name].to_json()
 
         if m.view:

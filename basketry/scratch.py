@@ -66,10 +66,10 @@ class Scratch:
             self._noted = True
         return f"{self.root}/{next(self._numbers):03d}-{name}"
 
-    def keep(self, df: DataFrame, name: str = "table") -> DataFrame:
-        """Write ``df`` once and return the written table."""
+    def keep(self, df: DataFrame, name: str = "table", codec: str | None = None) -> DataFrame:
+        """Write ``df`` once, compressed as the session does or with ``codec``, and return the written table."""
         path = self.path(name)
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:

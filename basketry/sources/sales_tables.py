@@ -140,7 +140,8 @@ class SalesTables:
         names = ("orderkey", "linenumber", "partkey", "suppkey", "extendedprice", "shipdate", "quantity")
         order = [asc(f"l_{n}") for n in names]
         lines = self.read("lineitem").select(*[b.column for b in order])
-        return self._lines(global_window(lines, order, self.scratch, rank="line_key"))
+        kept = ("l_orderkey", "l_partkey", "l_quantity")
+        return self._lines(global_window(lines, order, self.scratch, rank="line_key", columns=kept))
 
     def _lines(self, lineitem: DataFrame) -> DataFrame:
         quantity, price = F.col("l_quantity").cast("int"), F.col("price")

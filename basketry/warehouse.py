@@ -21,6 +21,8 @@ from basketry import marks
 from basketry.scratch import delete_folder
 
 RUN = "basketry_run"
+# Tables stay, so they are written small.
+CODEC = "zstd"
 WHOLE = ""
 VERSION = "{:012d}.json"
 
@@ -144,12 +146,12 @@ class Change:
         folder = f"{home}/{RUN}={self.run}"
         path = f"{self.warehouse.root}/{folder}"
         if by is None:
-            df.write.mode("overwrite").parquet(path)
+            df.write.mode("overwrite").parquet(path, compression=CODEC)
             folders = {WHOLE: folder}
         else:
             # Gathered by value, so that a task writes few files; a value with very many rows is split by size.
             rows = df.hint("rebalance", F.col(by)).sortWithinPartitions(by, *within) if gather else df
-            rows.write.mode("overwrite").partitionBy(by).parquet(path)
+            rows.write.mode("overwrite").partitionBy(by).parquet(path, compression=CODEC)
             made = [n for n in marks.names(self.warehouse.spark, path) if n.startswith(f"{by}=")]
             folders = {n.split("=", 1)[1]: f"{folder}/{n}" for n in made}
         if only is not None:

@@ -170,6 +170,26 @@ def test_lines_are_dealt_out_before_they_are_grouped(spark, models):
     assert any("rangepartitioning(product_id" in e and "order_id" in e for e in exchanges(core.product_stats(models["order_items"])))
 
 
+def test_stored_fact_moves_without_what_follows_from_it(models):
+    """Only what lines and orders hold is gathered by month; the rows are those of the fact."""
+    items, orders = models["order_items"], models["orders"]
+    stored = core.fact_by_month(items, orders, PARAMS)
+    lines = plan(stored).splitlines()
+    at = next(k for k, line in enumerate(lines) if "Exchange hashpartitioning(order_month" in line)
+    below = "\n".join(lines[at:])
+    assert "order_timestamp" in below and not any(c in below for c in ("date_key", "estimated_margin", "is_completed"))
+    want = core.with_month(core.fact_orders(items, orders, PARAMS))
+    assert stored.dtypes == want.dtypes
+    assert sorted(map(str, stored.collect())) == sorted(map(str, want.collect()))
+
+
+def test_overview_rows_move_in_the_order_of_their_groups(models):
+    lines = plan(marts.mart_sales_overview(models["fact_orders"], models["dim_products"], models["dim_customers"])).splitlines()
+    at = next(k for k, line in enumerate(lines) if "Exchange hashpartitioning(sale_date" in line)
+    expand = next(k for k in range(at, len(lines)) if "Expand" in lines[k])
+    assert any("Sort [sale_date" in line for line in lines[expand : expand + 4])
+
+
 def test_overview_counts_keys_that_repeat_once(spark):
     """An order id of two customers is one order; a customer of two orders is one customer; a country may be null."""
     lines = [(1, 1, "fr", 1), (1, 2, "fr", 2), (2, 1, "fr", 3), (2, 1, "fr", 4), (3, 2, None, 5)]

@@ -52,6 +52,15 @@ def test_rank_and_running_sum(spark, partitions, order):
     assert sorted(got.select("key", "rank", "running").collect()) == sorted(want.collect())
 
 
+def test_columns_that_only_settle_the_order_are_not_written(spark, monkeypatch):
+    df, order, written = frame(spark, 500), [desc("value"), asc("key")], []
+    keep = Scratch.keep
+    monkeypatch.setattr(Scratch, "keep", lambda self, rows, *a, **b: written.append(rows.columns) or keep(self, rows, *a, **b))
+    got = global_window(df, order, Scratch(spark), "rank", columns=["key"])
+    assert got.columns == ["key", "rank"] and not {"value", "other"} & set(written[0])
+    assert sorted(got.collect()) == sorted(plain(df, order).select("key", "rank").collect())
+
+
 def test_types_are_those_of_a_plain_window(spark):
     df, order = frame(spark, 500), [desc("value"), asc("key")]
     got = global_window(df, order, Scratch(spark), "rank", {"running": "value"}).select("key", "rank", "running")
