@@ -27,7 +27,7 @@ def day_path(root: str, table: Table, day: date) -> str:
 
 def write_both(rows: DataFrame, path: str) -> None:
     """Accepted rows and rejects, side by side, from one pass over ``rows``; what was there goes."""
-    rows.write.mode("overwrite").partitionBy(ACCEPTED).parquet(path)
+    rows.write.mode("overwrite").partitionBy(ACCEPTED).parquet(path, compression="zstd")
 
 
 def append_staging(df: DataFrame, root: str, table: Table, day: date) -> None:

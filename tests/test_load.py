@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import frames as t
 import pytest
@@ -92,6 +93,15 @@ def test_empty_export_leaves_no_old_files(spark, tmp_path):
     assert raw.write_raw(rows.where("id > 5"), root, schemas.PRODUCTS, DAY) is None
 
 
+def test_exports_are_compressed(spark, tmp_path):
+    text = spark.createDataFrame([(1, "error", '{"a": 1}')], "id long, event_type string, metadata string")
+    events = text.selectExpr("id", "id AS user_id", "event_type", "CAST(NULL AS TIMESTAMP_NTZ) AS event_ts", "metadata")
+    for rows, table in ((t.products(spark, (1, "a", "Toys")), schemas.PRODUCTS), (events, schemas.EVENTS)):
+        path = raw.write_raw(rows, str(tmp_path), table, DAY)
+        assert {p.suffix for p in Path(path).glob("part-*")} == {".gz"}
+        assert load.load(spark, path, table, t.RUN_TS, multi_line=False)[0].count() == 1
+
+
 def test_export_computes_its_source_once(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 
