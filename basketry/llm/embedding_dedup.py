@@ -2,9 +2,11 @@
 
 Vectors of a label are dealt to their nearest clusters, several each. Every shard builds a graph whose
 adjacency lists are pruned so that they point in different directions; a vector's lists of all its
-shards are united into one flat graph. Then each vector searches its shards from their medoids:
-greedily towards itself and, from what is within range, on through all that is. Cosines of the original
-vectors decide. A sample is compared with all rows; if links are missing, shards overlap more.
+shards are united into one flat graph. Then each vector searches its nearest shard, from its medoids and from
+itself: greedily through what is nearest to it and, from what is within range, on through all that is. In
+its other shards it begins at itself and goes through what is within range, so that an overlap does not
+repeat the walk. Cosines in double precision decide. A sample is compared with all rows; if links are
+missing, shards overlap more.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ NEAR, CLOSE, FAR, MOST, SPREAD = 64, 16, 8, 64, 1.2
 BEAM, MEDOIDS = 24, 8
 AT_ONCE = 256
 FRONTIER = 1 << 15
+# Graphs are built and walked in single precision; a cosine this close to the limit is worked out in double.
+DOUBT = 1e-4
 
 
 @dataclass(frozen=True)
@@ -71,9 +75,14 @@ def centres(sample: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
 
 
 def nearest_centres(vectors: np.ndarray, found: np.ndarray, k: int) -> np.ndarray:
-    """The numbers of each vector's k nearest centres, nearest first."""
-    out = [np.argsort(-(vectors[a : a + 4096] @ found.T), axis=1, kind="stable")[:, :k] for a in range(0, len(vectors), 4096)]
-    return np.concatenate([np.zeros((0, min(k, len(found))), np.int64), *out])
+    """The numbers of each vector's k nearest centres, nearest first; of equally near ones the first."""
+    out = np.zeros((len(vectors), min(k, len(found))), dtype=np.int64)
+    for at in range(0, len(vectors), 1024):
+        cosine = vectors[at : at + 1024] @ found.T
+        for n in range(out.shape[1]):
+            own = out[at : at + 1024, n] = cosine.argmax(axis=1)
+            cosine[np.arange(len(own)), own] = -np.inf
+    return out
 
 
 def robust(chosen_from: np.ndarray, away: np.ndarray, between: np.ndarray, keep: int) -> np.ndarray:
@@ -97,6 +106,7 @@ def robust(chosen_from: np.ndarray, away: np.ndarray, between: np.ndarray, keep:
 def build_graph(vectors: np.ndarray) -> list[np.ndarray]:
     """For each unit vector its neighbours' positions: pruned ones among its nearest and among some drawn at random."""
     m, rng = len(vectors), np.random.default_rng(SEED)
+    vectors = vectors.astype(np.float32)
     if m < 2:
         return [np.zeros(0, dtype=np.int64)] * m
     own, other = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -145,49 +155,61 @@ def medoids(vectors: np.ndarray) -> np.ndarray:
     return np.unique((vectors @ found.T).argmax(axis=0))
 
 
-def range_search(vectors: np.ndarray, graph: np.ndarray, starts: np.ndarray, at: np.ndarray, rule: Rule) -> np.ndarray:
-    """For the vectors at ``at`` which of all were found within the cosine (a row of booleans each)."""
+def range_search(
+    vectors: np.ndarray, graph: np.ndarray, starts: np.ndarray, at: np.ndarray, rule: Rule, walks: np.ndarray | None = None
+) -> np.ndarray:
+    """For the vectors at ``at`` which of all were found within the cosine (a row of booleans each).
+
+    Those that ``walks`` names (all without it) also walk greedily, from ``starts`` too.
+    """
     q, m = len(at), len(vectors)
-    asked, rows = vectors[at], np.arange(q)
+    light = vectors.astype(np.float32)
     seen, hits, open_ = (np.zeros((q, m), dtype=bool) for _ in range(3))
 
-    def note(row: np.ndarray, node: np.ndarray, cosine: np.ndarray) -> None:
+    def note(row: np.ndarray, node: np.ndarray) -> np.ndarray:
+        cosine = np.concatenate([
+            np.einsum("pd,pd->p", light[at[row[k : k + FRONTIER]]], light[node[k : k + FRONTIER]]) for k in range(0, len(row) or 1, FRONTIER)
+        ])
+        doubt = np.flatnonzero(np.abs(cosine - rule.cosine) < DOUBT)
+        within = cosine >= rule.cosine
+        within[doubt] = np.einsum("pd,pd->p", vectors[at[row[doubt]]], vectors[node[doubt]]) >= rule.cosine - 1e-9
         seen[row, node] = True
-        hits[row, node] = cosine >= rule.cosine - 1e-9
-        open_[row, node] = cosine >= rule.reach
-
-    # Greedily towards the query: always from the nearest node that was not yet left, while it is in the beam.
-    node = np.broadcast_to(starts, (q, len(starts)))
-    near = asked @ vectors[starts].T
-    note(np.repeat(rows, len(starts)), node.ravel(), near.ravel())
-    done = np.zeros(node.shape, dtype=bool)
-    while (active := ~done.all(axis=1)).any():
-        r = rows[active]
-        pick = np.where(done[r], -np.inf, near[r]).argmax(axis=1)
+        hits[row, node] = within
+        open_[row, node] = cosine >= rule.reach - DOUBT
+        return cosine
+
+    note(np.arange(q), at)
+    # Greedily through what is nearest: always from the nearest node that was not yet left, while it is in the beam.
+    rows = np.arange(q) if walks is None else np.flatnonzero(walks)
+    first = np.concatenate([np.broadcast_to(starts, (len(rows), len(starts))), at[rows, None]], axis=1)
+    near = note(np.repeat(rows, first.shape[1]), first.ravel()).reshape(first.shape)
+    # A medoid is among its own starts twice; one of them counts as left.
+    done = np.concatenate([starts[None, :] == at[rows, None], np.zeros((len(rows), 1), dtype=bool)], axis=1)
+    near[done] = -np.inf
+    node = first
+    while len(rows):
+        r = np.arange(len(rows))
+        pick = np.where(done, -np.inf, near).argmax(axis=1)
         done[r, pick] = True
-        open_[r, node[r, pick]] = False
-        ahead = graph[node[r, pick]]
-        fresh = (ahead >= 0) & ~seen[r[:, None], ahead]
-        cosine = np.where(fresh, np.einsum("qd,qrd->qr", asked[r], vectors[ahead]), -np.inf)
-        i, j = np.nonzero(fresh)
-        note(r[i], ahead[i, j], cosine[i, j])
-        all_near, all_node = (np.full((q, near.shape[1] + ahead.shape[1]), fill) for fill in (-np.inf, 0))
-        all_done = np.ones(all_near.shape, dtype=bool)
-        width = near.shape[1]
-        all_near[:, :width], all_node[:, :width], all_done[:, :width] = near, node, done
-        all_near[r, width:], all_node[r, width:], all_done[r, width:] = cosine, ahead, ~fresh
-        best = np.argpartition(-all_near, min(rule.beam, all_near.shape[1]) - 1, axis=1)[:, : rule.beam]
-        near, node, done = (np.take_along_axis(x, best, axis=1) for x in (all_near, all_node, all_done))
+        left = node[r, pick]
+        open_[rows, left] = False
+        ahead = graph[left]
+        fresh = (ahead >= 0) & ~seen[rows[:, None], ahead]
+        cosine = np.full(ahead.shape, -np.inf, dtype=np.float32)
+        cosine[fresh] = note(np.repeat(rows, fresh.sum(axis=1)), ahead[fresh])
+        near, node, done = (np.concatenate(x, axis=1) for x in ((near, cosine), (node, ahead), (done, ~fresh)))
+        best = np.argpartition(-near, min(rule.beam, near.shape[1]) - 1, axis=1)[:, : rule.beam]
+        near, node, done = (np.take_along_axis(x, best, axis=1) for x in (near, node, done))
+        active = ~done.all(axis=1)
+        if not active.all():
+            rows, near, node, done = rows[active], near[active], node[active], done[active]
     # From everything within reach to its neighbours, as long as new ones are.
     while open_.any():
-        r, node = (x[:FRONTIER] for x in np.nonzero(open_))
+        r, node = np.divmod(np.flatnonzero(open_)[:FRONTIER], m)
         open_[r, node] = False
         ahead = graph[node]
-        key = np.unique((r[:, None] * m + ahead)[ahead >= 0])
-        key = key[~seen.ravel()[key]]
-        for k in range(0, len(key), FRONTIER):
-            row, to = np.divmod(key[k : k + FRONTIER], m)
-            note(row, to, np.einsum("pd,pd->p", asked[row], vectors[to]))
+        fresh = (ahead >= 0) & ~seen[r[:, None], ahead]
+        note(*np.divmod(np.unique((r[:, None] * m + ahead)[fresh]), m))
     return hits
 
 
@@ -226,7 +248,10 @@ def _place(centre_sets: dict[int, np.ndarray], overlap: int):
             level, vectors = batch.column("level").to_numpy(), unit(matrix(batch.column("vector")))
             for own in np.unique(level):
                 rows = np.flatnonzero(level == own)
-                shards = nearest_centres(vectors[rows], centre_sets[int(own)], overlap)
+                found = centre_sets[int(own)]
+                # With no more clusters than that, every vector would be in all of them: one shard will do.
+                found = found if len(found) > overlap else found[:1]
+                shards = nearest_centres(vectors[rows], found, overlap)
                 part, width = batch.take(pa.array(rows)), shards.shape[1]
                 for k in range(width):
                     yield pa.RecordBatch.from_arrays(
@@ -282,7 +307,7 @@ def _search(rule: Rule):
         found = np.zeros((len(nodes), len(nodes)), dtype=bool)
         for at in range(0, len(nodes), AT_ONCE):
             rows = np.arange(at, min(at + AT_ONCE, len(nodes)))
-            found[rows] = range_search(vectors, graph, starts, rows, rule)
+            found[rows] = range_search(vectors, graph, starts, rows, rule, shards[rows, 0] == here)
         links, parent = np.zeros(len(nodes), dtype=np.int64), np.arange(len(nodes))
         for at in range(0, len(nodes), AT_ONCE):
             a, b = np.nonzero((found[at : at + AT_ONCE] | found[:, at : at + AT_ONCE].T))

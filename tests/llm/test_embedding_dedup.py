@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from basketry.llm import embedding_dedup as e
@@ -117,3 +119,84 @@ def test_graph_points_both_ways_and_lists_stay_short():
     hits = e.range_search(vectors, e.padded(lists), e.medoids(vectors), np.arange(1000), e.Rule(0.98, 2, e.BEAM))
     true = vectors @ vectors.T >= 0.98
     assert (hits & true).sum() >= 0.95 * true.sum() and not (hits & ~true).any()
+
+
+class Counted:
+    """A graph that counts the nodes whose neighbours were asked for."""
+
+    left = 0
+
+    def __init__(self, graph):
+        self.graph = graph
+
+    def __getitem__(self, nodes):
+        Counted.left += len(nodes)
+        return self.graph[nodes]
+
+
+def local(vectors, clusters, overlap=2):
+    """The steps of one label's search without Spark: (rows placed, links of each vector)."""
+    n = len(vectors)
+    batch = pa.RecordBatch.from_pydict({
+        "node": np.arange(n), "label": ["1"] * n, "level": np.zeros(n, np.int64), "n": np.ones(n, np.int64), "vector": vectors.tolist()
+    })
+    placed = pa.Table.from_batches(e._place({0: e.centres(vectors, clusters)}, overlap)(iter([batch])))
+    for name in ("block", "part", "against"):
+        placed = placed.append_column(name, pa.array(np.zeros(len(placed), np.int32)))
+    tasks = [placed.filter(pc.equal(placed["shard"], k)) for k in sorted(set(placed["shard"].to_pylist()))]
+    lists = {}
+    for task in tasks:
+        for row in e._build(task).to_pylist():
+            lists.setdefault(row["node"], set()).update(row["neighbours"])
+    links = np.zeros(n, np.int64)
+    for task in tasks:
+        graph = pa.array([sorted(lists[k]) for k in task["node"].to_pylist()], pa.list_(pa.int64()))
+        got = e._search(e.Rule(0.98, overlap, e.BEAM))(task.append_column("neighbours", graph))
+        np.add.at(links, got["node"].to_numpy(), got["links"].to_numpy())
+    return len(placed), links
+
+
+def doubled(n, size=32):
+    """Unrelated unit vectors, and a near copy of each tenth."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(n, size))
+    return e.unit(np.concatenate([vectors, vectors[::10] + rng.normal(size=(len(vectors[::10]), size)) * 0.1]))
+
+
+def test_work_for_a_vector_does_not_grow_with_the_table(monkeypatch):
+    """Five times the vectors in five times the clusters: a walk is not repeated in a vector's other shards."""
+    real, work = e.padded, []
+    monkeypatch.setattr(e, "padded", lambda lists: Counted(real(lists)))
+    for n, clusters in ((300, 1), (1500, 5)):
+        vectors, Counted.left = doubled(n), 0
+        links = local(vectors, clusters)[1]
+        true = (vectors @ vectors.T >= 0.98).sum(axis=1) - 1
+        assert (links == true).all() and true.sum() > n // 10
+        work.append(Counted.left / len(vectors))
+    assert work[1] < 1.4 * work[0]
+
+
+def test_shards_that_would_all_hold_every_vector_are_one():
+    vectors = doubled(300)
+    assert local(vectors, 2)[0] == len(vectors)
+    assert (local(vectors, 2)[1] == local(vectors, 1)[1]).all()
+
+
+def test_a_search_from_the_vector_itself_finds_large_groups():
+    """Without a walk: groups of hundreds, some pairs in reach and others not."""
+    rng = np.random.default_rng(9)
+    vectors = np.concatenate([rng.normal(size=(500, 24)), *(rng.normal(size=24) + rng.normal(size=(400, 24)) * s for s in (0.02, 0.1, 0.14))])
+    vectors = e.unit(vectors)
+    graph, at = e.padded(e.build_graph(vectors)), np.arange(len(vectors))
+    hits = e.range_search(vectors, graph, e.medoids(vectors), at, e.Rule(0.98, 2, e.BEAM), np.zeros(len(at), dtype=bool))
+    true = vectors @ vectors.T >= 0.98
+    assert true.sum() > 200_000 and (hits & true).sum() >= 0.99 * true.sum() and not (hits & ~true).any()
+
+
+def test_nearest_centres_are_those_of_a_stable_sort():
+    rng = np.random.default_rng(10)
+    found = e.unit(rng.normal(size=(40, 8)))[rng.integers(0, 40, 60)]
+    vectors = e.unit(rng.normal(size=(3000, 8)))
+    # Equal centres may differ in the last bit within a product of matrices.
+    assert (found[e.nearest_centres(vectors, found, 3)] == found[np.argsort(-np.round(vectors @ found.T, 12), axis=1, kind="stable")[:, :3]]).all()
+    assert e.nearest_centres(vectors[:0], found, 3).shape == (0, 3) and e.nearest_centres(vectors, found[:1], 3).shape == (3000, 1)
