@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import MARGIN_SUM, MONEY_SUM, day_diff, first_match, mean, ratio
+from basketry.operators.lookup import lookup
 from basketry.operators.windows import asc, desc, global_ntile, global_window, with_total
 from basketry.params import (
     CHURN_HIGH_AFTER_DAYS,
@@ -43,23 +44,30 @@ def completed(fact_orders: DataFrame) -> DataFrame:
     return fact_orders.where(F.col("is_completed") == 1)
 
 
-def mart_sales_overview(fact_orders: DataFrame, dim_products: DataFrame, dim_customers: DataFrame) -> DataFrame:
+def _with_text(df: DataFrame, dim: DataFrame, key: str, attribute: str, scratch: Scratch | None) -> DataFrame:
+    """An inner join with a dimension's key and one text; with a ``scratch`` by its lookup, if it has one."""
+    known = lookup(dim, key, attribute, scratch) if scratch else None
+    return known.join(df, key, attribute) if known else df.join(dim.select(key, attribute), key)
+
+
+def mart_sales_overview(
+    fact_orders: DataFrame, dim_products: DataFrame, dim_customers: DataFrame, scratch: Scratch | None = None
+) -> DataFrame:
     """Completed sales by day, country, category and customer segment.
 
     The mean order value weighs an order by its lines. An order with lines in two categories counts
     in both, so order counts do not add up over categories. Dimensions are cut down to key and
     attribute before the joins; whether one is small enough to broadcast is Spark's size check.
+    With a ``scratch`` less is moved and the rows are the same: dimensions are written as lookups, which are
+    small, and what is dealt out is counted where it lies, by its first row for each order and customer.
     """
-    products = dim_products.select("product_key", "product_category")
-    customers = dim_customers.select("customer_key", "customer_segment")
     keys = ["sale_date", "country_code", "product_category", "customer_segment"]
     # Lines are dealt out by ranges of their groups, so groups of a day lie together and are small to send.
     # An order then stands there for itself, with the sums, and once more for its customer: both distinct
     # counts are counts of rows.
+    sold = _with_text(completed(fact_orders), dim_products, "product_key", "product_category", scratch)
     lines = (
-        completed(fact_orders)
-        .join(products, "product_key")
-        .join(customers, "customer_key")
+        _with_text(sold, dim_customers, "customer_key", "customer_segment", scratch)
         .select(F.col("date_key").alias("sale_date"), *keys[1:], "customer_key", "order_key", *OVERVIEW_MEASURES)
         .repartitionByRange(tasks_of(fact_orders), *keys)
     )
@@ -70,6 +78,14 @@ def mart_sales_overview(fact_orders: DataFrame, dim_products: DataFrame, dim_cus
         F.sum("order_total").alias("order_totals"),
         F.count("order_total").alias("totals"),
     )
+    if scratch:
+        flagged = per_order.withColumns(
+            {
+                "_order": _is_first([*keys, "order_key"], "customer_key") & F.col("order_key").isNotNull(),
+                "_customer": _is_first([*keys, "customer_key"], "order_key") & F.col("customer_key").isNotNull(),
+            }
+        )
+        return _overview(flagged.groupBy(*keys), F.count_if("_order"), F.count_if("_customer"))
     measures = ("quantity", "revenue", "margin", "order_totals", "totals")
     # Rows of a group stand together when they move, so they shrink more.
     members = per_order.sortWithinPartitions(*keys).unpivot([*keys, *measures], ["order_key", "customer_key"], "of", "member")
@@ -80,10 +96,20 @@ def mart_sales_overview(fact_orders: DataFrame, dim_products: DataFrame, dim_cus
         .groupBy(*keys, "of", "member")
         .agg(*[F.sum(m).alias(m) for m in measures])
     )
-    orders, revenue, margin = F.count(F.when(is_order, F.col("member"))), F.sum("revenue"), F.sum("margin")
-    return per_member.groupBy(*keys).agg(
+    orders, customers = (F.count(F.when(which, F.col("member"))) for which in (is_order, ~is_order))
+    return _overview(per_member.groupBy(*keys), orders, customers)
+
+
+def _is_first(of: list[str], by: str) -> Column:
+    return F.row_number().over(Window.partitionBy(*of).orderBy(by)) == 1
+
+
+def _overview(groups: GroupedData, orders: Column, customers: Column) -> DataFrame:
+    """The mart's columns, from sums per order and the two counts."""
+    revenue, margin = F.sum("revenue"), F.sum("margin")
+    return groups.agg(
         orders.alias("total_orders"),
-        F.count(F.when(~is_order, F.col("member"))).alias("unique_customers"),
+        customers.alias("unique_customers"),
         F.sum("quantity").alias("total_quantity"),
         revenue.cast(MONEY_SUM).alias("total_revenue"),
         margin.cast(MARGIN_SUM).alias("total_margin"),

@@ -19,7 +19,7 @@ from basketry.params import Params
 from basketry.plans import core, incremental, marts, staging, verify
 from basketry.schemas import TABLES
 from basketry.scratch import Scratch
-from basketry.session import require_skew_handling
+from basketry.session import require_skew_handling, shuffles_removed
 from basketry.sources.load import load_typed, nothing_loaded, union_all, write_loaded
 from basketry.sources.raw import write_raw
 from basketry.sources.staging import day_path, read_rejects, read_staging
@@ -80,7 +80,7 @@ MODELS = (
         "mart_sales_overview",
         "marts",
         lambda b: marts.mart_sales_overview(
-            b.models["fact_orders"], b.models["dim_products"], b.models["dim_customers"]
+            b.models["fact_orders"], b.models["dim_products"], b.models["dim_customers"], b.scratch
         ),
     ),
     Model(
@@ -154,9 +154,10 @@ def build_models(
         read[m.name] = step.id
         return change.adopt(m.name, Stored.from_json(step.result))
 
-    for _, layer in groupby(models, key=lambda m: m.layer):
-        members, known = list(layer), dict(read)
-        b.models.update(zip([m.name for m in members], together(build, members)))
+    with shuffles_removed(spark):
+        for _, layer in groupby(models, key=lambda m: m.layer):
+            members, known = list(layer), dict(read)
+            b.models.update(zip([m.name for m in members], together(build, members)))
     change.commit()
     for m in models:
         b.models[m.name].createOrReplaceTempView(f"{views}{m.layer}_{m.name}")
@@ -264,23 +265,24 @@ def run_pipeline(
     session must have that on.
     """
     require_skew_handling(spark)
-    journal = Journal(spark, f"{root}/journal/{day.isoformat()}", fresh)
-    staged, loads = export_and_load(spark, source, root, day, params, journal)
-    # Noted as a step: a retry after the commit must not take its own version for the one before.
-    stored = journal.step("before", {}, lambda: {"note": Warehouse(spark, root).notes().get(FROM, "")}).result["note"]
-    before = built_before(spark, root, params, stored)
-    notes = {FROM: incremental.built_from(params, day.isoformat(), staged_digests(spark, root, day))}
-    inputs = {**loads, "before": stored if before else ""}
-    scratch = Scratch(spark)
-    try:
-        models = build_models(
-            spark, staged, root, params, scratch, journal=journal, inputs=inputs, before=before, notes=notes
-        )
-    finally:
-        scratch.close()
-    found = as_table(checks.report(staged), f"{root}/reports/checks/{day.isoformat()}")
-    rejects = {n: read_rejects(spark, root, t, day) for n, t in TABLES.items()}
-    report = as_table(run_report(staged, models, rejects, found), f"{root}/reports/run/{day.isoformat()}")
-    journal.finish()
-    checks.enforce(found, fail_on)
-    return report
+    with shuffles_removed(spark):
+        journal = Journal(spark, f"{root}/journal/{day.isoformat()}", fresh)
+        staged, loads = export_and_load(spark, source, root, day, params, journal)
+        # Noted as a step: a retry after the commit must not take its own version for the one before.
+        stored = journal.step("before", {}, lambda: {"note": Warehouse(spark, root).notes().get(FROM, "")}).result["note"]
+        before = built_before(spark, root, params, stored)
+        notes = {FROM: incremental.built_from(params, day.isoformat(), staged_digests(spark, root, day))}
+        inputs = {**loads, "before": stored if before else ""}
+        scratch = Scratch(spark)
+        try:
+            models = build_models(
+                spark, staged, root, params, scratch, journal=journal, inputs=inputs, before=before, notes=notes
+            )
+        finally:
+            scratch.close()
+        found = as_table(checks.report(staged), f"{root}/reports/checks/{day.isoformat()}")
+        rejects = {n: read_rejects(spark, root, t, day) for n, t in TABLES.items()}
+        report = as_table(run_report(staged, models, rejects, found), f"{root}/reports/run/{day.isoformat()}")
+        journal.finish()
+        checks.enforce(found, fail_on)
+        return report

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,26 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
 }
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of each query of the session as soon as it ends, while this lasts.
+
+    Otherwise they stay until the driver's garbage is collected, so a job of many steps that all write
+    tables keeps the shuffles of steps long done. A query that runs again writes its files anew.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
 
 def require_skew_handling(spark: SparkSession) -> None:
     """Raise if the session would leave a hot join key in one task."""

@@ -16,6 +16,7 @@ from basketry.operators import checks
 from basketry.params import Params
 from basketry.plans import core, daily, incremental, marts, pipeline, staging, verify
 from basketry.scratch import Scratch, folder_and_files, name_local_folder
+from basketry.session import shuffles_removed
 from basketry.sources import generate, ledger, load, raw, snapshot
 from basketry.sources import staging as sources_staging
 from basketry.sources.sales_tables import SalesTables
@@ -746,9 +747,10 @@ _RUN_SQL = f"""{_VERIFY_SQL}
 @query("pipeline_end_to_end", oracle.sql(_RUN_SQL, *_STAGING_VIEWS.values(), *_CORE, *_MARTS))
 def pipeline_end_to_end(shop: Shop) -> DataFrame:
     """The report of a day's run from source tables through files and staging to marts."""
-    return pipeline.run_pipeline(
-        shop.spark, shop.tables.as_dict(), shop.scratch.path("run"), DAY_2, shop.params
-    )
+    with shuffles_removed(shop.spark):
+        return pipeline.run_pipeline(
+            shop.spark, shop.tables.as_dict(), shop.scratch.path("run"), DAY_2, shop.params
+        )
 
 
 # --- stored by month, and from day to day -----------------------------------------------------

@@ -227,3 +227,27 @@ def test_empty_tables(spark):
         assert marts.mart_customer_ltv(c, nothing, params, Scratch(spark)).count() == 0
         assert marts.mart_product_performance(nothing, p, params, Scratch(spark)).count() == 0
     assert marts.mart_sales_overview(nothing, p, c).count() == 0
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_overview_counted_where_its_lines_lie_has_the_same_rows(spark, repeated):
+    """Keys, countries and texts that are null or unknown, an order of two customers, dimensions that repeat a key."""
+    orders, customers = (1, 2, 3, 4, 5, None), (1, 2, 3, None, 65, 700)
+    lines = [(orders[n % 6], customers[n % 5 if n % 4 else n % 6], n % 7 or None, ("fr", "de", None)[n % 3], n % 4, n) for n in range(400)]
+    fact = spark.createDataFrame(
+        lines, "order_key long, customer_key long, product_key long, country_code string, day int, quantity_sold int"
+    ).select(
+        "*",
+        F.lit(1).alias("is_completed"),
+        F.date_add(F.lit("2020-01-01").cast("date"), F.col("day")).alias("date_key"),
+        F.when(F.col("quantity_sold") % 9 > 0, F.col("quantity_sold")).cast("decimal(12,2)").alias("line_revenue"),
+        F.col("quantity_sold").cast("decimal(15,4)").alias("estimated_margin"),
+        F.when(F.col("quantity_sold") % 11 > 0, F.col("order_key") * 3).cast("decimal(12,2)").alias("order_total"),
+    )
+    twice = [(2, "b"), (2, "a")] if repeated else [(2, "b")]
+    p = spark.createDataFrame([(1, "a"), *twice, (3, None), (4, "a"), (5, "b"), (None, "a")], "product_key long, product_category string")
+    c = spark.createDataFrame([(1, "s"), (2, "t"), (65, "s"), (None, "s"), (9, "t")], "customer_key long, customer_segment string")
+    plain, counted = marts.mart_sales_overview(fact, p, c), marts.mart_sales_overview(fact, p, c, Scratch(spark))
+    assert counted.dtypes == plain.dtypes
+    want = sorted(map(str, plain.collect()))
+    assert sorted(map(str, counted.collect())) == want and len(want) > 20

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 import pytest
@@ -206,3 +207,27 @@ def test_overview_counts_keys_that_repeat_once(spark):
     got = marts.mart_sales_overview(fact, products, customers)
     found = {r.country_code: (r.total_orders, r.unique_customers, r.total_quantity, float(r.total_revenue), r.avg_order_value) for r in got.collect()}
     assert found == {"fr": (2, 2, 10, 8.0, 8.0), None: (1, 1, 5, 2.0, None)}
+
+
+def test_built_overview_moves_its_lines_once(spark, models):
+    """With a scratch, where the lookups are small enough to send: no line moves for a dimension, nor again for the counts."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, str(64 * 1024))
+    try:
+        fact, scratch = models["fact_orders"], models["shop"].scratch
+        overview = exchanges(marts.mart_sales_overview(fact, models["dim_products"], models["dim_customers"], scratch))
+    finally:
+        for k in keys:
+            spark.conf.set(k, "-1")
+    assert len(overview) == 1 and "rangepartitioning(sale_date" in overview[0]
+
+
+def test_stored_fact_moves_what_lines_differ_in_first(models):
+    """What an order's lines have in common stands together behind it and shrinks as one piece."""
+    stored = plan(core.fact_by_month(models["order_items"], models["orders"], PARAMS)).splitlines()
+    at = next(k for k, line in enumerate(stored) if "Exchange hashpartitioning(order_month" in line)
+    moved = next(line for line in stored[at:] if "Project" in line)
+    names = re.findall(r"(\w+)#\d+L?(?=[,\]])", moved)
+    own = ["product_key", "unit_price", "line_revenue", "quantity_sold", "order_item_key"]
+    assert names[:5] == own and set(names[5:]) > {"order_key", "customer_key", "order_total", "order_status"}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from basketry import session
@@ -40,3 +41,25 @@ def test_tasks_grow_with_the_files_behind_a_frame(spark, tmp_path, monkeypatch):
     assert session.tasks_of(spark.range(10)) == own, "no file"
     monkeypatch.setattr(session, "MAX_PARTITIONS", 2 * own)
     assert session.tasks_of(rows) == 2 * own
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(k).getName() for k in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffles_go_when_their_query_has_ended(spark, tmp_path):
+    """A job of many steps keeps the files of the step it is in, and the session's own setting stays as it was."""
+    wide = spark.range(1000).groupBy((F.col("id") % 7).alias("of")).count()
+    before, setting = shuffle_files(spark), spark.conf.get(session.SHUFFLE_CLEANUP, None)
+    with session.shuffles_removed(spark), session.shuffles_removed(spark):
+        wide.write.parquet(f"{tmp_path}/a")
+        assert shuffle_files(spark) <= before
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == setting
+    wide.write.parquet(f"{tmp_path}/b")
+    assert shuffle_files(spark) - before
+    assert wide.count() == 7
+    with pytest.raises(ValueError), session.shuffles_removed(spark):
+        raise ValueError
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == setting
