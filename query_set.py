@@ -34,6 +34,7 @@ class Shop:
         name_local_folder(spark)
         self.scratch = Scratch(spark)
         self.tables = SalesTables(spark, folder, self.scratch)
+        self._staged: dict[str, DataFrame] | None = None
 
     def stg_orders(self) -> DataFrame:
         return staging.stg_orders(stamp(self.tables["orders"], self.params.run_ts))
@@ -91,9 +92,21 @@ class Shop:
 
     def models(self, root: str | None = None, views: str = "") -> dict[str, DataFrame]:
         """All models, written to tables."""
-        staged = {**self.tables.as_dict(), "orders": stamp(self.tables["orders"], self.params.run_ts)}
         root = root or self.scratch.path("warehouse")
-        return pipeline.build_models(self.spark, staged, root, self.params, self.scratch, views=views)
+        with shuffles_removed(self.spark):
+            staged, scratch = self.staged(), Scratch(self.spark)
+            try:
+                return pipeline.build_models(self.spark, staged, root, self.params, scratch, views=views)
+            finally:
+                scratch.close()
+
+    def staged(self) -> dict[str, DataFrame]:
+        """The source tables; those that models read are written once, as a day's staging is, not made for each model."""
+        if self._staged is None:
+            made = {**self.tables.as_dict(), "orders": stamp(self.tables["orders"], self.params.run_ts)}
+            read = ("users", "products", "orders", "order_items")
+            self._staged = made | {n: self.scratch.keep(made[n], n, codec="zstd") for n in read}
+        return self._staged
 
     def stored(self) -> Warehouse:
         """A warehouse with the fact by month and the marts' daily states."""

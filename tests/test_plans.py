@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from query_set import PARAMS, Shop
-from basketry.plans import core, marts, verify
+from basketry.plans import core, marts, pipeline, verify
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -231,3 +232,24 @@ def test_stored_fact_moves_what_lines_differ_in_first(models):
     names = re.findall(r"(\w+)#\d+L?(?=[,\]])", moved)
     own = ["product_key", "unit_price", "line_revenue", "quantity_sold", "order_item_key"]
     assert names[:5] == own and set(names[5:]) > {"order_key", "customer_key", "order_total", "order_status"}
+
+
+def test_models_built_again_read_tables_made_once(spark, tmp_path, monkeypatch):
+    """Source tables are mapped, and their lines numbered, once; what a build kept for itself goes with it."""
+    shop, given = Shop(spark, FOLDER), []
+    real = pipeline.build_models
+
+    def build(spark, tables, root, params, scratch, **more):
+        given.append((tables, scratch.root))
+        return real(spark, tables, root, params, scratch, **more)
+
+    monkeypatch.setattr(pipeline, "build_models", build)
+    counts = []
+    for run in ("a_", "b_"):
+        counts.append({n: df.count() for n, df in shop.models(str(tmp_path / "warehouse"), run).items()})
+    (first, kept), (second, kept_again) = given
+    assert counts[0] == counts[1] and kept != kept_again
+    for name in ("users", "products", "orders", "order_items"):
+        assert first[name] is second[name] and not exchanges(first[name]), name
+        assert sorted(map(str, first[name].drop("_loaded_at").collect())) == sorted(map(str, shop.tables[name].collect()))
+    assert not any(Path(k).exists() for k in (kept, kept_again)) and Path(shop.scratch.root).exists()
